@@ -120,16 +120,28 @@ def line_number(df: DataFrame) -> DataFrame:
     return number_within_groups(df, "order_id", "product_id", "line_number")
 
 
+def order_stats(indexed: DataFrame) -> DataFrame:
+    """Per order: index of its first line and its net total.
+
+    Runs on lines already range-partitioned and sorted by (order_id,
+    product_id), so each task adds an order's lines in product order: totals
+    are reproducible whatever the partitioning, and partial aggregation keeps
+    a huge order from landing whole in one task."""
+    return indexed.groupBy("order_id").agg(
+        F.min("__idx").alias("__first"), F.sum("net_amount").alias("__order_net")
+    )
+
+
 def allocate_freight(df: DataFrame) -> DataFrame:
     """Add ``freight_allocated`` to lines carrying ``freight`` and ``net_amount``.
 
-    The order total is a partially aggregated ``groupBy`` joined back, so a
-    huge order never has to fit in one window partition."""
-    totals = df.groupBy("order_id").agg(F.sum("net_amount").alias("__order_net"))
-    out = df.join(totals, "order_id").withColumn(
+    The order total is a partially aggregated ``groupBy`` joined back (no
+    window), so a huge order never has to fit in one task."""
+    indexed, _ = dense_index(df, ["order_id", "product_id"], start=0, index_col="__idx")
+    out = indexed.join(order_stats(indexed), "order_id").withColumn(
         "freight_allocated", _freight_share(F.col("freight"), F.col("net_amount"), F.col("__order_net"))
     )
-    return out.drop("__order_net")
+    return out.drop("__idx", "__first", "__order_net")
 
 
 def fact_dedup(new_lines: DataFrame, fact: DataFrame | None, min_order_id_exclusive: int | None = None) -> DataFrame:
@@ -169,10 +181,7 @@ def build_fact(
     # measures + a dense index in (order_id, product_id) order
     body = line_measures(body)
     indexed, _ = dense_index(body, ["order_id", "product_id"], start=0, index_col="__idx")
-    stats = indexed.groupBy("order_id").agg(
-        F.min("__idx").alias("__first"), F.sum("net_amount").alias("__order_net")
-    )
-    header = header.join(stats, "order_id", "inner")
+    header = header.join(order_stats(indexed), "order_id", "inner")
 
     fact = indexed.join(header, "order_id", "inner")
     fact = fact.withColumns(

@@ -89,6 +89,13 @@ class Warehouse:
         )
         return Manifest.from_json(top[0]["value"]) if top else None
 
+    def manifest(self, run_id: int) -> Manifest:
+        """The manifest of one past run (time travel to that state)."""
+        raw = self.spark.read.text(f"{self.manifest_dir}/run_id={run_id}").collect()
+        if not raw:
+            raise RuntimeError(f"run {run_id} was never published under {self.root}")
+        return Manifest.from_json(raw[0]["value"])
+
     def require(self) -> Manifest:
         m = self.latest()
         if m is None:
