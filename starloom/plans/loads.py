@@ -1,15 +1,18 @@
 """Warehouse runs: init, full historical load, incremental load.
 
 Each run computes new parts from the source and the previous manifest, writes
-them, and publishes a manifest last (all-or-nothing). Dimensions are read back
-from the parts just written before the fact is built, so the fact plan starts
-from files (short lineage, measured row counts for broadcast decisions) rather
-than from the dimension computations.
+them, and publishes a manifest last (all-or-nothing). Independent dimensions
+are built as concurrent Spark jobs (one driver thread each), so small
+dimensions do not wait on each other. Dimensions are read back from the parts
+just written before the fact is built: the fact plan starts from files (short
+lineage, measured row counts for broadcast decisions).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +26,6 @@ from starloom.operators.staging import (
     stage_product,
     stage_sales_lines,
     stage_shipper,
-    stage_order_header,
 )
 from starloom.plans.warehouse import CURRENT, HISTORY, Manifest, Warehouse, add_part, carry_parts, part_key
 from starloom.schemas import (
@@ -41,12 +43,34 @@ from starloom.sources.source import Source
 
 RUN_LOG = "etl_run_log"
 FACT = "fact_sales_line"
+FACT_SORT = ["order_id", "product_id"]  # tight per-file order-id ranges -> row-group skipping
 
 
 def _iso(v) -> str | None:
     return v.isoformat() if v is not None else None
 
 
+@dataclass
+class _Written:
+    """Parts written by one step: (part key, path, rows, append?)."""
+
+    parts: list[tuple[str, str, int, bool]]
+    members: int = 0  # members counted for the run log / key sequence
+    next_sk: int | None = None
+
+
+def _run_parallel(tasks: dict[str, callable]) -> dict[str, object]:
+    """Run independent steps as concurrent Spark jobs; re-raise the first error."""
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
+def _merge(parts: dict, rows: dict, written: _Written) -> None:
+    for key, path, n, append in written.parts:
+        add_part(parts, rows, key, path, n, append=append)
+
+
 def init_warehouse(spark: SparkSession, root: str) -> Manifest:
     """Create the empty warehouse (idempotent: an existing one is left alone)."""
     wh = Warehouse(spark, root)
@@ -71,7 +95,7 @@ def star_dimensions(wh: Warehouse, m: Manifest) -> StarDimensions:
     )
 
 
-def _run_log_row(
+def run_log_row(
     spark: SparkSession,
     run_id: int,
     run_ts: _dt.datetime,
@@ -87,8 +111,21 @@ def _run_log_row(
     )
 
 
-def _max_order_id(df: DataFrame) -> int | None:
-    return df.agg(F.max("order_id").alias("m")).first()["m"]
+def _write_fact(wh: Warehouse, run_id: int, fact: DataFrame) -> tuple[str, int, int | None]:
+    path, n, m = wh.write_part_observed(
+        run_id, FACT, fact, sort_by=FACT_SORT, tag=f"r{run_id}", metrics={"max_order_id": F.max("order_id")}
+    )
+    return path, n, m["max_order_id"]
+
+
+# ------------------------------------------------------------------ full load
+def _initial_dimension(wh: Warehouse, run_id: int, spec: DimensionSpec, staged: DataFrame) -> _Written:
+    build = scd2_initial if spec.kind == "scd2" else scd1_initial
+    initial, n_init = build(staged, spec, start=1)
+    dim = unknown_member(wh.spark, spec).unionByName(initial)
+    part = CURRENT if spec.kind == "scd2" else None
+    path, n = wh.write_part(run_id, spec.table, dim, part=part)
+    return _Written([(part_key(spec.table, part), path, n, False)], members=n_init, next_sk=n_init + 1)
 
 
 def full_load(spark: SparkSession, src: Source, root: str, run_ts: _dt.datetime) -> Manifest:
@@ -100,44 +137,41 @@ def full_load(spark: SparkSession, src: Source, root: str, run_ts: _dt.datetime)
     prev = wh.latest()
     run_id = (prev.run_id if prev else 0) + 1
     parts, rows = carry_parts(prev, [RUN_LOG])
-    next_sk: dict[str, int] = {}
 
-    # calendar
-    path, n = wh.write_part(run_id, "dim_date", build_dim_date(src.orders))
-    add_part(parts, rows, "dim_date", path, n, append=False)
+    def calendar() -> _Written:
+        path, n = wh.write_part(run_id, "dim_date", build_dim_date(src.orders))
+        return _Written([("dim_date", path, n, False)])
 
-    # type-2 dimensions
-    staged2 = {
-        CUSTOMER.name: stage_customer(src.customers),
-        PRODUCT.name: stage_product(src.products, src.categories, src.suppliers),
+    staged = {
+        CUSTOMER.name: lambda: stage_customer(src.customers),
+        PRODUCT.name: lambda: stage_product(src.products, src.categories, src.suppliers),
+        EMPLOYEE.name: lambda: stage_employee(src.employees),
+        SHIPPER.name: lambda: stage_shipper(src.shippers),
     }
-    members: dict[str, int] = {}
-    for spec in (CUSTOMER, PRODUCT):
-        initial, n_init = scd2_initial(staged2[spec.name], spec, start=1)
-        dim = unknown_member(spark, spec).unionByName(initial)
-        path, n = wh.write_part(run_id, spec.table, dim, part=CURRENT)
-        add_part(parts, rows, part_key(spec.table, CURRENT), path, n, append=False)
-        members[spec.name] = n_init
-        next_sk[spec.name] = n_init + 1  # max(sk) + 1 with SKs 0..n
-
-    # type-1 dimensions
-    staged1 = {EMPLOYEE.name: stage_employee(src.employees), SHIPPER.name: stage_shipper(src.shippers)}
-    for spec in (EMPLOYEE, SHIPPER):
-        initial, n_init = scd1_initial(staged1[spec.name], spec, start=1)
-        dim = unknown_member(spark, spec).unionByName(initial)
-        path, n = wh.write_part(run_id, spec.table, dim)
-        add_part(parts, rows, spec.table, path, n, append=False)
-        next_sk[spec.name] = n_init + 1
+    tasks = {"dim_date": calendar}
+    for spec in (CUSTOMER, PRODUCT, EMPLOYEE, SHIPPER):
+        tasks[spec.name] = lambda spec=spec: _initial_dimension(wh, run_id, spec, staged[spec.name]())
+    done = _run_parallel(tasks)
+    for w in done.values():
+        _merge(parts, rows, w)  # type: ignore[arg-type]
+    next_sk = {spec.name: done[spec.name].next_sk for spec in (CUSTOMER, PRODUCT, EMPLOYEE, SHIPPER)}
 
     # fact, resolved against the dimensions just written
     staging = Manifest(run_id=run_id, run_type="FULL", parts=parts, rows=rows)
     fact = build_fact(src.orders, src.order_details, star_dimensions(wh, staging), run_ts)
-    path, n_fact = wh.write_part(run_id, FACT, fact, sort_by=["order_id", "product_id"], tag="r%d" % run_id)
+    path, n_fact, fact_max = _write_fact(wh, run_id, fact)
     add_part(parts, rows, FACT, path, n_fact, append=False)
-    fact_max = _max_order_id(wh.spark.read.parquet(path)) if n_fact else None
 
-    log = _run_log_row(
-        spark, run_id, run_ts, "FULL", OPEN_START, members[CUSTOMER.name], members[PRODUCT.name], n_fact, FULL_NOTE
+    log = run_log_row(
+        spark,
+        run_id,
+        run_ts,
+        "FULL",
+        OPEN_START,
+        done[CUSTOMER.name].members,
+        done[PRODUCT.name].members,
+        n_fact,
+        FULL_NOTE,
     )
     path, n = wh.write_part(run_id, RUN_LOG, log)
     add_part(parts, rows, RUN_LOG, path, n, append=True)
@@ -158,44 +192,26 @@ def full_load(spark: SparkSession, src: Source, root: str, run_ts: _dt.datetime)
     )
 
 
+# ------------------------------------------------------------------ incremental load
 def _scd2_step(
-    wh: Warehouse,
-    prev: Manifest,
-    run_id: int,
-    spec: DimensionSpec,
-    staged: DataFrame,
-    effective_date: _dt.date,
-    parts: dict,
-    rows: dict,
-    next_sk: dict,
-) -> int:
+    wh: Warehouse, prev: Manifest, run_id: int, spec: DimensionSpec, staged: DataFrame, effective_date: _dt.date
+) -> _Written:
     current = wh.table(spec.table, prev, part=CURRENT)
     res = scd2_apply(current, staged, spec, effective_date, prev.next_sk.get(spec.name, 1))
+    out = _Written([], members=res.delta_rows, next_sk=res.next_sk)
     if res.delta_rows:
         path, n = wh.write_part(run_id, spec.table, res.current, part=CURRENT)
-        add_part(parts, rows, part_key(spec.table, CURRENT), path, n, append=False)
+        out.parts.append((part_key(spec.table, CURRENT), path, n, False))
         path, n = wh.write_part(run_id, spec.table, res.closed, part=HISTORY)
         if n:
-            add_part(parts, rows, part_key(spec.table, HISTORY), path, n, append=True)
-    next_sk[spec.name] = res.next_sk
-    return res.delta_rows
+            out.parts.append((part_key(spec.table, HISTORY), path, n, True))
+    return out
 
 
-def _scd1_step(
-    wh: Warehouse,
-    prev: Manifest,
-    run_id: int,
-    spec: DimensionSpec,
-    staged: DataFrame,
-    parts: dict,
-    rows: dict,
-    next_sk: dict,
-) -> int:
+def _scd1_step(wh: Warehouse, prev: Manifest, run_id: int, spec: DimensionSpec, staged: DataFrame) -> _Written:
     res = scd1_apply(wh.table(spec.table, prev), staged, spec, prev.next_sk.get(spec.name, 1))
     path, n = wh.write_part(run_id, spec.table, res.dim)
-    add_part(parts, rows, spec.table, path, n, append=False)
-    next_sk[spec.name] = res.next_sk
-    return res.new_rows
+    return _Written([(spec.table, path, n, False)], members=res.new_rows, next_sk=res.next_sk)
 
 
 def incremental_load(
@@ -218,31 +234,37 @@ def incremental_load(
         raise RuntimeError("incremental load needs a full load first")
     run_id = prev.run_id + 1
     parts, rows = carry_parts(prev, list(prev.parts))
-    next_sk = dict(prev.next_sk)
+    wm = prev.watermark
 
-    d_customer = _scd2_step(
-        wh, prev, run_id, CUSTOMER, stage_customer(src.customers), effective_date, parts, rows, next_sk
-    )
-    d_product = _scd2_step(
-        wh,
-        prev,
-        run_id,
-        PRODUCT,
-        stage_product(src.products, src.categories, src.suppliers),
-        effective_date,
-        parts,
-        rows,
-        next_sk,
+    def staged_line_count() -> int:
+        if wm is None:  # nothing was ever loaded: "order id > NULL" selects nothing
+            return 0
+        return stage_sales_lines(src.orders, src.order_details, min_order_id_exclusive=wm).count()
+
+    done = _run_parallel(
+        {
+            CUSTOMER.name: lambda: _scd2_step(wh, prev, run_id, CUSTOMER, stage_customer(src.customers), effective_date),
+            PRODUCT.name: lambda: _scd2_step(
+                wh,
+                prev,
+                run_id,
+                PRODUCT,
+                stage_product(src.products, src.categories, src.suppliers),
+                effective_date,
+            ),
+            EMPLOYEE.name: lambda: _scd1_step(wh, prev, run_id, EMPLOYEE, stage_employee(src.employees)),
+            SHIPPER.name: lambda: _scd1_step(wh, prev, run_id, SHIPPER, stage_shipper(src.shippers)),
+            "staged_lines": staged_line_count,
+        }
     )
-    _scd1_step(wh, prev, run_id, EMPLOYEE, stage_employee(src.employees), parts, rows, next_sk)
-    _scd1_step(wh, prev, run_id, SHIPPER, stage_shipper(src.shippers), parts, rows, next_sk)
+    next_sk = dict(prev.next_sk)
+    for spec in (CUSTOMER, PRODUCT, EMPLOYEE, SHIPPER):
+        w = done[spec.name]
+        _merge(parts, rows, w)  # type: ignore[arg-type]
+        next_sk[spec.name] = w.next_sk  # type: ignore[union-attr]
+    staged_lines = int(done["staged_lines"])  # type: ignore[arg-type]
 
-    wm = prev.watermark
     fact_max = prev.fact_max_order_id
-    if wm is None:  # nothing was ever loaded: "order id > NULL" selects nothing
-        staged_lines = 0
-    else:
-        staged_lines = stage_sales_lines(src.orders, src.order_details, min_order_id_exclusive=wm).count()
     if staged_lines:
         now = Manifest(run_id=run_id, run_type="INCREMENTAL", parts=parts, rows=rows)
         fact = build_fact(
@@ -253,21 +275,20 @@ def incremental_load(
             min_order_id_exclusive=wm,
             existing_fact=wh.table(FACT, prev),
         )
-        path, n_new = wh.write_part(run_id, FACT, fact, sort_by=["order_id", "product_id"], tag="r%d" % run_id)
+        path, n_new, new_max = _write_fact(wh, run_id, fact)
         if n_new:
             add_part(parts, rows, FACT, path, n_new, append=True)
-            new_max = _max_order_id(wh.spark.read.parquet(path))
             fact_max = new_max if fact_max is None else max(fact_max, new_max)
     watermark = fact_max if fact_max is not None else wm
 
-    log = _run_log_row(
+    log = run_log_row(
         spark,
         run_id,
         run_ts,
         "INCREMENTAL",
         effective_date,
-        d_customer,
-        d_product,
+        done[CUSTOMER.name].members,  # type: ignore[union-attr]
+        done[PRODUCT.name].members,  # type: ignore[union-attr]
         staged_lines,
         INCREMENTAL_NOTE,
     )
@@ -288,6 +309,3 @@ def incremental_load(
             rows=rows,
         )
     )
-
-
-__all__ = ["full_load", "incremental_load", "init_warehouse", "star_dimensions", "stage_order_header"]

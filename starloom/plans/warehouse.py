@@ -20,10 +20,11 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
 from dataclasses import asdict, dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,19 +144,38 @@ class Warehouse:
         sort_by: list[str] | None = None,
         tag: str | None = None,
     ) -> tuple[str, int]:
-        """Write one part (schema-checked) and return ``(path, rows)``.
+        """Write one part (schema-checked) and return ``(path, rows)``."""
+        path, rows, _ = self.write_part_observed(run_id, table, df, part, sort_by, tag)
+        return path, rows
 
-        The row count is read back from the written files (parquet footers), so
-        later broadcast decisions rest on a measured size."""
+    def write_part_observed(
+        self,
+        run_id: int,
+        table: str,
+        df: DataFrame,
+        part: str | None = None,
+        sort_by: list[str] | None = None,
+        tag: str | None = None,
+        metrics: dict[str, Column] | None = None,
+    ) -> tuple[str, int, dict]:
+        """Write one part; return ``(path, rows, metrics)``.
+
+        The row count and any extra aggregate ``metrics`` are observed while
+        the write runs (no second pass), in the write's result stage, where
+        each successful task is counted exactly once even when tasks are
+        retried after a lost executor."""
         schema: T.StructType = WAREHOUSE_TABLES[table]
         out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+        obs = Observation(f"write_{uuid.uuid4().hex}")
+        extra = [c.alias(k) for k, c in (metrics or {}).items()]
+        out = out.observe(obs, F.count(F.lit(1)).alias("__rows"), *extra)
         if sort_by:
             out = out.sortWithinPartitions(*sort_by)
         name = part_key(table, part).replace("#", "__") + (f"__{tag}" if tag else "")
         path = f"{self.root}/runs/{run_id}/{name}"
         out.write.mode("overwrite").parquet(path)
-        rows = self.spark.read.schema(schema).parquet(path).count()
-        return path, rows
+        observed = obs.get
+        return path, int(observed["__rows"]), {k: observed.get(k) for k in (metrics or {})}
 
     def publish(self, manifest: Manifest) -> Manifest:
         """Make a run visible: one single-line JSON file, written last."""
