@@ -188,6 +188,7 @@ def full_load(spark: SparkSession, src: Source, root: str, run_ts: _dt.datetime)
             next_sk=next_sk,
             parts=parts,
             rows=rows,
+            stream_batch_id=prev.stream_batch_id if prev else None,
         )
     )
 
@@ -220,6 +221,7 @@ def incremental_load(
     root: str,
     effective_date: _dt.date,
     run_ts: _dt.datetime,
+    stream_batch_id: int | None = None,
 ) -> Manifest:
     """Apply source changes as of ``effective_date`` and load new orders.
 
@@ -307,5 +309,6 @@ def incremental_load(
             next_sk=next_sk,
             parts=parts,
             rows=rows,
+            stream_batch_id=stream_batch_id if stream_batch_id is not None else prev.stream_batch_id,
         )
     )

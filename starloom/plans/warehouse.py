@@ -50,6 +50,7 @@ class Manifest:
     next_sk: dict[str, int] = field(default_factory=dict)
     parts: dict[str, list[str]] = field(default_factory=dict)  # part key -> paths
     rows: dict[str, int] = field(default_factory=dict)  # part key -> rows (sum over paths)
+    stream_batch_id: int | None = None  # last streaming micro-batch applied (exactly-once guard)
 
     def to_json(self) -> str:
         return json.dumps(asdict(self), sort_keys=True)
