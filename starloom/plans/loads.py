@@ -43,7 +43,8 @@ from starloom.sources.source import Source
 
 RUN_LOG = "etl_run_log"
 FACT = "fact_sales_line"
-FACT_SORT = ["order_id", "product_id"]  # tight per-file order-id ranges -> row-group skipping
+FACT_SORT = ["order_date_sk", "order_id", "product_id"]  # row groups clustered by order date; each run's
+# part covers its own order-id range (above the previous watermark), so older parts are skipped by footer stats
 
 
 def _iso(v) -> str | None:

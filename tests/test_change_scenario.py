@@ -212,3 +212,13 @@ def test_simulate_changes_guarded_insert_is_idempotent(spark):
     assert once.order_details.count() == twice.order_details.count() == 10
     city = once.customers.where("CustomerID = 'ALFKI'").first().City
     assert city == "Munich"
+
+
+def test_run_checks_summary(spark, loaded):
+    from starloom.plans.validation import run_checks
+
+    root, _, src2, _, m2 = loaded
+    res = {r.check: r for r in run_checks(Warehouse(spark, root), m2, src2.order_details, raise_on_violation=True)}
+    assert res["pk:fact_sales_line"].violations == 0
+    assert res["overlap:dim_customer"].violations == 0
+    assert "dw_net_sales" in res["info:reconcile_net"].detail
