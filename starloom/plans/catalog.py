@@ -53,8 +53,9 @@ FULL_RUN, INCREMENTAL_RUN = 1, 2
 class Built:
     root: str
     scenario: Scenario
-    full: Manifest
-    incremental: Manifest
+    full: Manifest  # run 1: full load of t0
+    incremental: Manifest  # run 2: incremental load of t1
+    same_day: Manifest  # run 3: incremental load of t2 with t1's effective date
 
     def wh(self, spark: SparkSession) -> Warehouse:
         return Warehouse(spark, self.root)
@@ -75,14 +76,17 @@ def get_scenario(spark: SparkSession, sf_dir: str) -> Scenario:
 
 
 def built_warehouse(spark: SparkSession, sf_dir: str) -> Built:
-    """Full load of t0 then incremental load of t1 (built once per application)."""
+    """Full load of t0, incremental load of t1, then t2 with the same effective
+    date (built once per application; each state is read via its manifest)."""
     k = _key(spark, sf_dir, "warehouse")
     if k not in _CACHE:
         sc = get_scenario(spark, sf_dir)
         root = scratch_path(spark, "warehouse")
         m_full = full_load(spark, sc.t0, root, RUN_TS)
-        m_inc = incremental_load(spark, sc.t1, root, _dt.date.fromisoformat(sc.effective_date_iso), RUN_TS)
-        _CACHE[k] = Built(root, sc, m_full, m_inc)
+        eff = _dt.date.fromisoformat(sc.effective_date_iso)
+        m_inc = incremental_load(spark, sc.t1, root, eff, RUN_TS)
+        m_same = incremental_load(spark, sc.t2, root, eff, RUN_TS)
+        _CACHE[k] = Built(root, sc, m_full, m_inc, m_same)
     return _CACHE[k]  # type: ignore[return-value]
 
 
@@ -493,6 +497,28 @@ def q_check_interval(spark, sf_dir):
     )
 
 
+def q_scd2_same_day_change(spark, sf_dir):
+    """Customer dimension after a second change with the same effective date."""
+    b = built_warehouse(spark, sf_dir)
+    return b.wh(spark).table(CUSTOMER.table, b.same_day)
+
+
+def q_check_interval_same_day(spark, sf_dir):
+    b = built_warehouse(spark, sf_dir)
+    c = Q.check_interval(b.wh(spark).table(CUSTOMER.table, b.same_day), CUSTOMER)
+    return _member_rows(c, CUSTOMER, "effective_from", "effective_to")
+
+
+def q_check_overlap_same_day(spark, sf_dir):
+    b = built_warehouse(spark, sf_dir)
+    return Q.check_overlap(b.wh(spark).table(CUSTOMER.table, b.same_day), CUSTOMER)
+
+
+def q_check_one_current_same_day(spark, sf_dir):
+    b = built_warehouse(spark, sf_dir)
+    return Q.check_one_current(b.wh(spark).table(CUSTOMER.table, b.same_day), CUSTOMER)
+
+
 def q_unknown_audit(spark, sf_dir):
     b = built_warehouse(spark, sf_dir)
     return Q.unknown_audit(b.wh(spark).table("fact_sales_line", b.incremental))
@@ -561,6 +587,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_overlap": q_check_overlap,
     "check_overlap_product": q_check_overlap_product,
     "check_interval": q_check_interval,
+    "scd2_same_day_change": q_scd2_same_day_change,
+    "check_interval_same_day": q_check_interval_same_day,
+    "check_overlap_same_day": q_check_overlap_same_day,
+    "check_one_current_same_day": q_check_one_current_same_day,
     "unknown_audit": q_unknown_audit,
     "reconcile_net": q_reconcile_net,
     "star_sales_by_customer_attr": q_star_sales_by_customer_attr,

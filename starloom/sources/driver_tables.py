@@ -48,6 +48,7 @@ REPRICE_MOD, REPRICE_DELTA = 11, 20  # t1: products with key % 11 = 0 cost 20 mo
 RENAME_MOD, RENAME_SUFFIX = 4, " *"  # t1: employees with key % 4 = 0 get a suffix
 SHIPPER_RENAMED_ID, SHIPPER_NEW_NAME = 1, "URGENT EXPRESS"  # t1: shipper 1 renamed
 SHIPPER_HELD_OUT_ID = 5  # shipper 5 appears only in t1
+RELOCATE_AGAIN_MOD, RELOCATED_AGAIN = 14, "RELOCATED AGAIN"  # t2: customers with key % 14 = 0 move again
 EFFECTIVE_DATE_ISO = "2000-01-01"  # effective date of the t1 run
 
 
@@ -211,6 +212,22 @@ class Scenario:
     effective_date_iso: str
     order_cut: int
 
+    @property
+    def t2(self) -> Source:
+        """t1 plus a second change to some customers, to be loaded with the
+        *same* effective date as t1 (the case that leaves a version whose end
+        precedes its start)."""
+        return simulate_changes(
+            self.t1,
+            updates=[
+                Update(
+                    "customers",
+                    F.col("CustomerID").cast("long") % RELOCATE_AGAIN_MOD == 0,
+                    {"ContactTitle": F.lit(RELOCATED_AGAIN)},
+                )
+            ],
+        )
+
 
 def _held_back(col: str):
     return (F.col(col).cast("long") % T0_HOLDOUT_MOD) != T0_HOLDOUT_REM
