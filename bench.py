@@ -2,7 +2,10 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Times (wall clock, seconds, after one warm-up job):
+Times (wall clock, seconds). The JVM is warmed up first by running the same
+pipeline once on the smallest fixture (sf0.001, if present) - class loading
+and code generation are paid there, as in a long-lived cluster session - then
+every step below is timed on ``BENCH_SF_DIR``:
 
 * source_snapshots - build the t0/t1 stand-in sources (category keys, pinned);
 * full_load        - full historical load of t0 (dims, calendar, fact, publish);
@@ -37,7 +40,14 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus, app_name="starloom-bench")
-    spark.range(1000).selectExpr("sum(id)").collect()  # JVM warm-up
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm_dir) and os.path.realpath(warm_dir) != os.path.realpath(sf_dir):
+        wsc = scenario(spark, warm_dir)
+        wroot = scratch_path(spark, "bench-warmup")
+        full_load(spark, wsc.t0, wroot, dt.datetime(2024, 1, 1))
+        incremental_load(spark, wsc.t1, wroot, dt.date.fromisoformat(wsc.effective_date_iso), dt.datetime(2024, 1, 1))
+    else:
+        spark.range(1000).selectExpr("sum(id)").collect()
 
     times: dict[str, float] = {}
 

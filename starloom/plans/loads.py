@@ -11,6 +11,7 @@ lineage, measured row counts for broadcast decisions).
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -60,11 +61,19 @@ class _Written:
     next_sk: int | None = None
 
 
-def _run_parallel(tasks: dict[str, callable]) -> dict[str, object]:
-    """Run independent steps as concurrent Spark jobs; re-raise the first error."""
-    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
-        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
-        return {name: f.result() for name, f in futures.items()}
+_POOL: ThreadPoolExecutor | None = None
+
+
+def run_parallel(tasks: dict[str, Callable[[], object]]) -> dict[str, object]:
+    """Run independent steps as concurrent Spark jobs; re-raise the first error.
+
+    The driver threads live for the whole process: each keeps its JVM
+    connection, so no connection is opened or torn down per run."""
+    global _POOL
+    if _POOL is None:
+        _POOL = ThreadPoolExecutor(max_workers=8, thread_name_prefix="starloom")
+    futures = {name: _POOL.submit(fn) for name, fn in tasks.items()}
+    return {name: f.result() for name, f in futures.items()}
 
 
 def _merge(parts: dict, rows: dict, written: _Written) -> None:
@@ -152,7 +161,7 @@ def full_load(spark: SparkSession, src: Source, root: str, run_ts: _dt.datetime)
     tasks = {"dim_date": calendar}
     for spec in (CUSTOMER, PRODUCT, EMPLOYEE, SHIPPER):
         tasks[spec.name] = lambda spec=spec: _initial_dimension(wh, run_id, spec, staged[spec.name]())
-    done = _run_parallel(tasks)
+    done = run_parallel(tasks)
     for w in done.values():
         _merge(parts, rows, w)  # type: ignore[arg-type]
     next_sk = {spec.name: done[spec.name].next_sk for spec in (CUSTOMER, PRODUCT, EMPLOYEE, SHIPPER)}
@@ -244,7 +253,7 @@ def incremental_load(
             return 0
         return stage_sales_lines(src.orders, src.order_details, min_order_id_exclusive=wm).count()
 
-    done = _run_parallel(
+    done = run_parallel(
         {
             CUSTOMER.name: lambda: _scd2_step(wh, prev, run_id, CUSTOMER, stage_customer(src.customers), effective_date),
             PRODUCT.name: lambda: _scd2_step(

@@ -8,13 +8,13 @@ a scheduler can stop before anything downstream reads the run.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators import quality as Q
+from starloom.plans.loads import run_parallel
 from starloom.plans.warehouse import Manifest, Warehouse
 from starloom.schemas import CUSTOMER, DIMENSIONS, FACT_KEY, PRODUCT
 
@@ -58,9 +58,7 @@ def run_checks(
     if order_details is not None:
         checks["info:reconcile_net"] = lambda: Q.reconcile_net(fact, order_details).first().asDict()
 
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        futures = {name: pool.submit(fn) for name, fn in checks.items()}
-        values = {name: f.result() for name, f in futures.items()}
+    values = run_parallel(checks)
 
     results = []
     for name, v in values.items():
