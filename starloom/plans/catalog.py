@@ -42,7 +42,7 @@ from starloom.operators.staging import (
 from starloom.plans.loads import full_load, incremental_load, star_dimensions
 from starloom.plans.warehouse import CURRENT, HISTORY, Manifest, Warehouse
 from starloom.schemas import CUSTOMER, EMPLOYEE, FACT_KEY, PRODUCT, SHIPPER, DimensionSpec
-from starloom.session import scratch_path
+from starloom.session import scratch_path, session_id
 from starloom.sources.driver_tables import Scenario, driver_source, scenario
 
 RUN_TS = _dt.datetime(2024, 1, 1, 0, 0, 0)  # load timestamp of catalog runs (never in results)
@@ -65,7 +65,7 @@ _CACHE: dict[tuple, object] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
+    return (session_id(spark), sf_dir.rstrip("/"), what)
 
 
 def get_scenario(spark: SparkSession, sf_dir: str) -> Scenario:

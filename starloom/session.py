@@ -59,7 +59,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     context nor the configuration names one (local tests) a fresh folder under
     the system temp dir is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote (Connect) session: the server owns the checkpoint dir
+        configured = spark.conf.get(_CKPT_CONF, None)
+        if not configured:
+            raise RuntimeError(f"set {_CKPT_CONF} to a shared folder for this session")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -70,6 +76,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def session_id(spark: SparkSession) -> str:
+    """Identifier of the application behind ``spark`` (for per-app caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
