@@ -8,8 +8,9 @@ Plan shape of :func:`build_fact` (the hot path of every load):
 * new lines are anti-joined against already-loaded keys *before* numbering;
 * line numbers and order totals come from one distributed dense index over
   ``(order_id, product_id)`` plus one partially-aggregated ``groupBy(order_id)``.
-  No window collects an order into one task, so an order holding a third of
-  all lines is split by the range bounds like any other key range;
+  The index is range-partitioned by order, and orders measured to be hot are
+  additionally split by product, so an order holding a third of all lines is
+  spread over many tasks instead of collected into one;
 * the header joins the lines once; the product as-of lookup follows
   (broadcast when the dimension is known to be small).
 """
@@ -22,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import key_lookup, validity_lookup
+from starloom.operators.joins import broadcast_if_small, key_lookup, validity_lookup
 from starloom.operators.keys import dense_index
 from starloom.operators.staging import stage_order_header, stage_order_lines
 from starloom.schemas import FACT_KEY, FACT_SALES_LINE, OPEN_START
@@ -105,11 +106,49 @@ def _freight_share(freight, net, order_net):
     return F.when(order_net == 0, F.lit(0.0)).otherwise(freight * (net / order_net))
 
 
+HOT_GROUP_ROWS_CONF = "starloom.skew.hotGroupRows"
+DEFAULT_HOT_GROUP_ROWS = 1_000_000
+
+
+def hot_group_split(df: DataFrame, group_col: str, order_col: str, split_col: str = "__split") -> DataFrame:
+    """Add ``split_col``: ``order_col`` for rows of *hot* groups (more than
+    ``starloom.skew.hotGroupRows`` rows), NULL otherwise.
+
+    Range-partitioning on ``(group, split)`` then keeps every ordinary group
+    whole inside one partition (its rows are visited in order by one task),
+    while a hot group is spread over as many partitions as its size needs.
+    Hot groups are found with a partially aggregated count; their number is
+    at most rows / threshold and is counted before the broadcast."""
+    raw = df.sparkSession.conf.get(HOT_GROUP_ROWS_CONF, None)
+    threshold = int(raw) if raw else DEFAULT_HOT_GROUP_ROWS
+    hot = (
+        df.groupBy(group_col)
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .where(F.col("__n") > threshold)
+        .select(group_col, F.lit(True).alias("__hot"))
+    )
+    n_hot = hot.count()
+    if n_hot == 0:
+        return df.withColumn(split_col, F.lit(None).cast(df.schema[order_col].dataType))
+    marked = df.join(broadcast_if_small(hot, n_hot), group_col, "left")
+    return marked.withColumn(split_col, F.when(F.col("__hot"), F.col(order_col))).drop("__hot")
+
+
+def grouped_dense_index(df: DataFrame, group_col: str, order_col: str, index_col: str = "__idx") -> DataFrame:
+    """Dense index in (group, order) order; ordinary groups stay within one
+    partition, hot groups are split (see :func:`hot_group_split`)."""
+    split = hot_group_split(df, group_col, order_col)
+    indexed, _ = dense_index(
+        split, [group_col, order_col], start=0, index_col=index_col, partition_by=[group_col, "__split"]
+    )
+    return indexed.drop("__split")
+
+
 def number_within_groups(df: DataFrame, group_col: str, order_col: str, out_col: str) -> DataFrame:
     """1-based position of each row inside its group in ``order_col`` order
     (``row_number() OVER (PARTITION BY group ORDER BY order)``), skew-safe:
     global dense index minus the index of the group's first row."""
-    indexed, _ = dense_index(df, [group_col, order_col], start=0, index_col="__idx")
+    indexed = grouped_dense_index(df, group_col, order_col)
     firsts = indexed.groupBy(group_col).agg(F.min("__idx").alias("__first"))
     out = indexed.join(firsts, group_col).withColumn(out_col, (F.col("__idx") - F.col("__first") + 1).cast("long"))
     return out.drop("__idx", "__first")
@@ -123,10 +162,10 @@ def line_number(df: DataFrame) -> DataFrame:
 def order_stats(indexed: DataFrame) -> DataFrame:
     """Per order: index of its first line and its net total.
 
-    Runs on lines already range-partitioned and sorted by (order_id,
-    product_id), so each task adds an order's lines in product order: totals
-    are reproducible whatever the partitioning, and partial aggregation keeps
-    a huge order from landing whole in one task."""
+    Runs on lines range-partitioned by order (hot orders split) and sorted by
+    (order_id, product_id): an ordinary order's lines are added one by one in
+    product order inside one task, so its total is reproducible bit for bit;
+    a hot order is summed per partition first (partial aggregation)."""
     return indexed.groupBy("order_id").agg(
         F.min("__idx").alias("__first"), F.sum("net_amount").alias("__order_net")
     )
@@ -137,7 +176,7 @@ def allocate_freight(df: DataFrame) -> DataFrame:
 
     The order total is a partially aggregated ``groupBy`` joined back (no
     window), so a huge order never has to fit in one task."""
-    indexed, _ = dense_index(df, ["order_id", "product_id"], start=0, index_col="__idx")
+    indexed = grouped_dense_index(df, "order_id", "product_id")
     out = indexed.join(order_stats(indexed), "order_id").withColumn(
         "freight_allocated", _freight_share(F.col("freight"), F.col("net_amount"), F.col("__order_net"))
     )
@@ -180,7 +219,7 @@ def build_fact(
 
     # measures + a dense index in (order_id, product_id) order
     body = line_measures(body)
-    indexed, _ = dense_index(body, ["order_id", "product_id"], start=0, index_col="__idx")
+    indexed = grouped_dense_index(body, "order_id", "product_id")
     header = header.join(order_stats(indexed), "order_id", "inner")
 
     fact = indexed.join(header, "order_id", "inner")

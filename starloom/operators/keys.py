@@ -36,12 +36,20 @@ def dense_index(
     order_by: Sequence[str | Column],
     start: int = 1,
     index_col: str = "_idx",
+    partition_by: Sequence[str | Column] | None = None,
 ) -> tuple[DataFrame, int]:
     """Return ``(df + index_col, row_count)``; index runs start..start+n-1 in
-    ``order_by`` order (ties in an arbitrary but stable order)."""
+    ``order_by`` order (ties in an arbitrary but stable order).
+
+    ``partition_by`` (default: ``order_by``) are the range-partitioning keys.
+    They must order rows consistently with ``order_by`` (a coarser key whose
+    ranges are contiguous in ``order_by`` order): rows with equal range keys
+    always share a partition, which keeps small groups whole while a hot
+    group can still be spread by a finer key."""
     ensure_checkpoint_dir(df.sparkSession)
     keys = _cols(order_by)
-    pinned = df.repartitionByRange(*keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    ranges = _cols(partition_by) if partition_by is not None else keys
+    pinned = df.repartitionByRange(*ranges).sortWithinPartitions(*keys).checkpoint(eager=True)
 
     pid = F.spark_partition_id()
     rows = pinned.groupBy(pid.alias("pid")).agg(F.count(F.lit(1)).alias("n")).collect()

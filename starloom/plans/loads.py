@@ -121,11 +121,18 @@ def run_log_row(
     )
 
 
-def _write_fact(wh: Warehouse, run_id: int, fact: DataFrame) -> tuple[str, int, int | None]:
+def _write_fact(wh: Warehouse, run_id: int, fact: DataFrame) -> tuple[str, int, dict]:
+    """Write a fact part; its order-id range is observed during the write and
+    kept in the manifest (prunes the de-dup of later runs to nothing)."""
     path, n, m = wh.write_part_observed(
-        run_id, FACT, fact, sort_by=FACT_SORT, tag=f"r{run_id}", metrics={"max_order_id": F.max("order_id")}
+        run_id,
+        FACT,
+        fact,
+        sort_by=FACT_SORT,
+        tag=f"r{run_id}",
+        metrics={"min_order_id": F.min("order_id"), "max_order_id": F.max("order_id")},
     )
-    return path, n, m["max_order_id"]
+    return path, n, m
 
 
 # ------------------------------------------------------------------ full load
@@ -169,8 +176,9 @@ def full_load(spark: SparkSession, src: Source, root: str, run_ts: _dt.datetime)
     # fact, resolved against the dimensions just written
     staging = Manifest(run_id=run_id, run_type="FULL", parts=parts, rows=rows)
     fact = build_fact(src.orders, src.order_details, star_dimensions(wh, staging), run_ts)
-    path, n_fact, fact_max = _write_fact(wh, run_id, fact)
-    add_part(parts, rows, FACT, path, n_fact, append=False)
+    fact_path, n_fact, stats = _write_fact(wh, run_id, fact)
+    add_part(parts, rows, FACT, fact_path, n_fact, append=False)
+    fact_max = stats["max_order_id"]
 
     log = run_log_row(
         spark,
@@ -199,6 +207,7 @@ def full_load(spark: SparkSession, src: Source, root: str, run_ts: _dt.datetime)
             parts=parts,
             rows=rows,
             stream_batch_id=prev.stream_batch_id if prev else None,
+            part_stats={fact_path: stats} if n_fact else {},
         )
     )
 
@@ -277,6 +286,7 @@ def incremental_load(
     staged_lines = int(done["staged_lines"])  # type: ignore[arg-type]
 
     fact_max = prev.fact_max_order_id
+    part_stats = {p: st for p, st in prev.part_stats.items() if p in prev.parts.get(FACT, [])}
     if staged_lines:
         now = Manifest(run_id=run_id, run_type="INCREMENTAL", parts=parts, rows=rows)
         fact = build_fact(
@@ -285,11 +295,14 @@ def incremental_load(
             star_dimensions(wh, now),
             run_ts,
             min_order_id_exclusive=wm,
-            existing_fact=wh.table(FACT, prev),
+            # only parts that can hold an order above the watermark take part in the de-dup
+            existing_fact=wh.fact_parts_above(wm, prev),
         )
-        path, n_new, new_max = _write_fact(wh, run_id, fact)
+        path, n_new, stats = _write_fact(wh, run_id, fact)
         if n_new:
             add_part(parts, rows, FACT, path, n_new, append=True)
+            part_stats[path] = stats
+            new_max = stats["max_order_id"]
             fact_max = new_max if fact_max is None else max(fact_max, new_max)
     watermark = fact_max if fact_max is not None else wm
 
@@ -320,5 +333,6 @@ def incremental_load(
             parts=parts,
             rows=rows,
             stream_batch_id=stream_batch_id if stream_batch_id is not None else prev.stream_batch_id,
+            part_stats=part_stats,
         )
     )

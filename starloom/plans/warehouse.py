@@ -51,6 +51,7 @@ class Manifest:
     parts: dict[str, list[str]] = field(default_factory=dict)  # part key -> paths
     rows: dict[str, int] = field(default_factory=dict)  # part key -> rows (sum over paths)
     stream_batch_id: int | None = None  # last streaming micro-batch applied (exactly-once guard)
+    part_stats: dict[str, dict] = field(default_factory=dict)  # path -> {"min_order_id", "max_order_id"}
 
     def to_json(self) -> str:
         return json.dumps(asdict(self), sort_keys=True)
@@ -118,6 +119,22 @@ class Warehouse:
             return self.empty(table)
         return self.spark.read.schema(WAREHOUSE_TABLES[table]).parquet(*paths)
 
+    def fact_parts_above(self, order_id: int | None, manifest: Manifest | None = None) -> DataFrame | None:
+        """Fact rows that can hold an order id above ``order_id``, read only
+        from the parts whose recorded max order id exceeds it (``None`` when
+        no part can). Parts without recorded stats are always included."""
+        m = manifest or self.require()
+        paths = m.parts.get("fact_sales_line", [])
+        if order_id is not None:
+            paths = [
+                p
+                for p in paths
+                if m.part_stats.get(p, {}).get("max_order_id") is None or m.part_stats[p]["max_order_id"] > order_id
+            ]
+        if not paths:
+            return None
+        return self.spark.read.schema(WAREHOUSE_TABLES["fact_sales_line"]).parquet(*paths)
+
     def rows(self, table: str, manifest: Manifest | None = None, part: str | None = None) -> int:
         m = manifest or self.require()
         return m.rows.get(part_key(table, part), 0) if part else m.table_rows(table)

@@ -65,3 +65,13 @@ def test_driver_scenario_expectations_sf0001(spark, wh_root):
     assert m2.table_rows("fact_sales_line") - m1.table_rows("fact_sales_line") == 1166
     log = Warehouse(spark, wh_root).table("etl_run_log", m2).where("run_id = 2").first()
     assert (log.rows_dim_customer, log.rows_dim_product) == (35, 38)
+
+
+def test_fact_parts_pruned_by_recorded_order_range(spark, wh_root):
+    src = base_source(spark)
+    m1 = full_load(spark, src, wh_root, TS)
+    wh = Warehouse(spark, wh_root)
+    (path,) = m1.parts["fact_sales_line"]
+    assert m1.part_stats[path] == {"min_order_id": 10248, "max_order_id": 10250}
+    assert wh.fact_parts_above(m1.watermark, m1) is None  # nothing can collide: no de-dup scan
+    assert wh.fact_parts_above(10249, m1).count() == m1.table_rows("fact_sales_line")
