@@ -6,13 +6,17 @@ Plan shape of :func:`build_fact` (the hot path of every load):
   order date, shipper, employee, date roles) run on the header - one row per
   order instead of one per line;
 * new lines are anti-joined against already-loaded keys *before* numbering;
-* line numbers and order totals come from one distributed dense index over
-  ``(order_id, product_id)`` plus one partially-aggregated ``groupBy(order_id)``.
-  The index is range-partitioned by order, and orders measured to be hot are
-  additionally split by product, so an order holding a third of all lines is
-  spread over many tasks instead of collected into one;
-* the header joins the lines once; the product as-of lookup follows
-  (broadcast when the dimension is known to be small).
+* orders are split into ordinary and hot ones (more lines than
+  ``starloom.skew.hotGroupRows``, found by a partially aggregated count).
+  Ordinary lines meet their header in one shuffle on ``order_id``; line
+  numbers and order totals are then a window per order, which needs no
+  further shuffle and is bounded by the threshold. Hot orders - an order may
+  hold a third of all lines - get the numbers from a distributed dense index
+  over ``(order_id, product_id)`` and totals from partial aggregation, and
+  meet their (counted, broadcast) headers without a shuffle. No task ever
+  holds a whole hot order;
+* the product as-of lookup follows (broadcast when the dimension is known to
+  be small, else a sort-merge join on product id).
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.operators.joins import broadcast_if_small, key_lookup, validity_lookup
@@ -110,48 +114,66 @@ HOT_GROUP_ROWS_CONF = "starloom.skew.hotGroupRows"
 DEFAULT_HOT_GROUP_ROWS = 1_000_000
 
 
-def hot_group_split(df: DataFrame, group_col: str, order_col: str, split_col: str = "__split") -> DataFrame:
-    """Add ``split_col``: ``order_col`` for rows of *hot* groups (more than
-    ``starloom.skew.hotGroupRows`` rows), NULL otherwise.
-
-    Range-partitioning on ``(group, split)`` then keeps every ordinary group
-    whole inside one partition (its rows are visited in order by one task),
-    while a hot group is spread over as many partitions as its size needs.
-    Hot groups are found with a partially aggregated count; their number is
-    at most rows / threshold and is counted before the broadcast."""
+def hot_group_keys(df: DataFrame, group_col: str) -> tuple[DataFrame, int]:
+    """Keys of *hot* groups (more than ``starloom.skew.hotGroupRows`` rows)
+    and how many there are. A partially aggregated count: a hot key costs one
+    pre-aggregated row per task. Their number is at most rows / threshold and
+    is counted here, before anything broadcasts them."""
     raw = df.sparkSession.conf.get(HOT_GROUP_ROWS_CONF, None)
     threshold = int(raw) if raw else DEFAULT_HOT_GROUP_ROWS
-    hot = (
-        df.groupBy(group_col)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > threshold)
-        .select(group_col, F.lit(True).alias("__hot"))
-    )
-    n_hot = hot.count()
+    hot = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > threshold).select(group_col)
+    return hot, hot.count()
+
+
+def split_hot_groups(df: DataFrame, group_col: str) -> tuple[DataFrame, DataFrame | None, DataFrame | None, int]:
+    """``(ordinary rows, hot rows, hot keys, number of hot keys)``; the hot
+    parts are ``None`` when no group is hot."""
+    hot, n_hot = hot_group_keys(df, group_col)
     if n_hot == 0:
-        return df.withColumn(split_col, F.lit(None).cast(df.schema[order_col].dataType))
-    marked = df.join(broadcast_if_small(hot, n_hot), group_col, "left")
-    return marked.withColumn(split_col, F.when(F.col("__hot"), F.col(order_col))).drop("__hot")
+        return df, None, None, 0
+    keys = broadcast_if_small(hot, n_hot)
+    return df.join(keys, group_col, "left_anti"), df.join(keys, group_col, "left_semi"), keys, n_hot
+
+
+def _number_ordinary(df: DataFrame, group_col: str, order_col: str, out_col: str, total: tuple[str, str] | None):
+    """Position (and optional group total) by window: every group here is
+    below the hot threshold, and after a join on ``group_col`` the rows are
+    already clustered by it, so the window adds a sort but no shuffle. The
+    total is added row by row in ``order_col`` order (reproducible)."""
+    w = Window.partitionBy(group_col).orderBy(order_col)
+    df = df.withColumn(out_col, F.row_number().over(w).cast("long"))
+    if total:
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        df = df.withColumn(total[1], F.sum(total[0]).over(whole))
+    return df
 
 
-def grouped_dense_index(df: DataFrame, group_col: str, order_col: str, index_col: str = "__idx") -> DataFrame:
-    """Dense index in (group, order) order; ordinary groups stay within one
-    partition, hot groups are split (see :func:`hot_group_split`)."""
-    split = hot_group_split(df, group_col, order_col)
-    indexed, _ = dense_index(
-        split, [group_col, order_col], start=0, index_col=index_col, partition_by=[group_col, "__split"]
-    )
-    return indexed.drop("__split")
+def _number_hot(df: DataFrame, group_col: str, order_col: str, out_col: str, total: tuple[str, str] | None):
+    """Position (and optional total) for hot groups: a dense index over the
+    range-partitioned rows (a hot group spans many partitions) minus the
+    index of the group's first row; totals by partial aggregation."""
+    indexed, _ = dense_index(df, [group_col, order_col], start=0, index_col="__idx")
+    aggs = [F.min("__idx").alias("__first")]
+    if total:
+        aggs.append(F.sum(total[0]).alias(total[1]))
+    stats = indexed.groupBy(group_col).agg(*aggs)
+    out = indexed.join(stats, group_col).withColumn(out_col, (F.col("__idx") - F.col("__first") + 1).cast("long"))
+    return out.drop("__idx", "__first")
 
 
-def number_within_groups(df: DataFrame, group_col: str, order_col: str, out_col: str) -> DataFrame:
+def number_within_groups(
+    df: DataFrame, group_col: str, order_col: str, out_col: str, total: tuple[str, str] | None = None
+) -> DataFrame:
     """1-based position of each row inside its group in ``order_col`` order
-    (``row_number() OVER (PARTITION BY group ORDER BY order)``), skew-safe:
-    global dense index minus the index of the group's first row."""
-    indexed = grouped_dense_index(df, group_col, order_col)
-    firsts = indexed.groupBy(group_col).agg(F.min("__idx").alias("__first"))
-    out = indexed.join(firsts, group_col).withColumn(out_col, (F.col("__idx") - F.col("__first") + 1).cast("long"))
-    return out.drop("__idx", "__first")
+    (``row_number() OVER (PARTITION BY group ORDER BY order)``) and, with
+    ``total=(col, out)``, the group's sum of ``col``. Skew-safe: groups above
+    the hot threshold are numbered through a distributed dense index instead
+    of a window, so no task ever holds a whole hot group."""
+    ordinary, hot, _, _ = split_hot_groups(df, group_col)
+    out = _number_ordinary(ordinary, group_col, order_col, out_col, total)
+    if hot is not None:
+        out = out.unionByName(_number_hot(hot, group_col, order_col, out_col, total))
+    return out
 
 
 def line_number(df: DataFrame) -> DataFrame:
@@ -159,36 +181,24 @@ def line_number(df: DataFrame) -> DataFrame:
     return number_within_groups(df, "order_id", "product_id", "line_number")
 
 
-def order_stats(indexed: DataFrame) -> DataFrame:
-    """Per order: index of its first line and its net total.
-
-    Runs on lines range-partitioned by order (hot orders split) and sorted by
-    (order_id, product_id): an ordinary order's lines are added one by one in
-    product order inside one task, so its total is reproducible bit for bit;
-    a hot order is summed per partition first (partial aggregation)."""
-    return indexed.groupBy("order_id").agg(
-        F.min("__idx").alias("__first"), F.sum("net_amount").alias("__order_net")
-    )
-
-
 def allocate_freight(df: DataFrame) -> DataFrame:
-    """Add ``freight_allocated`` to lines carrying ``freight`` and ``net_amount``.
-
-    The order total is a partially aggregated ``groupBy`` joined back (no
-    window), so a huge order never has to fit in one task."""
-    indexed = grouped_dense_index(df, "order_id", "product_id")
-    out = indexed.join(order_stats(indexed), "order_id").withColumn(
+    """Add ``freight_allocated`` to lines carrying ``freight`` and ``net_amount``
+    (order total by window for ordinary orders, by partial aggregation for hot
+    ones - never a window over a hot order)."""
+    out = number_within_groups(df, "order_id", "product_id", "__pos", total=("net_amount", "__order_net"))
+    out = out.withColumn(
         "freight_allocated", _freight_share(F.col("freight"), F.col("net_amount"), F.col("__order_net"))
     )
-    return out.drop("__idx", "__first", "__order_net")
+    return out.drop("__pos", "__order_net")
 
 
 def fact_dedup(new_lines: DataFrame, fact: DataFrame | None, min_order_id_exclusive: int | None = None) -> DataFrame:
-    """Drop lines whose (order_id, product_id) is already loaded.
+    """Drop lines whose (order_id, product_id) is already loaded (NOT EXISTS,
+    applied before lines are numbered).
 
     Only fact rows above the watermark can match lines above it, so that
-    predicate is applied to the fact side too; with per-run fact files sorted
-    by order id the scan then skips every older file by its min/max stats."""
+    predicate is applied to the fact side too (pushed to its parquet scan).
+    ``fact=None`` means no loaded part can collide and plans no join."""
     if fact is None:
         return new_lines
     keys = fact.select(*FACT_KEY)
@@ -212,20 +222,23 @@ def build_fact(
         wm = F.lit(min_order_id_exclusive)
         header = header.where(F.col("order_id") > wm)
         body = body.where(F.col("order_id") > wm)
-    body = fact_dedup(body, existing_fact, min_order_id_exclusive)
+    body = line_measures(fact_dedup(body, existing_fact, min_order_id_exclusive))
 
     # header-level lookups (the product as-of lookup needs the line, so it waits)
     header = resolve_available_keys(header, dims, skip=("product_sk",))
 
-    # measures + a dense index in (order_id, product_id) order
-    body = line_measures(body)
-    indexed = grouped_dense_index(body, "order_id", "product_id")
-    header = header.join(order_stats(indexed), "order_id", "inner")
+    total = ("net_amount", "__order_net")
+    ordinary, hot, hot_keys, n_hot = split_hot_groups(body, "order_id")
+    # ordinary orders: one shuffle to meet the header, then a window per order (no further shuffle)
+    fact = _number_ordinary(ordinary.join(header, "order_id", "inner"), "order_id", "product_id", "line_number", total)
+    if hot is not None:
+        # hot orders: numbered across partitions; their headers (n_hot rows) are broadcast
+        hot_header = broadcast_if_small(header.join(hot_keys, "order_id", "left_semi"), n_hot)
+        numbered = _number_hot(hot, "order_id", "product_id", "line_number", total)
+        fact = fact.unionByName(numbered.join(hot_header, "order_id", "inner"))
 
-    fact = indexed.join(header, "order_id", "inner")
     fact = fact.withColumns(
         {
-            "line_number": (F.col("__idx") - F.col("__first") + 1).cast("long"),
             "order_freight": F.col("freight"),
             "freight_allocated": _freight_share(F.col("freight"), F.col("net_amount"), F.col("__order_net")),
             "etl_loaded_at": F.lit(run_ts).cast("timestamp"),

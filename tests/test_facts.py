@@ -6,41 +6,40 @@ from pyspark.sql import functions as F
 from starloom.operators.facts import allocate_freight, fact_dedup, line_measures, line_number, number_within_groups
 
 
-def test_line_number_skewed_group_spans_partitions(spark):
-    # one order holds most lines: it is detected as hot and split over partitions
-    from starloom.operators.facts import HOT_GROUP_ROWS_CONF, grouped_dense_index
+def test_hot_order_numbered_across_partitions(spark):
+    # one order holds most lines: detected as hot, numbered by the distributed index
+    from starloom.operators.facts import HOT_GROUP_ROWS_CONF, split_hot_groups
+    from starloom.operators.keys import dense_index
 
     rows = [(1, p) for p in range(20000, 0, -1)] + [(o, p) for o in range(2, 300) for p in range(3)]
     df = spark.createDataFrame(rows, "order_id long, product_id long").repartition(8)
     spark.conf.set(HOT_GROUP_ROWS_CONF, "1000")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # keep 8 ranges at this size
     try:
-        parts = grouped_dense_index(df, "order_id", "product_id").where("order_id = 1")
-        assert parts.select(F.spark_partition_id()).distinct().count() > 1
+        ordinary, hot, keys, n_hot = split_hot_groups(df, "order_id")
+        assert n_hot == 1 and [r.order_id for r in keys.collect()] == [1]
+        assert ordinary.where("order_id = 1").count() == 0 and hot.count() == 20000
+        spread, _ = dense_index(hot, ["order_id", "product_id"])
+        assert spread.select(F.spark_partition_id()).distinct().count() > 1
         got = line_number(df).cache()
         got.count()
     finally:
         spark.conf.unset(HOT_GROUP_ROWS_CONF)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    hot = got.where("order_id = 1").orderBy("product_id").select("line_number").collect()
-    assert [r[0] for r in hot] == list(range(1, 20001))
+    hot_rows = got.where("order_id = 1").orderBy("product_id").select("line_number").collect()
+    assert [r[0] for r in hot_rows] == list(range(1, 20001))
     small = got.where("order_id = 7").orderBy("product_id").select("line_number").collect()
     assert [r[0] for r in small] == [1, 2, 3]
 
 
-def test_ordinary_groups_stay_in_one_partition(spark):
-    from starloom.operators.facts import grouped_dense_index
-
+def test_ordinary_orders_numbered_by_window_without_range_shuffle(spark):
     rows = [(o, p) for o in range(400) for p in range(5)]
-    df = spark.createDataFrame(rows, "order_id long, product_id long").repartition(8)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        idx = grouped_dense_index(df, "order_id", "product_id").withColumn("pid", F.spark_partition_id())
-        per_order = idx.groupBy("order_id").agg(F.countDistinct("pid").alias("k"))
-        assert per_order.where("k > 1").count() == 0
-        assert idx.select("pid").distinct().count() > 1
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    df = spark.createDataFrame(rows, "order_id long, product_id long")
+    out = line_number(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "rangepartitioning" not in plan
+    got = {(r.order_id, r.product_id): r.line_number for r in out.collect()}
+    assert all(got[(o, p)] == p + 1 for o, p in got)
 
 
 def test_number_within_groups_generic(spark):
