@@ -43,7 +43,7 @@ from starloom.plans.loads import full_load, incremental_load, star_dimensions
 from starloom.plans.warehouse import CURRENT, HISTORY, Manifest, Warehouse
 from starloom.schemas import CUSTOMER, EMPLOYEE, FACT_KEY, PRODUCT, SHIPPER, DimensionSpec
 from starloom.session import scratch_path, session_id
-from starloom.sources.driver_tables import Scenario, driver_source, scenario
+from starloom.sources.driver_tables import Scenario, driver_source, materialize, scenario
 
 RUN_TS = _dt.datetime(2024, 1, 1, 0, 0, 0)  # load timestamp of catalog runs (never in results)
 FULL_RUN, INCREMENTAL_RUN = 1, 2
@@ -71,7 +71,7 @@ def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
 def get_scenario(spark: SparkSession, sf_dir: str) -> Scenario:
     k = _key(spark, sf_dir, "scenario")
     if k not in _CACHE:
-        _CACHE[k] = scenario(spark, sf_dir)
+        _CACHE[k] = scenario(spark, sf_dir, workdir=scratch_path(spark, "source"))
     return _CACHE[k]  # type: ignore[return-value]
 
 
@@ -95,7 +95,8 @@ def single_pass_warehouse(spark: SparkSession, sf_dir: str) -> tuple[Warehouse,
     k = _key(spark, sf_dir, "single_pass")
     if k not in _CACHE:
         root = scratch_path(spark, "single-pass")
-        _CACHE[k] = (root, full_load(spark, driver_source(spark, sf_dir), root, RUN_TS))
+        src = materialize(driver_source(spark, sf_dir), scratch_path(spark, "source-all"))
+        _CACHE[k] = (root, full_load(spark, src, root, RUN_TS))
     root, m = _CACHE[k]  # type: ignore[misc]
     return Warehouse(spark, root), m
 

@@ -11,13 +11,12 @@ lineage, measured row counts for broadcast decisions).
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.parallel import run_parallel
 from starloom.operators.dimensions import build_dim_date, unknown_member
 from starloom.operators.facts import StarDimensions, build_fact
 from starloom.operators.scd import scd1_apply, scd1_initial, scd2_apply, scd2_initial
@@ -61,21 +60,6 @@ class _Written:
     next_sk: int | None = None
 
 
-_POOL: ThreadPoolExecutor | None = None
-
-
-def run_parallel(tasks: dict[str, Callable[[], object]]) -> dict[str, object]:
-    """Run independent steps as concurrent Spark jobs; re-raise the first error.
-
-    The driver threads live for the whole process: each keeps its JVM
-    connection, so no connection is opened or torn down per run."""
-    global _POOL
-    if _POOL is None:
-        _POOL = ThreadPoolExecutor(max_workers=8, thread_name_prefix="starloom")
-    futures = {name: _POOL.submit(fn) for name, fn in tasks.items()}
-    return {name: f.result() for name, f in futures.items()}
-
-
 def _merge(parts: dict, rows: dict, written: _Written) -> None:
     for key, path, n, append in written.parts:
         add_part(parts, rows, key, path, n, append=append)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators import quality as Q
-from starloom.plans.loads import run_parallel
+from starloom.parallel import run_parallel
 from starloom.plans.warehouse import Manifest, Warehouse
 from starloom.schemas import CUSTOMER, DIMENSIONS, FACT_KEY, PRODUCT
 

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.changes import Update, simulate_changes
 from starloom.operators.keys import assign_surrogate_keys
+from starloom.parallel import run_parallel
 from starloom.sources.source import Source
 
 # Fixed parameters of the change scenario.
@@ -205,6 +206,17 @@ def driver_source(spark: SparkSession, sf_dir: str) -> Source:
     )
 
 
+def materialize(src: Source, path: str) -> Source:
+    """Write every table of ``src`` once as parquet under ``path`` (a shared
+    folder) and return the source reading them back: loads then scan plain
+    tables, as they would in production, instead of re-deriving the
+    stand-in rows in every Spark job."""
+    run_parallel(
+        {name: (lambda name=name, df=df: df.write.mode("overwrite").parquet(f"{path}/{name}")) for name, df in src.tables().items()}
+    )
+    return Source.from_parquet(src.customers.sparkSession, path)
+
+
 @dataclass(frozen=True)
 class Scenario:
     t0: Source
@@ -233,8 +245,12 @@ def _held_back(col: str):
     return (F.col(col).cast("long") % T0_HOLDOUT_MOD) != T0_HOLDOUT_REM
 
 
-def scenario(spark: SparkSession, sf_dir: str) -> Scenario:
+def scenario(spark: SparkSession, sf_dir: str, workdir: str | None = None) -> Scenario:
+    """The t0/t1 snapshots; with ``workdir`` the stand-in source is written
+    there once (see :func:`materialize`) and both snapshots derive from it."""
     full = driver_source(spark, sf_dir)
+    if workdir:
+        full = materialize(full, workdir)
     max_key = read_table(spark, sf_dir, "orders").agg(F.max("o_orderkey").alias("m")).first()["m"] or 0
     num, den = T0_ORDER_FRACTION
     cut = (max_key * num) // den
