@@ -57,20 +57,20 @@ def scd2_delta(staged: DataFrame, current: DataFrame, spec: DimensionSpec) -> Da
     return j.where(changed).select(*spec.staged_columns)
 
 
-def scd2_close(
+def scd2_mark_closed(
     current: DataFrame,
     delta: DataFrame,
     spec: DimensionSpec,
     effective_date: _dt.date,
     delta_rows: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Split current versions into (kept, closed).
+) -> DataFrame:
+    """Current versions with the run's closings applied in one pass.
 
     A current version is closed when the delta holds its business key with a
-    different hash; it then ends the day before ``effective_date``. The delta
-    is folded to one row per key (min/max hash) so the join never multiplies
-    dimension rows, and broadcast when its size is known to be small.
-    """
+    different hash; it then ends the day before ``effective_date`` and stops
+    being current. The delta is folded to one row per key (min/max hash) so
+    the join never multiplies dimension rows, and broadcast when its size is
+    known to be small."""
     marks = delta.groupBy(F.col(spec.bk).alias("__x_bk")).agg(
         F.min("record_hash").alias("__h_lo"), F.max("record_hash").alias("__h_hi")
     )
@@ -78,15 +78,25 @@ def scd2_close(
     j = current.join(marks, F.col(spec.bk) == F.col("__x_bk"), "left")
     h = F.col("record_hash")
     closing = F.col("is_current") & F.coalesce((F.col("__h_lo") != h) | (F.col("__h_hi") != h), F.lit(False))
-    j = j.withColumn("__closing", closing).drop("__x_bk", "__h_lo", "__h_hi")
-    kept = j.where(~F.col("__closing")).drop("__closing")
-    closed = (
-        j.where(F.col("__closing"))
-        .drop("__closing")
-        .withColumn("effective_to", F.date_sub(F.lit(effective_date), 1))
-        .withColumn("is_current", F.lit(False))
+    out = j.withColumns(
+        {
+            "effective_to": F.when(closing, F.date_sub(F.lit(effective_date), 1)).otherwise(F.col("effective_to")),
+            "is_current": F.when(closing, F.lit(False)).otherwise(F.col("is_current")),
+        }
     )
-    return _project(kept, spec), _project(closed, spec)
+    return _project(out, spec)
+
+
+def scd2_close(
+    current: DataFrame,
+    delta: DataFrame,
+    spec: DimensionSpec,
+    effective_date: _dt.date,
+    delta_rows: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Split current versions into (kept, closed) - see :func:`scd2_mark_closed`."""
+    marked = scd2_mark_closed(current, delta, spec, effective_date, delta_rows)
+    return marked.where(F.col("is_current")), marked.where(~F.col("is_current"))
 
 
 def scd2_insert(
@@ -107,12 +117,19 @@ def scd2_insert(
 
 @dataclass
 class Scd2Result:
-    current: DataFrame  # versions current after the run (kept + inserted)
-    closed: DataFrame  # versions closed by this run (to append to history)
+    versions: DataFrame  # every version touched by the run: still current, closed now, opened now
     inserted: DataFrame  # versions opened by this run
     delta_rows: int  # size of the delta = how far the SK sequence advances
     next_sk: int
 
+    @property
+    def current(self) -> DataFrame:
+        return self.versions.where(F.col("is_current"))
+
+    @property
+    def closed(self) -> DataFrame:
+        return self.versions.where(~F.col("is_current"))
+
 
 def scd2_apply(
     current: DataFrame,
@@ -121,13 +138,15 @@ def scd2_apply(
     effective_date: _dt.date,
     next_sk: int,
 ) -> Scd2Result:
-    """Delta, close, insert in that order. ``current`` holds the current
-    versions (history rows are untouched and need not be read)."""
+    """Delta, close, insert in that order. ``current`` must hold only the
+    current versions (history rows are untouched and need not be read); the
+    result's ``versions`` are the new current set plus the versions this run
+    closed, computed in one pass over ``current``."""
     delta = scd2_delta(staged, current, spec)
     inserted, n = scd2_insert(delta, spec, effective_date, next_sk)  # pins the delta once
     pinned_delta = inserted.select(*spec.staged_columns)
-    kept, closed = scd2_close(current, pinned_delta, spec, effective_date, delta_rows=n)
-    return Scd2Result(kept.unionByName(inserted), closed, inserted, n, next_sk + n)
+    marked = scd2_mark_closed(current, pinned_delta, spec, effective_date, delta_rows=n)
+    return Scd2Result(marked.unionByName(inserted), inserted, n, next_sk + n)
 
 
 # --------------------------------------------------------------------------- SCD1

@@ -200,14 +200,22 @@ def full_load(spark: SparkSession, src: Source, root: str, run_ts: _dt.datetime)
 def _scd2_step(
     wh: Warehouse, prev: Manifest, run_id: int, spec: DimensionSpec, staged: DataFrame, effective_date: _dt.date
 ) -> _Written:
+    """Apply one type-2 dimension. The new current set (kept + opened) and
+    the versions closed by this run come out of one partitioned write: the
+    current part replaces the previous one, closed versions are appended to
+    the history."""
     current = wh.table(spec.table, prev, part=CURRENT)
     res = scd2_apply(current, staged, spec, effective_date, prev.next_sk.get(spec.name, 1))
     out = _Written([], members=res.delta_rows, next_sk=res.next_sk)
     if res.delta_rows:
-        path, n = wh.write_part(run_id, spec.table, res.current, part=CURRENT)
-        out.parts.append((part_key(spec.table, CURRENT), path, n, False))
-        path, n = wh.write_part(run_id, spec.table, res.closed, part=HISTORY)
-        if n:
+        written = wh.write_split_parts(
+            run_id, spec.table, res.versions, F.col("is_current"), (CURRENT, HISTORY)
+        )
+        if CURRENT in written:
+            path, n = written[CURRENT]
+            out.parts.append((part_key(spec.table, CURRENT), path, n, False))
+        if HISTORY in written:
+            path, n = written[HISTORY]
             out.parts.append((part_key(spec.table, HISTORY), path, n, True))
     return out
 

@@ -195,6 +195,28 @@ class Warehouse:
         observed = obs.get
         return path, int(observed["__rows"]), {k: observed.get(k) for k in (metrics or {})}
 
+    def write_split_parts(
+        self, run_id: int, table: str, df: DataFrame, split: Column, labels: tuple[str, str]
+    ) -> dict[str, tuple[str, int]]:
+        """One write that yields two parts: rows where ``split`` is true go to
+        ``labels[0]``, the others to ``labels[1]`` (a partitioned write, one
+        pass over ``df``). Returns ``label -> (path, rows)`` for non-empty parts;
+        per-part row counts are observed during the write."""
+        schema: T.StructType = WAREHOUSE_TABLES[table]
+        out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+        out = out.withColumn("__part", F.when(split, F.lit(labels[0])).otherwise(F.lit(labels[1])))
+        obs = Observation(f"write_{uuid.uuid4().hex}")
+        out = out.observe(
+            obs,
+            F.sum(F.when(F.col("__part") == labels[0], 1).otherwise(0)).alias("a"),
+            F.sum(F.when(F.col("__part") == labels[1], 1).otherwise(0)).alias("b"),
+        )
+        path = f"{self.root}/runs/{run_id}/{table}"
+        out.write.mode("overwrite").partitionBy("__part").parquet(path)
+        got = obs.get
+        counts = {labels[0]: int(got["a"] or 0), labels[1]: int(got["b"] or 0)}
+        return {lab: (f"{path}/__part={lab}", n) for lab, n in counts.items() if n}
+
     def publish(self, manifest: Manifest) -> Manifest:
         """Make a run visible: one single-line JSON file, written last."""
         text = manifest.to_json()
