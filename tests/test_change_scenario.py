@@ -30,51 +30,51 @@ def ts(s):
 def base_source(spark):
     customers = spark.createDataFrame(
         [
-            ("ALFKI", "Alfreds Futterkiste", "Maria Anders", "Sales Representative", "Obere Str. 57", "Berlin", None, "12209", "Germany", "030-0074321", "030-0076545"),
-            ("ANATR", "Ana Trujillo Emparedados", "Ana Trujillo", "Owner", "Avda. 2222", "Mexico D.F.", None, "05021", "Mexico", "(5) 555-4729", None),
+            ("CUST01", "Harbor Goods", "Ana Reyes", "Buyer", "1 Quay Road", "Berlin", None, "10115", "Germany", "030-100", "030-101"),
+            ("CUST02", "Mesa Provisions", "Luis Ortega", "Owner", "2 Plaza Mayor", "Mexico City", None, "01000", "Mexico", "55-200", None),
         ],
         CUSTOMERS,
     )
     products = spark.createDataFrame(
         [
-            (1, "Chai", 1, 1, "10 boxes x 20 bags", 18.0, 39, 0, 10, 0),
-            (2, "Chang", 1, 1, "24 - 12 oz bottles", 19.0, 17, 40, 25, 0),
-            (3, "Aniseed Syrup", 2, 2, "12 - 550 ml bottles", 10.0, 13, 70, 25, 1),
+            (1, "Green Tea", 1, 1, "10 boxes", 18.0, 39, 0, 10, 0),
+            (2, "Ginger Ale", 1, 1, "24 bottles", 19.0, 17, 40, 25, 0),
+            (3, "Maple Syrup", 2, 2, "12 jars", 10.0, 13, 70, 25, 1),
         ],
         PRODUCTS,
     )
     categories = spark.createDataFrame([(1, "Beverages"), (2, "Condiments")], "CategoryID long, CategoryName string")
     suppliers = spark.createDataFrame(
-        [(1, "Exotic Liquids", "UK"), (2, "New Orleans Cajun Delights", "USA")],
+        [(1, "Blue River Supply", "UK"), (2, "Coastal Spices", "USA")],
         "SupplierID long, CompanyName string, Country string",
     )
     employees = spark.createDataFrame(
         [
-            (1, "Nancy", "Davolio", "Sales Representative", "Seattle", "WA", "USA", ts("1992-05-01 00:00:00"), ts("1948-12-08 00:00:00")),
-            (2, "Andrew", "Fuller", "Vice President, Sales", "Tacoma", "WA", "USA", ts("1992-08-14 00:00:00"), ts("1952-02-19 00:00:00")),
+            (1, "Ines", "Moreau", "Sales Agent", "Seattle", "WA", "USA", ts("1992-05-01 00:00:00"), ts("1948-12-08 00:00:00")),
+            (2, "Tomas", "Berg", "Sales Lead", "Tacoma", "WA", "USA", ts("1992-08-14 00:00:00"), ts("1952-02-19 00:00:00")),
         ],
         "EmployeeID long, FirstName string, LastName string, Title string, City string, Region string, Country string, HireDate timestamp, BirthDate timestamp",
     )
     shippers = spark.createDataFrame(
-        [(1, "Speedy Express", "(503) 555-9831"), (2, "United Package", "(503) 555-3199")],
+        [(1, "Swift Freight", "503-300"), (2, "Parcel Union", "503-301")],
         "ShipperID long, CompanyName string, Phone string",
     )
     orders = spark.createDataFrame(
         [
-            (10248, "ALFKI", 1, ts("1996-07-04 00:00:00"), ts("1996-08-01 00:00:00"), ts("1996-07-16 00:00:00"), 1, 32.38),
-            (10249, "ANATR", 2, ts("1997-07-05 00:00:00"), ts("1997-08-16 00:00:00"), ts("1997-07-10 00:00:00"), 2, 11.61),
-            (10250, "ALFKI", 9, ts("1998-01-08 00:00:00"), ts("1998-02-05 00:00:00"), None, 3, 0.0),
+            (500, "CUST01", 1, ts("1996-07-04 00:00:00"), ts("1996-08-01 00:00:00"), ts("1996-07-16 00:00:00"), 1, 32.38),
+            (501, "CUST02", 2, ts("1997-07-05 00:00:00"), ts("1997-08-16 00:00:00"), ts("1997-07-10 00:00:00"), 2, 11.61),
+            (502, "CUST01", 9, ts("1998-01-08 00:00:00"), ts("1998-02-05 00:00:00"), None, 3, 0.0),
         ],
         ORDERS,
     )
     details = spark.createDataFrame(
         [
-            (10248, 1, 14.0, 12, 0.0),
-            (10248, 2, 9.8, 10, 0.0),
-            (10248, 3, 34.8, 5, 0.0),
-            (10249, 2, 18.6, 9, 0.0),
-            (10249, 3, 42.4, 40, 0.0),
-            (10250, 1, 7.7, 10, 1.0),  # net 0 -> freight share 0
+            (500, 1, 14.0, 12, 0.0),
+            (500, 2, 9.8, 10, 0.0),
+            (500, 3, 34.8, 5, 0.0),
+            (501, 2, 18.6, 9, 0.0),
+            (501, 3, 42.4, 40, 0.0),
+            (502, 1, 7.7, 10, 1.0),  # net 0 -> freight share 0
         ],
         DETAILS,
     )
@@ -83,27 +83,27 @@ def base_source(spark):
 
 def changed_source(spark, src):
     new_customer = spark.createDataFrame(
-        [("SBADR", "Sebas Data Shop", "Sebastian B", "Owner", "Cordoba 123", "Cordoba", "Cordoba", "5000", "Argentina", "+54 351 000 000", None)],
+        [("CUST03", "Delta Pantry", "Eva Lind", "Owner", "3 River Street", "Cordoba", "Cordoba", "5000", "Argentina", "351-300", None)],
         CUSTOMERS,
     )
-    new_product = spark.createDataFrame([(78, "Sebas Special Sauce", 1, 2, "12 bottles", 15.0, 100, 0, 10, 0)], PRODUCTS)
+    new_product = spark.createDataFrame([(78, "House Sauce", 1, 2, "12 bottles", 15.0, 100, 0, 10, 0)], PRODUCTS)
     new_orders = spark.createDataFrame(
         [
-            (11078, "ALFKI", 1, ts("1998-05-08 00:00:00"), ts("1998-05-20 00:00:00"), ts("1998-05-10 00:00:00"), 1, 32.50),
-            (11079, "SBADR", 2, ts("1998-05-09 00:00:00"), ts("1998-05-21 00:00:00"), None, 2, 10.00),
-            (11080, "SBADR", 2, ts("1998-05-01 00:00:00"), ts("1998-05-21 00:00:00"), None, 2, 5.00),
+            (900, "CUST01", 1, ts("1998-05-08 00:00:00"), ts("1998-05-20 00:00:00"), ts("1998-05-10 00:00:00"), 1, 32.50),
+            (901, "CUST03", 2, ts("1998-05-09 00:00:00"), ts("1998-05-21 00:00:00"), None, 2, 10.00),
+            (902, "CUST03", 2, ts("1998-05-01 00:00:00"), ts("1998-05-21 00:00:00"), None, 2, 5.00),
         ],
         ORDERS,
     )
     new_lines = spark.createDataFrame(
-        [(11078, 1, 20.0, 10, 0.05), (11078, 78, 15.0, 5, 0.0), (11079, 78, 15.0, 3, 0.10), (11080, 2, 19.0, 1, 0.0)],
+        [(900, 1, 20.0, 10, 0.05), (900, 78, 15.0, 5, 0.0), (901, 78, 15.0, 3, 0.10), (902, 2, 19.0, 1, 0.0)],
         DETAILS,
     )
     return simulate_changes(
         src,
         inserts={"customers": new_customer, "products": new_product, "orders": new_orders, "order_details": new_lines},
         updates=[
-            Update("customers", F.col("CustomerID") == "ALFKI", {"City": F.lit("Munich"), "Phone": F.lit("+49 999 000 111")}),
+            Update("customers", F.col("CustomerID") == "CUST01", {"City": F.lit("Munich"), "Phone": F.lit("089-400")}),
             Update("products", F.col("ProductID") == 1, {"UnitPrice": F.lit(20.0)}),
         ],
     )
@@ -126,17 +126,17 @@ def test_full_load_counts_and_unknowns(spark, loaded):
     wh = Warehouse(spark, root)
     assert m1.rows["dim_customer#current"] == 3  # 2 + unknown
     assert m1.rows["dim_product#current"] == 4
-    assert m1.watermark == 10250
+    assert m1.watermark == 502
     assert m1.next_sk == {"customer": 3, "product": 4, "employee": 3, "shipper": 3}
     fact = wh.table("fact_sales_line", m1)
     r = {(x.order_id, x.product_id): x for x in fact.collect()}
-    assert r[(10248, 1)].line_number == 1 and r[(10248, 3)].line_number == 3
+    assert r[(500, 1)].line_number == 1 and r[(500, 3)].line_number == 3
     # employee 9 and shipper 3 do not exist -> unknown members; no ship date -> unknown date
-    assert r[(10250, 1)].employee_sk == 0 and r[(10250, 1)].shipper_sk == 0
-    assert r[(10250, 1)].shipped_date_sk == 0
-    assert r[(10250, 1)].freight_allocated == 0.0
-    assert r[(10248, 1)].order_date_sk == 19960704 and r[(10248, 1)].required_date_sk == 19960801
-    total = sum(x.freight_allocated for x in r.values() if x.order_id == 10248)
+    assert r[(502, 1)].employee_sk == 0 and r[(502, 1)].shipper_sk == 0
+    assert r[(502, 1)].shipped_date_sk == 0
+    assert r[(502, 1)].freight_allocated == 0.0
+    assert r[(500, 1)].order_date_sk == 19960704 and r[(500, 1)].required_date_sk == 19960801
+    total = sum(x.freight_allocated for x in r.values() if x.order_id == 500)
     assert total == pytest.approx(32.38)
 
 
@@ -144,16 +144,16 @@ def test_incremental_versions(spark, loaded):
     root, _, _, _, m2 = loaded
     wh = Warehouse(spark, root)
     cust = {(x.customer_id, x.is_current): x for x in wh.table("dim_customer", m2).collect()}
-    old, new = cust[("ALFKI", False)], cust[("ALFKI", True)]
+    old, new = cust[("CUST01", False)], cust[("CUST01", True)]
     assert old.effective_to == dt.date(1998, 5, 6) and old.city == "Berlin"
     assert new.effective_from == EFF and new.effective_to == dt.date(9999, 12, 31) and new.city == "Munich"
-    assert cust[("SBADR", True)].effective_from == EFF
+    assert cust[("CUST03", True)].effective_from == EFF
     assert cust[("UNKNOWN", True)].customer_sk == 0
     log = {x.run_id: x for x in wh.table("etl_run_log", m2).collect()}
     assert (log[2].rows_dim_customer, log[2].rows_dim_product, log[2].rows_fact_sales) == (2, 2, 4)
     assert log[1].run_type == "FULL" and log[2].run_type == "INCREMENTAL" and log[2].effective_date == EFF
     # SKs handed out in business-key order from the sequence
-    assert cust[("ALFKI", True)].customer_sk == 3 and cust[("SBADR", True)].customer_sk == 4
+    assert cust[("CUST01", True)].customer_sk == 3 and cust[("CUST03", True)].customer_sk == 4
     assert m2.next_sk["customer"] == 5 and m2.next_sk["product"] == 6
 
 
@@ -163,20 +163,20 @@ def test_incremental_facts(spark, loaded):
     dimc = {x.customer_sk: x for x in wh.table("dim_customer", m2).collect()}
     dimp = {x.product_sk: x for x in wh.table("dim_product", m2).collect()}
     f = {(x.order_id, x.product_id): x for x in wh.table("fact_sales_line", m2).collect()}
-    a, b = f[(11078, 1)], f[(11078, 78)]
+    a, b = f[(900, 1)], f[(900, 78)]
     assert dimc[a.customer_sk].city == "Munich"  # resolved to the version valid on 1998-05-08
     assert dimp[a.product_sk].list_unit_price == 20.0 and dimp[a.product_sk].is_current
     assert a.net_amount == pytest.approx(190.0) and b.net_amount == pytest.approx(75.0)
     assert a.freight_allocated == pytest.approx(32.5 * 190 / 265)
     assert b.freight_allocated == pytest.approx(32.5 * 75 / 265)
-    c = f[(11079, 78)]
+    c = f[(901, 78)]
     assert c.net_amount == pytest.approx(40.5) and c.freight_allocated == pytest.approx(10.0)
-    assert c.shipped_date_sk == 0 and dimc[c.customer_sk].customer_id == "SBADR"
+    assert c.shipped_date_sk == 0 and dimc[c.customer_sk].customer_id == "CUST03"
     # a new member's order dated before the effective date finds no version
-    assert f[(11080, 2)].customer_sk == 0
-    assert m2.watermark == 11080
+    assert f[(902, 2)].customer_sk == 0
+    assert m2.watermark == 902
     # older facts keep the SK resolved in their own run
-    assert dimc[f[(10248, 1)].customer_sk].city == "Berlin"
+    assert dimc[f[(500, 1)].customer_sk].city == "Berlin"
 
 
 def test_validation_suite_passes(spark, loaded):
@@ -210,7 +210,7 @@ def test_simulate_changes_guarded_insert_is_idempotent(spark):
     twice = changed_source(spark, once)
     assert once.customers.count() == twice.customers.count() == 3
     assert once.order_details.count() == twice.order_details.count() == 10
-    city = once.customers.where("CustomerID = 'ALFKI'").first().City
+    city = once.customers.where("CustomerID = 'CUST01'").first().City
     assert city == "Munich"
 
 

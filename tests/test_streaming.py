@@ -19,25 +19,25 @@ def test_stream_of_landed_lines_loads_each_batch_once(spark):
     base = base_source(spark)
     full_load(spark, base, root, TS)
     changed = changed_source(spark, base)
-    new_lines = changed.order_details.where("OrderID > 10250")
+    new_lines = changed.order_details.where("OrderID > 502")
     schema = spark.createDataFrame([], DETAILS).schema
 
-    new_lines.where("OrderID = 11078").write.mode("append").parquet(landing)
+    new_lines.where("OrderID = 900").write.mode("append").parquet(landing)
     q = start_incremental_stream(spark, root, changed, landing, schema, ckpt, EFF)
     q.awaitTermination(300)
     wh = Warehouse(spark, root)
     m = wh.latest()
     assert m.stream_batch_id == 0
     fact = wh.table("fact_sales_line", m)
-    assert fact.where("order_id = 11078").count() == 2
+    assert fact.where("order_id = 900").count() == 2
 
-    new_lines.where("OrderID > 11078").write.mode("append").parquet(landing)
+    new_lines.where("OrderID > 900").write.mode("append").parquet(landing)
     q = start_incremental_stream(spark, root, changed, landing, schema, ckpt, EFF)
     q.awaitTermination(300)
     m2 = wh.latest()
     assert m2.stream_batch_id == 1
-    assert wh.table("fact_sales_line", m2).where("order_id > 11078").count() == 2
-    ship = wh.table("fact_sales_line", m2).where("order_id = 11079").first()
+    assert wh.table("fact_sales_line", m2).where("order_id > 900").count() == 2
+    ship = wh.table("fact_sales_line", m2).where("order_id = 901").first()
     assert ship.shipped_date_sk == 0 and ship.freight_allocated == 10.0
 
     # a replayed micro-batch is not applied twice
