@@ -248,10 +248,15 @@ def incremental_load(
     run_id = prev.run_id + 1
     parts, rows = carry_parts(prev, list(prev.parts))
     wm = prev.watermark
+    # fact parts that could hold an order above the watermark (normally none)
+    colliding = wh.fact_parts_above(wm, prev) if wm is not None else None
 
     def staged_line_count() -> int:
-        if wm is None:  # nothing was ever loaded: "order id > NULL" selects nothing
-            return 0
+        """Lines above the watermark before de-dup (for the run log). Only
+        needed as a separate job when loaded parts could collide; otherwise
+        it equals the number of fact rows written, observed during the write."""
+        if wm is None or colliding is None:
+            return -1
         return stage_sales_lines(src.orders, src.order_details, min_order_id_exclusive=wm).count()
 
     done = run_parallel(
@@ -279,7 +284,8 @@ def incremental_load(
 
     fact_max = prev.fact_max_order_id
     part_stats = {p: st for p, st in prev.part_stats.items() if p in prev.parts.get(FACT, [])}
-    if staged_lines:
+    n_new = 0
+    if wm is not None:  # a NULL watermark ("order id > NULL") selects nothing
         now = Manifest(run_id=run_id, run_type="INCREMENTAL", parts=parts, rows=rows)
         fact = build_fact(
             src.orders,
@@ -287,8 +293,7 @@ def incremental_load(
             star_dimensions(wh, now),
             run_ts,
             min_order_id_exclusive=wm,
-            # only parts that can hold an order above the watermark take part in the de-dup
-            existing_fact=wh.fact_parts_above(wm, prev),
+            existing_fact=colliding,
         )
         path, n_new, stats = _write_fact(wh, run_id, fact)
         if n_new:
@@ -296,6 +301,8 @@ def incremental_load(
             part_stats[path] = stats
             new_max = stats["max_order_id"]
             fact_max = new_max if fact_max is None else max(fact_max, new_max)
+    if staged_lines < 0:
+        staged_lines = n_new
     watermark = fact_max if fact_max is not None else wm
 
     log = run_log_row(

@@ -222,3 +222,23 @@ def test_run_checks_summary(spark, loaded):
     assert res["pk:fact_sales_line"].violations == 0
     assert res["overlap:dim_customer"].violations == 0
     assert "dw_net_sales" in res["info:reconcile_net"].detail
+
+
+def test_lowered_watermark_dedups_already_loaded_lines(spark):
+    import dataclasses
+
+    from starloom.session import scratch_path
+
+    root = scratch_path(spark, "dedup")
+    src = base_source(spark)
+    m1 = full_load(spark, src, root, TS)
+    wh = Warehouse(spark, root)
+    wh.publish(dataclasses.replace(m1, watermark=500))  # orders 501 and 502 are above it but loaded
+    m2 = incremental_load(spark, changed_source(spark, src), root, EFF, TS)
+    fact = wh.table("fact_sales_line", m2)
+    assert fact.count() == 6 + 4  # 501/502 lines not loaded twice
+    assert fact.groupBy("order_id", "product_id").count().where("count > 1").count() == 0
+    log = wh.table("etl_run_log", m2).where("run_id = 2").first()
+    assert log.rows_fact_sales == 3 + 4  # staged lines above the watermark, before de-dup
+    new = {(r.order_id, r.product_id): r for r in fact.where("order_id >= 900").collect()}
+    assert new[(900, 1)].line_number == 1 and new[(900, 78)].line_number == 2
