@@ -45,16 +45,31 @@ def scd2_initial(staged: DataFrame, spec: DimensionSpec, start: int = 1) -> tupl
     return _project(out, spec), n
 
 
-def scd2_delta(staged: DataFrame, current: DataFrame, spec: DimensionSpec) -> DataFrame:
-    """Source rows that are new (no current version) or whose hash differs
-    from the current version. A NULL stored hash (the unknown member) never
-    compares as different."""
+def scd2_delta_keys(staged: DataFrame, current: DataFrame, spec: DimensionSpec) -> DataFrame:
+    """``(business key, record_hash)`` of source rows that are new (no current
+    version) or whose hash differs from the current version. Only these two
+    narrow columns are shuffled for the comparison. A NULL stored hash (the
+    unknown member) never compares as different."""
     d = current.where(F.col("is_current")).select(
         F.col(spec.bk).alias("__d_bk"), F.col("record_hash").alias("__d_hash")
     )
-    j = staged.join(d, F.col(spec.bk) == F.col("__d_bk"), "left")
+    j = staged.select(spec.bk, "record_hash").join(d, F.col(spec.bk) == F.col("__d_bk"), "left")
     changed = F.col("__d_bk").isNull() | (F.col("__d_hash") != F.col("record_hash"))
-    return j.where(changed).select(*spec.staged_columns)
+    return j.where(changed).select(spec.bk, "record_hash")
+
+
+def _rows_for_keys(staged: DataFrame, keys: DataFrame, spec: DimensionSpec, keys_rows: int | None, how: str):
+    """Full staged rows whose (business key, hash) is in ``keys`` (null-safe),
+    with the extra columns of ``keys``; ``keys`` broadcast when counted small."""
+    k = keys.withColumnsRenamed({spec.bk: "__k_bk", "record_hash": "__k_hash"})
+    cond = F.col(spec.bk).eqNullSafe(F.col("__k_bk")) & (F.col("record_hash") == F.col("__k_hash"))
+    return staged.join(broadcast_if_small(k, keys_rows), cond, how).drop("__k_bk", "__k_hash")
+
+
+def scd2_delta(staged: DataFrame, current: DataFrame, spec: DimensionSpec) -> DataFrame:
+    """Source rows that are new or changed (see :func:`scd2_delta_keys`)."""
+    keys = scd2_delta_keys(staged, current, spec)
+    return _rows_for_keys(staged.select(*spec.staged_columns), keys, spec, None, "left_semi")
 
 
 def scd2_mark_closed(
@@ -141,11 +156,22 @@ def scd2_apply(
     """Delta, close, insert in that order. ``current`` must hold only the
     current versions (history rows are untouched and need not be read); the
     result's ``versions`` are the new current set plus the versions this run
-    closed, computed in one pass over ``current``."""
-    delta = scd2_delta(staged, current, spec)
-    inserted, n = scd2_insert(delta, spec, effective_date, next_sk)  # pins the delta once
-    pinned_delta = inserted.select(*spec.staged_columns)
-    marked = scd2_mark_closed(current, pinned_delta, spec, effective_date, delta_rows=n)
+    closed, computed in one pass over ``current``.
+
+    Surrogate keys are assigned on the narrow delta keys (pinned once and
+    counted); the full rows of the delta are then fetched from the source by
+    a join on (business key, hash) that broadcasts the keys when the count
+    says they are small. Source business keys are unique (its primary key)."""
+    keys = scd2_delta_keys(staged, current, spec)
+    numbered, n = assign_surrogate_keys(keys, [spec.bk], next_sk, spec.sk)  # pins the delta once
+    full = _rows_for_keys(staged.select(*spec.staged_columns), numbered, spec, n, "inner")
+    inserted = _project(
+        full.withColumns(
+            {"effective_from": F.lit(effective_date), "effective_to": F.lit(OPEN_END), "is_current": F.lit(True)}
+        ),
+        spec,
+    )
+    marked = scd2_mark_closed(current, numbered.select(spec.bk, "record_hash"), spec, effective_date, delta_rows=n)
     return Scd2Result(marked.unionByName(inserted), inserted, n, next_sk + n)
 
 
