@@ -15,6 +15,7 @@ run timestamps are left out of every result.
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -46,7 +47,6 @@ from starloom.session import scratch_path, session_id
 from starloom.sources.driver_tables import Scenario, driver_source, materialize, scenario
 
 RUN_TS = _dt.datetime(2024, 1, 1, 0, 0, 0)  # load timestamp of catalog runs (never in results)
-FULL_RUN, INCREMENTAL_RUN = 1, 2
 
 
 @dataclass
@@ -62,6 +62,7 @@ class Built:
 
 
 _CACHE: dict[tuple, object] = {}
+_LOCK = threading.RLock()  # queries may be called from several driver threads
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
@@ -70,6 +71,11 @@ def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
 
 def get_scenario(spark: SparkSession, sf_dir: str) -> Scenario:
     k = _key(spark, sf_dir, "scenario")
+    with _LOCK:
+        return _scenario_locked(spark, sf_dir, k)
+
+
+def _scenario_locked(spark: SparkSession, sf_dir: str, k: tuple) -> Scenario:
     if k not in _CACHE:
         _CACHE[k] = scenario(spark, sf_dir, workdir=scratch_path(spark, "source"))
     return _CACHE[k]  # type: ignore[return-value]
@@ -79,6 +85,11 @@ def built_warehouse(spark: SparkSession, sf_dir: str) -> Built:
     """Full load of t0, incremental load of t1, then t2 with the same effective
     date (built once per application; each state is read via its manifest)."""
     k = _key(spark, sf_dir, "warehouse")
+    with _LOCK:
+        return _built_locked(spark, sf_dir, k)
+
+
+def _built_locked(spark: SparkSession, sf_dir: str, k: tuple) -> Built:
     if k not in _CACHE:
         sc = get_scenario(spark, sf_dir)
         root = scratch_path(spark, "warehouse")
@@ -93,11 +104,12 @@ def built_warehouse(spark: SparkSession, sf_dir: str) -> Built:
 def single_pass_warehouse(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, Manifest]:
     """Full load of every driver row in one run."""
     k = _key(spark, sf_dir, "single_pass")
-    if k not in _CACHE:
-        root = scratch_path(spark, "single-pass")
-        src = materialize(driver_source(spark, sf_dir), scratch_path(spark, "source-all"))
-        _CACHE[k] = (root, full_load(spark, src, root, RUN_TS))
-    root, m = _CACHE[k]  # type: ignore[misc]
+    with _LOCK:
+        if k not in _CACHE:
+            root = scratch_path(spark, "single-pass")
+            src = materialize(driver_source(spark, sf_dir), scratch_path(spark, "source-all"))
+            _CACHE[k] = (root, full_load(spark, src, root, RUN_TS))
+        root, m = _CACHE[k]  # type: ignore[misc]
     return Warehouse(spark, root), m
 
 
@@ -124,10 +136,6 @@ def _member_rows(df: DataFrame, spec: DimensionSpec, *extra: str) -> DataFrame:
     )
 
 
-def _dims_after(b: Built, spark: SparkSession, run: int) -> tuple[Warehouse, Manifest]:
-    return b.wh(spark), (b.full if run == FULL_RUN else b.incremental)
-
-
 # ---------------------------------------------------------------- the queries
 def q_dim_date(spark, sf_dir):
     b = built_warehouse(spark, sf_dir)
@@ -423,12 +431,13 @@ def _warehouse_tables(wh: Warehouse, m: Manifest) -> dict[str, DataFrame]:
 def q_full_load_rerun(spark, sf_dir):
     """Two full loads of t0 into one warehouse: tables reset, run log kept."""
     k = _key(spark, sf_dir, "rerun")
-    if k not in _CACHE:
-        sc = get_scenario(spark, sf_dir)
-        root = scratch_path(spark, "rerun")
-        full_load(spark, sc.t0, root, RUN_TS)
-        _CACHE[k] = (root, full_load(spark, sc.t0, root, RUN_TS))
-    root, m = _CACHE[k]  # type: ignore[misc]
+    with _LOCK:
+        if k not in _CACHE:
+            sc = get_scenario(spark, sf_dir)
+            root = scratch_path(spark, "rerun")
+            full_load(spark, sc.t0, root, RUN_TS)
+            _CACHE[k] = (root, full_load(spark, sc.t0, root, RUN_TS))
+        root, m = _CACHE[k]  # type: ignore[misc]
     wh = Warehouse(spark, root)
     tables = _warehouse_tables(wh, m)
     tables["ctl.etl_run_log"] = wh.table("etl_run_log", m)

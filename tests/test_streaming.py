@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from starloom.plans.loads import full_load
 from starloom.plans.warehouse import Warehouse
