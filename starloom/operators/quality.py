@@ -68,7 +68,8 @@ def check_overlap(dim: DataFrame, spec: DimensionSpec) -> DataFrame:
     effective date) overlaps a iff a.from <= b.to and a.to >= b.from; that is a
     lookup of the running max at position b.to, done by a probe row sorted in
     among the real ones. One window per business key: its size is the number
-    of versions of that key, which grows by at most one per load run.
+    of versions of that key, which grows by at most one per load run (source
+    business keys are unique), never with the data volume.
     """
     base = dim.where(F.col(spec.sk) != UNKNOWN_SK).select(
         F.col(spec.bk).alias("bk"),
@@ -119,15 +120,18 @@ def exact_money_sum(c: Column, scale: int = 4) -> Column:
 
 def reconcile_net(fact: DataFrame, order_details: DataFrame) -> DataFrame:
     """Warehouse net sales vs. net computed straight from the source lines
-    (lines are not joined to headers, so orphan lines show as a difference)."""
-    dw = fact.agg(exact_money_sum(F.col("net_amount")).alias("dw_net_sales"))
+    (lines are not joined to headers, so orphan lines show as a difference).
+
+    Both totals come from one global aggregate over the union of the two
+    inputs (each side fills its own column), so no join is needed."""
     src_net = (
         F.col("Quantity").cast("double") * F.col("UnitPrice").cast("double") * (F.lit(1) - F.col("Discount").cast("double"))
     )
-    src = order_details.agg(exact_money_sum(src_net).alias("oltp_net_sales"))
-    return dw.crossJoin(src).withColumn(
-        "diff", (F.col("dw_net_sales") - F.col("oltp_net_sales")).cast("decimal(38,4)")
+    both = fact.select(F.col("net_amount").alias("__dw"), F.lit(None).cast("double").alias("__src")).unionByName(
+        order_details.select(F.lit(None).cast("double").alias("__dw"), src_net.alias("__src"))
     )
+    totals = both.agg(exact_money_sum(F.col("__dw")).alias("dw_net_sales"), exact_money_sum(F.col("__src")).alias("oltp_net_sales"))
+    return totals.withColumn("diff", (F.col("dw_net_sales") - F.col("oltp_net_sales")).cast("decimal(38,4)"))
 
 
 def as_of_star_query(

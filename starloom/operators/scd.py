@@ -207,16 +207,25 @@ def scd1_overwrite(dim: DataFrame, staged: DataFrame, spec: DimensionSpec, stage
     return _project(out, spec)
 
 
+def scd1_new_member_keys(dim: DataFrame, staged: DataFrame, spec: DimensionSpec) -> DataFrame:
+    """``(business key, record_hash)`` of source members whose key is not in
+    the dimension at all (only narrow columns take part in the anti-join)."""
+    return staged.select(spec.bk, "record_hash").join(dim.select(spec.bk), spec.bk, "left_anti")
+
+
 def scd1_new_members(dim: DataFrame, staged: DataFrame, spec: DimensionSpec) -> DataFrame:
     """Source members whose business key is not in the dimension at all."""
-    return staged.join(dim.select(spec.bk), spec.bk, "left_anti").select(*spec.staged_columns)
+    keys = scd1_new_member_keys(dim, staged, spec)
+    return _rows_for_keys(staged.select(*spec.staged_columns), keys, spec, None, "left_semi")
 
 
 def scd1_insert_new(dim: DataFrame, staged: DataFrame, spec: DimensionSpec, start: int) -> tuple[DataFrame, int]:
-    """New members numbered from ``start`` in business-key order."""
-    new = scd1_new_members(dim, staged, spec)
-    numbered, n = assign_surrogate_keys(new, [spec.bk], start, spec.sk)
-    return _project(numbered, spec), n
+    """New members numbered from ``start`` in business-key order. Keys are
+    numbered on the pinned narrow key set; full rows are fetched by a join
+    that broadcasts the counted keys."""
+    numbered, n = assign_surrogate_keys(scd1_new_member_keys(dim, staged, spec), [spec.bk], start, spec.sk)
+    full = _rows_for_keys(staged.select(*spec.staged_columns), numbered, spec, n, "inner")
+    return _project(full, spec), n
 
 
 @dataclass

@@ -2,11 +2,11 @@
 
 Every query takes ``(spark, sf_dir)`` and returns a DataFrame. Queries about
 loaded state run the real loads on the scenario of
-``starloom.sources.driver_tables`` (a full load of snapshot t0, then an
-incremental load of snapshot t1) into a warehouse under the session's
-checkpoint folder, and read published parts back. The built warehouse is
-shared by the queries of one Spark application; the state after the full load
-is read through the run-1 manifest.
+``starloom.sources.driver_tables`` (run 1: full load of snapshot t0; run 2:
+incremental load of t1; run 3: incremental load of t2 with the same effective
+date) into a warehouse under the session's checkpoint folder, and read
+published parts back. The built warehouse is shared by the queries of one
+Spark application; each state is read through the manifest of its run.
 
 Columns are named exactly like the DuckDB oracle in ``starloom.plans.oracle``;
 run timestamps are left out of every result.

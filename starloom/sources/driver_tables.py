@@ -20,11 +20,13 @@ no keys, no history). Role mapping:
 |                 | quantity; per line: EmployeeID = l_suppkey, ShippedDate = l_shipdate   |
 |                 | when l_linestatus = 'F' else NULL                                      |
 
-``scenario`` derives the two snapshots of the incremental test: ``t0`` (an
+``scenario`` derives the snapshots of the incremental tests: ``t0`` (an
 earlier state: some members not yet created, the latest orders not yet
-placed) and ``t1`` = ``simulate_changes(t0, ...)`` with guarded inserts of
-everything else and rule-based attribute changes. Both snapshots hold whole
-tables; the rules only decide *which* members are new or changed.
+placed), ``t1`` = ``simulate_changes(t0, ...)`` with guarded inserts of
+everything else and rule-based attribute changes, and ``t2`` = ``t1`` with a
+second change to some customers (loaded with the same effective date). All
+snapshots hold whole tables; the rules only decide *which* members are new or
+changed - the loads find them by hash comparison.
 """
 
 from __future__ import annotations
