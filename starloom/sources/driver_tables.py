@@ -248,11 +248,12 @@ def _held_back(col: str):
 
 
 def scenario(spark: SparkSession, sf_dir: str, workdir: str | None = None) -> Scenario:
-    """The t0/t1 snapshots; with ``workdir`` the stand-in source is written
-    there once (see :func:`materialize`) and both snapshots derive from it."""
+    """The t0/t1 snapshots; with ``workdir`` the stand-in source and both
+    snapshots are written there once (see :func:`materialize`), so the loads
+    scan plain tables like a production source."""
     full = driver_source(spark, sf_dir)
     if workdir:
-        full = materialize(full, workdir)
+        full = materialize(full, f"{workdir}/all")
     max_key = read_table(spark, sf_dir, "orders").agg(F.max("o_orderkey").alias("m")).first()["m"] or 0
     num, den = T0_ORDER_FRACTION
     cut = (max_key * num) // den
@@ -293,4 +294,6 @@ def scenario(spark: SparkSession, sf_dir: str, workdir: str | None = None) -> Sc
             Update("shippers", F.col("ShipperID") == SHIPPER_RENAMED_ID, {"CompanyName": F.lit(SHIPPER_NEW_NAME)}),
         ],
     )
+    if workdir:
+        t0, t1 = materialize(t0, f"{workdir}/t0"), materialize(t1, f"{workdir}/t1")
     return Scenario(t0, t1, EFFECTIVE_DATE_ISO, cut)
