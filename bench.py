@@ -86,6 +86,7 @@ def main() -> None:
                 "value": total,
                 "unit": "sec",
                 "queries": times,
+                "warehouse_sec": round(total - times["source_snapshots"], 3),
                 "sf": float(sf.group(1)) if sf else sf_dir,
                 "fact_rows": m.table_rows("fact_sales_line"),
                 "star_groups": len(star),
