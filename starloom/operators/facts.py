@@ -207,32 +207,54 @@ def fact_dedup(new_lines: DataFrame, fact: DataFrame | None, min_order_id_exclus
     return new_lines.join(keys, list(FACT_KEY), "left_anti")
 
 
-def build_fact(
+def fact_inputs(
     orders: DataFrame,
     lines: DataFrame,
-    dims: StarDimensions,
-    run_ts: _dt.datetime,
     min_order_id_exclusive: int | None = None,
     existing_fact: DataFrame | None = None,
-) -> DataFrame:
-    """Fact rows for every (order, line) pair, in the warehouse column order."""
+) -> tuple[DataFrame, DataFrame]:
+    """Staged ``(header, lines)`` of a fact build: the watermark filter on both
+    (pushed to both scans), NOT EXISTS de-dup and measures on the lines."""
     header = stage_order_header(orders)
     body = stage_order_lines(lines, header.columns)
     if min_order_id_exclusive is not None:
         wm = F.lit(min_order_id_exclusive)
         header = header.where(F.col("order_id") > wm)
         body = body.where(F.col("order_id") > wm)
-    body = line_measures(fact_dedup(body, existing_fact, min_order_id_exclusive))
+    return header, line_measures(fact_dedup(body, existing_fact, min_order_id_exclusive))
+
+
+def build_fact(
+    orders: DataFrame,
+    lines: DataFrame,
+    dims: StarDimensions,
+    run_ts: _dt.datetime,
+    min_order_id_exclusive: int | None = None,
+    existing_fact: DataFrame | None = None,
+    hot_orders: tuple[DataFrame, int] | None = None,
+) -> DataFrame:
+    """Fact rows for every (order, line) pair, in the warehouse column order.
+
+    ``hot_orders`` = ``hot_group_keys(lines of fact_inputs(...), "order_id")``
+    when the caller already computed it (e.g. concurrently with the
+    dimension builds); otherwise it is computed here."""
+    header, body = fact_inputs(orders, lines, min_order_id_exclusive, existing_fact)
 
     # header-level lookups (the product as-of lookup needs the line, so it waits)
     header = resolve_available_keys(header, dims, skip=("product_sk",))
 
     total = ("net_amount", "__order_net")
-    ordinary, hot, hot_keys, n_hot = split_hot_groups(body, "order_id")
+    hot_keys, n_hot = hot_orders if hot_orders is not None else hot_group_keys(body, "order_id")
+    if n_hot:
+        hot_keys = broadcast_if_small(hot_keys, n_hot)
+        ordinary = body.join(hot_keys, "order_id", "left_anti")
+    else:
+        ordinary = body
     # ordinary orders: one shuffle to meet the header, then a window per order (no further shuffle)
     fact = _number_ordinary(ordinary.join(header, "order_id", "inner"), "order_id", "product_id", "line_number", total)
-    if hot is not None:
+    if n_hot:
         # hot orders: numbered across partitions; their headers (n_hot rows) are broadcast
+        hot = body.join(hot_keys, "order_id", "left_semi")
         hot_header = broadcast_if_small(header.join(hot_keys, "order_id", "left_semi"), n_hot)
         numbered = _number_hot(hot, "order_id", "product_id", "line_number", total)
         fact = fact.unionByName(numbered.join(hot_header, "order_id", "inner"))

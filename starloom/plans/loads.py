@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from starloom.parallel import run_parallel
 from starloom.operators.dimensions import build_dim_date, unknown_member
-from starloom.operators.facts import StarDimensions, build_fact
+from starloom.operators.facts import StarDimensions, build_fact, fact_inputs, hot_group_keys
 from starloom.operators.scd import scd1_apply, scd1_initial, scd2_apply, scd2_initial
 from starloom.operators.staging import (
     stage_customer,
@@ -152,14 +152,17 @@ def full_load(spark: SparkSession, src: Source, root: str, run_ts: _dt.datetime)
     tasks = {"dim_date": calendar}
     for spec in (CUSTOMER, PRODUCT, EMPLOYEE, SHIPPER):
         tasks[spec.name] = lambda spec=spec: _initial_dimension(wh, run_id, spec, staged[spec.name]())
+    # hot orders do not depend on the dimensions: count them meanwhile
+    tasks["hot_orders"] = lambda: hot_group_keys(fact_inputs(src.orders, src.order_details)[1], "order_id")
     done = run_parallel(tasks)
+    hot_orders = done.pop("hot_orders")
     for w in done.values():
         _merge(parts, rows, w)  # type: ignore[arg-type]
     next_sk = {spec.name: done[spec.name].next_sk for spec in (CUSTOMER, PRODUCT, EMPLOYEE, SHIPPER)}
 
     # fact, resolved against the dimensions just written
     staging = Manifest(run_id=run_id, run_type="FULL", parts=parts, rows=rows)
-    fact = build_fact(src.orders, src.order_details, star_dimensions(wh, staging), run_ts)
+    fact = build_fact(src.orders, src.order_details, star_dimensions(wh, staging), run_ts, hot_orders=hot_orders)
     fact_path, n_fact, stats = _write_fact(wh, run_id, fact)
     add_part(parts, rows, FACT, fact_path, n_fact, append=False)
     fact_max = stats["max_order_id"]
@@ -273,8 +276,14 @@ def incremental_load(
             EMPLOYEE.name: lambda: _scd1_step(wh, prev, run_id, EMPLOYEE, stage_employee(src.employees)),
             SHIPPER.name: lambda: _scd1_step(wh, prev, run_id, SHIPPER, stage_shipper(src.shippers)),
             "staged_lines": staged_line_count,
+            "hot_orders": lambda: (
+                hot_group_keys(fact_inputs(src.orders, src.order_details, wm, colliding)[1], "order_id")
+                if wm is not None
+                else None
+            ),
         }
     )
+    hot_orders = done.pop("hot_orders")
     next_sk = dict(prev.next_sk)
     for spec in (CUSTOMER, PRODUCT, EMPLOYEE, SHIPPER):
         w = done[spec.name]
@@ -294,6 +303,7 @@ def incremental_load(
             run_ts,
             min_order_id_exclusive=wm,
             existing_fact=colliding,
+            hot_orders=hot_orders,
         )
         path, n_new, stats = _write_fact(wh, run_id, fact)
         if n_new:
