@@ -19,7 +19,12 @@ def record_hash(cols: Iterable[str | Column], sep: str = HASH_SEPARATOR) -> Colu
     Numbers are hashed through their text form: hash money as DECIMAL, not as
     DOUBLE, because engines print large doubles differently.
     """
-    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in cols]
-    if not parts:
+    cols = list(cols)
+    if not cols:
         raise ValueError("record_hash needs at least one column")
+    if all(isinstance(c, str) for c in cols):  # one SQL expression: a single call to build
+        quoted = sep.replace("\\", "\\\\").replace("'", "\\'")
+        inner = ", ".join(f"coalesce(CAST(`{c}` AS STRING), '')" for c in cols)
+        return F.expr(f"md5(concat_ws('{quoted}', {inner}))")
+    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in cols]
     return F.md5(F.concat_ws(sep, *parts))

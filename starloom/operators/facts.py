@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from starloom.operators.joins import broadcast_if_small, key_lookup, validity_lookup
 from starloom.operators.keys import dense_index
 from starloom.operators.staging import stage_order_header, stage_order_lines
-from starloom.schemas import FACT_KEY, FACT_SALES_LINE, OPEN_START
+from starloom.schemas import FACT_KEY, FACT_SALES_LINE, OPEN_START, project_to
 
 
 @dataclass
@@ -267,4 +267,4 @@ def build_fact(
         }
     )
     fact = resolve_available_keys(fact, dims)
-    return fact.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACT_SALES_LINE.fields])
+    return project_to(fact, FACT_SALES_LINE)

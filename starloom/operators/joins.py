@@ -77,16 +77,13 @@ def validity_lookup(
     when the dimension is known to be small, otherwise sort-merge on the key
     (hot keys are split by AQE's skew-join handling).
     """
-    d = dim.select(
-        F.col(dim_key).alias("__bk"),
-        F.col(valid_from).alias("__from"),
-        F.col(valid_to).alias("__to"),
-        F.col(sk).alias("__sk"),
+    d = dim.selectExpr(
+        f"`{dim_key}` AS __bk", f"`{valid_from}` AS __from", f"`{valid_to}` AS __to", f"`{sk}` AS __sk"
     )
     d = broadcast_if_small(d, dim_rows)
-    cond = (F.col(fact_key) == F.col("__bk")) & F.col(at).between(F.col("__from"), F.col("__to"))
+    cond = F.expr(f"`{fact_key}` = __bk AND `{at}` BETWEEN __from AND __to")
     joined = facts.join(d, cond, "left")
-    return joined.withColumn(out_col, F.coalesce(F.col("__sk"), F.lit(unknown_sk)).cast("long")).drop(
+    return joined.withColumn(out_col, F.expr(f"CAST(coalesce(__sk, {int(unknown_sk)}) AS BIGINT)")).drop(
         "__bk", "__from", "__to", "__sk"
     )
 
@@ -103,8 +100,8 @@ def key_lookup(
     cast: str = "long",
 ) -> DataFrame:
     """Left equi lookup of a surrogate key; ``unknown_sk`` where nothing matches."""
-    d = dim.select(F.col(dim_key).alias("__bk"), F.col(sk).alias("__sk"))
+    d = dim.selectExpr(f"`{dim_key}` AS __bk", f"`{sk}` AS __sk")
     d = broadcast_if_small(d, dim_rows)
     key = F.col(fact_key) if isinstance(fact_key, str) else fact_key
     joined = facts.join(d, key == F.col("__bk"), "left")
-    return joined.withColumn(out_col, F.coalesce(F.col("__sk"), F.lit(unknown_sk)).cast(cast)).drop("__bk", "__sk")
+    return joined.withColumn(out_col, F.expr(f"CAST(coalesce(__sk, {int(unknown_sk)}) AS {cast})")).drop("__bk", "__sk")

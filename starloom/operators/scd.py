@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 
 from starloom.operators.joins import broadcast_if_small
 from starloom.operators.keys import assign_surrogate_keys
-from starloom.schemas import OPEN_END, OPEN_START, UNKNOWN_SK, DimensionSpec
+from starloom.schemas import OPEN_END, OPEN_START, UNKNOWN_SK, DimensionSpec, project_to
 
 
 def _project(df: DataFrame, spec: DimensionSpec) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
+    return project_to(df, spec.schema)
 
 
 # --------------------------------------------------------------------------- SCD2
@@ -188,19 +188,16 @@ def scd1_overwrite(dim: DataFrame, staged: DataFrame, spec: DimensionSpec, stage
     The unknown member is never touched and surrogate keys never change, so
     facts already pointing at a member now show its new attributes."""
     attrs = spec.attributes + ["record_hash"]
-    s = staged.select(F.col(spec.bk).alias("__s_bk"), *[F.col(a).alias(f"__s_{a}") for a in attrs])
+    s = staged.selectExpr(f"`{spec.bk}` AS __s_bk", *[f"`{a}` AS `__s_{a}`" for a in attrs])
     s = broadcast_if_small(s, staged_rows)
     j = dim.join(s, F.col(spec.bk) == F.col("__s_bk"), "left")
     changed = (
-        F.col("__s_bk").isNotNull()
-        & (F.col(spec.sk) != F.lit(UNKNOWN_SK))
-        & F.coalesce(F.col("record_hash") != F.col("__s_record_hash"), F.lit(False))
+        f"(__s_bk IS NOT NULL AND `{spec.sk}` <> {UNKNOWN_SK} AND coalesce(record_hash <> __s_record_hash, false))"
     )
-    out = j.select(
+    out = j.selectExpr(
         *[
-            (F.when(changed, F.col(f"__s_{f.name}")).otherwise(F.col(f.name)) if f.name in attrs else F.col(f.name)).alias(
-                f.name
-            )
+            (f"CASE WHEN {changed} THEN `__s_{f.name}` ELSE `{f.name}` END" if f.name in attrs else f"`{f.name}`")
+            + f" AS `{f.name}`"
             for f in spec.schema.fields
         ]
     )

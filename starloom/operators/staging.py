@@ -15,8 +15,15 @@ from starloom.functions.hashing import record_hash
 from starloom.operators.joins import broadcast_if_small
 
 
-def _varchar(c: str):
-    return F.col(c).cast("string")
+def _project(df: DataFrame, mapping: list[tuple[str, str]], hash_cols: list[str]) -> DataFrame:
+    """``SELECT <expr> AS <target>, ..., md5(...) AS record_hash`` as one
+    ``selectExpr`` (parsed JVM-side in a single call)."""
+    exprs = [f"{expr} AS `{target}`" for target, expr in mapping]
+    return df.select(*[F.expr(e) for e in exprs], record_hash(hash_cols).alias("record_hash"))
+
+
+def _varchar(c: str) -> str:
+    return f"CAST(`{c}` AS STRING)"
 
 
 # Source columns hashed for change detection, in hash order (fixed contract).
@@ -63,19 +70,22 @@ SHIPPER_HASH = ["ShipperID", "CompanyName", "Phone"]
 
 
 def stage_customer(customers: DataFrame, hash_cols: list[str] = CUSTOMER_HASH) -> DataFrame:
-    return customers.select(
-        F.col("CustomerID").cast("string").alias("customer_id"),
-        _varchar("CompanyName").alias("company_name"),
-        _varchar("ContactName").alias("contact_name"),
-        _varchar("ContactTitle").alias("contact_title"),
-        _varchar("Address").alias("address"),
-        _varchar("City").alias("city"),
-        _varchar("Region").alias("region"),
-        _varchar("PostalCode").alias("postal_code"),
-        _varchar("Country").alias("country"),
-        _varchar("Phone").alias("phone"),
-        _varchar("Fax").alias("fax"),
-        record_hash(hash_cols).alias("record_hash"),
+    return _project(
+        customers,
+        [
+            ("customer_id", _varchar("CustomerID")),
+            ("company_name", _varchar("CompanyName")),
+            ("contact_name", _varchar("ContactName")),
+            ("contact_title", _varchar("ContactTitle")),
+            ("address", _varchar("Address")),
+            ("city", _varchar("City")),
+            ("region", _varchar("Region")),
+            ("postal_code", _varchar("PostalCode")),
+            ("country", _varchar("Country")),
+            ("phone", _varchar("Phone")),
+            ("fax", _varchar("Fax")),
+        ],
+        hash_cols,
     )
 
 
@@ -106,45 +116,54 @@ def stage_product(
     j = p.join(broadcast_if_small(c, categories_rows), F.col("p_CategoryID") == F.col("CategoryID_c"), "left").join(
         broadcast_if_small(s, suppliers_rows), F.col("p_SupplierID") == F.col("SupplierID_s"), "left"
     )
-    return j.select(
-        F.col("ProductID").cast("long").alias("product_id"),
-        _varchar("ProductName").alias("product_name"),
-        _varchar("QuantityPerUnit").alias("quantity_per_unit"),
-        F.col("UnitPrice").cast("double").alias("list_unit_price"),
-        F.col("UnitsInStock").cast("long").alias("units_in_stock"),
-        F.col("UnitsOnOrder").cast("long").alias("units_on_order"),
-        F.col("ReorderLevel").cast("long").alias("reorder_level"),
-        (F.col("Discontinued") == 1).alias("discontinued"),
-        F.col("CategoryID").cast("long").alias("category_id"),
-        _varchar("CategoryName").alias("category_name"),
-        F.col("SupplierID").cast("long").alias("supplier_id"),
-        _varchar("SupplierCompanyName").alias("supplier_name"),
-        _varchar("SupplierCountry").alias("supplier_country"),
-        record_hash(hash_cols).alias("record_hash"),
+    return _project(
+        j,
+        [
+            ("product_id", "CAST(`ProductID` AS BIGINT)"),
+            ("product_name", _varchar("ProductName")),
+            ("quantity_per_unit", _varchar("QuantityPerUnit")),
+            ("list_unit_price", "CAST(`UnitPrice` AS DOUBLE)"),
+            ("units_in_stock", "CAST(`UnitsInStock` AS BIGINT)"),
+            ("units_on_order", "CAST(`UnitsOnOrder` AS BIGINT)"),
+            ("reorder_level", "CAST(`ReorderLevel` AS BIGINT)"),
+            ("discontinued", "(`Discontinued` = 1)"),
+            ("category_id", "CAST(`CategoryID` AS BIGINT)"),
+            ("category_name", _varchar("CategoryName")),
+            ("supplier_id", "CAST(`SupplierID` AS BIGINT)"),
+            ("supplier_name", _varchar("SupplierCompanyName")),
+            ("supplier_country", _varchar("SupplierCountry")),
+        ],
+        hash_cols,
     )
 
 
 def stage_employee(employees: DataFrame, hash_cols: list[str] = EMPLOYEE_HASH) -> DataFrame:
-    return employees.select(
-        F.col("EmployeeID").cast("long").alias("employee_id"),
-        _varchar("FirstName").alias("first_name"),
-        _varchar("LastName").alias("last_name"),
-        _varchar("Title").alias("title"),
-        _varchar("City").alias("city"),
-        _varchar("Region").alias("region"),
-        _varchar("Country").alias("country"),
-        F.to_date(F.col("HireDate")).alias("hire_date"),
-        F.to_date(F.col("BirthDate")).alias("birth_date"),
-        record_hash(hash_cols).alias("record_hash"),
+    return _project(
+        employees,
+        [
+            ("employee_id", "CAST(`EmployeeID` AS BIGINT)"),
+            ("first_name", _varchar("FirstName")),
+            ("last_name", _varchar("LastName")),
+            ("title", _varchar("Title")),
+            ("city", _varchar("City")),
+            ("region", _varchar("Region")),
+            ("country", _varchar("Country")),
+            ("hire_date", "to_date(`HireDate`)"),
+            ("birth_date", "to_date(`BirthDate`)"),
+        ],
+        hash_cols,
     )
 
 
 def stage_shipper(shippers: DataFrame, hash_cols: list[str] = SHIPPER_HASH) -> DataFrame:
-    return shippers.select(
-        F.col("ShipperID").cast("long").alias("shipper_id"),
-        _varchar("CompanyName").alias("company_name"),
-        _varchar("Phone").alias("phone"),
-        record_hash(hash_cols).alias("record_hash"),
+    return _project(
+        shippers,
+        [
+            ("shipper_id", "CAST(`ShipperID` AS BIGINT)"),
+            ("company_name", _varchar("CompanyName")),
+            ("phone", _varchar("Phone")),
+        ],
+        hash_cols,
     )
 
 
@@ -168,25 +187,25 @@ SALES_LINE_COLUMNS = [
 ]
 
 
-def _cast(c: str, t: str):
-    return F.to_date(F.col(c)) if t == "date" else F.col(c).cast(t)
+def _cast(c: str, t: str) -> str:
+    return f"to_date(`{c}`)" if t == "date" else f"CAST(`{c}` AS {t})"
 
 
 def stage_order_header(orders: DataFrame) -> DataFrame:
     """Header-level part of the sales-line contract (columns present on orders)."""
     have = set(orders.columns)
-    return orders.select(*[_cast(src, t).alias(dst) for dst, src, t in SALES_LINE_COLUMNS if src in have])
+    return orders.selectExpr(*[f"{_cast(src, t)} AS `{dst}`" for dst, src, t in SALES_LINE_COLUMNS if src in have])
 
 
 def stage_order_lines(lines: DataFrame, header_columns: list[str]) -> DataFrame:
     """Line-level part: the line's own columns that the header does not carry."""
     have = set(lines.columns)
     keep = [
-        _cast(src, t).alias(dst)
+        f"{_cast(src, t)} AS `{dst}`"
         for dst, src, t in SALES_LINE_COLUMNS
         if src in have and (dst not in header_columns or dst == "order_id")
     ]
-    return lines.select(*keep)
+    return lines.selectExpr(*keep)
 
 
 def stage_sales_lines(orders: DataFrame, lines: DataFrame, min_order_id_exclusive: int | None = None) -> DataFrame:

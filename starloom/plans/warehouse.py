@@ -26,10 +26,10 @@ from dataclasses import asdict, dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starloom.schemas import (
     SURROGATE_KEY_SEQ,
+    project_to,
     WAREHOUSE_TABLES,
     WATERMARK,
     WATERMARK_ENTITY,
@@ -182,8 +182,7 @@ class Warehouse:
         the write runs (no second pass), in the write's result stage, where
         each successful task is counted exactly once even when tasks are
         retried after a lost executor."""
-        schema: T.StructType = WAREHOUSE_TABLES[table]
-        out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+        out = project_to(df, WAREHOUSE_TABLES[table])
         obs = Observation(f"write_{uuid.uuid4().hex}")
         extra = [c.alias(k) for k, c in (metrics or {}).items()]
         out = out.observe(obs, F.count(F.lit(1)).alias("__rows"), *extra)
@@ -202,8 +201,7 @@ class Warehouse:
         ``labels[0]``, the others to ``labels[1]`` (a partitioned write, one
         pass over ``df``). Returns ``label -> (path, rows)`` for non-empty parts;
         per-part row counts are observed during the write."""
-        schema: T.StructType = WAREHOUSE_TABLES[table]
-        out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+        out = project_to(df, WAREHOUSE_TABLES[table])
         out = out.withColumn("__part", F.when(split, F.lit(labels[0])).otherwise(F.lit(labels[1])))
         obs = Observation(f"write_{uuid.uuid4().hex}")
         out = out.observe(

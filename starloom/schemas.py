@@ -34,6 +34,14 @@ S, L, I, D, B, DT, TS = (
 )
 
 
+def project_to(df, schema: T.StructType):
+    """``df`` with exactly ``schema``'s columns, in order, cast to its types.
+
+    Built as one ``selectExpr`` (parsed JVM-side in a single call) rather than
+    one Column object per column; the casts are the same Cast expressions."""
+    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields])
+
+
 def _schema(*cols: tuple[str, T.DataType], not_null: tuple[str, ...] = ()) -> T.StructType:
     return T.StructType([T.StructField(n, t, n not in not_null) for n, t in cols])
 
