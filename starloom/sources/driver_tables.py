@@ -208,15 +208,22 @@ def driver_source(spark: SparkSession, sf_dir: str) -> Source:
     )
 
 
+def materialize_many(sources: dict[str, Source]) -> dict[str, Source]:
+    """Write every table of every source once as parquet (``path -> source``;
+    all writes run as concurrent jobs) and return the sources reading them
+    back: loads then scan plain tables, as they would in production, instead
+    of re-deriving the stand-in rows in every Spark job."""
+    tasks = {}
+    for path, src in sources.items():
+        for name, df in src.tables().items():
+            tasks[f"{path}/{name}"] = lambda df=df, out=f"{path}/{name}": df.write.mode("overwrite").parquet(out)
+    run_parallel(tasks)
+    return {path: Source.from_parquet(src.customers.sparkSession, path) for path, src in sources.items()}
+
+
 def materialize(src: Source, path: str) -> Source:
-    """Write every table of ``src`` once as parquet under ``path`` (a shared
-    folder) and return the source reading them back: loads then scan plain
-    tables, as they would in production, instead of re-deriving the
-    stand-in rows in every Spark job."""
-    run_parallel(
-        {name: (lambda name=name, df=df: df.write.mode("overwrite").parquet(f"{path}/{name}")) for name, df in src.tables().items()}
-    )
-    return Source.from_parquet(src.customers.sparkSession, path)
+    """:func:`materialize_many` for one source."""
+    return materialize_many({path: src})[path]
 
 
 @dataclass(frozen=True)
@@ -295,5 +302,6 @@ def scenario(spark: SparkSession, sf_dir: str, workdir: str | None = None) -> Sc
         ],
     )
     if workdir:
-        t0, t1 = materialize(t0, f"{workdir}/t0"), materialize(t1, f"{workdir}/t1")
+        written = materialize_many({f"{workdir}/t0": t0, f"{workdir}/t1": t1})
+        t0, t1 = written[f"{workdir}/t0"], written[f"{workdir}/t1"]
     return Scenario(t0, t1, EFFECTIVE_DATE_ISO, cut)
