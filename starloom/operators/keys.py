@@ -54,10 +54,13 @@ def dense_index(
     for p in range(max(counts) + 1):
         offsets.append(acc)
         acc += counts.get(p, 0)
-    # folded into one array literal by the optimizer; element_at is 1-based
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
-    local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), _LOCAL_BITS)
-    return pinned.withColumn(index_col, F.lit(start).cast("long") + offset + local), total
+    # one array literal (length = number of partitions); element_at is 1-based
+    offsets_sql = "CAST(array(" + ", ".join(str(o) for o in offsets) + ") AS ARRAY<BIGINT>)"
+    index = (
+        f"CAST({int(start)} AS BIGINT) + element_at({offsets_sql}, spark_partition_id() + 1)"
+        f" + (monotonically_increasing_id() - shiftleft(CAST(spark_partition_id() AS BIGINT), {_LOCAL_BITS}))"
+    )
+    return pinned.withColumn(index_col, F.expr(index)), total
 
 
 def assign_surrogate_keys(
