@@ -122,7 +122,10 @@ def hot_group_keys(df: DataFrame, group_col: str) -> tuple[DataFrame, int]:
     raw = df.sparkSession.conf.get(HOT_GROUP_ROWS_CONF, None)
     threshold = int(raw) if raw else DEFAULT_HOT_GROUP_ROWS
     hot = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > threshold).select(group_col)
-    return hot, hot.count()
+    n_hot = hot.count()
+    if n_hot:  # reused by several joins: pin the (small) key set once
+        hot = hot.checkpoint(eager=True)
+    return hot, n_hot
 
 
 def split_hot_groups(df: DataFrame, group_col: str) -> tuple[DataFrame, DataFrame | None, DataFrame | None, int]:
