@@ -79,18 +79,14 @@ class Warehouse:
         return f"{self.root}/_manifests"
 
     def latest(self) -> Manifest | None:
-        """Newest published manifest (only its line reaches the driver)."""
+        """Newest published manifest. The manifest folders are only *listed*
+        (file metadata, no content read); then the newest one is read."""
         try:
-            raw = self.spark.read.text(self.manifest_dir)
+            listing = self.spark.read.format("binaryFile").load(self.manifest_dir).select("run_id")
         except AnalysisException:
             return None
-        top = (
-            raw.select(F.get_json_object("value", "$.run_id").cast("long").alias("rid"), "value")
-            .orderBy(F.desc("rid"))
-            .limit(1)
-            .collect()
-        )
-        return Manifest.from_json(top[0]["value"]) if top else None
+        top = listing.agg(F.max("run_id").alias("rid")).first()
+        return self.manifest(int(top["rid"])) if top and top["rid"] is not None else None
 
     def manifest(self, run_id: int) -> Manifest:
         """The manifest of one past run (time travel to that state)."""
