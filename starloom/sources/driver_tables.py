@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.changes import Update, simulate_changes
+from starloom.operators.joins import broadcast_if_small
 from starloom.operators.keys import assign_surrogate_keys
 from starloom.parallel import run_parallel
 from starloom.sources.source import Source
@@ -64,7 +65,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
     geo = n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", "r_name")
-    j = c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey, "left")  # nation/region: 25/5 rows
+    j = c.join(geo, c.c_nationkey == geo.n_nationkey, "left")  # tiny side: broadcast by Catalyst's size estimate
     null = F.lit(None).cast("string")
     return j.select(
         F.col("c_custkey").cast("string").alias("CustomerID"),
@@ -81,10 +82,11 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+def categories(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """Distinct part types numbered in type order, and how many there are."""
     types = read_table(spark, sf_dir, "part").select(F.col("p_type").alias("CategoryName")).distinct()
-    numbered, _ = assign_surrogate_keys(types, ["CategoryName"], 1, "CategoryID")
-    return numbered.select("CategoryID", "CategoryName")
+    numbered, n = assign_surrogate_keys(types, ["CategoryName"], 1, "CategoryID")
+    return numbered.select("CategoryID", "CategoryName"), n
 
 
 def _brand_number(col: str = "p_brand"):
@@ -100,9 +102,9 @@ def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def products(spark: SparkSession, sf_dir: str, cats: DataFrame) -> DataFrame:
+def products(spark: SparkSession, sf_dir: str, cats: DataFrame, n_cats: int | None = None) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
-    j = p.join(F.broadcast(cats), p.p_type == cats.CategoryName, "left")  # distinct p_type: tiny
+    j = p.join(broadcast_if_small(cats, n_cats), p.p_type == cats.CategoryName, "left")
     return j.select(
         F.col("p_partkey").alias("ProductID"),
         F.col("p_name").alias("ProductName"),
@@ -122,7 +124,7 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
     geo = n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", "r_name")
-    j = s.join(F.broadcast(geo), s.s_nationkey == geo.n_nationkey, "left")
+    j = s.join(geo, s.s_nationkey == geo.n_nationkey, "left")
     null = F.lit(None).cast("string")
     return j.select(
         F.col("s_suppkey").alias("EmployeeID"),
@@ -195,10 +197,10 @@ def order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def driver_source(spark: SparkSession, sf_dir: str) -> Source:
     """All driver rows as one source snapshot."""
-    cats = categories(spark, sf_dir)
+    cats, n_cats = categories(spark, sf_dir)
     return Source(
         customers=customers(spark, sf_dir),
-        products=products(spark, sf_dir, cats),
+        products=products(spark, sf_dir, cats, n_cats),
         categories=cats,
         suppliers=suppliers(spark, sf_dir),
         employees=employees(spark, sf_dir),
