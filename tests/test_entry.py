@@ -56,3 +56,26 @@ def test_query_equals_oracle(spark, con, key):
     dcols = [d[0] for d in rel.description]
     assert sorted(sdf.columns) == sorted(dcols)
     assert _canon(sdf.collect(), sdf.columns) == _canon(rel.fetchall(), dcols)
+
+
+def test_fact_invariants_on_built_warehouse(spark):
+    from pyspark.sql import functions as F
+
+    from starloom.plans.catalog import built_warehouse
+
+    b = built_warehouse(spark, SF)
+    fact = b.wh(spark).table("fact_sales_line", b.incremental)
+    per_order = fact.groupBy("order_id").agg(
+        F.sum("freight_allocated").alias("alloc"),
+        F.max("order_freight").alias("freight"),
+        F.sum("net_amount").alias("net"),
+        F.count(F.lit(1)).alias("n"),
+        F.max("line_number").alias("max_ln"),
+        F.countDistinct("line_number").alias("distinct_ln"),
+    )
+    bad = per_order.where(
+        (F.abs(F.col("alloc") - F.when(F.col("net") == 0, 0.0).otherwise(F.col("freight"))) > 1e-6 * F.greatest(F.lit(1.0), F.col("freight")))
+        | (F.col("max_ln") != F.col("n"))
+        | (F.col("distinct_ln") != F.col("n"))
+    )
+    assert bad.count() == 0
