@@ -61,11 +61,14 @@ def main() -> None:
     sc = timed("source_snapshots", lambda: scenario(spark, sf_dir, workdir=scratch_path(spark, "bench-source")))
     root = scratch_path(spark, "bench-warehouse")
     ts = dt.datetime(2024, 1, 1)
+    tracker = spark.sparkContext.statusTracker()
+    jobs_before = len(tracker.getJobIdsForGroup(None))
     timed("full_load", lambda: full_load(spark, sc.t0, root, ts))
     m = timed(
         "incremental_load",
         lambda: incremental_load(spark, sc.t1, root, dt.date.fromisoformat(sc.effective_date_iso), ts),
     )
+    load_jobs = len(tracker.getJobIdsForGroup(None)) - jobs_before
     wh = Warehouse(spark, root)
     fact = wh.table("fact_sales_line", m)
     dim_c = wh.table(CUSTOMER.table, m)
@@ -91,6 +94,7 @@ def main() -> None:
                 "fact_rows": m.table_rows("fact_sales_line"),
                 "star_groups": len(star),
                 "checks": len(checks),
+                "load_jobs": load_jobs,
                 "violations": violations,
                 "cpus": cpus,
             }
