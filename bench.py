@@ -14,7 +14,9 @@ every step below is timed on ``BENCH_SF_DIR``:
 * star_query       - net sales by customer attribute as of sale time;
 * validation       - PK checks, SCD2 checks, unknown audit, reconciliation (concurrent);
 
-and prints ONE JSON line.
+and prints ONE JSON line: ``value`` is the sum of all steps, ``warehouse_sec``
+the same without the stand-in source, ``load_jobs`` the number of Spark jobs
+the two loads ran (AQE submits each shuffle stage as its own job).
 """
 
 from __future__ import annotations
