@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from starloom.operators.joins import broadcast_if_small
 from starloom.plans.loads import incremental_load
 from starloom.plans.warehouse import Manifest, Warehouse
 from starloom.sources.source import Source
@@ -36,13 +37,16 @@ def apply_batch(
     run_ts: _dt.datetime | None = None,
 ) -> Manifest | None:
     """One micro-batch -> one published incremental run (or None if the batch
-    was already applied). Headers are the orders referenced by the batch
-    (left-semi join: only those headers are read into the run)."""
+    was already applied). Headers are the orders referenced by the batch: a
+    left-semi join against the batch's distinct order ids, which are counted
+    first so the (usually small) id set is broadcast and the orders table is
+    not shuffled."""
     wh = Warehouse(spark, root)
     prev = wh.require()
     if prev.stream_batch_id is not None and batch_id <= prev.stream_batch_id:
         return None
-    headers = base.orders.join(lines.select("OrderID").distinct(), "OrderID", "left_semi")
+    ids = lines.select("OrderID").distinct()
+    headers = base.orders.join(broadcast_if_small(ids, ids.count()), "OrderID", "left_semi")
     src = base.with_tables(orders=headers, order_details=lines)
     return incremental_load(
         spark, src, root, effective_date, run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), batch_id
