@@ -182,7 +182,8 @@ def full_load(spark: SparkSession, src: Source, root: str, run_ts: _dt.datetime)
     add_part(parts, rows, RUN_LOG, path, n, append=True)
 
     return wh.publish(
-        Manifest(
+        after=prev.run_id if prev else None,
+        manifest=Manifest(
             run_id=run_id,
             run_type="FULL",
             run_ts=_iso(run_ts),
@@ -195,7 +196,7 @@ def full_load(spark: SparkSession, src: Source, root: str, run_ts: _dt.datetime)
             rows=rows,
             stream_batch_id=prev.stream_batch_id if prev else None,
             part_stats={fact_path: stats} if n_fact else {},
-        )
+        ),
     )
 
 
@@ -330,7 +331,8 @@ def incremental_load(
     add_part(parts, rows, RUN_LOG, path, n, append=True)
 
     return wh.publish(
-        Manifest(
+        after=prev.run_id,
+        manifest=Manifest(
             run_id=run_id,
             run_type="INCREMENTAL",
             run_ts=_iso(run_ts),
@@ -343,5 +345,5 @@ def incremental_load(
             rows=rows,
             stream_batch_id=stream_batch_id if stream_batch_id is not None else prev.stream_batch_id,
             part_stats=part_stats,
-        )
+        ),
     )

@@ -2,14 +2,16 @@
 
 Layout under the warehouse root (any Hadoop-compatible path)::
 
-    runs/<run_id>/<part>/          parquet written by that run
+    runs/<run_id>-<attempt>/<part>/  parquet written by one attempt of a run
     _manifests/run_id=<run_id>/    one JSON line: every live part, the control
                                    state (watermark, key sequences) and row counts
 
 A run writes all of its parts first and its manifest last; readers take the
 newest manifest. A run that dies before its manifest leaves only unreferenced
-folders behind, so every run is published all-or-nothing. Retrying a run id
-overwrites that run's folders.
+folders behind, so every run is published all-or-nothing. Every attempt
+writes its own folders (a retry or a concurrent attempt never overwrites
+another's files), and publishing checks that no other run was published since
+the attempt started, so of two overlapping runs one fails cleanly.
 
 Part kinds: type-2 dimensions keep ``<dim>#current`` (rewritten when it
 changes) and ``<dim>#history`` (closed versions, append-only); facts and the
@@ -72,6 +74,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.attempt = uuid.uuid4().hex[:12]  # this writer's folder suffix
 
     # ------------------------------------------------------------------ reading
     @property
@@ -185,7 +188,7 @@ class Warehouse:
         if sort_by:
             out = out.sortWithinPartitions(*sort_by)
         name = part_key(table, part).replace("#", "__") + (f"__{tag}" if tag else "")
-        path = f"{self.root}/runs/{run_id}/{name}"
+        path = f"{self.root}/runs/{run_id}-{self.attempt}/{name}"
         out.write.mode("overwrite").parquet(path)
         observed = obs.get
         return path, int(observed["__rows"]), {k: observed.get(k) for k in (metrics or {})}
@@ -205,20 +208,35 @@ class Warehouse:
             F.sum(F.when(F.col("__part") == labels[0], 1).otherwise(0)).alias("a"),
             F.sum(F.when(F.col("__part") == labels[1], 1).otherwise(0)).alias("b"),
         )
-        path = f"{self.root}/runs/{run_id}/{table}"
+        path = f"{self.root}/runs/{run_id}-{self.attempt}/{table}"
         out.write.mode("overwrite").partitionBy("__part").parquet(path)
         got = obs.get
         counts = {labels[0]: int(got["a"] or 0), labels[1]: int(got["b"] or 0)}
         return {lab: (f"{path}/__part={lab}", n) for lab, n in counts.items() if n}
 
-    def publish(self, manifest: Manifest) -> Manifest:
-        """Make a run visible: one single-line JSON file, written last."""
+    def publish(self, manifest: Manifest, after: int | None = None) -> Manifest:
+        """Make a run visible: one single-line JSON file, written last.
+
+        ``after`` is the run id this run started from; if another run was
+        published since, the publish is refused (the other run wins and this
+        attempt's folders stay unreferenced)."""
+        if after is not None:
+            current = self.latest()
+            if current is None or current.run_id != after:
+                raise ConcurrentRunError(
+                    f"run {manifest.run_id} started after run {after}, but run "
+                    f"{current.run_id if current else None} is now the latest; not publishing"
+                )
         text = manifest.to_json()
         df = self.spark.createDataFrame([(text,)], "value string")
         df.coalesce(1).write.mode("overwrite").text(f"{self.manifest_dir}/run_id={manifest.run_id}")
         return manifest
 
 
+class ConcurrentRunError(RuntimeError):
+    pass
+
+
 def carry_parts(prev: Manifest | None, keep: list[str]) -> tuple[dict[str, list[str]], dict[str, int]]:
     """Parts (and their row counts) that a new run inherits unchanged."""
     if prev is None:

@@ -75,3 +75,24 @@ def test_fact_parts_pruned_by_recorded_order_range(spark, wh_root):
     assert m1.part_stats[path] == {"min_order_id": 500, "max_order_id": 502}
     assert wh.fact_parts_above(m1.watermark, m1) is None  # nothing can collide: no de-dup scan
     assert wh.fact_parts_above(501, m1).count() == m1.table_rows("fact_sales_line")
+
+
+def test_overlapping_runs_one_fails_cleanly(spark, wh_root):
+    from starloom.plans.warehouse import ConcurrentRunError
+    from tests.test_change_scenario import changed_source
+
+    src = base_source(spark)
+    m1 = full_load(spark, src, wh_root, TS)
+    wh = Warehouse(spark, wh_root)
+    # another writer publishes run 2 while "our" run 2 (started from run 1) is still going
+    other = Warehouse(spark, wh_root)
+    other.publish(Manifest(**{**m1.__dict__, "run_id": 2}), after=1)
+    try:
+        wh.publish(Manifest(**{**m1.__dict__, "run_id": 2}), after=1)
+        raise AssertionError("publish should have been refused")
+    except ConcurrentRunError:
+        pass
+    # a fresh run starts from the winner and succeeds; attempts never share folders
+    m3 = incremental_load(spark, changed_source(spark, src), wh_root, dt.date(1998, 5, 7), TS)
+    assert m3.run_id == 3
+    assert all(p.split("/runs/")[1].split("/")[0].startswith(("1-", "3-")) for v in m3.parts.values() for p in v)
