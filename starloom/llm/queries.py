@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe
+from starloom.llm import bpe, simhash_dedup
 from starloom.llm.common import table
 
 
@@ -25,8 +25,15 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, pattern)
 
 
+def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint of every whole document (three-word shingles) and
+    the group it belongs to: links are two differing bits or fewer."""
+    return simhash_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op10_simhash_dedup": op10_simhash_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
