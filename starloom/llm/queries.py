@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, simhash_dedup, toxicity
+from starloom.llm import bpe, mixing, simhash_dedup, toxicity
 from starloom.llm.common import table
 
 
@@ -25,6 +25,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, pattern)
 
 
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document: sources weigh 1, 2, 3, repeating, three epochs at most."""
+    return mixing.digests(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every whole document, learnt from the labelled rows that are not held out."""
     return toxicity.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -38,6 +43,7 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op4_mix_sources": op4_mix_sources,
     "op6_toxicity": op6_toxicity,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
