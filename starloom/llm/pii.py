@@ -232,6 +232,7 @@ UNIT = T.StructType([T.StructField("kind", T.StringType()), T.StructField("value
 def detect(df: DataFrame, text_col: str = "text", out_col: str = "entities") -> DataFrame:
     """``df`` with ``out_col``: the distinct (kind, value) units of each whole text."""
     src = without(df, out_col)
+    names = [*src.columns, out_col]
     out = nullable(T.StructType([*src.schema.fields, T.StructField(out_col, T.ArrayType(UNIT))]))
 
     def run(batches: Iterator) -> Iterator:
@@ -241,7 +242,7 @@ def detect(df: DataFrame, text_col: str = "text", out_col: str = "entities") ->
         for whole in batches:
             for b in slices(whole, text_col):
                 got = [[{"kind": k, "value": v} for k, v in dict.fromkeys(s[2:] for s in spans(t))] if t else [] for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, kind)], names=[*src.columns, out_col])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, kind)], names=names)
 
     return src.mapInArrow(run, out)
 

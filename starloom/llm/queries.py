@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, mixing, simhash_dedup, toxicity
+from starloom.llm import bpe, mixing, pii, simhash_dedup, toxicity
 from starloom.llm.common import table
 
 
@@ -35,6 +35,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document with personal data replaced by consistent surrogates."""
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint of every whole document (three-word shingles) and
     the group it belongs to: links are two differing bits or fewer."""
@@ -45,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op4_mix_sources": op4_mix_sources,
     "op6_toxicity": op6_toxicity,
+    "op8_surrogates": op8_surrogates,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
