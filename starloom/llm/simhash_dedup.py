@@ -150,16 +150,36 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def label(fps: DataFrame, id_col: str, max_bits: int) -> DataFrame:
-    """``fps`` (with column ``fp``) with the ``component_id`` of each row."""
+    """``fps`` (with column ``fp``) with ``component_id`` and ``grp`` (a
+    fingerprint that stands for the group) of each row."""
     groups = fps.groupBy("fp").agg(F.min(id_col).alias("least"))
     roots = connected_components(links(fps, max_bits), "a", "b").select(F.col("node").alias("fp"), "root")
     linked = groups.join(roots, "fp")
     smallest = linked.groupBy("root").agg(F.min("least").alias("smallest"))
-    merged = linked.join(smallest, "root").select("fp", "smallest")
-    ids = groups.join(merged, "fp", "left").select("fp", F.coalesce("smallest", "least").alias("component_id"))
+    merged = linked.join(smallest, "root").select("fp", "root", "smallest")
+    ids = groups.join(merged, "fp", "left").select("fp", F.coalesce("root", "fp").alias("grp"), F.coalesce("smallest", "least").alias("component_id"))
     return fps.join(ids, "fp")
 
 
+def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """The rows of ``df`` that stay: one of each group, the one with the
+    smallest id (null last; then by a hash of its text)."""
+    src = without(df, "_one", "_again")
+    row = [F.xxhash64(F.lit(n), F.col(text_col)).alias(f"_h{n}") for n in (1, 2)]
+    narrow = fingerprints(src.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *row), "_text", shingle)
+    labelled = label(materialize(narrow, "simhash"), "_id", max_bits)
+    first = F.min(F.struct(F.col("_id").isNull().alias("_null"), "_id", "_h1", "_h2")).alias("_one")
+    keep = labelled.groupBy("grp").agg(first).select("_one")
+    times = labelled.groupBy("_id", "_h1", "_h2").agg(F.count(F.lit(1)).alias("n"))
+    same = F.col("_one._id").eqNullSafe(F.col("_id")) & (F.col("_one._h1") == F.col("_h1")) & (F.col("_one._h2") == F.col("_h2"))
+    kept = materialize(keep.join(times, same).select("_one", (F.col("n") > 1).alias("_again")), "simhash")
+    mine = F.col("_one._id").eqNullSafe(F.col(id_col)) & (F.col("_one._h1") == row[0]) & (F.col("_one._h2") == row[1])
+    stays = src.join(kept, mine)
+    columns = [F.col(f"`{c}`") for c in src.columns]
+    repeated = stays.where("_again").dropDuplicates(["_one"])  # a row that occurs several times stays once
+    return stays.where("NOT _again").select(*columns).unionByName(repeated.select(*columns))
+
+
 def digests(df: DataFrame) -> DataFrame:
     """(doc_id, text) -> doc_id, fingerprint (16 hex digits), component_id."""
     out = near_duplicates(df.select("doc_id", "text"))
