@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, mixing, pii, simhash_dedup, toxicity
+from starloom.llm import bpe, fingerprint, mixing, pii, simhash_dedup, toxicity, url_reputation
 from starloom.llm.common import table
 
 
@@ -25,6 +25,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, pattern)
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of every whole document and of its edited text, and how like they and the next one are."""
+    return fingerprint.digests(table(spark, sf_dir, "documents"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document: sources weigh 1, 2, 3, repeating, three epochs at most."""
     return mixing.digests(table(spark, sf_dir, "documents"))
@@ -35,6 +40,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url; hosts by their labelled pages' outcomes."""
+    return url_reputation.digests(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document with personal data replaced by consistent surrogates."""
     return pii.digests(table(spark, sf_dir, "documents"))
@@ -48,10 +58,12 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_fingerprints": op3_fingerprints,
     "op4_mix_sources": op4_mix_sources,
     "op6_toxicity": op6_toxicity,
+    "op7_url_reputation": op7_url_reputation,
     "op8_surrogates": op8_surrogates,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_url_reputation": url_reputation.SQL}
