@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, fingerprint, mixing, pii, simhash_dedup, toxicity, url_reputation
+from starloom.llm import bpe, embed_join, fingerprint, mixing, pii, simhash_dedup, toxicity, url_reputation
 from starloom.llm.common import table
 
 
@@ -35,6 +35,11 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digests(table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links (cosine of 0.98 and more, equal labels) and component of every vector."""
+    return embed_join.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every whole document, learnt from the labelled rows that are not held out."""
     return toxicity.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -60,10 +65,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_fingerprints": op3_fingerprints,
     "op4_mix_sources": op4_mix_sources,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_url_reputation": op7_url_reputation,
     "op8_surrogates": op8_surrogates,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_url_reputation": url_reputation.SQL}
+ORACLE_SQL: dict[str, str] = {"op5_embedding_near_dedup": embed_join.SQL, "op7_url_reputation": url_reputation.SQL}
