@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, embed_join, fingerprint, mixing, pii, simhash_dedup, toxicity, url_reputation
+from starloom.llm import bpe, embed_join, fingerprint, mixing, pii, simhash_dedup, toxicity, url_reputation, warc
 from starloom.llm.common import table
 
 
@@ -55,6 +55,11 @@ def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
 
 
+def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion record of every page's response."""
+    return warc.digests(table(spark, sf_dir, "pages"))
+
+
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint of every whole document (three-word shingles) and
     the group it belongs to: links are two differing bits or fewer."""
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_url_reputation": op7_url_reputation,
     "op8_surrogates": op8_surrogates,
+    "op9_warc_derivatives": op9_warc_derivatives,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
