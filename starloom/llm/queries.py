@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, embed_join, fingerprint, mixing, pii, simhash_dedup, toxicity, url_reputation, warc
+from starloom.llm import bpe, embed_join, fingerprint, html_blocks, mixing, pii, simhash_dedup, toxicity, url_reputation, warc
 from starloom.llm.common import table
 
 
@@ -25,6 +25,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, pattern)
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every whole page."""
+    return html_blocks.digests(table(spark, sf_dir, "pages"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of every whole document and of its edited text, and how like they and the next one are."""
     return fingerprint.digests(table(spark, sf_dir, "documents"))
@@ -68,6 +73,7 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_html_text": op2_html_text,
     "op3_fingerprints": op3_fingerprints,
     "op4_mix_sources": op4_mix_sources,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
