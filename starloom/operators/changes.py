@@ -55,12 +55,14 @@ def simulate_changes(
     return Source(**tables)
 
 
-def source_counts(src: Source) -> DataFrame:
-    """``(metric, value)``: one row count per source table (``'<Table> total'``).
-    Each count is a global aggregate; the union is planned as one job."""
+def source_counts(src: Source, measures: dict[str, tuple[str, Column]] | None = None) -> DataFrame:
+    """``(metric, value)``: one row count per source table (``'<Table> total'``)
+    and, for ``measures`` (metric -> table, aggregate), what an update changes
+    without changing a count. One global aggregate each, planned as one job."""
+    wanted = {f"{SOURCE_LABELS[n]} total": (n, F.count(F.lit(1))) for n in src.tables()} | (measures or {})
     parts = [
-        df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(f"{SOURCE_LABELS[name]} total").alias("metric"), "value")
-        for name, df in src.tables().items()
+        src.tables()[table].agg(a.cast("decimal(38,2)").alias("value")).select(F.lit(metric).alias("metric"), "value")
+        for metric, (table, a) in wanted.items()
     ]
     out = parts[0]
     for p in parts[1:]:

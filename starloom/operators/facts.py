@@ -1,22 +1,21 @@
 """Order-line fact: key resolution, line numbers, measures, freight allocation.
 
-Plan shape of :func:`build_fact` (the hot path of every load):
+Plan shape of :func:`build_fact` (the hot path of every load), the same for
+every order whatever its number of lines:
 
 * dimension lookups whose inputs live on the order header (customer as of the
   order date, shipper, employee, date roles) run on the header - one row per
   order instead of one per line;
 * new lines are anti-joined against already-loaded keys *before* numbering;
-* orders are split into ordinary and hot ones (more lines than
-  ``starloom.skew.hotGroupRows``, found by a partially aggregated count).
-  Ordinary lines meet their header in one shuffle on ``order_id``; line
-  numbers and order totals are then a window per order, which needs no
-  further shuffle and is bounded by the threshold. Hot orders - an order may
-  hold a third of all lines - get the numbers from a distributed dense index
-  over ``(order_id, product_id)`` and totals from partial aggregation, and
-  meet their (counted, broadcast) headers without a shuffle. No task ever
-  holds a whole hot order;
-* the product as-of lookup follows (broadcast when the dimension is known to
-  be small, else a sort-merge join on product id).
+* the (narrow) lines get a dense index over ``(order_id, product_id)``: they
+  are range-partitioned and sorted once, so an order that holds a third of all
+  lines spans many tasks. An order's first index and its net total come from
+  partial aggregation; the total is an exact sum of whole numbers
+  (:mod:`starloom.functions.exact`), so it depends neither on partitioning nor
+  on order. A line's number is its index minus the order's first one;
+* lines meet their order (header, first index, total) in one join on
+  ``order_id``, which AQE splits where an order is large;
+* the product as-of lookup follows.
 """
 
 from __future__ import annotations
@@ -24,10 +23,11 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import broadcast_if_small, key_lookup, validity_lookup
+from starloom.functions.exact import limb_sums, value
+from starloom.operators.joins import key_lookup, validity_lookup
 from starloom.operators.keys import dense_index
 from starloom.operators.staging import stage_order_header, stage_order_lines
 from starloom.schemas import FACT_KEY, FACT_SALES_LINE, OPEN_START, project_to
@@ -35,19 +35,13 @@ from starloom.schemas import FACT_KEY, FACT_SALES_LINE, OPEN_START, project_to
 
 @dataclass
 class StarDimensions:
-    """Dimension frames the fact resolves against, with known row counts
-    (``None`` = unknown; then no broadcast hint is given)."""
+    """Dimension frames the fact resolves against."""
 
     customer: DataFrame
     product: DataFrame
     employee: DataFrame
     shipper: DataFrame
     date: DataFrame
-    customer_rows: int | None = None
-    product_rows: int | None = None
-    employee_rows: int | None = None
-    shipper_rows: int | None = None
-    date_rows: int | None = None
 
 
 # (output column, required input columns)
@@ -64,22 +58,18 @@ _STEPS = [
 
 def _resolve_one(df: DataFrame, out: str, dims: StarDimensions) -> DataFrame:
     if out == "customer_sk":
-        return validity_lookup(
-            df, dims.customer, "customer_id", "customer_id", "order_date", "customer_sk", out, dim_rows=dims.customer_rows
-        )
+        return validity_lookup(df, dims.customer, "customer_id", "customer_id", "order_date", "customer_sk", out)
     if out == "product_sk":
-        return validity_lookup(
-            df, dims.product, "product_id", "product_id", "order_date", "product_sk", out, dim_rows=dims.product_rows
-        )
+        return validity_lookup(df, dims.product, "product_id", "product_id", "order_date", "product_sk", out)
     if out == "employee_sk":
-        return key_lookup(df, dims.employee, "employee_id", "employee_id", "employee_sk", out, dims.employee_rows)
+        return key_lookup(df, dims.employee, "employee_id", "employee_id", "employee_sk", out)
     if out == "shipper_sk":
-        return key_lookup(df, dims.shipper, "ship_via", "shipper_id", "shipper_sk", out, dims.shipper_rows)
+        return key_lookup(df, dims.shipper, "ship_via", "shipper_id", "shipper_sk", out)
     date_col = out[: -len("_sk")]
     key = F.col(date_col)
     if date_col == "shipped_date":  # not shipped yet -> the unknown date row
         key = F.coalesce(key, F.lit(OPEN_START))
-    return key_lookup(df, dims.date, key, "date", "date_sk", out, dims.date_rows, cast="int")
+    return key_lookup(df, dims.date, key, "date", "date_sk", out, cast="int")
 
 
 def resolve_available_keys(df: DataFrame, dims: StarDimensions, skip: tuple[str, ...] = ()) -> DataFrame:
@@ -110,73 +100,35 @@ def _freight_share(freight, net, order_net):
     return F.when(order_net == 0, F.lit(0.0)).otherwise(freight * (net / order_net))
 
 
-HOT_GROUP_ROWS_CONF = "starloom.skew.hotGroupRows"
-DEFAULT_HOT_GROUP_ROWS = 1_000_000
-
-
-def hot_group_keys(df: DataFrame, group_col: str) -> tuple[DataFrame, int]:
-    """Keys of *hot* groups (more than ``starloom.skew.hotGroupRows`` rows)
-    and how many there are. A partially aggregated count: a hot key costs one
-    pre-aggregated row per task. Their number is at most rows / threshold and
-    is counted here, before anything broadcasts them."""
-    raw = df.sparkSession.conf.get(HOT_GROUP_ROWS_CONF, None)
-    threshold = int(raw) if raw else DEFAULT_HOT_GROUP_ROWS
-    hot = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > threshold).select(group_col)
-    n_hot = hot.count()
-    if n_hot:  # reused by several joins: pin the (small) key set once
-        hot = hot.checkpoint(eager=True)
-    return hot, n_hot
-
-
-def split_hot_groups(df: DataFrame, group_col: str) -> tuple[DataFrame, DataFrame | None, DataFrame | None, int]:
-    """``(ordinary rows, hot rows, hot keys, number of hot keys)``; the hot
-    parts are ``None`` when no group is hot."""
-    hot, n_hot = hot_group_keys(df, group_col)
-    if n_hot == 0:
-        return df, None, None, 0
-    keys = broadcast_if_small(hot, n_hot)
-    return df.join(keys, group_col, "left_anti"), df.join(keys, group_col, "left_semi"), keys, n_hot
-
-
-def _number_ordinary(df: DataFrame, group_col: str, order_col: str, out_col: str, total: tuple[str, str] | None):
-    """Position (and optional group total) by window: every group here is
-    below the hot threshold, and after a join on ``group_col`` the rows are
-    already clustered by it, so the window adds a sort but no shuffle. The
-    total is added row by row in ``order_col`` order (reproducible)."""
-    w = Window.partitionBy(group_col).orderBy(order_col)
-    df = df.withColumn(out_col, F.row_number().over(w).cast("long"))
-    if total:
-        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        df = df.withColumn(total[1], F.sum(total[0]).over(whole))
-    return df
-
-
-def _number_hot(df: DataFrame, group_col: str, order_col: str, out_col: str, total: tuple[str, str] | None):
-    """Position (and optional total) for hot groups: a dense index over the
-    range-partitioned rows (a hot group spans many partitions) minus the
-    index of the group's first row; totals by partial aggregation."""
-    indexed, _ = dense_index(df, [group_col, order_col], start=0, index_col="__idx")
+def _indexed_with_stats(
+    df: DataFrame, group_col: str, order_col: str, total_of: str | None, pins: str | None
+) -> tuple[DataFrame, DataFrame]:
+    """``df`` with a dense index ``__idx`` over (group, order), and per group
+    the first index and, for ``total_of``, the limbs of its exact sum."""
+    indexed, _ = dense_index(df, [group_col, order_col], start=0, index_col="__idx", pins=pins)
     aggs = [F.min("__idx").alias("__first")]
-    if total:
-        aggs.append(F.sum(total[0]).alias(total[1]))
-    stats = indexed.groupBy(group_col).agg(*aggs)
-    out = indexed.join(stats, group_col).withColumn(out_col, (F.col("__idx") - F.col("__first") + 1).cast("long"))
-    return out.drop("__idx", "__first")
+    if total_of:
+        aggs += limb_sums(F.col(total_of), "__high", "__low")
+    return indexed, indexed.groupBy(group_col).agg(*aggs)
 
 
 def number_within_groups(
-    df: DataFrame, group_col: str, order_col: str, out_col: str, total: tuple[str, str] | None = None
+    df: DataFrame,
+    group_col: str,
+    order_col: str,
+    out_col: str,
+    total: tuple[str, str] | None = None,
+    pins: str | None = None,
 ) -> DataFrame:
     """1-based position of each row inside its group in ``order_col`` order
     (``row_number() OVER (PARTITION BY group ORDER BY order)``) and, with
-    ``total=(col, out)``, the group's sum of ``col``. Skew-safe: groups above
-    the hot threshold are numbered through a distributed dense index instead
-    of a window, so no task ever holds a whole hot group."""
-    ordinary, hot, _, _ = split_hot_groups(df, group_col)
-    out = _number_ordinary(ordinary, group_col, order_col, out_col, total)
-    if hot is not None:
-        out = out.unionByName(_number_hot(hot, group_col, order_col, out_col, total))
-    return out
+    ``total=(col, out)``, the group's exact sum of ``col``. No task holds a
+    whole group: see :func:`_indexed_with_stats`."""
+    indexed, stats = _indexed_with_stats(df, group_col, order_col, total[0] if total else None, pins)
+    if total:
+        stats = stats.withColumn(total[1], value("__high", "__low")).drop("__high", "__low")
+    out = indexed.join(stats, group_col)
+    return out.withColumn(out_col, F.col("__idx") - F.col("__first") + 1).drop("__idx", "__first")
 
 
 def line_number(df: DataFrame) -> DataFrame:
@@ -185,14 +137,13 @@ def line_number(df: DataFrame) -> DataFrame:
 
 
 def allocate_freight(df: DataFrame) -> DataFrame:
-    """Add ``freight_allocated`` to lines carrying ``freight`` and ``net_amount``
-    (order total by window for ordinary orders, by partial aggregation for hot
-    ones - never a window over a hot order)."""
-    out = number_within_groups(df, "order_id", "product_id", "__pos", total=("net_amount", "__order_net"))
-    out = out.withColumn(
-        "freight_allocated", _freight_share(F.col("freight"), F.col("net_amount"), F.col("__order_net"))
-    )
-    return out.drop("__pos", "__order_net")
+    """Add ``freight_allocated`` to lines carrying ``freight`` and
+    ``net_amount``; the order total is an exact sum by partial aggregation."""
+    totals = df.groupBy(F.col("order_id").alias("__order")).agg(*limb_sums(F.col("net_amount"), "__high", "__low"))
+    totals = totals.select("__order", value("__high", "__low").alias("__order_net"))
+    out = df.join(totals, F.col("order_id") == F.col("__order"))
+    share = _freight_share(F.col("freight"), F.col("net_amount"), F.col("__order_net"))
+    return out.withColumn("freight_allocated", share).drop("__order", "__order_net")
 
 
 def fact_dedup(new_lines: DataFrame, fact: DataFrame | None, min_order_id_exclusive: int | None = None) -> DataFrame:
@@ -234,36 +185,22 @@ def build_fact(
     run_ts: _dt.datetime,
     min_order_id_exclusive: int | None = None,
     existing_fact: DataFrame | None = None,
-    hot_orders: tuple[DataFrame, int] | None = None,
+    pins: str | None = None,
 ) -> DataFrame:
     """Fact rows for every (order, line) pair, in the warehouse column order.
-
-    ``hot_orders`` = ``hot_group_keys(lines of fact_inputs(...), "order_id")``
-    when the caller already computed it (e.g. concurrently with the
-    dimension builds); otherwise it is computed here."""
+    ``pins``: folder for the numbered lines (see :func:`dense_index`)."""
     header, body = fact_inputs(orders, lines, min_order_id_exclusive, existing_fact)
 
     # header-level lookups (the product as-of lookup needs the line, so it waits)
     header = resolve_available_keys(header, dims, skip=("product_sk",))
 
-    total = ("net_amount", "__order_net")
-    hot_keys, n_hot = hot_orders if hot_orders is not None else hot_group_keys(body, "order_id")
-    if n_hot:
-        hot_keys = broadcast_if_small(hot_keys, n_hot)
-        ordinary = body.join(hot_keys, "order_id", "left_anti")
-    else:
-        ordinary = body
-    # ordinary orders: one shuffle to meet the header, then a window per order (no further shuffle)
-    fact = _number_ordinary(ordinary.join(header, "order_id", "inner"), "order_id", "product_id", "line_number", total)
-    if n_hot:
-        # hot orders: numbered across partitions; their headers (n_hot rows) are broadcast
-        hot = body.join(hot_keys, "order_id", "left_semi")
-        hot_header = broadcast_if_small(header.join(hot_keys, "order_id", "left_semi"), n_hot)
-        numbered = _number_hot(hot, "order_id", "product_id", "line_number", total)
-        fact = fact.unionByName(numbered.join(hot_header, "order_id", "inner"))
-
+    numbered, stats = _indexed_with_stats(body, "order_id", "product_id", "net_amount", pins)
+    stats = stats.select(F.col("order_id").alias("__order"), "__first", value("__high", "__low").alias("__order_net"))
+    per_order = header.join(stats, F.col("order_id") == F.col("__order")).drop("__order")
+    fact = numbered.join(per_order, "order_id")
     fact = fact.withColumns(
         {
+            "line_number": F.col("__idx") - F.col("__first") + 1,
             "order_freight": F.col("freight"),
             "freight_allocated": _freight_share(F.col("freight"), F.col("net_amount"), F.col("__order_net")),
             "etl_loaded_at": F.lit(run_ts).cast("timestamp"),
@@ -271,3 +208,12 @@ def build_fact(
     )
     fact = resolve_available_keys(fact, dims)
     return project_to(fact, FACT_SALES_LINE)
+
+
+def renumbered(fact: DataFrame, pins: str | None = None) -> DataFrame:
+    """Whole orders of fact rows with line numbers and freight shares anew."""
+    rows = number_within_groups(
+        fact.drop("line_number", "freight_allocated"), "order_id", "product_id", "line_number", ("net_amount", "__order_net"), pins
+    )
+    share = _freight_share(F.col("order_freight"), F.col("net_amount"), F.col("__order_net"))
+    return project_to(rows.withColumn("freight_allocated", share), FACT_SALES_LINE)

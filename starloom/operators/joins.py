@@ -1,57 +1,29 @@
-"""Join helpers: size-checked broadcast and the validity-range (as-of) lookup."""
+"""Lookup joins: the validity-range (as-of) lookup and the key lookup.
+
+Neither side is hinted: AQE broadcasts a dimension when its *measured* size is
+below ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and splits skewed
+partitions of a sort-merge join otherwise. Rows without a key can't match;
+instead of meeting in the one partition that holds NULL, they carry a spread
+value in a second join column that the dimension never has.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-BROADCAST_MAX_BYTES_CONF = "starloom.join.broadcastMaxBytes"
-DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-_FIXED_WIDTH = {
-    T.LongType: 8,
-    T.IntegerType: 4,
-    T.ShortType: 2,
-    T.ByteType: 1,
-    T.DoubleType: 8,
-    T.FloatType: 4,
-    T.BooleanType: 1,
-    T.DateType: 4,
-    T.TimestampType: 8,
-    T.TimestampNTZType: 8,
-    T.DecimalType: 16,
-}
 
+SPREAD = 4096  # partitions that rows without a key are dealt over, at most
 
-def estimated_row_bytes(schema: T.StructType, string_bytes: int = 32) -> int:
-    """Rough in-memory width of a row (UnsafeRow: 8-byte slots + variable data)."""
-    total = 8  # null bitmap
-    for f in schema.fields:
-        width = _FIXED_WIDTH.get(type(f.dataType))
-        total += 8 if width is not None else 8 + string_bytes
-    return total
 
+def _none(bk: str) -> str:
+    """0 for every member, in a form that isn't folded into a constant (which would keep it out of the join keys)."""
+    return f"pmod(xxhash64(`{bk}`), 1) AS __none"
 
-def broadcast_max_bytes(df: DataFrame) -> int:
-    raw = df.sparkSession.conf.get(BROADCAST_MAX_BYTES_CONF, None)
-    return int(raw) if raw else DEFAULT_BROADCAST_MAX_BYTES
 
-
-def broadcast_if_small(df: DataFrame, rows: int | None, max_bytes: int | None = None) -> DataFrame:
-    """Hint a broadcast only when the side's size is *known* to be small.
-
-    ``rows`` must come from a count the caller already holds (a published
-    manifest, a pinned delta); when it is unknown the frame is returned
-    unhinted and Catalyst/AQE choose from their own statistics, falling back to
-    a sort-merge join beyond the threshold.
-    """
-    if rows is None:
-        return df
-    limit = max_bytes if max_bytes is not None else broadcast_max_bytes(df)
-    if rows * estimated_row_bytes(df.schema) <= limit:
-        return F.broadcast(df)
-    return df
+def _spread(facts: DataFrame, key: Column) -> Column:
+    """0 where the key is set, else a number from 1 to SPREAD by the row's hash."""
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
+    return F.when(key.isNull(), F.pmod(row, F.lit(SPREAD)) + 1).otherwise(F.lit(0).cast("long"))
 
 
 def validity_lookup(
@@ -64,7 +36,6 @@ def validity_lookup(
     out_col: str,
     valid_from: str = "effective_from",
     valid_to: str = "effective_to",
-    dim_rows: int | None = None,
     unknown_sk: int = 0,
 ) -> DataFrame:
     """Left as-of join: the version of ``dim`` whose [from, to] range (both ends
@@ -73,18 +44,16 @@ def validity_lookup(
 
     Versions are never filtered on ``is_current``: back-dated facts resolve to
     the version valid at their own date. Planned as an equi-join on the
-    business key with the range as residual predicate - broadcast hash join
-    when the dimension is known to be small, otherwise sort-merge on the key
-    (hot keys are split by AQE's skew-join handling).
+    business key with the range as residual predicate.
     """
     d = dim.selectExpr(
-        f"`{dim_key}` AS __bk", f"`{valid_from}` AS __from", f"`{valid_to}` AS __to", f"`{sk}` AS __sk"
+        f"`{dim_key}` AS __bk", f"`{valid_from}` AS __from", f"`{valid_to}` AS __to", f"`{sk}` AS __sk", _none(dim_key)
     )
-    d = broadcast_if_small(d, dim_rows)
-    cond = F.expr(f"`{fact_key}` = __bk AND `{at}` BETWEEN __from AND __to")
-    joined = facts.join(d, cond, "left")
+    f = facts.withColumn("__spread", _spread(facts, F.col(fact_key)))
+    cond = F.expr(f"`{fact_key}` = __bk AND __spread = __none AND `{at}` BETWEEN __from AND __to")
+    joined = f.join(d, cond, "left")
     return joined.withColumn(out_col, F.expr(f"CAST(coalesce(__sk, {int(unknown_sk)}) AS BIGINT)")).drop(
-        "__bk", "__from", "__to", "__sk"
+        "__bk", "__from", "__to", "__sk", "__none", "__spread"
     )
 
 
@@ -95,13 +64,13 @@ def key_lookup(
     dim_key: str,
     sk: str,
     out_col: str,
-    dim_rows: int | None = None,
     unknown_sk: int = 0,
     cast: str = "long",
 ) -> DataFrame:
     """Left equi lookup of a surrogate key; ``unknown_sk`` where nothing matches."""
-    d = dim.selectExpr(f"`{dim_key}` AS __bk", f"`{sk}` AS __sk")
-    d = broadcast_if_small(d, dim_rows)
+    d = dim.selectExpr(f"`{dim_key}` AS __bk", f"`{sk}` AS __sk", _none(dim_key))
     key = F.col(fact_key) if isinstance(fact_key, str) else fact_key
-    joined = facts.join(d, key == F.col("__bk"), "left")
-    return joined.withColumn(out_col, F.expr(f"CAST(coalesce(__sk, {int(unknown_sk)}) AS {cast})")).drop("__bk", "__sk")
+    f = facts.withColumn("__spread", _spread(facts, key))
+    joined = f.join(d, (key == F.col("__bk")) & (F.col("__spread") == F.col("__none")), "left")
+    out = joined.withColumn(out_col, F.expr(f"CAST(coalesce(__sk, {int(unknown_sk)}) AS {cast})"))
+    return out.drop("__bk", "__sk", "__none", "__spread")

@@ -5,24 +5,27 @@
 :func:`dense_index` gives the same numbers with the work spread out:
 
 1. range-partition on the ordering columns and sort inside each partition
-   (one shuffle; a hot key range is split by the sampled bounds);
-2. pin that layout with a reliable ``checkpoint()`` so later passes (and task
-   retries after a lost executor) see exactly the same partitions;
+   (one shuffle; a hot key range is split by the sampled bounds), and note
+   each row's partition and place;
+2. write that layout once (the *pin*), so later passes - and task retries after
+   a lost executor - see exactly the same rows and places;
 3. count rows per partition - one small row per partition reaches the driver;
-4. index = start + (rows in earlier partitions) + (position inside partition).
+4. index = start + (rows in earlier partitions) + (place inside the partition),
+   the former from a broadcast frame of one row per partition.
 
-The per-partition offsets form a literal array whose length is the number of
-partitions, never the number of rows.
+Callers number narrow rows (keys) and fetch wide ones by a join. A run gives
+its own ``pins`` folder and removes it when it ends.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.session import ensure_checkpoint_dir
+from starloom.session import scratch_path
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -36,31 +39,29 @@ def dense_index(
     order_by: Sequence[str | Column],
     start: int = 1,
     index_col: str = "_idx",
+    pins: str | None = None,
 ) -> tuple[DataFrame, int]:
     """Return ``(df + index_col, row_count)``; index runs start..start+n-1 in
     ``order_by`` order (ties in an arbitrary but stable order)."""
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
     keys = _cols(order_by)
-    pinned = df.repartitionByRange(*keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    path = f"{pins}/{uuid.uuid4().hex}" if pins else scratch_path(spark, "pin")
+    place = F.monotonically_increasing_id()
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__place", place)
+    ranged.write.parquet(path)
+    pinned = spark.read.schema(ranged.schema).parquet(path)
 
-    pid = F.spark_partition_id()
+    pid = F.shiftright(F.col("__place"), _LOCAL_BITS)
     rows = pinned.groupBy(pid.alias("pid")).agg(F.count(F.lit(1)).alias("n")).collect()
-    counts = {r["pid"]: r["n"] for r in rows}
-    total = sum(counts.values())
+    offsets, total = [], 0
+    for r in sorted(rows, key=lambda r: r["pid"]):
+        offsets.append((r["pid"], start + total - (r["pid"] << _LOCAL_BITS)))
+        total += r["n"]
     if total == 0:
-        return pinned.withColumn(index_col, F.lit(None).cast("long")), 0
-
-    offsets, acc = [], 0
-    for p in range(max(counts) + 1):
-        offsets.append(acc)
-        acc += counts.get(p, 0)
-    # one array literal (length = number of partitions); element_at is 1-based
-    offsets_sql = "CAST(array(" + ", ".join(str(o) for o in offsets) + ") AS ARRAY<BIGINT>)"
-    index = (
-        f"CAST({int(start)} AS BIGINT) + element_at({offsets_sql}, spark_partition_id() + 1)"
-        f" + (monotonically_increasing_id() - shiftleft(CAST(spark_partition_id() AS BIGINT), {_LOCAL_BITS}))"
-    )
-    return pinned.withColumn(index_col, F.expr(index)), total
+        return pinned.drop("__place").withColumn(index_col, F.lit(None).cast("long")), 0
+    shift = F.broadcast(spark.createDataFrame(offsets, "__pid long, __shift long"))  # one row per partition
+    out = pinned.join(shift, pid == F.col("__pid")).withColumn(index_col, F.col("__place") + F.col("__shift"))
+    return out.drop("__place", "__pid", "__shift"), total
 
 
 def assign_surrogate_keys(
@@ -68,6 +69,7 @@ def assign_surrogate_keys(
     order_by: Sequence[str | Column],
     start: int,
     sk_col: str,
+    pins: str | None = None,
 ) -> tuple[DataFrame, int]:
     """Dense surrogate keys ``start, start+1, ...`` in business-key order.
 
@@ -75,12 +77,7 @@ def assign_surrogate_keys(
     Returns the numbered frame (SK first) and the number of keys handed out,
     which is what the key sequence advances by.
     """
-    numbered, n = dense_index(df, order_by, start=start, index_col=sk_col)
+    numbered, n = dense_index(df, order_by, start=start, index_col=sk_col, pins=pins)
     cols = [sk_col] + [c for c in df.columns if c != sk_col]
     return numbered.select(*cols), n
 
-
-def next_sk(dim: DataFrame, sk_col: str) -> int:
-    """``coalesce(max(sk), 0) + 1`` (one global aggregate)."""
-    mx = dim.agg(F.max(sk_col).alias("m")).first()["m"]
-    return (mx or 0) + 1

@@ -7,9 +7,12 @@ summaries (counts, audit, reconciliation).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.functions.exact import limb_sums, value
 from starloom.schemas import UNKNOWN_SK, DimensionSpec
 
 
@@ -42,6 +45,15 @@ def primary_key_check(df: DataFrame, key: list[str], table_name: str) -> DataFra
     ).select(F.lit(table_name).alias("table_name"), "rows", "duplicate_keys")
 
 
+def duplicate_keys(frames: dict[str, DataFrame]) -> DataFrame:
+    """``(key, duplicate_keys, example)`` of each named key (a frame of its
+    columns) that more than one row holds; no row for a unique one. One
+    aggregation over all keys, partially aggregated map-side."""
+    tagged = [df.select(F.lit(name).alias("key"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("(null)")) for c in df.columns]).alias("value")) for name, df in frames.items()]
+    held = _union_all(tagged).groupBy("key", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return held.groupBy("key").agg(F.count(F.lit(1)).alias("duplicate_keys"), F.min("value").alias("example"))
+
+
 def recent_runs(run_log: DataFrame, n: int = 10) -> DataFrame:
     """Top-n runs by id, newest first (a top-k: TakeOrderedAndProject)."""
     return run_log.orderBy(F.desc("run_id")).limit(n)
@@ -112,26 +124,26 @@ def unknown_audit(fact: DataFrame) -> DataFrame:
     )
 
 
-def exact_money_sum(c: Column, scale: int = 4) -> Column:
-    """Order-independent sum of a DOUBLE money column: each value rounded to
-    ``scale`` decimals, summed exactly, reported as DECIMAL(38, scale)."""
-    return F.sum(c.cast(f"decimal(18,{scale})")).cast(f"decimal(38,{scale})")
-
-
 def reconcile_net(fact: DataFrame, order_details: DataFrame) -> DataFrame:
     """Warehouse net sales vs. net computed straight from the source lines
     (lines are not joined to headers, so orphan lines show as a difference).
 
-    Both totals come from one global aggregate over the union of the two
-    inputs (each side fills its own column), so no join is needed."""
+    Both totals are exact sums (:mod:`starloom.functions.exact`) from one
+    global aggregate over the union of the two inputs (each side fills its own
+    column); the difference is taken before either is rounded to a DOUBLE."""
     src_net = (
         F.col("Quantity").cast("double") * F.col("UnitPrice").cast("double") * (F.lit(1) - F.col("Discount").cast("double"))
     )
     both = fact.select(F.col("net_amount").alias("__dw"), F.lit(None).cast("double").alias("__src")).unionByName(
         order_details.select(F.lit(None).cast("double").alias("__dw"), src_net.alias("__src"))
     )
-    totals = both.agg(exact_money_sum(F.col("__dw")).alias("dw_net_sales"), exact_money_sum(F.col("__src")).alias("oltp_net_sales"))
-    return totals.withColumn("diff", (F.col("dw_net_sales") - F.col("oltp_net_sales")).cast("decimal(38,4)"))
+    sums = both.agg(*limb_sums(F.col("__dw"), "dw_h", "dw_l"), *limb_sums(F.col("__src"), "src_h", "src_l"))
+    sums = sums.withColumns({"d_h": F.expr("dw_h - src_h"), "d_l": F.expr("dw_l - src_l")})
+    return sums.select(
+        value("dw_h", "dw_l").alias("dw_net_sales"),
+        value("src_h", "src_l").alias("oltp_net_sales"),
+        value("d_h", "d_l").alias("diff"),
+    )
 
 
 def as_of_star_query(
@@ -151,12 +163,38 @@ def as_of_star_query(
     the join then sees one row per version, so neither a hot member nor the
     unknown member can skew it; the final regroup is by attribute value.
     """
-    per_sk = fact.groupBy(sk).agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(F.col(measure).cast("decimal(18,4)")).alias("net")
-    )
+    per_sk = fact.groupBy(sk).agg(F.count(F.lit(1)).alias("lines"), *limb_sums(F.col(measure), "h", "l"))
     d = dim.select(F.col(sk).alias("__sk"), F.col(attribute).alias("__attr"))
     j = per_sk.join(d, per_sk[sk] == d["__sk"], "left")
-    value = F.when(F.col(sk) == UNKNOWN_SK, F.lit(unknown_label)).otherwise(F.col("__attr"))
-    return j.groupBy(value.alias(label)).agg(
-        F.sum("lines").cast("long").alias("lines"), F.sum("net").cast("decimal(38,4)").alias("net_sales")
-    )
+    named = F.when(F.col(sk) == UNKNOWN_SK, F.lit(unknown_label)).otherwise(F.col("__attr"))
+    out = j.groupBy(named.alias(label)).agg(F.sum("lines").cast("long").alias("lines"), F.sum("h").alias("h"), F.sum("l").alias("l"))
+    return out.select(label, "lines", value("h", "l").alias("net_sales"))
+
+
+@dataclass(frozen=True)
+class Axis:
+    """One axis of a star query: the fact's key column, the dimension, its key
+    column, and the attributes (output name -> dimension column) to group by."""
+
+    fact_sk: str
+    dim: DataFrame
+    dim_sk: str
+    attributes: dict[str, str]
+
+
+def star_query(fact: DataFrame, axes: list[Axis], measure: str = "net_amount", unknown_label: str = "Unknown") -> DataFrame:
+    """Lines and net sales by attributes of several dimensions, each as it was
+    at sale time; a dimension may take part in several roles (order month and
+    ship month). The fact is pre-aggregated on the keys it needs; what is left
+    is joined to the dimensions one after another, and regrouped after each,
+    so rows shrink before the next join. SK 0 is reported as ``unknown_label``."""
+    out = fact.groupBy(*dict.fromkeys(a.fact_sk for a in axes)).agg(F.count(F.lit(1)).alias("lines"), *limb_sums(F.col(measure), "h", "l"))
+    done: list[str] = []
+    for i, axis in enumerate(axes):
+        left = list(dict.fromkeys(a.fact_sk for a in axes[i + 1 :]))
+        d = axis.dim.select(F.col(axis.dim_sk).alias("__sk"), *[F.col(c).cast("string").alias(f"__a_{n}") for n, c in axis.attributes.items()])
+        j = out.join(d, F.col(axis.fact_sk) == F.col("__sk"), "left")
+        named = [F.when(F.col(axis.fact_sk) == UNKNOWN_SK, F.lit(unknown_label)).otherwise(F.col(f"__a_{n}")).alias(n) for n in axis.attributes]
+        out = j.groupBy(*done, *left, *named).agg(F.sum("lines").alias("lines"), F.sum("h").alias("h"), F.sum("l").alias("l"))
+        done += axis.attributes
+    return out.select(*done, F.col("lines").cast("long").alias("lines"), value("h", "l").alias("net_sales"))

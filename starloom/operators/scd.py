@@ -9,8 +9,10 @@ warehouse publishes as a new snapshot:
 * type 1 (overwrite): changed attributes are replaced in place, new members
   appended; surrogate keys never change.
 
-All joins are on the business key (hash-partitioned or broadcast when the
-delta is known to be small); delta frames are pinned once and reused.
+All joins are on the business key; surrogate keys are assigned on narrow
+(business key, hash) rows, pinned once in the run's ``pins`` folder, and the
+full rows are fetched by a join. Source business keys are unique (a load
+checks them before it publishes).
 """
 
 from __future__ import annotations
@@ -21,7 +23,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import broadcast_if_small
 from starloom.operators.keys import assign_surrogate_keys
 from starloom.schemas import OPEN_END, OPEN_START, UNKNOWN_SK, DimensionSpec, project_to
 
@@ -31,18 +32,32 @@ def _project(df: DataFrame, spec: DimensionSpec) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- SCD2
-def scd2_initial(staged: DataFrame, spec: DimensionSpec, start: int = 1) -> tuple[DataFrame, int]:
+def _numbered_rows(
+    staged: DataFrame, keys: DataFrame, spec: DimensionSpec, start: int, pins: str | None
+) -> tuple[DataFrame, int]:
+    """Rows of ``staged`` whose (business key, hash) is in ``keys``, with
+    surrogate keys from ``start`` in business-key order."""
+    numbered, n = assign_surrogate_keys(keys.select(spec.bk, "record_hash"), [spec.bk], start, spec.sk, pins)
+    return _rows_for_keys(staged.select(*spec.staged_columns), numbered, spec, "inner"), n
+
+
+def _opened(rows: DataFrame, spec: DimensionSpec, effective_from: _dt.date) -> DataFrame:
+    """Versions valid from a date, open-ended and current."""
+    return _project(
+        rows.withColumns(
+            {"effective_from": F.lit(effective_from), "effective_to": F.lit(OPEN_END), "is_current": F.lit(True)}
+        ),
+        spec,
+    )
+
+
+def scd2_initial(
+    staged: DataFrame, spec: DimensionSpec, start: int = 1, pins: str | None = None
+) -> tuple[DataFrame, int]:
     """First population: SKs from ``start`` in business-key order, every
     version valid 1900-01-01..9999-12-31 and current."""
-    numbered, n = assign_surrogate_keys(staged.select(*spec.staged_columns), [spec.bk], start, spec.sk)
-    out = numbered.withColumns(
-        {
-            "effective_from": F.lit(OPEN_START),
-            "effective_to": F.lit(OPEN_END),
-            "is_current": F.lit(True),
-        }
-    )
-    return _project(out, spec), n
+    rows, n = _numbered_rows(staged, staged, spec, start, pins)
+    return _opened(rows, spec, OPEN_START), n
 
 
 def scd2_delta_keys(staged: DataFrame, current: DataFrame, spec: DimensionSpec) -> DataFrame:
@@ -58,38 +73,32 @@ def scd2_delta_keys(staged: DataFrame, current: DataFrame, spec: DimensionSpec)
     return j.where(changed).select(spec.bk, "record_hash")
 
 
-def _rows_for_keys(staged: DataFrame, keys: DataFrame, spec: DimensionSpec, keys_rows: int | None, how: str):
+def _rows_for_keys(staged: DataFrame, keys: DataFrame, spec: DimensionSpec, how: str) -> DataFrame:
     """Full staged rows whose (business key, hash) is in ``keys`` (null-safe),
-    with the extra columns of ``keys``; ``keys`` broadcast when counted small."""
+    with the extra columns of ``keys``."""
     k = keys.withColumnsRenamed({spec.bk: "__k_bk", "record_hash": "__k_hash"})
     cond = F.col(spec.bk).eqNullSafe(F.col("__k_bk")) & (F.col("record_hash") == F.col("__k_hash"))
-    return staged.join(broadcast_if_small(k, keys_rows), cond, how).drop("__k_bk", "__k_hash")
+    return staged.join(k, cond, how).drop("__k_bk", "__k_hash")
 
 
 def scd2_delta(staged: DataFrame, current: DataFrame, spec: DimensionSpec) -> DataFrame:
     """Source rows that are new or changed (see :func:`scd2_delta_keys`)."""
     keys = scd2_delta_keys(staged, current, spec)
-    return _rows_for_keys(staged.select(*spec.staged_columns), keys, spec, None, "left_semi")
+    return _rows_for_keys(staged.select(*spec.staged_columns), keys, spec, "left_semi")
 
 
-def scd2_mark_closed(
-    current: DataFrame,
-    delta: DataFrame,
-    spec: DimensionSpec,
-    effective_date: _dt.date,
-    delta_rows: int | None = None,
+def scd2_close(
+    current: DataFrame, delta: DataFrame, spec: DimensionSpec, effective_date: _dt.date
 ) -> DataFrame:
-    """Current versions with the run's closings applied in one pass.
+    """Current versions with the run's closings applied, in one pass.
 
     A current version is closed when the delta holds its business key with a
     different hash; it then ends the day before ``effective_date`` and stops
     being current. The delta is folded to one row per key (min/max hash) so
-    the join never multiplies dimension rows, and broadcast when its size is
-    known to be small."""
+    the join never multiplies dimension rows."""
     marks = delta.groupBy(F.col(spec.bk).alias("__x_bk")).agg(
         F.min("record_hash").alias("__h_lo"), F.max("record_hash").alias("__h_hi")
     )
-    marks = broadcast_if_small(marks, delta_rows)
     j = current.join(marks, F.col(spec.bk) == F.col("__x_bk"), "left")
     h = F.col("record_hash")
     closing = F.col("is_current") & F.coalesce((F.col("__h_lo") != h) | (F.col("__h_hi") != h), F.lit(False))
@@ -102,32 +111,19 @@ def scd2_mark_closed(
     return _project(out, spec)
 
 
-def scd2_close(
-    current: DataFrame,
-    delta: DataFrame,
+def scd2_insert(
+    staged: DataFrame,
+    delta_keys: DataFrame,
     spec: DimensionSpec,
     effective_date: _dt.date,
-    delta_rows: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Split current versions into (kept, closed) - see :func:`scd2_mark_closed`."""
-    marked = scd2_mark_closed(current, delta, spec, effective_date, delta_rows)
-    return marked.where(F.col("is_current")), marked.where(~F.col("is_current"))
-
-
-def scd2_insert(
-    delta: DataFrame, spec: DimensionSpec, effective_date: _dt.date, start: int
+    start: int,
+    pins: str | None = None,
 ) -> tuple[DataFrame, int]:
-    """New versions (changed members) and new members, SKs from ``start`` in
-    business-key order, valid from ``effective_date``, open-ended, current."""
-    numbered, n = assign_surrogate_keys(delta.select(*spec.staged_columns), [spec.bk], start, spec.sk)
-    out = numbered.withColumns(
-        {
-            "effective_from": F.lit(effective_date),
-            "effective_to": F.lit(OPEN_END),
-            "is_current": F.lit(True),
-        }
-    )
-    return _project(out, spec), n
+    """New versions (changed members) and new members: the rows of ``staged``
+    named by ``delta_keys``, SKs from ``start`` in business-key order, valid
+    from ``effective_date``, open-ended, current."""
+    rows, n = _numbered_rows(staged, delta_keys, spec, start, pins)
+    return _opened(rows, spec, effective_date), n
 
 
 @dataclass
@@ -152,44 +148,41 @@ def scd2_apply(
     spec: DimensionSpec,
     effective_date: _dt.date,
     next_sk: int,
+    pins: str | None = None,
 ) -> Scd2Result:
     """Delta, close, insert in that order. ``current`` must hold only the
     current versions (history rows are untouched and need not be read); the
     result's ``versions`` are the new current set plus the versions this run
-    closed, computed in one pass over ``current``.
-
-    Surrogate keys are assigned on the narrow delta keys (pinned once and
-    counted); the full rows of the delta are then fetched from the source by
-    a join on (business key, hash) that broadcasts the keys when the count
-    says they are small. Source business keys are unique (its primary key)."""
+    closed, computed in one pass over ``current``."""
     keys = scd2_delta_keys(staged, current, spec)
-    numbered, n = assign_surrogate_keys(keys, [spec.bk], next_sk, spec.sk)  # pins the delta once
-    full = _rows_for_keys(staged.select(*spec.staged_columns), numbered, spec, n, "inner")
-    inserted = _project(
-        full.withColumns(
-            {"effective_from": F.lit(effective_date), "effective_to": F.lit(OPEN_END), "is_current": F.lit(True)}
-        ),
-        spec,
-    )
-    marked = scd2_mark_closed(current, numbered.select(spec.bk, "record_hash"), spec, effective_date, delta_rows=n)
+    inserted, n = scd2_insert(staged, keys, spec, effective_date, next_sk, pins)
+    marked = scd2_close(current, inserted.select(spec.bk, "record_hash"), spec, effective_date)
     return Scd2Result(marked.unionByName(inserted), inserted, n, next_sk + n)
 
 
 # --------------------------------------------------------------------------- SCD1
-def scd1_initial(staged: DataFrame, spec: DimensionSpec, start: int = 1) -> tuple[DataFrame, int]:
+def scd1_initial(
+    staged: DataFrame, spec: DimensionSpec, start: int = 1, pins: str | None = None
+) -> tuple[DataFrame, int]:
     """First population of an overwrite dimension: SKs in business-key order."""
-    numbered, n = assign_surrogate_keys(staged.select(*spec.staged_columns), [spec.bk], start, spec.sk)
-    return _project(numbered, spec), n
+    rows, n = _numbered_rows(staged, staged, spec, start, pins)
+    return _project(rows, spec), n
+
 
+def scd1_changed_keys(dim: DataFrame, staged: DataFrame, spec: DimensionSpec) -> DataFrame:
+    """Business keys of known members whose hash differs in the source."""
+    s = staged.select(F.col(spec.bk).alias("__s_bk"), F.col("record_hash").alias("__s_hash"))
+    known = dim.where(F.col(spec.sk) != UNKNOWN_SK).select(spec.bk, "record_hash")
+    return known.join(s, (F.col(spec.bk) == F.col("__s_bk")) & (F.col("record_hash") != F.col("__s_hash"))).select(spec.bk)
 
-def scd1_overwrite(dim: DataFrame, staged: DataFrame, spec: DimensionSpec, staged_rows: int | None = None) -> DataFrame:
+
+def scd1_overwrite(dim: DataFrame, staged: DataFrame, spec: DimensionSpec) -> DataFrame:
     """Overwrite the attributes (and hash) of members whose hash changed.
 
     The unknown member is never touched and surrogate keys never change, so
     facts already pointing at a member now show its new attributes."""
     attrs = spec.attributes + ["record_hash"]
     s = staged.selectExpr(f"`{spec.bk}` AS __s_bk", *[f"`{a}` AS `__s_{a}`" for a in attrs])
-    s = broadcast_if_small(s, staged_rows)
     j = dim.join(s, F.col(spec.bk) == F.col("__s_bk"), "left")
     changed = (
         f"(__s_bk IS NOT NULL AND `{spec.sk}` <> {UNKNOWN_SK} AND coalesce(record_hash <> __s_record_hash, false))"
@@ -210,19 +203,12 @@ def scd1_new_member_keys(dim: DataFrame, staged: DataFrame, spec: DimensionSpec)
     return staged.select(spec.bk, "record_hash").join(dim.select(spec.bk), spec.bk, "left_anti")
 
 
-def scd1_new_members(dim: DataFrame, staged: DataFrame, spec: DimensionSpec) -> DataFrame:
-    """Source members whose business key is not in the dimension at all."""
-    keys = scd1_new_member_keys(dim, staged, spec)
-    return _rows_for_keys(staged.select(*spec.staged_columns), keys, spec, None, "left_semi")
-
-
-def scd1_insert_new(dim: DataFrame, staged: DataFrame, spec: DimensionSpec, start: int) -> tuple[DataFrame, int]:
-    """New members numbered from ``start`` in business-key order. Keys are
-    numbered on the pinned narrow key set; full rows are fetched by a join
-    that broadcasts the counted keys."""
-    numbered, n = assign_surrogate_keys(scd1_new_member_keys(dim, staged, spec), [spec.bk], start, spec.sk)
-    full = _rows_for_keys(staged.select(*spec.staged_columns), numbered, spec, n, "inner")
-    return _project(full, spec), n
+def scd1_insert_new(
+    dim: DataFrame, staged: DataFrame, spec: DimensionSpec, start: int, pins: str | None = None
+) -> tuple[DataFrame, int]:
+    """New members numbered from ``start`` in business-key order."""
+    rows, n = _numbered_rows(staged, scd1_new_member_keys(dim, staged, spec), spec, start, pins)
+    return _project(rows, spec), n
 
 
 @dataclass
@@ -231,11 +217,15 @@ class Scd1Result:
     inserted: DataFrame
     new_rows: int
     next_sk: int
+    changed: bool  # whether the dimension differs from what it was
 
 
-def scd1_apply(dim: DataFrame, staged: DataFrame, spec: DimensionSpec, next_sk: int) -> Scd1Result:
+def scd1_apply(
+    dim: DataFrame, staged: DataFrame, spec: DimensionSpec, next_sk: int, pins: str | None = None
+) -> Scd1Result:
     """Overwrite changed members, then append new ones (both against the
     dimension as it was before the run)."""
+    inserted, n = scd1_insert_new(dim, staged, spec, next_sk, pins)
+    changed = n > 0 or not scd1_changed_keys(dim, staged, spec).isEmpty()
     overwritten = scd1_overwrite(dim, staged, spec)
-    inserted, n = scd1_insert_new(dim, staged, spec, next_sk)
-    return Scd1Result(overwritten.unionByName(inserted), inserted, n, next_sk + n)
+    return Scd1Result(overwritten.unionByName(inserted), inserted, n, next_sk + n, changed)

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.hashing import record_hash
-from starloom.operators.joins import broadcast_if_small
 
 
 def _project(df: DataFrame, mapping: list[tuple[str, str]], hash_cols: list[str]) -> DataFrame:
@@ -94,8 +93,6 @@ def stage_product(
     categories: DataFrame,
     suppliers: DataFrame,
     hash_cols: list[str] = PRODUCT_HASH,
-    categories_rows: int | None = None,
-    suppliers_rows: int | None = None,
 ) -> DataFrame:
     """Products denormalised with their category and supplier (left lookups,
     so a product with a dangling reference is kept with NULL attributes)."""
@@ -113,8 +110,8 @@ def stage_product(
     p = products.drop("CategoryName", "SupplierCompanyName", "SupplierCountry").withColumnsRenamed(
         {"CategoryID": "p_CategoryID", "SupplierID": "p_SupplierID"}
     )
-    j = p.join(broadcast_if_small(c, categories_rows), F.col("p_CategoryID") == F.col("CategoryID_c"), "left").join(
-        broadcast_if_small(s, suppliers_rows), F.col("p_SupplierID") == F.col("SupplierID_s"), "left"
+    j = p.join(c, F.col("p_CategoryID") == F.col("CategoryID_c"), "left").join(
+        s, F.col("p_SupplierID") == F.col("SupplierID_s"), "left"
     )
     return _project(
         j,
