@@ -2,7 +2,7 @@
 
     python -m starloom init        --warehouse PATH
     python -m starloom full        --warehouse PATH --source PATH
-    python -m starloom incremental --warehouse PATH --source PATH --effective-date 1998-05-07
+    python -m starloom incremental --warehouse PATH --source PATH --effective-date 2024-03-01
     python -m starloom validate    --warehouse PATH [--source PATH] [--strict]
     python -m starloom runs        --warehouse PATH
 

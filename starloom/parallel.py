@@ -8,17 +8,25 @@ connection, so none is opened or torn down per run.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, wait
 
 _POOL: ThreadPoolExecutor | None = None
 MAX_WORKERS = 8
+_NAME = "starloom"
 
 
 def run_parallel(tasks: dict[str, Callable[[], object]]) -> dict[str, object]:
-    """Run independent steps concurrently; results by name; the first error is re-raised."""
+    """Run independent steps concurrently; results by name. All steps end
+    before this returns: the first error is raised once the others are done,
+    so nothing goes on writing behind a failed run. A call from a step itself
+    runs its tasks one after another (the pool's threads may all be taken)."""
     global _POOL
+    if threading.current_thread().name.startswith(_NAME):
+        return {name: fn() for name, fn in tasks.items()}
     if _POOL is None:
-        _POOL = ThreadPoolExecutor(max_workers=MAX_WORKERS, thread_name_prefix="starloom")
+        _POOL = ThreadPoolExecutor(max_workers=MAX_WORKERS, thread_name_prefix=_NAME)
     futures = {name: _POOL.submit(fn) for name, fn in tasks.items()}
+    wait(futures.values())
     return {name: f.result() for name, f in futures.items()}

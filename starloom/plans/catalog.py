@@ -32,7 +32,7 @@ from starloom.operators.facts import (
     resolve_dimension_keys,
 )
 from starloom.operators.keys import assign_surrogate_keys
-from starloom.operators.scd import scd1_overwrite, scd2_delta
+from starloom.operators.scd import scd1_overwrite, scd2_close, scd2_delta, scd2_delta_keys, scd2_insert
 from starloom.operators.staging import (
     stage_customer,
     stage_employee,
@@ -42,9 +42,16 @@ from starloom.operators.staging import (
 )
 from starloom.plans.loads import full_load, incremental_load, star_dimensions
 from starloom.plans.warehouse import CURRENT, HISTORY, Manifest, Warehouse
-from starloom.schemas import CUSTOMER, EMPLOYEE, FACT_KEY, PRODUCT, SHIPPER, DimensionSpec
+from starloom.schemas import CUSTOMER, DIMENSIONS, EMPLOYEE, FACT_KEY, PRODUCT, SHIPPER, WATERMARK_ENTITY, DimensionSpec
 from starloom.session import scratch_path, session_id
-from starloom.sources.driver_tables import Scenario, driver_source, materialize, scenario
+from starloom.sources.driver_tables import (
+    RELOCATED,
+    RENAME_SUFFIX,
+    SHIPPER_NEW_NAME,
+    Scenario,
+    read_table,
+    scenario,
+)
 
 RUN_TS = _dt.datetime(2024, 1, 1, 0, 0, 0)  # load timestamp of catalog runs (never in results)
 
@@ -107,8 +114,7 @@ def single_pass_warehouse(spark: SparkSession, sf_dir: str) -> tuple[Warehouse,
     with _LOCK:
         if k not in _CACHE:
             root = scratch_path(spark, "single-pass")
-            src = materialize(driver_source(spark, sf_dir), scratch_path(spark, "source-all"))
-            _CACHE[k] = (root, full_load(spark, src, root, RUN_TS))
+            _CACHE[k] = (root, full_load(spark, get_scenario(spark, sf_dir).full, root, RUN_TS))
         root, m = _CACHE[k]  # type: ignore[misc]
     return Warehouse(spark, root), m
 
@@ -138,8 +144,8 @@ def _member_rows(df: DataFrame, spec: DimensionSpec, *extra: str) -> DataFrame:
 
 # ---------------------------------------------------------------- the queries
 def q_dim_date(spark, sf_dir):
-    b = built_warehouse(spark, sf_dir)
-    return b.wh(spark).table("dim_date", b.full)
+    wh, m = single_pass_warehouse(spark, sf_dir)
+    return wh.table("dim_date", m)
 
 
 def q_unknown_members(spark, sf_dir):
@@ -220,18 +226,23 @@ def q_surrogate_keys(spark, sf_dir):
 
 
 def q_sk_sequence(spark, sf_dir):
+    """Next key of each dimension, from its table, beside the one recorded by the run."""
     b = built_warehouse(spark, sf_dir)
-    return b.wh(spark).sequence_table(b.incremental)
+    wh, m = b.wh(spark), b.incremental
+    out = [wh.table(spec.table, m).agg((F.max(spec.sk) + 1).alias("next_sk")).select(F.lit(spec.name).alias("dim_name"), "next_sk") for spec in DIMENSIONS]
+    tables = out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+    recorded = wh.sequence_table(m).withColumnRenamed("next_sk", "recorded_next_sk")
+    return tables.join(recorded, "dim_name", "full")
 
 
 def q_scd2_initial_customer(spark, sf_dir):
-    b = built_warehouse(spark, sf_dir)
-    return b.wh(spark).table(CUSTOMER.table, b.full)
+    wh, m = single_pass_warehouse(spark, sf_dir)
+    return wh.table(CUSTOMER.table, m)
 
 
 def q_scd2_initial_product(spark, sf_dir):
-    b = built_warehouse(spark, sf_dir)
-    return b.wh(spark).table(PRODUCT.table, b.full)
+    wh, m = single_pass_warehouse(spark, sf_dir)
+    return wh.table(PRODUCT.table, m)
 
 
 def q_scd2_delta_customer(spark, sf_dir):
@@ -247,28 +258,36 @@ def q_scd2_delta_product(spark, sf_dir):
     return scd2_delta(stage_product(t1.products, t1.categories, t1.suppliers), current, PRODUCT)
 
 
-def _versions(b: Built, spark, part: str, where=None) -> DataFrame:
-    wh = b.wh(spark)
-    out = []
-    for spec in (CUSTOMER, PRODUCT):
-        df = wh.table(spec.table, b.incremental, part=part)
-        if where is not None:
-            df = df.where(where)
-        out.append(_member_rows(df, spec, "effective_from", "effective_to", "is_current", "record_hash"))
-    return out[0].unionByName(out[1])
+_SPAN = ("effective_from", "effective_to", "is_current", "record_hash")
+
+
+def _scd2_inputs(b: Built, spark, spec: DimensionSpec) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(current versions of the full load, staged members of t1, keys that changed)"""
+    current = b.wh(spark).table(spec.table, b.full, part=CURRENT)
+    t1 = b.scenario.t1
+    staged = stage_customer(t1.customers) if spec is CUSTOMER else stage_product(t1.products, t1.categories, t1.suppliers)
+    return current, staged, scd2_delta_keys(staged, current, spec)
 
 
 def q_scd2_close(spark, sf_dir):
-    """Versions closed by the incremental run (its history part)."""
+    """Versions that the change from t0 to t1 closes."""
     b = built_warehouse(spark, sf_dir)
-    return _versions(b, spark, HISTORY)
+    eff, out = _dt.date.fromisoformat(b.scenario.effective_date_iso), []
+    for spec in (CUSTOMER, PRODUCT):
+        current, _, keys = _scd2_inputs(b, spark, spec)
+        out.append(_member_rows(scd2_close(current, keys, spec, eff).where("NOT is_current"), spec, *_SPAN))
+    return out[0].unionByName(out[1])
 
 
 def q_scd2_insert(spark, sf_dir):
-    """Versions opened by the incremental run."""
+    """Versions that the change from t0 to t1 opens."""
     b = built_warehouse(spark, sf_dir)
-    eff = _dt.date.fromisoformat(b.scenario.effective_date_iso)
-    return _versions(b, spark, CURRENT, F.col("effective_from") == F.lit(eff))
+    eff, out = _dt.date.fromisoformat(b.scenario.effective_date_iso), []
+    for spec in (CUSTOMER, PRODUCT):
+        _, staged, keys = _scd2_inputs(b, spark, spec)
+        opened, _ = scd2_insert(staged, keys, spec, eff, b.full.next_sk[spec.name])
+        out.append(_member_rows(opened, spec, *_SPAN))
+    return out[0].unionByName(out[1])
 
 
 def q_scd2_apply_customer(spark, sf_dir):
@@ -313,13 +332,13 @@ def q_scd1_apply_shipper(spark, sf_dir):
 
 
 def q_scd1_initial_employee(spark, sf_dir):
-    b = built_warehouse(spark, sf_dir)
-    return b.wh(spark).table(EMPLOYEE.table, b.full)
+    wh, m = single_pass_warehouse(spark, sf_dir)
+    return wh.table(EMPLOYEE.table, m)
 
 
 def q_scd1_initial_shipper(spark, sf_dir):
-    b = built_warehouse(spark, sf_dir)
-    return b.wh(spark).table(SHIPPER.table, b.full)
+    wh, m = single_pass_warehouse(spark, sf_dir)
+    return wh.table(SHIPPER.table, m)
 
 
 def q_stage_sales_lines(spark, sf_dir):
@@ -334,11 +353,10 @@ def q_incremental_lines(spark, sf_dir):
 
 
 def q_resolve_keys(spark, sf_dir):
-    """The seven surrogate keys of every t0 line against the full-load dimensions."""
-    b = built_warehouse(spark, sf_dir)
-    t0 = b.scenario.t0
-    dims = star_dimensions(b.wh(spark), b.full)
-    r = resolve_dimension_keys(stage_sales_lines(t0.orders, t0.order_details), dims)
+    """The seven surrogate keys of every line against the full-load dimensions."""
+    wh, m = single_pass_warehouse(spark, sf_dir)
+    full = get_scenario(spark, sf_dir).full
+    r = resolve_dimension_keys(stage_sales_lines(full.orders, full.order_details), star_dimensions(wh, m))
     return r.select(
         "order_id",
         "product_id",
@@ -387,13 +405,17 @@ def q_fact_dedup(spark, sf_dir):
 
 
 def q_watermark(spark, sf_dir):
+    """Newest loaded order, from the fact, beside the watermark recorded by the run."""
     b = built_warehouse(spark, sf_dir)
-    return b.wh(spark).watermark_table(b.incremental).drop("updated_at")
+    wh, m = b.wh(spark), b.incremental
+    top = wh.table("fact_sales_line", m).agg(F.max("order_id").alias("last_order_id"))
+    recorded = wh.watermark_table(m).select("entity", F.col("last_order_id").alias("recorded_order_id"))
+    return recorded.join(top.withColumn("entity", F.lit(WATERMARK_ENTITY)), "entity", "full")
 
 
 def q_run_log_full(spark, sf_dir):
-    b = built_warehouse(spark, sf_dir)
-    return _run_log(b.wh(spark), b.full)
+    wh, m = single_pass_warehouse(spark, sf_dir)
+    return _run_log(wh, m)
 
 
 def q_run_log_incremental(spark, sf_dir):
@@ -402,8 +424,8 @@ def q_run_log_incremental(spark, sf_dir):
 
 
 def q_full_load_fact(spark, sf_dir):
-    b = built_warehouse(spark, sf_dir)
-    return _fact(b.wh(spark), b.full)
+    wh, m = single_pass_warehouse(spark, sf_dir)
+    return _fact(wh, m)
 
 
 def q_incremental_fact(spark, sf_dir):
@@ -429,23 +451,30 @@ def _warehouse_tables(wh: Warehouse, m: Manifest) -> dict[str, DataFrame]:
 
 
 def q_full_load_rerun(spark, sf_dir):
-    """Two full loads of t0 into one warehouse: tables reset, run log kept."""
+    """Fact after two full loads into one warehouse, and the runs its log keeps."""
     k = _key(spark, sf_dir, "rerun")
     with _LOCK:
         if k not in _CACHE:
-            sc = get_scenario(spark, sf_dir)
+            full = get_scenario(spark, sf_dir).full
             root = scratch_path(spark, "rerun")
-            full_load(spark, sc.t0, root, RUN_TS)
-            _CACHE[k] = (root, full_load(spark, sc.t0, root, RUN_TS))
+            full_load(spark, full, root, RUN_TS)
+            _CACHE[k] = (root, full_load(spark, full, root, RUN_TS))
         root, m = _CACHE[k]  # type: ignore[misc]
     wh = Warehouse(spark, root)
-    tables = _warehouse_tables(wh, m)
-    tables["ctl.etl_run_log"] = wh.table("etl_run_log", m)
-    return Q.row_counts(tables)
+    runs = wh.table("etl_run_log", m).agg(F.count(F.lit(1)).cast("int").alias("runs_logged"))
+    return _fact(wh, m).join(F.broadcast(runs))  # one row
 
 
 def q_simulate_changes(spark, sf_dir):
-    return source_counts(get_scenario(spark, sf_dir).t1)
+    """Rows of every table after the changes, and what the updates changed."""
+    is_ = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    changed = {
+        "Customers relocated": ("customers", is_(F.col("ContactTitle") == RELOCATED)),
+        "Products price sum": ("products", F.sum("UnitPrice")),
+        "Employees renamed": ("employees", is_(F.col("FirstName").endswith(RENAME_SUFFIX))),
+        "Shippers renamed": ("shippers", is_(F.col("CompanyName") == SHIPPER_NEW_NAME)),
+    }
+    return source_counts(get_scenario(spark, sf_dir).t1, changed)
 
 
 def q_pk_check(spark, sf_dir):
@@ -467,6 +496,42 @@ def q_pk_check(spark, sf_dir):
     return out
 
 
+def q_pk_check_violations(spark, sf_dir):
+    """The key check on keys of the test tables that do repeat."""
+    read = lambda name: read_table(spark, sf_dir, name)
+    checks = [
+        Q.primary_key_check(read("lineitem"), ["l_orderkey", "l_partkey"], "lineitem by order and part"),
+        Q.primary_key_check(read("lineitem"), ["l_orderkey", "l_linenumber"], "lineitem by order and line"),
+        Q.primary_key_check(read("orders"), ["o_custkey"], "orders by customer"),
+        Q.primary_key_check(read("part"), ["p_brand", "p_type"], "part by brand and type"),
+    ]
+    return checks[0].unionByName(checks[1]).unionByName(checks[2]).unionByName(checks[3])
+
+
+def _twice(spark, sf_dir, spec: DimensionSpec) -> DataFrame:
+    """A dimension in which every third member has a second current version."""
+    wh, m = single_pass_warehouse(spark, sf_dir)
+    dim = wh.table(spec.table, m)
+    again = dim.where(F.col(spec.sk) % 3 == 1).withColumn(spec.sk, F.col(spec.sk) + 1_000_000_000)
+    return dim.unionByName(again)
+
+
+def q_check_one_current_violations(spark, sf_dir):
+    out = []
+    for spec in (CUSTOMER, PRODUCT):
+        found = Q.check_one_current(_twice(spark, sf_dir, spec), spec)
+        out.append(found.select(F.lit(spec.table).alias("dim_name"), F.col(spec.bk).cast("string").alias("bk"), "current_rows"))
+    return out[0].unionByName(out[1])
+
+
+def q_check_overlap_violations(spark, sf_dir):
+    out = []
+    for spec in (CUSTOMER, PRODUCT):
+        found = Q.check_overlap(_twice(spark, sf_dir, spec), spec)
+        out.append(found.select(F.lit(spec.table).alias("dim_name"), F.col(spec.bk).cast("string").alias("bk")))
+    return out[0].unionByName(out[1])
+
+
 def q_validate_counts(spark, sf_dir):
     b = built_warehouse(spark, sf_dir)
     return Q.row_counts(_warehouse_tables(b.wh(spark), b.incremental))
@@ -549,6 +614,21 @@ def q_star_sales_by_customer_attr(spark, sf_dir):
     )
 
 
+def q_star_sales_by_month_category_segment(spark, sf_dir):
+    """Net sales by order month, ship month, product category and customer
+    segment, each as it was at sale time."""
+    b = built_warehouse(spark, sf_dir)
+    wh, m = b.wh(spark), b.incremental
+    date = wh.table("dim_date", m)
+    axes = [
+        Q.Axis("order_date_sk", date, "date_sk", {"order_year": "year", "order_month": "month_name"}),
+        Q.Axis("shipped_date_sk", date, "date_sk", {"ship_month": "month_name"}),
+        Q.Axis("product_sk", wh.table(PRODUCT.table, m), "product_sk", {"category": "category_name"}),
+        Q.Axis("customer_sk", wh.table(CUSTOMER.table, m), "customer_sk", {"segment": "contact_title"}),
+    ]
+    return Q.star_query(wh.table("fact_sales_line", m), axes)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_date": q_dim_date,
     "unknown_members": q_unknown_members,
@@ -590,6 +670,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "full_load_rerun": q_full_load_rerun,
     "simulate_changes": q_simulate_changes,
     "pk_check": q_pk_check,
+    "pk_check_violations": q_pk_check_violations,
+    "check_one_current_violations": q_check_one_current_violations,
+    "check_overlap_violations": q_check_overlap_violations,
     "validate_counts": q_validate_counts,
     "recent_runs": q_recent_runs,
     "check_one_current_customer": q_check_one_current_customer,
@@ -604,4 +687,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unknown_audit": q_unknown_audit,
     "reconcile_net": q_reconcile_net,
     "star_sales_by_customer_attr": q_star_sales_by_customer_attr,
+    "star_sales_by_month_category_segment": q_star_sales_by_month_category_segment,
 }

@@ -11,6 +11,7 @@ lineage, measured row counts for broadcast decisions).
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 
 from starloom.parallel import run_parallel
 from starloom.operators.dimensions import build_dim_date, unknown_member
-from starloom.operators.facts import StarDimensions, build_fact, fact_inputs, hot_group_keys
+from starloom.operators.facts import StarDimensions, build_fact, renumbered
+from starloom.operators.quality import duplicate_keys
 from starloom.operators.scd import scd1_apply, scd1_initial, scd2_apply, scd2_initial
 from starloom.operators.staging import (
     stage_customer,
@@ -27,11 +29,13 @@ from starloom.operators.staging import (
     stage_sales_lines,
     stage_shipper,
 )
-from starloom.plans.warehouse import CURRENT, HISTORY, Manifest, Warehouse, add_part, carry_parts, part_key
+from starloom.plans.warehouse import CURRENT, HISTORY, SORT, Manifest, Warehouse, add_part, carry_parts, part_key
 from starloom.schemas import (
     CUSTOMER,
+    DIMENSIONS,
     EMPLOYEE,
     ETL_RUN_LOG,
+    FACT_KEY,
     FULL_NOTE,
     INCREMENTAL_NOTE,
     OPEN_START,
@@ -39,12 +43,14 @@ from starloom.schemas import (
     SHIPPER,
     DimensionSpec,
 )
+from starloom.session import remove_folder
 from starloom.sources.source import Source
 
 RUN_LOG = "etl_run_log"
 FACT = "fact_sales_line"
-FACT_SORT = ["order_date_sk", "order_id", "product_id"]  # row groups clustered by order date; each run's
-# part covers its own order-id range (above the previous watermark), so older parts are skipped by footer stats
+
+class KeyViolation(RuntimeError):
+    """A key that must be unique isn't; the run was not published."""
 
 
 def _iso(v) -> str | None:
@@ -60,9 +66,9 @@ class _Written:
     next_sk: int | None = None
 
 
-def _merge(parts: dict, rows: dict, written: _Written) -> None:
+def _add(m: Manifest, written: _Written) -> None:
     for key, path, n, append in written.parts:
-        add_part(parts, rows, key, path, n, append=append)
+        add_part(m, key, path, n, append)
 
 
 def init_warehouse(spark: SparkSession, root: str) -> Manifest:
@@ -81,14 +87,55 @@ def star_dimensions(wh: Warehouse, m: Manifest) -> StarDimensions:
         employee=wh.table(EMPLOYEE.table, m),
         shipper=wh.table(SHIPPER.table, m),
         date=wh.table("dim_date", m),
-        customer_rows=wh.rows(CUSTOMER.table, m),
-        product_rows=wh.rows(PRODUCT.table, m),
-        employee_rows=wh.rows(EMPLOYEE.table, m),
-        shipper_rows=wh.rows(SHIPPER.table, m),
-        date_rows=wh.rows("dim_date", m),
     )
 
 
+def check_keys(wh: Warehouse, m: Manifest, new_fact: str | None) -> None:
+    """Raise unless every key of the state ``m`` is unique: surrogate keys,
+    the business keys of current members, and the keys of the fact rows that
+    the run wrote (older ones were checked by their run). One aggregation;
+    a duplicated source row shows as a member with two current versions."""
+    frames = {}
+    for spec in DIMENSIONS:
+        dim = wh.table(spec.table, m, part=CURRENT if spec.kind == "scd2" else None)
+        frames[f"{spec.table}.{spec.sk}"] = dim.select(spec.sk)
+        frames[f"{spec.table}.{spec.bk}"] = dim.select(spec.bk)
+    if new_fact is not None:
+        frames[f"{FACT}({', '.join(FACT_KEY)})"] = wh.spark.read.parquet(new_fact).select(*FACT_KEY)
+    bad = duplicate_keys(frames).collect()  # a row per broken key column
+    if bad:
+        raise KeyViolation("; ".join(f"{r.key}: {r.duplicate_keys} duplicated, such as {r.example}" for r in bad))
+
+
+def _staged(src: Source) -> dict:
+    """Per dimension, what stages its members."""
+    return {
+        CUSTOMER: lambda: stage_customer(src.customers),
+        PRODUCT: lambda: stage_product(src.products, src.categories, src.suppliers),
+        EMPLOYEE: lambda: stage_employee(src.employees),
+        SHIPPER: lambda: stage_shipper(src.shippers),
+    }
+
+
+def _attempt(load):
+    """Run a load; leave no pins, and nothing at all of a failed attempt."""
+
+    @functools.wraps(load)
+    def run(spark: SparkSession, src: Source, root: str, *args, **kwargs) -> Manifest:
+        wh = Warehouse(spark, root)
+        prev = wh.latest()
+        run_id = (prev.run_id if prev else 0) + 1
+        failed = True
+        try:
+            done = load(wh, prev, run_id, src, *args, **kwargs)
+            failed = False
+            return done
+        finally:
+            wh.end_attempt(run_id, failed)
+
+    return run
+
+
 def run_log_row(
     spark: SparkSession,
     run_id: int,
@@ -105,15 +152,15 @@ def run_log_row(
     )
 
 
-def _write_fact(wh: Warehouse, run_id: int, fact: DataFrame) -> tuple[str, int, dict]:
+def _write_fact(wh: Warehouse, run_id: int, fact: DataFrame, tag: str | None = None) -> tuple[str, int, dict]:
     """Write a fact part; its order-id range is observed during the write and
     kept in the manifest (prunes the de-dup of later runs to nothing)."""
     path, n, m = wh.write_part_observed(
         run_id,
         FACT,
         fact,
-        sort_by=FACT_SORT,
-        tag=f"r{run_id}",
+        sort_by=SORT[FACT],
+        tag=tag or f"r{run_id}",
         metrics={"min_order_id": F.min("order_id"), "max_order_id": F.max("order_id")},
     )
     return path, n, m
@@ -122,82 +169,57 @@ def _write_fact(wh: Warehouse, run_id: int, fact: DataFrame) -> tuple[str, int,
 # ------------------------------------------------------------------ full load
 def _initial_dimension(wh: Warehouse, run_id: int, spec: DimensionSpec, staged: DataFrame) -> _Written:
     build = scd2_initial if spec.kind == "scd2" else scd1_initial
-    initial, n_init = build(staged, spec, start=1)
+    initial, n_init = build(staged, spec, start=1, pins=wh.pins)
     dim = unknown_member(wh.spark, spec).unionByName(initial)
     part = CURRENT if spec.kind == "scd2" else None
     path, n = wh.write_part(run_id, spec.table, dim, part=part)
     return _Written([(part_key(spec.table, part), path, n, False)], members=n_init, next_sk=n_init + 1)
 
 
-def full_load(spark: SparkSession, src: Source, root: str, run_ts: _dt.datetime) -> Manifest:
-    """Rebuild every dimension and the fact from the whole source.
+def _log_run(wh: Warehouse, m: Manifest, customers: int, products: int, facts: int, notes: str) -> None:
+    ts, eff = _dt.datetime.fromisoformat(m.run_ts), _dt.date.fromisoformat(m.effective_date)
+    log = run_log_row(wh.spark, m.run_id, ts, m.run_type, eff, customers, products, facts, notes)
+    path, n = wh.write_part(m.run_id, RUN_LOG, log)
+    add_part(m, RUN_LOG, path, n, append=True)
 
-    Replaces dimensions, fact, watermark and key sequences (a re-run starts
-    from scratch); the run log is kept and the run id continues from it."""
-    wh = Warehouse(spark, root)
-    prev = wh.latest()
-    run_id = (prev.run_id if prev else 0) + 1
-    parts, rows = carry_parts(prev, [RUN_LOG])
+
+@_attempt
+def _full_load(wh: Warehouse, prev: Manifest | None, run_id: int, src: Source, run_ts: _dt.datetime) -> Manifest:
+    m = Manifest(run_id, "FULL", _iso(run_ts), _iso(OPEN_START), watermark_updated_at=_iso(run_ts))
+    m.stream_batch_id = prev.stream_batch_id if prev else None
+    carry_parts(m, prev, [RUN_LOG])
 
     def calendar() -> _Written:
         path, n = wh.write_part(run_id, "dim_date", build_dim_date(src.orders))
         return _Written([("dim_date", path, n, False)])
 
-    staged = {
-        CUSTOMER.name: lambda: stage_customer(src.customers),
-        PRODUCT.name: lambda: stage_product(src.products, src.categories, src.suppliers),
-        EMPLOYEE.name: lambda: stage_employee(src.employees),
-        SHIPPER.name: lambda: stage_shipper(src.shippers),
-    }
     tasks = {"dim_date": calendar}
-    for spec in (CUSTOMER, PRODUCT, EMPLOYEE, SHIPPER):
-        tasks[spec.name] = lambda spec=spec: _initial_dimension(wh, run_id, spec, staged[spec.name]())
-    # hot orders do not depend on the dimensions: count them meanwhile
-    tasks["hot_orders"] = lambda: hot_group_keys(fact_inputs(src.orders, src.order_details)[1], "order_id")
+    for spec, staged in _staged(src).items():
+        tasks[spec.name] = lambda spec=spec, staged=staged: _initial_dimension(wh, run_id, spec, staged())
     done = run_parallel(tasks)
-    hot_orders = done.pop("hot_orders")
     for w in done.values():
-        _merge(parts, rows, w)  # type: ignore[arg-type]
-    next_sk = {spec.name: done[spec.name].next_sk for spec in (CUSTOMER, PRODUCT, EMPLOYEE, SHIPPER)}
+        _add(m, w)  # type: ignore[arg-type]
+    m.next_sk = {spec.name: done[spec.name].next_sk for spec in DIMENSIONS}
 
     # fact, resolved against the dimensions just written
-    staging = Manifest(run_id=run_id, run_type="FULL", parts=parts, rows=rows)
-    fact = build_fact(src.orders, src.order_details, star_dimensions(wh, staging), run_ts, hot_orders=hot_orders)
-    fact_path, n_fact, stats = _write_fact(wh, run_id, fact)
-    add_part(parts, rows, FACT, fact_path, n_fact, append=False)
-    fact_max = stats["max_order_id"]
-
-    log = run_log_row(
-        spark,
-        run_id,
-        run_ts,
-        "FULL",
-        OPEN_START,
-        done[CUSTOMER.name].members,
-        done[PRODUCT.name].members,
-        n_fact,
-        FULL_NOTE,
-    )
-    path, n = wh.write_part(run_id, RUN_LOG, log)
-    add_part(parts, rows, RUN_LOG, path, n, append=True)
-
-    return wh.publish(
-        after=prev.run_id if prev else None,
-        manifest=Manifest(
-            run_id=run_id,
-            run_type="FULL",
-            run_ts=_iso(run_ts),
-            effective_date=_iso(OPEN_START),
-            watermark=fact_max,
-            watermark_updated_at=_iso(run_ts),
-            fact_max_order_id=fact_max,
-            next_sk=next_sk,
-            parts=parts,
-            rows=rows,
-            stream_batch_id=prev.stream_batch_id if prev else None,
-            part_stats={fact_path: stats} if n_fact else {},
-        ),
-    )
+    fact = build_fact(src.orders, src.order_details, star_dimensions(wh, m), run_ts, pins=wh.pins)
+    path, n_fact, stats = _write_fact(wh, run_id, fact)
+    add_part(m, FACT, path, n_fact, append=False)
+    if n_fact:
+        m.part_stats[path] = stats
+    m.watermark = m.fact_max_order_id = stats["max_order_id"]
+    check_keys(wh, m, path)
+    _log_run(wh, m, done[CUSTOMER.name].members, done[PRODUCT.name].members, n_fact, FULL_NOTE)
+    return wh.publish(wh.merge_parts(m), after=prev.run_id if prev else None)
+
+
+def full_load(spark: SparkSession, src: Source, root: str, run_ts: _dt.datetime) -> Manifest:
+    """Rebuild every dimension and the fact from the whole source.
+
+    Replaces dimensions, fact, watermark and key sequences (a re-run starts
+    from scratch); the run log is kept and the run id continues from it.
+    Raises :class:`KeyViolation`, publishing nothing, if a source key isn't unique."""
+    return _full_load(spark, src, root, run_ts)
 
 
 # ------------------------------------------------------------------ incremental load
@@ -209,7 +231,7 @@ def _scd2_step(
     current part replaces the previous one, closed versions are appended to
     the history."""
     current = wh.table(spec.table, prev, part=CURRENT)
-    res = scd2_apply(current, staged, spec, effective_date, prev.next_sk.get(spec.name, 1))
+    res = scd2_apply(current, staged, spec, effective_date, prev.next_sk.get(spec.name, 1), wh.pins)
     out = _Written([], members=res.delta_rows, next_sk=res.next_sk)
     if res.delta_rows:
         written = wh.write_split_parts(
@@ -225,18 +247,78 @@ def _scd2_step(
 
 
 def _scd1_step(wh: Warehouse, prev: Manifest, run_id: int, spec: DimensionSpec, staged: DataFrame) -> _Written:
-    res = scd1_apply(wh.table(spec.table, prev), staged, spec, prev.next_sk.get(spec.name, 1))
+    res = scd1_apply(wh.table(spec.table, prev), staged, spec, prev.next_sk.get(spec.name, 1), wh.pins)
+    if not res.changed:
+        return _Written([], members=0, next_sk=res.next_sk)
     path, n = wh.write_part(run_id, spec.table, res.dim)
     return _Written([(spec.table, path, n, False)], members=res.new_rows, next_sk=res.next_sk)
 
 
+def _next(wh: Warehouse, prev: Manifest | None, run_id: int, effective_date: _dt.date, run_ts: _dt.datetime) -> Manifest:
+    """Manifest of an incremental run that so far changes nothing."""
+    prev = wh.require() if prev is None else prev
+    if prev.run_type == "INIT":
+        raise RuntimeError("incremental load needs a full load first")
+    m = Manifest(run_id, "INCREMENTAL", _iso(run_ts), _iso(effective_date), prev.watermark, _iso(run_ts), prev.fact_max_order_id)
+    m.next_sk, m.stream_batch_id = dict(prev.next_sk), prev.stream_batch_id
+    m.dimension_version, m.rejected_lines = prev.dimension_version, prev.rejected_lines
+    return carry_parts(m, prev, list(prev.parts))
+
+
+def _dimension_steps(wh: Warehouse, prev: Manifest, run_id: int, src: Source, effective_date: _dt.date) -> dict:
+    tasks = {}
+    for spec, staged in _staged(src).items():
+        if spec.kind == "scd2":
+            tasks[spec.name] = lambda spec=spec, staged=staged: _scd2_step(wh, prev, run_id, spec, staged(), effective_date)
+        else:
+            tasks[spec.name] = lambda spec=spec, staged=staged: _scd1_step(wh, prev, run_id, spec, staged())
+    return tasks
+
+
+def _add_dimensions(m: Manifest, done: dict) -> tuple[int, int]:
+    """Take over the written dimensions; new and changed customers, products."""
+    for spec in DIMENSIONS:
+        if spec.name in done:
+            _add(m, done[spec.name])
+            m.next_sk[spec.name] = done[spec.name].next_sk
+    return tuple(done[s.name].members if s.name in done else 0 for s in (CUSTOMER, PRODUCT))
+
+
+@_attempt
+def _incremental_load(
+    wh: Warehouse, prev: Manifest | None, run_id: int, src: Source, effective_date: _dt.date, run_ts: _dt.datetime
+) -> Manifest:
+    m = _next(wh, prev, run_id, effective_date, run_ts)
+    wm = m.watermark
+    # fact parts that could hold an order above the watermark (normally none)
+    colliding = wh.fact_parts_above(wm, m) if wm is not None else None
+    tasks = _dimension_steps(wh, prev, run_id, src, effective_date)
+    if colliding is not None:  # else keys are unique, so every staged line is one fact row written below
+        tasks["staged_lines"] = lambda: stage_sales_lines(src.orders, src.order_details, min_order_id_exclusive=wm).count()
+    done = run_parallel(tasks)
+    customers, products = _add_dimensions(m, done)
+
+    n_new, path = 0, None
+    if wm is not None:  # a NULL watermark ("order id > NULL") selects nothing
+        dims = star_dimensions(wh, m)
+        fact = build_fact(src.orders, src.order_details, dims, run_ts, wm, existing_fact=colliding, pins=wh.pins)
+        path, n_new, stats = _write_fact(wh, run_id, fact)
+        _add_fact(m, path, n_new, stats)
+    check_keys(wh, m, path if n_new else None)
+    m.watermark = m.fact_max_order_id if m.fact_max_order_id is not None else wm
+    _log_run(wh, m, customers, products, done.get("staged_lines", n_new), INCREMENTAL_NOTE)
+    return wh.publish(wh.merge_parts(m), after=prev.run_id)
+
+
+def _add_fact(m: Manifest, path: str, n: int, stats: dict) -> None:
+    if n:
+        add_part(m, FACT, path, n, append=True)
+        m.part_stats[path] = stats
+        m.fact_max_order_id = max(stats["max_order_id"], m.fact_max_order_id or stats["max_order_id"])
+
+
 def incremental_load(
-    spark: SparkSession,
-    src: Source,
-    root: str,
-    effective_date: _dt.date,
-    run_ts: _dt.datetime,
-    stream_batch_id: int | None = None,
+    spark: SparkSession, src: Source, root: str, effective_date: _dt.date, run_ts: _dt.datetime
 ) -> Manifest:
     """Apply source changes as of ``effective_date`` and load new orders.
 
@@ -244,106 +326,113 @@ def incremental_load(
     ``effective_date`` (older orders of a brand-new member therefore resolve
     to the unknown member); type-1 members are overwritten or appended; order
     lines above the watermark and not yet loaded become fact rows, resolved
-    against the dimensions as updated by this run."""
-    wh = Warehouse(spark, root)
-    prev = wh.require()
-    if prev.run_type == "INIT":
-        raise RuntimeError("incremental load needs a full load first")
-    run_id = prev.run_id + 1
-    parts, rows = carry_parts(prev, list(prev.parts))
-    wm = prev.watermark
-    # fact parts that could hold an order above the watermark (normally none)
-    colliding = wh.fact_parts_above(wm, prev) if wm is not None else None
-
-    def staged_line_count() -> int:
-        """Lines above the watermark before de-dup (for the run log). Only
-        needed as a separate job when loaded parts could collide; otherwise
-        it equals the number of fact rows written, observed during the write."""
-        if wm is None or colliding is None:
-            return -1
-        return stage_sales_lines(src.orders, src.order_details, min_order_id_exclusive=wm).count()
-
-    done = run_parallel(
-        {
-            CUSTOMER.name: lambda: _scd2_step(wh, prev, run_id, CUSTOMER, stage_customer(src.customers), effective_date),
-            PRODUCT.name: lambda: _scd2_step(
-                wh,
-                prev,
-                run_id,
-                PRODUCT,
-                stage_product(src.products, src.categories, src.suppliers),
-                effective_date,
-            ),
-            EMPLOYEE.name: lambda: _scd1_step(wh, prev, run_id, EMPLOYEE, stage_employee(src.employees)),
-            SHIPPER.name: lambda: _scd1_step(wh, prev, run_id, SHIPPER, stage_shipper(src.shippers)),
-            "staged_lines": staged_line_count,
-            "hot_orders": lambda: (
-                hot_group_keys(fact_inputs(src.orders, src.order_details, wm, colliding)[1], "order_id")
-                if wm is not None
-                else None
-            ),
-        }
-    )
-    hot_orders = done.pop("hot_orders")
-    next_sk = dict(prev.next_sk)
-    for spec in (CUSTOMER, PRODUCT, EMPLOYEE, SHIPPER):
-        w = done[spec.name]
-        _merge(parts, rows, w)  # type: ignore[arg-type]
-        next_sk[spec.name] = w.next_sk  # type: ignore[union-attr]
-    staged_lines = int(done["staged_lines"])  # type: ignore[arg-type]
-
-    fact_max = prev.fact_max_order_id
-    part_stats = {p: st for p, st in prev.part_stats.items() if p in prev.parts.get(FACT, [])}
-    n_new = 0
-    if wm is not None:  # a NULL watermark ("order id > NULL") selects nothing
-        now = Manifest(run_id=run_id, run_type="INCREMENTAL", parts=parts, rows=rows)
-        fact = build_fact(
-            src.orders,
-            src.order_details,
-            star_dimensions(wh, now),
-            run_ts,
-            min_order_id_exclusive=wm,
-            existing_fact=colliding,
-            hot_orders=hot_orders,
-        )
-        path, n_new, stats = _write_fact(wh, run_id, fact)
-        if n_new:
-            add_part(parts, rows, FACT, path, n_new, append=True)
-            part_stats[path] = stats
-            new_max = stats["max_order_id"]
-            fact_max = new_max if fact_max is None else max(fact_max, new_max)
-    if staged_lines < 0:
-        staged_lines = n_new
-    watermark = fact_max if fact_max is not None else wm
-
-    log = run_log_row(
-        spark,
-        run_id,
-        run_ts,
-        "INCREMENTAL",
-        effective_date,
-        done[CUSTOMER.name].members,  # type: ignore[union-attr]
-        done[PRODUCT.name].members,  # type: ignore[union-attr]
-        staged_lines,
-        INCREMENTAL_NOTE,
-    )
-    path, n = wh.write_part(run_id, RUN_LOG, log)
-    add_part(parts, rows, RUN_LOG, path, n, append=True)
-
-    return wh.publish(
-        after=prev.run_id,
-        manifest=Manifest(
-            run_id=run_id,
-            run_type="INCREMENTAL",
-            run_ts=_iso(run_ts),
-            effective_date=_iso(effective_date),
-            watermark=watermark,
-            watermark_updated_at=_iso(run_ts),
-            fact_max_order_id=fact_max,
-            next_sk=next_sk,
-            parts=parts,
-            rows=rows,
-            stream_batch_id=stream_batch_id if stream_batch_id is not None else prev.stream_batch_id,
-            part_stats=part_stats,
-        ),
-    )
+    against the dimensions as updated by this run. Raises
+    :class:`KeyViolation`, publishing nothing, if a source key isn't unique."""
+    return _incremental_load(spark, src, root, effective_date, run_ts)
+
+
+# ------------------------------------------------------------------ landed lines
+PENDING = "pending_lines"  # landed lines whose order header is not there yet
+
+
+@_attempt
+def _lines_load(
+    wh: Warehouse,
+    prev: Manifest | None,
+    run_id: int,
+    src: Source,
+    lines: DataFrame,
+    batch_id: int,
+    effective_date: _dt.date,
+    run_ts: _dt.datetime,
+    dimension_version: str | None,
+) -> Manifest:
+    m = _next(wh, prev, run_id, effective_date, run_ts)
+    m.stream_batch_id = batch_id
+    done = {}
+    if dimension_version is None or dimension_version != prev.dimension_version:
+        done = run_parallel(_dimension_steps(wh, prev, run_id, src, effective_date))
+        m.dimension_version = dimension_version
+    customers, products = _add_dimensions(m, done)
+
+    key = ["OrderID", "ProductID"]
+    no_key = F.col("OrderID").isNull() | F.col("ProductID").isNull()
+    m.rejected_lines += lines.where(no_key).count()
+    landed = lines.where(~no_key)
+    if prev.parts.get(PENDING):
+        landed = landed.unionByName(wh.spark.read.schema(landed.schema).parquet(*prev.parts[PENDING]))
+    rest = [c for c in landed.columns if c not in key]
+    landed = landed.groupBy(*key).agg(F.min(F.struct(*rest)).alias("l")).select(*key, "l.*")  # a line that landed twice counts once
+    ids = landed.select("OrderID").distinct()
+    headers = src.orders.join(ids, "OrderID", "left_semi")
+    waiting = landed.join(headers.select("OrderID"), "OrderID", "left_anti")
+    path = f"{wh.root}/runs/{run_id}-{wh.attempt}/{PENDING}"
+    waiting.write.parquet(path)
+    n_waiting = wh.spark.read.schema(waiting.schema).parquet(path).count()
+    m.parts.pop(PENDING, None)
+    m.rows.pop(PENDING, None)
+    if n_waiting:
+        add_part(m, PENDING, path, n_waiting, append=False)
+
+    # lines not loaded yet, and the loaded lines of the orders they belong to
+    loaded = wh.table(FACT, m)
+    touched = ids.select(F.col("OrderID").cast("long").alias("order_id"))
+    old = loaded.join(touched, "order_id", "left_semi")
+    new = build_fact(headers, landed, star_dimensions(wh, m), run_ts, existing_fact=old, pins=wh.pins)
+    fresh, n_new, _ = wh.write_part_observed(run_id, FACT, new, tag="landed")
+    n_old = 0
+    if n_new:
+        new = wh.spark.read.schema(loaded.schema).parquet(fresh)
+        again = old.join(new.select("order_id").distinct(), "order_id", "left_semi")
+        path, n_all, stats = _write_fact(wh, run_id, renumbered(again.unionByName(new), wh.pins))
+        n_old = n_all - n_new
+        if n_old:
+            _take_out(wh, m, wh.spark.read.schema(loaded.schema).parquet(path).select("order_id").distinct(), stats)
+        _add_fact(m, path, n_all, stats)
+        remove_folder(wh.spark, fresh)
+    check_keys(wh, m, path if n_new else None)
+    m.watermark = m.fact_max_order_id
+    _log_run(wh, m, customers, products, n_new, f"{STREAM_NOTE}: {n_old} lines renumbered, {n_waiting} waiting")
+    return wh.publish(wh.merge_parts(m), after=prev.run_id)
+
+
+STREAM_NOTE = "Landed lines loaded"
+
+
+def _take_out(wh: Warehouse, m: Manifest, orders: DataFrame, stats: dict) -> None:
+    """Rewrite, without these orders, the fact parts whose order range meets theirs."""
+    for i, p in enumerate(list(m.parts.get(FACT, []))):
+        s = m.part_stats.get(p)
+        if s and (s["max_order_id"] < stats["min_order_id"] or s["min_order_id"] > stats["max_order_id"]):
+            continue
+        kept = wh.spark.read.schema(wh.empty(FACT).schema).parquet(p).join(orders, "order_id", "left_anti")
+        path, n, new_stats = _write_fact(wh, m.run_id, kept, tag=f"without{i}")
+        at = m.parts[FACT].index(p)
+        m.parts[FACT][at : at + 1] = [path] if n else []
+        m.rows[FACT] += n - m.part_rows.get(p, n)
+        m.part_rows[path] = n
+        m.part_stats.pop(p, None)
+        if n:
+            m.part_stats[path] = new_stats
+
+
+def lines_load(
+    spark: SparkSession,
+    src: Source,
+    root: str,
+    lines: DataFrame,
+    batch_id: int,
+    effective_date: _dt.date,
+    run_ts: _dt.datetime,
+    dimension_version: str | None = None,
+) -> Manifest:
+    """Load order lines in whatever order they land, without a watermark.
+
+    A line is loaded once, by its (order, product); lines of an order that has
+    fact rows already renumber the whole order and share its freight anew, so
+    orders split over batches end as if loaded at once. Lines whose header is
+    missing wait in the warehouse and are tried again with every batch; lines
+    without an order or product id are counted in the manifest. Dimensions are
+    applied only if ``dimension_version`` differs from the last run's (or is
+    ``None``)."""
+    return _lines_load(spark, src, root, lines, batch_id, effective_date, run_ts, dimension_version)

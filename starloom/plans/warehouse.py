@@ -3,19 +3,21 @@
 Layout under the warehouse root (any Hadoop-compatible path)::
 
     runs/<run_id>-<attempt>/<part>/  parquet written by one attempt of a run
-    _manifests/run_id=<run_id>/    one JSON line: every live part, the control
-                                   state (watermark, key sequences) and row counts
+    _manifests/<run_id>.json       every live part, the control state (watermark,
+                                   key sequences) and row counts
 
 A run writes all of its parts first and its manifest last; readers take the
-newest manifest. A run that dies before its manifest leaves only unreferenced
-folders behind, so every run is published all-or-nothing. Every attempt
-writes its own folders (a retry or a concurrent attempt never overwrites
-another's files), and publishing checks that no other run was published since
-the attempt started, so of two overlapping runs one fails cleanly.
+newest manifest. Every attempt writes its own folder and removes it if it
+fails, and its pins in any case; every run is published all-or-nothing. The
+manifest file is created exclusively, and only if no other run was published
+since the attempt started, so of two overlapping runs one fails cleanly.
 
 Part kinds: type-2 dimensions keep ``<dim>#current`` (rewritten when it
-changes) and ``<dim>#history`` (closed versions, append-only); facts and the
-run log are append-only; the calendar and type-1 dimensions are one part each.
+changes) and ``<dim>#history`` (closed versions); facts, history and the run
+log grow by one part per run until a key has more than ``MAX_PARTS``, when the
+smaller ones are merged into one, so neither the manifest nor a scan's list of
+paths grows with the number of runs. The calendar and type-1 dimensions are
+one part each.
 """
 
 from __future__ import annotations
@@ -25,7 +27,6 @@ import json
 import uuid
 from dataclasses import asdict, dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +38,12 @@ from starloom.schemas import (
     WATERMARK_ENTITY,
 )
 
+from starloom.session import create_small_file, list_folder, read_small_file, remove_folder
+
 CURRENT, HISTORY = "current", "history"
+MAX_PARTS = 8
+MERGED_FILE_ROWS = 4_000_000  # rows per file of a merged part
+SORT = {"fact_sales_line": ["order_date_sk", "order_id", "product_id"]}  # row groups clustered by order date
 
 
 @dataclass
@@ -50,10 +56,13 @@ class Manifest:
     watermark_updated_at: str | None = None
     fact_max_order_id: int | None = None
     next_sk: dict[str, int] = field(default_factory=dict)
+    stream_batch_id: int | None = None  # last micro-batch applied (exactly-once guard)
+    dimension_version: str | None = None  # version of the dimension source that was applied last
+    rejected_lines: int = 0  # landed lines without an order or product id, so far
     parts: dict[str, list[str]] = field(default_factory=dict)  # part key -> paths
     rows: dict[str, int] = field(default_factory=dict)  # part key -> rows (sum over paths)
-    stream_batch_id: int | None = None  # last streaming micro-batch applied (exactly-once guard)
     part_stats: dict[str, dict] = field(default_factory=dict)  # path -> {"min_order_id", "max_order_id"}
+    part_rows: dict[str, int] = field(default_factory=dict)  # path -> rows, of the parts that grow by appending
 
     def to_json(self) -> str:
         return json.dumps(asdict(self), sort_keys=True)
@@ -81,22 +90,27 @@ class Warehouse:
     def manifest_dir(self) -> str:
         return f"{self.root}/_manifests"
 
+    @property
+    def pins(self) -> str:
+        """Folder of what this attempt pins; gone when it ends."""
+        return f"{self.root}/runs/pins-{self.attempt}"
+
+    def latest_run(self) -> int | None:
+        """Id of the newest published run, from the names of the manifests."""
+        names = list_folder(self.spark, self.manifest_dir)
+        ids = [int(n[: -len(".json")]) for n in names or [] if n.endswith(".json") and n[: -len(".json")].isdigit()]
+        return max(ids, default=None)
+
     def latest(self) -> Manifest | None:
-        """Newest published manifest. The manifest folders are only *listed*
-        (file metadata, no content read); then the newest one is read."""
-        try:
-            listing = self.spark.read.format("binaryFile").load(self.manifest_dir).select("run_id")
-        except AnalysisException:
-            return None
-        top = listing.agg(F.max("run_id").alias("rid")).first()
-        return self.manifest(int(top["rid"])) if top and top["rid"] is not None else None
+        """Newest published manifest, ``None`` before the first run."""
+        run_id = self.latest_run()
+        return None if run_id is None else self.manifest(run_id)
 
     def manifest(self, run_id: int) -> Manifest:
         """The manifest of one past run (time travel to that state)."""
-        raw = self.spark.read.text(f"{self.manifest_dir}/run_id={run_id}").collect()
-        if not raw:
+        if f"{run_id}.json" not in (list_folder(self.spark, self.manifest_dir) or []):
             raise RuntimeError(f"run {run_id} was never published under {self.root}")
-        return Manifest.from_json(raw[0]["value"])
+        return Manifest.from_json(read_small_file(self.spark, f"{self.manifest_dir}/{run_id}.json"))
 
     def require(self) -> Manifest:
         m = self.latest()
@@ -214,42 +228,79 @@ class Warehouse:
         counts = {labels[0]: int(got["a"] or 0), labels[1]: int(got["b"] or 0)}
         return {lab: (f"{path}/__part={lab}", n) for lab, n in counts.items() if n}
 
+    def merge_parts(self, m: Manifest) -> Manifest:
+        """``m`` with the smaller parts of every key that has more than
+        ``MAX_PARTS`` merged into one. A merge leaves half as many parts, so a
+        row is rewritten about as often as its table doubles."""
+        for key, paths in m.parts.items():
+            if len(paths) <= MAX_PARTS:
+                continue
+            by_size = sorted(paths, key=lambda p: m.part_rows.get(p, 0))
+            small = by_size[: len(paths) - MAX_PARTS // 2]
+            table = key.split("#")[0]
+            df = self.spark.read.schema(WAREHOUSE_TABLES[table]).parquet(*small)
+            path = f"{self.root}/runs/{m.run_id}-{self.attempt}/{key.replace('#', '__')}__merged"
+            rows = sum(m.part_rows.get(p, 0) for p in small)
+            df.coalesce(max(1, rows // MERGED_FILE_ROWS)).sortWithinPartitions(*SORT.get(table, [df.columns[0]])).write.parquet(path)
+            m.parts[key] = [p for p in paths if p not in small] + [path]
+            m.part_rows[path] = rows
+            stats = [m.part_stats.pop(p, None) for p in small]
+            if table == "fact_sales_line" and all(stats):
+                m.part_stats[path] = {
+                    "min_order_id": min(s["min_order_id"] for s in stats),
+                    "max_order_id": max(s["max_order_id"] for s in stats),
+                }
+            for p in small:
+                m.part_rows.pop(p, None)
+        return m
+
     def publish(self, manifest: Manifest, after: int | None = None) -> Manifest:
-        """Make a run visible: one single-line JSON file, written last.
-
-        ``after`` is the run id this run started from; if another run was
-        published since, the publish is refused (the other run wins and this
-        attempt's folders stay unreferenced)."""
-        if after is not None:
-            current = self.latest()
-            if current is None or current.run_id != after:
-                raise ConcurrentRunError(
-                    f"run {manifest.run_id} started after run {after}, but run "
-                    f"{current.run_id if current else None} is now the latest; not publishing"
-                )
-        text = manifest.to_json()
-        df = self.spark.createDataFrame([(text,)], "value string")
-        df.coalesce(1).write.mode("overwrite").text(f"{self.manifest_dir}/run_id={manifest.run_id}")
+        """Make a run visible: one JSON file, written last and exclusively.
+
+        ``after`` is the run id this run started from (``None``: there was
+        none); if that isn't the newest one any more, or the run id is taken,
+        the publish is refused: the other run wins."""
+        current = self.latest_run()
+        if current != after:
+            raise ConcurrentRunError(
+                f"run {manifest.run_id} started after run {after}, but run {current} is now the latest; not publishing"
+            )
+        live = {p for paths in manifest.parts.values() for p in paths}
+        manifest.part_rows = {p: n for p, n in manifest.part_rows.items() if p in live}
+        if not create_small_file(self.spark, f"{self.manifest_dir}/{manifest.run_id}.json", manifest.to_json()):
+            raise ConcurrentRunError(f"run {manifest.run_id} was published by another writer; not publishing")
         return manifest
 
+    def end_attempt(self, run_id: int, failed: bool) -> None:
+        """Remove this attempt's pins and, if it failed, its parts."""
+        remove_folder(self.spark, self.pins)
+        if failed:
+            remove_folder(self.spark, f"{self.root}/runs/{run_id}-{self.attempt}")
+
 
 class ConcurrentRunError(RuntimeError):
     pass
 
 
-def carry_parts(prev: Manifest | None, keep: list[str]) -> tuple[dict[str, list[str]], dict[str, int]]:
-    """Parts (and their row counts) that a new run inherits unchanged."""
-    if prev is None:
-        return {}, {}
-    parts = {k: list(v) for k, v in prev.parts.items() if k in keep}
-    rows = {k: v for k, v in prev.rows.items() if k in keep}
-    return parts, rows
+def carry_parts(m: Manifest, prev: Manifest | None, keep: list[str]) -> Manifest:
+    """``m`` with the parts (and what is known of them) that it inherits unchanged."""
+    for key in keep:
+        if prev is not None and key in prev.parts:
+            m.parts[key] = list(prev.parts[key])
+            m.rows[key] = prev.rows.get(key, 0)
+            for p in m.parts[key]:
+                m.part_rows[p] = prev.part_rows.get(p, 0)
+                if p in prev.part_stats:
+                    m.part_stats[p] = prev.part_stats[p]
+    return m
 
 
-def add_part(parts: dict[str, list[str]], rows: dict[str, int], key: str, path: str, n: int, append: bool) -> None:
+def add_part(m: Manifest, key: str, path: str, n: int, append: bool) -> None:
+    """Add a part to a key, or make it the key's only one."""
     if append:
-        parts.setdefault(key, []).append(path)
-        rows[key] = rows.get(key, 0) + n
+        m.parts.setdefault(key, []).append(path)
+        m.rows[key] = m.rows.get(key, 0) + n
     else:
-        parts[key] = [path]
-        rows[key] = n
+        m.parts[key] = [path]
+        m.rows[key] = n
+    m.part_rows[path] = n

@@ -163,7 +163,7 @@ FACT_SALES_LINE = _schema(
 FACT_KEY = ("order_id", "product_id")
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class DimensionSpec:
     """Everything the generic SCD operators need to know about one dimension."""
 

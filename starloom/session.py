@@ -3,16 +3,17 @@ shared scratch location every job writes to.
 
 On a cluster the session is created by the platform and ``spark.checkpoint.dir``
 names a shared, reliable folder (HDFS/S3/...). Everything this library pins or
-publishes lives below that folder; nothing is ever written to a machine-local
-temporary directory unless the setting is missing (local tests only).
+publishes lives below that folder. Without the setting a local session (tests)
+gets a temporary folder; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _CKPT_CONF = "spark.checkpoint.dir"
@@ -55,10 +56,9 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of this session.
 
-    The cluster's ``spark.checkpoint.dir`` is used as is. Only when neither the
-    context nor the configuration names one (local tests) a fresh folder under
-    the system temp dir is created and registered.
-    """
+    The cluster's ``spark.checkpoint.dir`` is used as is. Only a session whose
+    master is local gets a fresh temporary folder if none is named; any other
+    one would write where its executors can't read."""
     try:
         sc = spark.sparkContext
     except Exception:  # remote (Connect) session: the server owns the checkpoint dir
@@ -71,11 +71,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get(_CKPT_CONF, None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="starloom-ckpt-")
+        configured = temporary_folder(sc.master)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def temporary_folder(master: str) -> str:
+    """A fresh folder on this machine, for local masters only."""
+    if not re.match(r"local(\[|$)", master):
+        raise RuntimeError(f"set {_CKPT_CONF} to a folder that all machines share (master: {master})")
+    return tempfile.mkdtemp(prefix="starloom-ckpt-")
+
+
 def session_id(spark: SparkSession) -> str:
     """Identifier of the application behind ``spark`` (for per-app caches)."""
     try:
@@ -90,13 +97,46 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/starloom/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (only for local-filesystem assertions in tests)."""
-    return path[5:] if path.startswith("file:") else path
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop path, its file system): metadata calls, no Spark job."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def default_parallelism(spark: SparkSession) -> int:
+def list_folder(spark: SparkSession, path: str) -> list[str] | None:
+    """Names in a folder, or ``None`` if there is no such folder."""
+    p, fs = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else None
+
+
+def read_small_file(spark: SparkSession, path: str) -> str:
+    p, fs = _file_system(spark, path)
+    stream = fs.open(p)
     try:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover - conf always present in practice
-        return os.cpu_count() or 8
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_small_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a new file; ``False``, and nothing written, if it exists."""
+    p, fs = _file_system(spark, path)
+    if fs.exists(p):
+        return False
+    try:
+        stream = fs.create(p, False)
+    except Py4JJavaError:
+        if fs.exists(p):  # another writer was first
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library made, with what is in it."""
+    p, fs = _file_system(spark, path)
+    fs.delete(p, True)

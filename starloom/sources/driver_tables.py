@@ -8,11 +8,15 @@ no keys, no history). Role mapping:
 | --------------- | ---------------------------------------------------------------------- |
 | Customers       | customer + nation + region; CustomerID = text of c_custkey,            |
 |                 | CompanyName = c_name, ContactTitle = c_mktsegment, Region = r_name,    |
-|                 | Country = n_name                                                       |
+|                 | Country = n_name; ContactName, Address, City, PostalCode, Phone from   |
+|                 | segment, key and nation; Fax = c_acctbal as text, NULL below 0         |
 | Categories      | distinct p_type, id = position in p_type order                         |
-| Suppliers       | distinct p_brand, id = the number after '#'                            |
+| Suppliers       | distinct p_brand, id = the number after '#'; Country = the nation of   |
+|                 | that number modulo 25                                                  |
 | Products        | part; UnitPrice = p_retailprice as DECIMAL(18,2), UnitsInStock = p_size|
-| Employees       | supplier + nation + region; EmployeeID = s_suppkey, FirstName = s_name |
+|                 | and from it QuantityPerUnit, UnitsOnOrder, ReorderLevel, Discontinued  |
+| Employees       | supplier + nation + region; EmployeeID = s_suppkey, FirstName = s_name,|
+|                 | Title by s_acctbal, HireDate and BirthDate by s_suppkey (some NULL)    |
 | Shippers        | distinct o_orderpriority; id = leading digit, name = text after '-'    |
 | Orders          | orders; RequiredDate = order date + 28 days, Freight = o_totalprice,   |
 |                 | ShipVia = priority digit                                               |
@@ -37,7 +41,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.changes import Update, simulate_changes
-from starloom.operators.joins import broadcast_if_small
 from starloom.operators.keys import assign_surrogate_keys
 from starloom.parallel import run_parallel
 from starloom.sources.source import Source
@@ -60,82 +63,75 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n, r = read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "region")
+    return n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", "r_name")
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer")
-    n = read_table(spark, sf_dir, "nation")
-    r = read_table(spark, sf_dir, "region")
-    geo = n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", "r_name")
-    j = c.join(geo, c.c_nationkey == geo.n_nationkey, "left")  # tiny side: broadcast by Catalyst's size estimate
-    null = F.lit(None).cast("string")
-    return j.select(
-        F.col("c_custkey").cast("string").alias("CustomerID"),
-        F.col("c_name").alias("CompanyName"),
-        null.alias("ContactName"),
-        F.col("c_mktsegment").alias("ContactTitle"),
-        null.alias("Address"),
-        null.alias("City"),
-        F.col("r_name").alias("Region"),
-        null.alias("PostalCode"),
-        F.col("n_name").alias("Country"),
-        null.alias("Phone"),
-        null.alias("Fax"),
+    c, geo = read_table(spark, sf_dir, "customer"), _places(spark, sf_dir)
+    return c.join(geo, c.c_nationkey == geo.n_nationkey, "left").selectExpr(
+        "CAST(c_custkey AS STRING) AS CustomerID",
+        "c_name AS CompanyName",
+        "c_mktsegment || ' desk' AS ContactName",
+        "c_mktsegment AS ContactTitle",
+        "'No. ' || c_custkey || ', ' || n_name AS Address",
+        "n_name || '-' || (c_custkey % 7) AS City",
+        "r_name AS Region",
+        "lpad(CAST(c_custkey AS STRING), 8, '0') AS PostalCode",
+        "n_name AS Country",
+        "(c_nationkey + 10) || '-' || lpad(CAST(c_custkey AS STRING), 7, '0') AS Phone",
+        "CASE WHEN c_acctbal >= 0 THEN CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING) END AS Fax",
     )
 
 
-def categories(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    """Distinct part types numbered in type order, and how many there are."""
+def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct part types numbered in type order."""
     types = read_table(spark, sf_dir, "part").select(F.col("p_type").alias("CategoryName")).distinct()
-    numbered, n = assign_surrogate_keys(types, ["CategoryName"], 1, "CategoryID")
-    return numbered.select("CategoryID", "CategoryName"), n
+    numbered, _ = assign_surrogate_keys(types, ["CategoryName"], 1, "CategoryID")
+    return numbered.select("CategoryID", "CategoryName")
 
 
-def _brand_number(col: str = "p_brand"):
-    return F.substring_index(F.col(col), "#", -1).cast("long")
+_BRAND = "CAST(substring_index(p_brand, '#', -1) AS BIGINT)"
 
 
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     brands = read_table(spark, sf_dir, "part").select("p_brand").distinct()
-    return brands.select(
-        _brand_number().alias("SupplierID"),
-        F.col("p_brand").alias("CompanyName"),
-        F.lit(None).cast("string").alias("Country"),
+    geo = _places(spark, sf_dir)
+    return brands.join(geo, F.expr(f"{_BRAND} % 25 = n_nationkey"), "left").selectExpr(
+        f"{_BRAND} AS SupplierID", "p_brand AS CompanyName", "n_name AS Country"
     )
 
 
-def products(spark: SparkSession, sf_dir: str, cats: DataFrame, n_cats: int | None = None) -> DataFrame:
+def products(spark: SparkSession, sf_dir: str, cats: DataFrame) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
-    j = p.join(broadcast_if_small(cats, n_cats), p.p_type == cats.CategoryName, "left")
-    return j.select(
-        F.col("p_partkey").alias("ProductID"),
-        F.col("p_name").alias("ProductName"),
-        _brand_number().alias("SupplierID"),
-        F.col("CategoryID"),
-        F.lit(None).cast("string").alias("QuantityPerUnit"),
-        F.col("p_retailprice").cast("decimal(18,2)").alias("UnitPrice"),
-        F.col("p_size").cast("long").alias("UnitsInStock"),
-        F.lit(None).cast("long").alias("UnitsOnOrder"),
-        F.lit(None).cast("long").alias("ReorderLevel"),
-        F.lit(0).alias("Discontinued"),
+    return p.join(cats, p.p_type == cats.CategoryName, "left").selectExpr(
+        "p_partkey AS ProductID",
+        "p_name AS ProductName",
+        f"{_BRAND} AS SupplierID",
+        "CategoryID",
+        "p_size || ' x ' || p_brand AS QuantityPerUnit",
+        "CAST(p_retailprice AS DECIMAL(18,2)) AS UnitPrice",
+        "CAST(p_size AS BIGINT) AS UnitsInStock",
+        "CASE WHEN p_size % 3 = 0 THEN CAST(2 * p_size AS BIGINT) END AS UnitsOnOrder",
+        "CAST(p_size % 10 AS BIGINT) AS ReorderLevel",
+        "CASE WHEN p_size % 5 = 0 THEN 1 ELSE 0 END AS Discontinued",
     )
 
 
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = read_table(spark, sf_dir, "supplier")
-    n = read_table(spark, sf_dir, "nation")
-    r = read_table(spark, sf_dir, "region")
-    geo = n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", "r_name")
-    j = s.join(geo, s.s_nationkey == geo.n_nationkey, "left")
-    null = F.lit(None).cast("string")
-    return j.select(
-        F.col("s_suppkey").alias("EmployeeID"),
-        F.col("s_name").alias("FirstName"),
-        null.alias("LastName"),
-        null.alias("Title"),
-        null.alias("City"),
-        F.col("r_name").alias("Region"),
-        F.col("n_name").alias("Country"),
-        F.lit(None).cast("timestamp").alias("HireDate"),
-        F.lit(None).cast("timestamp").alias("BirthDate"),
+    s, geo = read_table(spark, sf_dir, "supplier"), _places(spark, sf_dir)
+    born = "TIMESTAMP '1960-01-01 00:00:00' + make_interval(0, 0, 0, CAST(s_suppkey * 37 % 9000 AS INT))"
+    return s.join(geo, s.s_nationkey == geo.n_nationkey, "left").selectExpr(
+        "s_suppkey AS EmployeeID",
+        "s_name AS FirstName",
+        "substring_index(s_name, '#', -1) AS LastName",
+        "CASE WHEN s_acctbal >= 5000 THEN 'Senior' ELSE 'Junior' END AS Title",
+        "n_name AS City",
+        "r_name AS Region",
+        "n_name AS Country",
+        "TIMESTAMP '1990-01-01 08:30:00' + make_interval(0, 0, 0, CAST(s_suppkey % 3000 AS INT)) AS HireDate",
+        f"CASE WHEN s_suppkey % 6 <> 5 THEN {born} END AS BirthDate",
     )
 
 
@@ -148,7 +144,7 @@ def shippers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pr.select(
         _priority_digit().alias("ShipperID"),
         F.substring_index(F.col("o_orderpriority"), "-", -1).alias("CompanyName"),
-        F.lit(None).cast("string").alias("Phone"),
+        F.concat(F.lit("800-"), F.substring("o_orderpriority", 1, 1)).alias("Phone"),
     )
 
 
@@ -197,10 +193,10 @@ def order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def driver_source(spark: SparkSession, sf_dir: str) -> Source:
     """All driver rows as one source snapshot."""
-    cats, n_cats = categories(spark, sf_dir)
+    cats = categories(spark, sf_dir)
     return Source(
         customers=customers(spark, sf_dir),
-        products=products(spark, sf_dir, cats, n_cats),
+        products=products(spark, sf_dir, cats),
         categories=cats,
         suppliers=suppliers(spark, sf_dir),
         employees=employees(spark, sf_dir),
@@ -210,26 +206,17 @@ def driver_source(spark: SparkSession, sf_dir: str) -> Source:
     )
 
 
-def materialize_many(sources: dict[str, Source]) -> dict[str, Source]:
-    """Write every table of every source once as parquet (``path -> source``;
-    all writes run as concurrent jobs) and return the sources reading them
-    back: loads then scan plain tables, as they would in production, instead
-    of re-deriving the stand-in rows in every Spark job."""
-    tasks = {}
-    for path, src in sources.items():
-        for name, df in src.tables().items():
-            tasks[f"{path}/{name}"] = lambda df=df, out=f"{path}/{name}": df.write.mode("overwrite").parquet(out)
-    run_parallel(tasks)
-    return {path: Source.from_parquet(src.customers.sparkSession, path) for path, src in sources.items()}
-
-
 def materialize(src: Source, path: str) -> Source:
-    """:func:`materialize_many` for one source."""
-    return materialize_many({path: src})[path]
+    """Write every table once as parquet (concurrent jobs) and return the
+    source reading them back: loads then scan plain tables, as they would in
+    production, instead of re-deriving the stand-in rows in every Spark job."""
+    run_parallel({n: lambda n=n, df=df: df.write.mode("overwrite").parquet(f"{path}/{n}") for n, df in src.tables().items()})
+    return Source.from_parquet(src.customers.sparkSession, path)
 
 
 @dataclass(frozen=True)
 class Scenario:
+    full: Source  # every row of the test tables
     t0: Source
     t1: Source
     effective_date_iso: str
@@ -245,65 +232,50 @@ class Scenario:
             updates=[
                 Update(
                     "customers",
-                    F.col("CustomerID").cast("long") % RELOCATE_AGAIN_MOD == 0,
+                    _number("CustomerID") % RELOCATE_AGAIN_MOD == 0,
                     {"ContactTitle": F.lit(RELOCATED_AGAIN)},
                 )
             ],
         )
 
 
-def _held_back(col: str):
-    return (F.col(col).cast("long") % T0_HOLDOUT_MOD) != T0_HOLDOUT_REM
+def _number(col: str):
+    """A key as a number; NULL for text, as the optimizer may move the rule to other keys joined to it."""
+    return F.col(col).try_cast("long")
+
+
+def _early(col: str):
+    """Members that are there from the start."""
+    return (_number(col) % T0_HOLDOUT_MOD) != T0_HOLDOUT_REM
 
 
 def scenario(spark: SparkSession, sf_dir: str, workdir: str | None = None) -> Scenario:
-    """The t0/t1 snapshots; with ``workdir`` the stand-in source and both
-    snapshots are written there once (see :func:`materialize`), so the loads
-    scan plain tables like a production source."""
+    """The t0/t1 snapshots; with ``workdir`` the stand-in source is written
+    there once, and both snapshots are views over that copy."""
     full = driver_source(spark, sf_dir)
     if workdir:
-        full = materialize(full, f"{workdir}/all")
+        full = materialize(full, workdir)
     max_key = read_table(spark, sf_dir, "orders").agg(F.max("o_orderkey").alias("m")).first()["m"] or 0
     num, den = T0_ORDER_FRACTION
     cut = (max_key * num) // den
-    t0 = full.with_tables(
-        customers=full.customers.where(_held_back("CustomerID")),
-        products=full.products.where(_held_back("ProductID")),
-        employees=full.employees.where(_held_back("EmployeeID")),
-        shippers=full.shippers.where(F.col("ShipperID") != SHIPPER_HELD_OUT_ID),
-        orders=full.orders.where(F.col("OrderID") <= cut),
-        order_details=full.order_details.where(F.col("OrderID") <= cut),
-    )
+    early = {
+        "customers": _early("CustomerID"),
+        "products": _early("ProductID"),
+        "employees": _early("EmployeeID"),
+        "shippers": F.col("ShipperID") != SHIPPER_HELD_OUT_ID,
+        "orders": F.col("OrderID") <= cut,
+        "order_details": F.col("OrderID") <= cut,
+    }
+    tables = full.tables()
+    t0 = full.with_tables(**{name: tables[name].where(c) for name, c in early.items()})
     t1 = simulate_changes(
         t0,
-        inserts={
-            "customers": full.customers,
-            "products": full.products,
-            "employees": full.employees,
-            "shippers": full.shippers,
-            "orders": full.orders,
-            "order_details": full.order_details,
-        },
+        inserts={name: tables[name].where(~c) for name, c in early.items()},
         updates=[
-            Update(
-                "customers",
-                F.col("CustomerID").cast("long") % RELOCATE_MOD == 0,
-                {"ContactTitle": F.lit(RELOCATED)},
-            ),
-            Update(
-                "products",
-                F.col("ProductID") % REPRICE_MOD == 0,
-                {"UnitPrice": F.col("UnitPrice") + F.lit(REPRICE_DELTA)},
-            ),
-            Update(
-                "employees",
-                F.col("EmployeeID") % RENAME_MOD == 0,
-                {"FirstName": F.concat(F.col("FirstName"), F.lit(RENAME_SUFFIX))},
-            ),
+            Update("customers", _number("CustomerID") % RELOCATE_MOD == 0, {"ContactTitle": F.lit(RELOCATED)}),
+            Update("products", F.col("ProductID") % REPRICE_MOD == 0, {"UnitPrice": F.col("UnitPrice") + F.lit(REPRICE_DELTA)}),
+            Update("employees", F.col("EmployeeID") % RENAME_MOD == 0, {"FirstName": F.concat(F.col("FirstName"), F.lit(RENAME_SUFFIX))}),
             Update("shippers", F.col("ShipperID") == SHIPPER_RENAMED_ID, {"CompanyName": F.lit(SHIPPER_NEW_NAME)}),
         ],
     )
-    if workdir:
-        written = materialize_many({f"{workdir}/t0": t0, f"{workdir}/t1": t1})
-        t0, t1 = written[f"{workdir}/t0"], written[f"{workdir}/t1"]
-    return Scenario(t0, t1, EFFECTIVE_DATE_ISO, cut)
+    return Scenario(full, t0, t1, EFFECTIVE_DATE_ISO, cut)

@@ -1,14 +1,13 @@
-"""Incremental loads driven by Structured Streaming.
+"""Landed order lines, loaded by Structured Streaming.
 
 New order lines land as files (any file format Spark streams: parquet, JSON,
-CSV ...). A streaming query over the landing folder hands each micro-batch to
-``foreachBatch``; the batch function runs one incremental load with the
-batch's lines (and their headers, looked up in the header table) as the new
-sales lines, the dimension tables of the current source, and the batch id
-recorded in the published manifest. A batch replayed after a failure (same
-id, or an older one) is skipped, so every micro-batch is published exactly
-once. ``trigger(availableNow=True)`` processes everything landed so far and
-stops - a scheduled incremental run; a processing-time trigger keeps it live.
+CSV ...), in any order, an order's lines possibly in several files. A streaming
+query over the landing folder hands each micro-batch to ``foreachBatch``, which
+runs one load (:func:`starloom.plans.loads.lines_load`) and records the batch id
+in the published manifest. A batch replayed after a failure (same id, or an
+older one) is skipped, so every micro-batch is published exactly once.
+``trigger(availableNow=True)`` processes everything landed so far and stops - a
+scheduled run; a processing-time trigger keeps it live.
 """
 
 from __future__ import annotations
@@ -17,13 +16,12 @@ import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from starloom.operators.joins import broadcast_if_small
-from starloom.plans.loads import incremental_load
+from starloom.plans.loads import lines_load
 from starloom.plans.warehouse import Manifest, Warehouse
+from starloom.session import remove_folder, scratch_path
 from starloom.sources.source import Source
 
 
@@ -35,22 +33,14 @@ def apply_batch(
     batch_id: int,
     effective_date: _dt.date,
     run_ts: _dt.datetime | None = None,
+    dimension_version: str | None = None,
 ) -> Manifest | None:
-    """One micro-batch -> one published incremental run (or None if the batch
-    was already applied). Headers are the orders referenced by the batch: a
-    left-semi join against the batch's distinct order ids, which are counted
-    first so the (usually small) id set is broadcast and the orders table is
-    not shuffled."""
-    wh = Warehouse(spark, root)
-    prev = wh.require()
+    """One micro-batch -> one published run (``None`` if it was applied before)."""
+    prev = Warehouse(spark, root).require()
     if prev.stream_batch_id is not None and batch_id <= prev.stream_batch_id:
         return None
-    ids = lines.select("OrderID").distinct()
-    headers = base.orders.join(broadcast_if_small(ids, ids.count()), "OrderID", "left_semi")
-    src = base.with_tables(orders=headers, order_details=lines)
-    return incremental_load(
-        spark, src, root, effective_date, run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), batch_id
-    )
+    now = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    return lines_load(spark, base, root, lines, batch_id, effective_date, now, dimension_version)
 
 
 def start_incremental_stream(
@@ -64,10 +54,12 @@ def start_incremental_stream(
     file_format: str = "parquet",
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    dimension_version: Callable[[int], str] | str | None = None,
 ) -> StreamingQuery:
     """Stream landed order-line files into the warehouse.
 
-    ``effective_date`` is a date or a function of the batch id. The stream's
+    ``effective_date`` is a date or a function of the batch id; so is
+    ``dimension_version``, which names the state of ``base``'s dimensions. The stream's
     own checkpoint (``checkpoint_location``, a shared folder) tracks which
     files were consumed; the manifest tracks which batches were published."""
     reader = spark.readStream.schema(lines_schema).format(file_format)
@@ -77,9 +69,14 @@ def start_incremental_stream(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         eff = effective_date(batch_id) if callable(effective_date) else effective_date
+        version = dimension_version(batch_id) if callable(dimension_version) else dimension_version
         # the micro-batch is read several times by the load; pin it once
-        pinned = batch.where(F.col("OrderID").isNotNull()).checkpoint(eager=True)
-        apply_batch(spark, root, base, pinned, batch_id, eff)
+        path = scratch_path(spark, "micro-batch")
+        batch.write.parquet(path)
+        try:
+            apply_batch(spark, root, base, spark.read.schema(batch.schema).parquet(path), batch_id, eff, dimension_version=version)
+        finally:
+            remove_folder(spark, path)
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
