@@ -1,118 +1,22 @@
-"""The warehouse's own change scenario, on hand-made rows in the operational
-source schema: full load, then changed/new customers and products and two new
-orders (one not shipped yet), then an incremental load as of 1998-05-07."""
+"""Full load, changes in the source, incremental load - on the invented source
+of ``tests.sample_source``."""
 
+import dataclasses
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from starloom.operators import quality as Q
-from starloom.operators.changes import Update, simulate_changes
 from starloom.plans.loads import full_load, incremental_load
+from starloom.plans.validation import run_checks
 from starloom.plans.warehouse import Warehouse
 from starloom.schemas import CUSTOMER, PRODUCT
-from starloom.sources.source import Source
-
-TS = dt.datetime(2024, 1, 1)
-EFF = dt.date(1998, 5, 7)
-
-CUSTOMERS = "CustomerID string, CompanyName string, ContactName string, ContactTitle string, Address string, City string, Region string, PostalCode string, Country string, Phone string, Fax string"
-PRODUCTS = "ProductID long, ProductName string, SupplierID long, CategoryID long, QuantityPerUnit string, UnitPrice double, UnitsInStock long, UnitsOnOrder long, ReorderLevel long, Discontinued int"
-ORDERS = "OrderID long, CustomerID string, EmployeeID long, OrderDate timestamp, RequiredDate timestamp, ShippedDate timestamp, ShipVia long, Freight double"
-DETAILS = "OrderID long, ProductID long, UnitPrice double, Quantity int, Discount double"
-
-
-def ts(s):
-    return dt.datetime.fromisoformat(s) if s else None
-
-
-def base_source(spark):
-    customers = spark.createDataFrame(
-        [
-            ("CUST01", "Harbor Goods", "Ana Reyes", "Buyer", "1 Quay Road", "Berlin", None, "10115", "Germany", "030-100", "030-101"),
-            ("CUST02", "Mesa Provisions", "Luis Ortega", "Owner", "2 Plaza Mayor", "Mexico City", None, "01000", "Mexico", "55-200", None),
-        ],
-        CUSTOMERS,
-    )
-    products = spark.createDataFrame(
-        [
-            (1, "Green Tea", 1, 1, "10 boxes", 18.0, 39, 0, 10, 0),
-            (2, "Ginger Ale", 1, 1, "24 bottles", 19.0, 17, 40, 25, 0),
-            (3, "Maple Syrup", 2, 2, "12 jars", 10.0, 13, 70, 25, 1),
-        ],
-        PRODUCTS,
-    )
-    categories = spark.createDataFrame([(1, "Beverages"), (2, "Condiments")], "CategoryID long, CategoryName string")
-    suppliers = spark.createDataFrame(
-        [(1, "Blue River Supply", "UK"), (2, "Coastal Spices", "USA")],
-        "SupplierID long, CompanyName string, Country string",
-    )
-    employees = spark.createDataFrame(
-        [
-            (1, "Ines", "Moreau", "Sales Agent", "Seattle", "WA", "USA", ts("1992-05-01 00:00:00"), ts("1948-12-08 00:00:00")),
-            (2, "Tomas", "Berg", "Sales Lead", "Tacoma", "WA", "USA", ts("1992-08-14 00:00:00"), ts("1952-02-19 00:00:00")),
-        ],
-        "EmployeeID long, FirstName string, LastName string, Title string, City string, Region string, Country string, HireDate timestamp, BirthDate timestamp",
-    )
-    shippers = spark.createDataFrame(
-        [(1, "Swift Freight", "503-300"), (2, "Parcel Union", "503-301")],
-        "ShipperID long, CompanyName string, Phone string",
-    )
-    orders = spark.createDataFrame(
-        [
-            (500, "CUST01", 1, ts("1996-07-04 00:00:00"), ts("1996-08-01 00:00:00"), ts("1996-07-16 00:00:00"), 1, 32.38),
-            (501, "CUST02", 2, ts("1997-07-05 00:00:00"), ts("1997-08-16 00:00:00"), ts("1997-07-10 00:00:00"), 2, 11.61),
-            (502, "CUST01", 9, ts("1998-01-08 00:00:00"), ts("1998-02-05 00:00:00"), None, 3, 0.0),
-        ],
-        ORDERS,
-    )
-    details = spark.createDataFrame(
-        [
-            (500, 1, 14.0, 12, 0.0),
-            (500, 2, 9.8, 10, 0.0),
-            (500, 3, 34.8, 5, 0.0),
-            (501, 2, 18.6, 9, 0.0),
-            (501, 3, 42.4, 40, 0.0),
-            (502, 1, 7.7, 10, 1.0),  # net 0 -> freight share 0
-        ],
-        DETAILS,
-    )
-    return Source(customers, products, categories, suppliers, employees, shippers, orders, details)
-
-
-def changed_source(spark, src):
-    new_customer = spark.createDataFrame(
-        [("CUST03", "Delta Pantry", "Eva Lind", "Owner", "3 River Street", "Cordoba", "Cordoba", "5000", "Argentina", "351-300", None)],
-        CUSTOMERS,
-    )
-    new_product = spark.createDataFrame([(78, "House Sauce", 1, 2, "12 bottles", 15.0, 100, 0, 10, 0)], PRODUCTS)
-    new_orders = spark.createDataFrame(
-        [
-            (900, "CUST01", 1, ts("1998-05-08 00:00:00"), ts("1998-05-20 00:00:00"), ts("1998-05-10 00:00:00"), 1, 32.50),
-            (901, "CUST03", 2, ts("1998-05-09 00:00:00"), ts("1998-05-21 00:00:00"), None, 2, 10.00),
-            (902, "CUST03", 2, ts("1998-05-01 00:00:00"), ts("1998-05-21 00:00:00"), None, 2, 5.00),
-        ],
-        ORDERS,
-    )
-    new_lines = spark.createDataFrame(
-        [(900, 1, 20.0, 10, 0.05), (900, 78, 15.0, 5, 0.0), (901, 78, 15.0, 3, 0.10), (902, 2, 19.0, 1, 0.0)],
-        DETAILS,
-    )
-    return simulate_changes(
-        src,
-        inserts={"customers": new_customer, "products": new_product, "orders": new_orders, "order_details": new_lines},
-        updates=[
-            Update("customers", F.col("CustomerID") == "CUST01", {"City": F.lit("Munich"), "Phone": F.lit("089-400")}),
-            Update("products", F.col("ProductID") == 1, {"UnitPrice": F.lit(20.0)}),
-        ],
-    )
+from starloom.session import scratch_path
+from tests.sample_source import EFF, NEW_ORDERS, OLD_ORDERS, TS, base_source, changed_source, net, share
 
 
 @pytest.fixture(scope="module")
 def loaded(spark):
-    from starloom.session import scratch_path
-
     root = scratch_path(spark, "scenario")
     src = base_source(spark)
     m1 = full_load(spark, src, root, TS)
@@ -121,62 +25,58 @@ def loaded(spark):
     return root, src, src2, m1, m2
 
 
-def test_full_load_counts_and_unknowns(spark, loaded):
+def facts(wh, m):
+    return {(r.order_id, r.product_id): r for r in wh.table("fact_sales_line", m).collect()}
+
+
+def test_full_load(spark, loaded):
     root, _, _, m1, _ = loaded
-    wh = Warehouse(spark, root)
-    assert m1.rows["dim_customer#current"] == 3  # 2 + unknown
-    assert m1.rows["dim_product#current"] == 4
-    assert m1.watermark == 502
+    assert m1.rows["dim_customer#current"] == 1 + 2 and m1.rows["dim_product#current"] == 1 + 3  # with the unknown member
+    assert m1.watermark == max(OLD_ORDERS)
     assert m1.next_sk == {"customer": 3, "product": 4, "employee": 3, "shipper": 3}
-    fact = wh.table("fact_sales_line", m1)
-    r = {(x.order_id, x.product_id): x for x in fact.collect()}
-    assert r[(500, 1)].line_number == 1 and r[(500, 3)].line_number == 3
-    # employee 9 and shipper 3 do not exist -> unknown members; no ship date -> unknown date
-    assert r[(502, 1)].employee_sk == 0 and r[(502, 1)].shipper_sk == 0
-    assert r[(502, 1)].shipped_date_sk == 0
-    assert r[(502, 1)].freight_allocated == 0.0
-    assert r[(500, 1)].order_date_sk == 19960704 and r[(500, 1)].required_date_sk == 19960801
-    total = sum(x.freight_allocated for x in r.values() if x.order_id == 500)
-    assert total == pytest.approx(32.38)
-
-
-def test_incremental_versions(spark, loaded):
+    got = facts(Warehouse(spark, root), m1)
+    assert set(got) == {(o, p) for o, (_, lines) in OLD_ORDERS.items() for p in lines}
+    for (o, p), r in got.items():
+        head, lines = OLD_ORDERS[o]
+        assert r.line_number == sorted(lines).index(p) + 1
+        assert r.net_amount == pytest.approx(net(lines[p])) and r.freight_allocated == pytest.approx(share(OLD_ORDERS, o, p))
+        assert r.order_date_sk == int(head[2].replace("-", "")) and r.required_date_sk == int(head[3].replace("-", ""))
+        assert r.shipped_date_sk == int((head[4] or "0").replace("-", ""))
+    assert got[43, 10].employee_sk == 0 and got[43, 10].shipper_sk == 0  # nobody has these ids
+
+
+def test_versions_after_the_change(spark, loaded):
     root, _, _, _, m2 = loaded
     wh = Warehouse(spark, root)
-    cust = {(x.customer_id, x.is_current): x for x in wh.table("dim_customer", m2).collect()}
-    old, new = cust[("CUST01", False)], cust[("CUST01", True)]
-    assert old.effective_to == dt.date(1998, 5, 6) and old.city == "Berlin"
-    assert new.effective_from == EFF and new.effective_to == dt.date(9999, 12, 31) and new.city == "Munich"
-    assert cust[("CUST03", True)].effective_from == EFF
-    assert cust[("UNKNOWN", True)].customer_sk == 0
-    log = {x.run_id: x for x in wh.table("etl_run_log", m2).collect()}
-    assert (log[2].rows_dim_customer, log[2].rows_dim_product, log[2].rows_fact_sales) == (2, 2, 4)
-    assert log[1].run_type == "FULL" and log[2].run_type == "INCREMENTAL" and log[2].effective_date == EFF
-    # SKs handed out in business-key order from the sequence
-    assert cust[("CUST01", True)].customer_sk == 3 and cust[("CUST03", True)].customer_sk == 4
+    cust = {(r.customer_id, r.is_current): r for r in wh.table("dim_customer", m2).collect()}
+    old, new = cust["WHEEL", False], cust["WHEEL", True]
+    assert (old.city, old.effective_to) == ("Utrecht", EFF - dt.timedelta(days=1))
+    assert (new.city, new.effective_from, new.effective_to) == ("Amersfoort", EFF, dt.date(9999, 12, 31))
+    assert cust["PEDAL", True].effective_from == EFF and cust["UNKNOWN", True].customer_sk == 0
+    # keys are handed out in business-key order: PEDAL before WHEEL
+    assert (cust["PEDAL", True].customer_sk, new.customer_sk) == (3, 4)
     assert m2.next_sk["customer"] == 5 and m2.next_sk["product"] == 6
+    log = {r.run_id: r for r in wh.table("etl_run_log", m2).collect()}
+    lines = sum(len(x) for _, x in NEW_ORDERS.values())
+    assert (log[2].rows_dim_customer, log[2].rows_dim_product, log[2].rows_fact_sales) == (2, 2, lines)
+    assert (log[1].run_type, log[2].run_type, log[2].effective_date) == ("FULL", "INCREMENTAL", EFF)
 
 
-def test_incremental_facts(spark, loaded):
+def test_facts_after_the_change(spark, loaded):
     root, _, _, _, m2 = loaded
     wh = Warehouse(spark, root)
-    dimc = {x.customer_sk: x for x in wh.table("dim_customer", m2).collect()}
-    dimp = {x.product_sk: x for x in wh.table("dim_product", m2).collect()}
-    f = {(x.order_id, x.product_id): x for x in wh.table("fact_sales_line", m2).collect()}
-    a, b = f[(900, 1)], f[(900, 78)]
-    assert dimc[a.customer_sk].city == "Munich"  # resolved to the version valid on 1998-05-08
-    assert dimp[a.product_sk].list_unit_price == 20.0 and dimp[a.product_sk].is_current
-    assert a.net_amount == pytest.approx(190.0) and b.net_amount == pytest.approx(75.0)
-    assert a.freight_allocated == pytest.approx(32.5 * 190 / 265)
-    assert b.freight_allocated == pytest.approx(32.5 * 75 / 265)
-    c = f[(901, 78)]
-    assert c.net_amount == pytest.approx(40.5) and c.freight_allocated == pytest.approx(10.0)
-    assert c.shipped_date_sk == 0 and dimc[c.customer_sk].customer_id == "CUST03"
-    # a new member's order dated before the effective date finds no version
-    assert f[(902, 2)].customer_sk == 0
-    assert m2.watermark == 902
-    # older facts keep the SK resolved in their own run
-    assert dimc[f[(500, 1)].customer_sk].city == "Berlin"
+    customers = {r.customer_sk: r for r in wh.table("dim_customer", m2).collect()}
+    products = {r.product_sk: r for r in wh.table("dim_product", m2).collect()}
+    got = facts(wh, m2)
+    for o, (_, lines) in NEW_ORDERS.items():
+        for p, line in lines.items():
+            assert got[o, p].net_amount == pytest.approx(net(line))
+            assert got[o, p].freight_allocated == pytest.approx(share(NEW_ORDERS, o, p))
+    assert customers[got[57, 10].customer_sk].city == "Amersfoort" and products[got[57, 10].product_sk].list_unit_price == 3.6
+    assert customers[got[58, 77].customer_sk].customer_id == "PEDAL" and got[58, 77].shipped_date_sk == 0
+    assert got[59, 20].customer_sk == 0  # no version of the customer was valid yet
+    assert customers[got[41, 10].customer_sk].city == "Utrecht"  # older facts keep their version
+    assert m2.watermark == max(NEW_ORDERS)
 
 
 def test_validation_suite_passes(spark, loaded):
@@ -184,61 +84,47 @@ def test_validation_suite_passes(spark, loaded):
     wh = Warehouse(spark, root)
     for spec in (CUSTOMER, PRODUCT):
         dim = wh.table(spec.table, m2)
-        assert Q.check_one_current(dim, spec).count() == 0
-        assert Q.check_overlap(dim, spec).count() == 0
-        assert Q.check_interval(dim, spec).count() == 0
+        assert Q.check_one_current(dim, spec).count() == Q.check_overlap(dim, spec).count() == Q.check_interval(dim, spec).count() == 0
     audit = Q.unknown_audit(wh.table("fact_sales_line", m2)).first()
-    assert audit.unknown_customer_rows == 1 and audit.unknown_employee_rows == 1 and audit.unknown_shipper_rows == 1
-    rec = Q.reconcile_net(wh.table("fact_sales_line", m2), src2.order_details).first()
-    assert rec.diff == 0
+    assert audit.unknown_customer_rows == audit.unknown_employee_rows == audit.unknown_shipper_rows == 1
+    assert Q.reconcile_net(wh.table("fact_sales_line", m2), src2.order_details).first().diff == 0
+
+
+def test_run_checks_summary(spark, loaded):
+    root, _, src2, _, m2 = loaded
+    res = {r.check: r for r in run_checks(Warehouse(spark, root), m2, src2.order_details, raise_on_violation=True)}
+    assert res["pk:fact_sales_line"].violations == 0 and res["overlap:dim_customer"].violations == 0
+    assert "dw_net_sales" in res["info:reconcile_net"].detail
 
 
-def test_rerun_is_idempotent(spark, loaded):
+def test_rerun_is_idempotent_and_rewrites_no_dimension(spark, loaded):
     root, _, src2, _, m2 = loaded
     m3 = incremental_load(spark, src2, root, EFF, TS)
     assert m3.run_id == 3
-    assert m3.table_rows("fact_sales_line") == m2.table_rows("fact_sales_line")
-    assert m3.table_rows("dim_customer") == m2.table_rows("dim_customer")
-    wh = Warehouse(spark, root)
-    last = wh.table("etl_run_log", m3).where("run_id = 3").first()
+    for key in ("fact_sales_line", "dim_customer#current", "dim_product#current", "dim_employee", "dim_shipper", "dim_date"):
+        assert m3.parts[key] == m2.parts[key], key
+    last = Warehouse(spark, root).table("etl_run_log", m3).where("run_id = 3").first()
     assert (last.rows_dim_customer, last.rows_dim_product, last.rows_fact_sales) == (0, 0, 0)
 
 
-def test_simulate_changes_guarded_insert_is_idempotent(spark):
+def test_guarded_insert_is_idempotent(spark):
     src = base_source(spark)
     once = changed_source(spark, src)
     twice = changed_source(spark, once)
-    assert once.customers.count() == twice.customers.count() == 3
-    assert once.order_details.count() == twice.order_details.count() == 10
-    city = once.customers.where("CustomerID = 'CUST01'").first().City
-    assert city == "Munich"
-
-
-def test_run_checks_summary(spark, loaded):
-    from starloom.plans.validation import run_checks
-
-    root, _, src2, _, m2 = loaded
-    res = {r.check: r for r in run_checks(Warehouse(spark, root), m2, src2.order_details, raise_on_violation=True)}
-    assert res["pk:fact_sales_line"].violations == 0
-    assert res["overlap:dim_customer"].violations == 0
-    assert "dw_net_sales" in res["info:reconcile_net"].detail
+    for t in ("customers", "products", "orders", "order_details"):
+        assert sorted(map(repr, once.tables()[t].collect())) == sorted(map(repr, twice.tables()[t].collect()))
+    assert once.customers.where("CustomerID = 'WHEEL'").first().City == "Amersfoort"
 
 
 def test_lowered_watermark_dedups_already_loaded_lines(spark):
-    import dataclasses
-
-    from starloom.session import scratch_path
-
     root = scratch_path(spark, "dedup")
     src = base_source(spark)
     m1 = full_load(spark, src, root, TS)
     wh = Warehouse(spark, root)
-    wh.publish(dataclasses.replace(m1, watermark=500))  # orders 501 and 502 are above it but loaded
-    m2 = incremental_load(spark, changed_source(spark, src), root, EFF, TS)
-    fact = wh.table("fact_sales_line", m2)
-    assert fact.count() == 6 + 4  # 501/502 lines not loaded twice
-    assert fact.groupBy("order_id", "product_id").count().where("count > 1").count() == 0
-    log = wh.table("etl_run_log", m2).where("run_id = 2").first()
-    assert log.rows_fact_sales == 3 + 4  # staged lines above the watermark, before de-dup
-    new = {(r.order_id, r.product_id): r for r in fact.where("order_id >= 900").collect()}
-    assert new[(900, 1)].line_number == 1 and new[(900, 78)].line_number == 2
+    wh.publish(dataclasses.replace(m1, run_id=2, watermark=41), after=1)  # orders 42 and 43 are above it but loaded
+    m3 = incremental_load(spark, changed_source(spark, src), root, EFF, TS)
+    got = wh.table("fact_sales_line", m3)
+    old, new = (sum(len(x) for _, x in o.values()) for o in (OLD_ORDERS, NEW_ORDERS))
+    assert got.count() == old + new == got.select("order_id", "product_id").distinct().count()
+    above = sum(len(OLD_ORDERS[o][1]) for o in (42, 43))
+    assert wh.table("etl_run_log", m3).where("run_id = 3").first().rows_fact_sales == above + new  # staged, before de-dup

@@ -2,7 +2,7 @@ import json
 
 from starloom.__main__ import main
 from starloom.session import scratch_path
-from tests.test_change_scenario import base_source, changed_source
+from tests.sample_source import base_source, changed_source
 
 
 def test_cli_workflow(spark, capsys):
@@ -15,10 +15,10 @@ def test_cli_workflow(spark, capsys):
     wh = scratch_path(spark, "cli-wh")
     assert main(["init", "--warehouse", wh]) == 0
     assert main(["full", "--warehouse", wh, "--source", src_dir]) == 0
-    assert main(["incremental", "--warehouse", wh, "--source", src2_dir, "--effective-date", "1998-05-07"]) == 0
+    assert main(["incremental", "--warehouse", wh, "--source", src2_dir, "--effective-date", "2023-03-15"]) == 0
     out = [json.loads(line) for line in capsys.readouterr().out.strip().splitlines()]
     assert [o["run_type"] for o in out] == ["INIT", "FULL", "INCREMENTAL"]
-    assert out[-1]["watermark"] == 902
+    assert out[-1]["watermark"] == 59
     assert main(["validate", "--warehouse", wh, "--source", src2_dir, "--strict"]) == 0
     checks = json.loads(capsys.readouterr().out)
     assert all(c["violations"] == 0 for c in checks)

@@ -1,59 +1,86 @@
+import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators.facts import allocate_freight, fact_dedup, line_measures, line_number, number_within_groups
+from starloom.functions.exact import limb_sums, value
+from starloom.operators.facts import allocate_freight, build_fact, fact_dedup, line_measures, line_number, number_within_groups
+from starloom.operators.keys import dense_index
+from starloom.plans.loads import star_dimensions
+from starloom.plans.loads import full_load
+from starloom.plans.warehouse import Warehouse
+from tests.sample_source import base_source
 
+LINES = "order_id long, product_id long, freight double, quantity long, unit_price double, discount double"
 
-def test_hot_order_numbered_across_partitions(spark):
-    # one order holds most lines: detected as hot, numbered by the distributed index
-    from starloom.operators.facts import HOT_GROUP_ROWS_CONF, split_hot_groups
-    from starloom.operators.keys import dense_index
 
-    rows = [(1, p) for p in range(20000, 0, -1)] + [(o, p) for o in range(2, 300) for p in range(3)]
-    df = spark.createDataFrame(rows, "order_id long, product_id long").repartition(8)
-    spark.conf.set(HOT_GROUP_ROWS_CONF, "1000")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # keep 8 ranges at this size
+def hot_lines(spark, parts):
+    """One order with a third of all lines, of amounts that don't add up exactly in floating point."""
+    rows = [(1, p, 77.7, 1 + p % 9, 0.1 + p * 0.37, (p % 7) / 10) for p in range(3000, 0, -1)]
+    rows += [(o, p, float(o), p + 1, 3.3, 0.05) for o in range(2, 1502) for p in range(4)]
+    return spark.createDataFrame(rows, LINES).repartition(parts)
+
+
+def test_hot_order_same_bits_for_any_partitioning(spark):
+    got = []
+    for parts in (3, 29):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            df = allocate_freight(line_measures(line_number(hot_lines(spark, parts))))
+            got.append(sorted((r.order_id, r.product_id, r.line_number, r.freight_allocated.hex()) for r in df.collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got[0] == got[1]
+    assert [n for o, _, n, _ in got[0] if o == 1] == list(range(1, 3001))
+
+
+def test_no_task_numbers_a_whole_hot_order(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        ordinary, hot, keys, n_hot = split_hot_groups(df, "order_id")
-        assert n_hot == 1 and [r.order_id for r in keys.collect()] == [1]
-        assert ordinary.where("order_id = 1").count() == 0 and hot.count() == 20000
-        spread, _ = dense_index(hot, ["order_id", "product_id"])
-        assert spread.select(F.spark_partition_id()).distinct().count() > 1
-        got = line_number(df).cache()
-        got.count()
+        spread, n = dense_index(hot_lines(spark, 8).select("order_id", "product_id"), ["order_id", "product_id"])
+        per_task = spread.where("order_id = 1").groupBy(F.shiftright(F.monotonically_increasing_id(), 33)).count().collect()
     finally:
-        spark.conf.unset(HOT_GROUP_ROWS_CONF)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    hot_rows = got.where("order_id = 1").orderBy("product_id").select("line_number").collect()
-    assert [r[0] for r in hot_rows] == list(range(1, 20001))
-    small = got.where("order_id = 7").orderBy("product_id").select("line_number").collect()
-    assert [r[0] for r in small] == [1, 2, 3]
+    assert n == 9000 and max(r["count"] for r in per_task) < 3000
 
 
-def test_ordinary_orders_numbered_by_window_without_range_shuffle(spark):
-    rows = [(o, p) for o in range(400) for p in range(5)]
-    df = spark.createDataFrame(rows, "order_id long, product_id long")
-    out = line_number(df)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Window" in plan and "rangepartitioning" not in plan
-    got = {(r.order_id, r.product_id): r.line_number for r in out.collect()}
-    assert all(got[(o, p)] == p + 1 for o, p in got)
+def test_fact_build_scans_the_lines_once_and_has_no_window(spark, wh_root):
+    src = base_source(spark)
+    path = f"{wh_root}/lines"
+    src.order_details.write.parquet(path)
+    m = full_load(spark, src, f"{wh_root}/wh", dt.datetime(2024, 1, 1))
+    lines = spark.read.parquet(path)
+    df = build_fact(src.orders, lines, star_dimensions(Warehouse(spark, f"{wh_root}/wh"), m), dt.datetime(2024, 1, 1))
+    df.count()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert path not in plan and "Window" not in plan  # read once, before, when the lines were numbered
 
 
 def test_number_within_groups_generic(spark):
     df = spark.createDataFrame([("a", 3), ("a", 1), ("b", 2)], "g string, o int")
     got = {(r.g, r.o): r.n for r in number_within_groups(df, "g", "o", "n").collect()}
     assert got == {("a", 1): 1, ("a", 3): 2, ("b", 2): 1}
+    assert number_within_groups(df.limit(0), "g", "o", "n").count() == 0
 
 
 def test_freight_shares_sum_to_header_and_zero_net(spark):
-    rows = [(1, 1, 32.5, 10, 20.0, 0.05), (1, 2, 32.5, 5, 15.0, 0.0), (2, 1, 9.0, 3, 7.0, 1.0)]
-    df = spark.createDataFrame(rows, "order_id long, product_id long, freight double, quantity long, unit_price double, discount double")
-    out = {(r.order_id, r.product_id): r.freight_allocated for r in allocate_freight(line_measures(df)).collect()}
-    assert out[(1, 1)] + out[(1, 2)] == pytest.approx(32.5)
-    assert out[(1, 1)] == pytest.approx(32.5 * 190 / 265)
-    assert out[(2, 1)] == 0.0
+    rows = [(1, 1, 18.4, 40, 3.25, 0.0), (1, 2, 18.4, 2, 61.0, 0.15), (2, 1, 9.0, 3, 7.0, 1.0)]
+    out = {(r.order_id, r.product_id): r.freight_allocated for r in allocate_freight(line_measures(spark.createDataFrame(rows, LINES))).collect()}
+    first, second = 40 * 3.25, 2 * 61.0 * 0.85
+    assert out[1, 1] == pytest.approx(18.4 * first / (first + second)) and out[1, 2] == pytest.approx(18.4 * second / (first + second))
+    assert out[2, 1] == 0.0
+
+
+def test_exact_sums(spark):
+    values = [0.1] * 10_000 + [1e12, -1e12, -0.1, 3e-5, 2.0**-60 + 1.0, -7.25]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(7)
+    got = df.agg(*limb_sums(F.col("v"), "h", "l")).select(value("h", "l").alias("s")).first().s
+    assert got == math.fsum(values)
+    with pytest.raises(Exception, match="amount out of range"):
+        spark.createDataFrame([(1e13,)], "v double").agg(*limb_sums(F.col("v"), "h", "l")).collect()
 
 
 def test_fact_dedup_prunes_with_watermark(spark):

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starloom.operators.keys import assign_surrogate_keys, dense_index, next_sk
+from starloom.operators.keys import assign_surrogate_keys, dense_index
 
 
 def test_dense_index_equals_global_row_number(spark):
@@ -37,8 +37,3 @@ def test_assign_surrogate_keys_string_order(spark):
     assert n == 4
     assert out.columns[0] == "sk"
     assert [(r.bk, r.sk) for r in out.orderBy("sk").collect()] == [("1", 7), ("10", 8), ("100", 9), ("9", 10)]
-
-
-def test_next_sk(spark):
-    assert next_sk(spark.createDataFrame([(0,), (4,)], "sk long"), "sk") == 5
-    assert next_sk(spark.createDataFrame([], "sk long"), "sk") == 1

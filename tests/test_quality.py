@@ -69,3 +69,32 @@ def test_star_query_attributes_sale_to_version(spark):
     fact = spark.createDataFrame([(1, 10.0), (1, 5.0), (2, 1.0), (0, 2.0)], "customer_sk long, net_amount double")
     got = {r.attribute_value: (r.lines, float(r.net_sales)) for r in Q.as_of_star_query(fact, dim, "customer_sk", "contact_title").collect()}
     assert got == {"1": (2, 15.0), "2": (1, 1.0), "Unknown": (1, 2.0)}
+
+
+def test_star_query_over_several_dimensions_and_roles(spark):
+    dates = spark.createDataFrame([(0, None), (20230101, "January"), (20230201, "February")], "date_sk int, month_name string")
+    dim = _dim(spark, [(0, "UNKNOWN", -10, 10, True), (1, "A", 0, 5, False), (2, "A", 6, 99, True)])
+    dim = dim.withColumn("contact_title", dim.customer_id)
+    rows = [(1, 20230101, 20230201, 0.1), (2, 20230101, 20230201, 0.2), (2, 20230201, 0, 5.0), (0, 20230101, 20230101, 7.0)]
+    fact = spark.createDataFrame(rows, "customer_sk long, order_date_sk int, shipped_date_sk int, net_amount double")
+    axes = [
+        Q.Axis("order_date_sk", dates, "date_sk", {"placed": "month_name"}),
+        Q.Axis("shipped_date_sk", dates, "date_sk", {"sent": "month_name"}),
+        Q.Axis("customer_sk", dim, "customer_sk", {"segment": "contact_title"}),
+    ]
+    got = {(r.placed, r.sent, r.segment): (r.lines, r.net_sales) for r in Q.star_query(fact, axes).collect()}
+    assert got == {("January", "February", "A"): (2, 0.30000000000000004), ("February", "Unknown", "A"): (1, 5.0), ("January", "January", "Unknown"): (1, 7.0)}
+
+
+def test_reconcile_sees_amounts_below_four_decimals(spark):
+    lines = spark.range(200_000).selectExpr("1 AS Quantity", "0.00004D AS UnitPrice", "0D AS Discount", "0.00004D AS net_amount")
+    r = Q.reconcile_net(lines.select("net_amount"), lines.limit(0)).first()
+    assert abs(r.dw_net_sales - 8.0) < 1e-9 and r.oltp_net_sales is None
+    both = Q.reconcile_net(lines.select("net_amount"), lines).first()
+    assert both.diff == 0 and both.dw_net_sales == both.oltp_net_sales
+
+
+def test_duplicate_keys(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (2, "a"), (2, "b")], "a long, b string")
+    got = {r.key: (r.duplicate_keys, r.example) for r in Q.duplicate_keys({"a": df.select("a"), "ab": df, "fine": df.select("b").where("b IS NOT NULL")}).collect()}
+    assert got == {"a": (2, "1"), "ab": (1, "1|(null)")}

@@ -1,44 +1,78 @@
 import datetime as dt
 
+import pytest
+from pyspark.sql import functions as F
 
-from starloom.plans.loads import full_load
+from starloom.plans.loads import full_load, incremental_load
 from starloom.plans.warehouse import Warehouse
 from starloom.session import scratch_path
 from starloom.streaming.micro_batch import apply_batch, start_incremental_stream
-from tests.test_change_scenario import DETAILS, base_source, changed_source
+from tests.sample_source import DETAILS, EFF, TS, base_source, changed_source
 
-TS = dt.datetime(2024, 1, 1)
-EFF = dt.date(1998, 5, 7)
 
+def rows(wh, m):
+    return sorted(map(tuple, wh.table("fact_sales_line", m).drop("etl_loaded_at").collect()))
 
-def test_stream_of_landed_lines_loads_each_batch_once(spark):
-    root = scratch_path(spark, "stream-wh")
-    landing = scratch_path(spark, "landing")
-    ckpt = scratch_path(spark, "stream-ckpt")
+
+@pytest.fixture(scope="module")
+def batch_load(spark):
+    """What one incremental load makes of all new lines."""
+    root = scratch_path(spark, "all-at-once")
+    base = base_source(spark)
+    changed = changed_source(spark, base)
+    full_load(spark, base, root, TS)
+    m = incremental_load(spark, changed, root, EFF, TS)
+    return rows(Warehouse(spark, root), m)
+
+
+def start(spark, name):
+    root = scratch_path(spark, name)
     base = base_source(spark)
     full_load(spark, base, root, TS)
     changed = changed_source(spark, base)
-    new_lines = changed.order_details.where("OrderID > 502")
-    schema = spark.createDataFrame([], DETAILS).schema
+    return root, changed, changed.order_details.where("OrderID > 43")
+
 
-    new_lines.where("OrderID = 900").write.mode("append").parquet(landing)
-    q = start_incremental_stream(spark, root, changed, landing, schema, ckpt, EFF)
-    q.awaitTermination(300)
+def test_descending_and_split_orders_give_the_same_fact(spark, batch_load):
+    root, changed, new = start(spark, "descending")
+    pieces = [new.where("OrderID = 59"), new.where("OrderID = 57 AND ProductID = 77"), new.where("OrderID = 58"), new.where("OrderID = 57 AND ProductID = 10"), new.where("OrderID >= 58")]
+    for i, piece in enumerate(pieces):
+        m = apply_batch(spark, root, changed, piece, i, EFF, TS, dimension_version="after")
     wh = Warehouse(spark, root)
-    m = wh.latest()
-    assert m.stream_batch_id == 0
-    fact = wh.table("fact_sales_line", m)
-    assert fact.where("order_id = 900").count() == 2
-
-    new_lines.where("OrderID > 900").write.mode("append").parquet(landing)
-    q = start_incremental_stream(spark, root, changed, landing, schema, ckpt, EFF)
-    q.awaitTermination(300)
-    m2 = wh.latest()
-    assert m2.stream_batch_id == 1
-    assert wh.table("fact_sales_line", m2).where("order_id > 900").count() == 2
-    ship = wh.table("fact_sales_line", m2).where("order_id = 901").first()
-    assert ship.shipped_date_sk == 0 and ship.freight_allocated == 10.0
-
-    # a replayed micro-batch is not applied twice
-    assert apply_batch(spark, root, changed, new_lines, 1, EFF, TS) is None
-    assert wh.latest().run_id == m2.run_id
+    assert rows(wh, m) == batch_load
+    assert m.rejected_lines == 0 and m.rows["fact_sales_line"] == len(batch_load)
+    # dimensions were applied by the first batch only
+    assert all(p.split("/runs/")[1].startswith("2-") for p in m.parts["dim_customer#current"])
+
+
+def test_lines_wait_for_their_header_and_null_keys_are_counted(spark, batch_load):
+    root, changed, new = start(spark, "waiting")
+    early = changed.with_tables(orders=changed.orders.where("OrderID <> 58"))
+    broken = spark.createDataFrame([(None, 10, 1.0, 1, 0.0), (57, None, 1.0, 1, 0.0), (None, None, 1.0, 1, 0.0)], DETAILS)
+    m = apply_batch(spark, root, early, new.unionByName(broken), 0, EFF, TS)
+    assert m.rows["pending_lines"] == 1 and m.rejected_lines == 3
+    m = apply_batch(spark, root, changed, new.limit(0), 1, EFF, TS)
+    assert "pending_lines" not in m.rows and m.rejected_lines == 3
+    assert rows(Warehouse(spark, root), m) == batch_load
+
+
+def test_stream_of_landed_files_loads_each_batch_once(spark, batch_load):
+    root, changed, new = start(spark, "stream-wh")
+    landing, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "stream-ckpt")
+    schema = spark.createDataFrame([], DETAILS).schema
+    for i, where in enumerate(("OrderID > 57", "OrderID = 57")):
+        new.where(where).write.mode("append").parquet(landing)
+        start_incremental_stream(spark, root, changed, landing, schema, ckpt, EFF).awaitTermination(300)
+        assert Warehouse(spark, root).latest().stream_batch_id == i
+    m = Warehouse(spark, root).latest()
+    assert rows(Warehouse(spark, root), m) == batch_load
+    assert apply_batch(spark, root, changed, new, 1, EFF, TS) is None  # a replayed micro-batch
+    assert Warehouse(spark, root).latest().run_id == m.run_id
+
+
+def test_a_later_load_goes_on_from_landed_lines(spark):
+    root, changed, new = start(spark, "mixed")
+    apply_batch(spark, root, changed, new.where("OrderID = 59"), 0, EFF, TS)
+    m = incremental_load(spark, changed.with_tables(order_details=changed.order_details), root, EFF + dt.timedelta(days=1), TS)
+    fact = Warehouse(spark, root).table("fact_sales_line", m)
+    assert fact.groupBy("order_id", "product_id").count().where(F.col("count") > 1).count() == 0
