@@ -158,7 +158,8 @@ def label(fps: DataFrame, id_col: str, max_bits: int) -> DataFrame:
     smallest = linked.groupBy("root").agg(F.min("least").alias("smallest"))
     merged = linked.join(smallest, "root").select("fp", "root", "smallest")
     ids = groups.join(merged, "fp", "left").select("fp", F.coalesce("root", "fp").alias("grp"), F.coalesce("smallest", "least").alias("component_id"))
-    return fps.join(ids, "fp")
+    # written, so that the join deals both sides out anew and AQE can split a fingerprint that many rows have
+    return fps.join(materialize(ids, "simhash"), "fp")
 
 
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
