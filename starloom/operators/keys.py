@@ -9,7 +9,8 @@
    each row's partition and place;
 2. write that layout once (the *pin*), so later passes - and task retries after
    a lost executor - see exactly the same rows and places;
-3. count rows per partition - one small row per partition reaches the driver;
+3. count rows per partition - one small row per partition reaches the driver
+   (not needed if the rows fill one partition only, which the write observes);
 4. index = start + (rows in earlier partitions) + (place inside the partition),
    the former from a broadcast frame of one row per partition.
 
@@ -22,7 +23,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starloom.session import scratch_path
@@ -48,17 +49,21 @@ def dense_index(
     path = f"{pins}/{uuid.uuid4().hex}" if pins else scratch_path(spark, "pin")
     place = F.monotonically_increasing_id()
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__place", place)
-    ranged.write.parquet(path)
+    pid = F.shiftright(F.col("__place"), _LOCAL_BITS)
+    seen = Observation(f"pin-{uuid.uuid4().hex}")
+    ranged.observe(seen, F.count(F.lit(1)).alias("n"), F.max(pid).alias("last")).write.parquet(path)
     pinned = spark.read.schema(ranged.schema).parquet(path)
 
-    pid = F.shiftright(F.col("__place"), _LOCAL_BITS)
-    rows = pinned.groupBy(pid.alias("pid")).agg(F.count(F.lit(1)).alias("n")).collect()
-    offsets, total = [], 0
-    for r in sorted(rows, key=lambda r: r["pid"]):
-        offsets.append((r["pid"], start + total - (r["pid"] << _LOCAL_BITS)))
-        total += r["n"]
+    total = seen.get["n"]
     if total == 0:
         return pinned.drop("__place").withColumn(index_col, F.lit(None).cast("long")), 0
+    if seen.get["last"] == 0:  # one range: places are the index
+        return pinned.withColumn(index_col, F.col("__place") + F.lit(start).cast("long")).drop("__place"), total
+    rows = pinned.groupBy(pid.alias("pid")).agg(F.count(F.lit(1)).alias("n")).collect()
+    offsets, before = [], 0
+    for r in sorted(rows, key=lambda r: r["pid"]):
+        offsets.append((r["pid"], start + before - (r["pid"] << _LOCAL_BITS)))
+        before += r["n"]
     shift = F.broadcast(spark.createDataFrame(offsets, "__pid long, __shift long"))  # one row per partition
     out = pinned.join(shift, pid == F.col("__pid")).withColumn(index_col, F.col("__place") + F.col("__shift"))
     return out.drop("__place", "__pid", "__shift"), total

@@ -474,7 +474,7 @@ def q_simulate_changes(spark, sf_dir):
         "Employees renamed": ("employees", is_(F.col("FirstName").endswith(RENAME_SUFFIX))),
         "Shippers renamed": ("shippers", is_(F.col("CompanyName") == SHIPPER_NEW_NAME)),
     }
-    return source_counts(get_scenario(spark, sf_dir).t1, changed)
+    return source_counts(get_scenario(spark, sf_dir).t1_by_inserts, changed)
 
 
 def q_pk_check(spark, sf_dir):

@@ -219,6 +219,7 @@ class Scenario:
     full: Source  # every row of the test tables
     t0: Source
     t1: Source
+    t1_by_inserts: Source  # the rows of t1, as t0 after guarded inserts of what it lacks
     effective_date_iso: str
     order_cut: int
 
@@ -268,14 +269,12 @@ def scenario(spark: SparkSession, sf_dir: str, workdir: str | None = None) -> Sc
     }
     tables = full.tables()
     t0 = full.with_tables(**{name: tables[name].where(c) for name, c in early.items()})
-    t1 = simulate_changes(
-        t0,
-        inserts={name: tables[name].where(~c) for name, c in early.items()},
-        updates=[
-            Update("customers", _number("CustomerID") % RELOCATE_MOD == 0, {"ContactTitle": F.lit(RELOCATED)}),
-            Update("products", F.col("ProductID") % REPRICE_MOD == 0, {"UnitPrice": F.col("UnitPrice") + F.lit(REPRICE_DELTA)}),
-            Update("employees", F.col("EmployeeID") % RENAME_MOD == 0, {"FirstName": F.concat(F.col("FirstName"), F.lit(RENAME_SUFFIX))}),
-            Update("shippers", F.col("ShipperID") == SHIPPER_RENAMED_ID, {"CompanyName": F.lit(SHIPPER_NEW_NAME)}),
-        ],
-    )
-    return Scenario(full, t0, t1, EFFECTIVE_DATE_ISO, cut)
+    updates = [
+        Update("customers", _number("CustomerID") % RELOCATE_MOD == 0, {"ContactTitle": F.lit(RELOCATED)}),
+        Update("products", F.col("ProductID") % REPRICE_MOD == 0, {"UnitPrice": F.col("UnitPrice") + F.lit(REPRICE_DELTA)}),
+        Update("employees", F.col("EmployeeID") % RENAME_MOD == 0, {"FirstName": F.concat(F.col("FirstName"), F.lit(RENAME_SUFFIX))}),
+        Update("shippers", F.col("ShipperID") == SHIPPER_RENAMED_ID, {"CompanyName": F.lit(SHIPPER_NEW_NAME)}),
+    ]
+    t1 = simulate_changes(full, updates=updates)
+    inserted = simulate_changes(t0, inserts={name: tables[name].where(~c) for name, c in early.items()}, updates=updates)
+    return Scenario(full, t0, t1, inserted, EFFECTIVE_DATE_ISO, cut)
