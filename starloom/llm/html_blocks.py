@@ -385,8 +385,10 @@ def _implied(found: list[Block]) -> np.ndarray | None:
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> Network:
     """Train on a sample of ``pages`` and pages composed from its blocks."""
-    sample = pages.select(id_col, html_col).where(F.length(html_col).between(1, SAMPLE_CHARS))
-    rows = sample.orderBy(F.xxhash64(F.col(html_col), F.lit(17)), id_col).limit(SAMPLE_PAGES).collect()
+    share = min(1.0, 4 * SAMPLE_PAGES / max(1, pages.count()))  # so that tasks send few pages, however many tasks there are
+    keyed = pages.select(id_col, html_col, F.xxhash64(F.col(html_col), F.col(id_col), F.lit(17)).alias("_h"))
+    sample = keyed.where(F.length(html_col).between(1, SAMPLE_CHARS) & (F.col("_h") <= int(share * 2**64) - 2**63 - (share == 1.0)))
+    rows = sample.orderBy("_h", id_col, html_col).limit(SAMPLE_PAGES).collect()
     found = [blocks(r[html_col]) for r in rows]
     made = Composer([b.text for page in found for b in page])
     data = [made.page() for _ in range(MADE_PAGES)]
