@@ -73,7 +73,7 @@ NUMBER = re.compile(
     r"(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\w)|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]))"
-    r"|(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]))"
+    r"|(?P<card>(?<!\w)(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{4}(?:(?P=gap)\d{3})?|\d{4}[ -]\d{6}[ -]\d{5})(?!\w))"
 )
 IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)")
 ACCESS_KEY = re.compile(r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)")
@@ -112,14 +112,15 @@ def spans(text: str) -> list[Span]:
         found += [(m.start(), m.end(), "key", m[0]) for m in ACCESS_KEY.finditer(text)]
         found += [(m.start(1), m.end(1), "secret", m[1]) for m in ASSIGNED.finditer(text)]
     if _DIGIT.search(text):
-        for m in NUMBER.finditer(text):
+        at = 0
+        while m := NUMBER.search(text, at):
             digits = re.sub(r"\D", "", m[0])
-            kind = m.lastgroup
-            if kind == "card" and not luhn(digits):
-                continue
-            if kind == "phone" and len(digits) < 7:
+            kind = next(k for k in ("ip", "ssn", "phone", "card") if m[k])
+            if kind == "card" and not luhn(digits) or kind == "phone" and len(digits) < 7:
+                at = m.start() + 1  # another number may begin inside
                 continue
             found.append((m.start(), m.end(), kind, m[0] if kind == "ip" else digits))
+            at = m.end()
         found += [(m.start(), m.end(), "iban", v) for m in IBAN.finditer(text) if 15 <= len(v := m[0].replace(" ", "")) <= 34 and _iban_sum(v) == 1]
     if _NAME_HINT.search(text):
         for m in NAME.finditer(text):
