@@ -50,9 +50,8 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """doc_id, lang, source, ids, n_tokens, and the digest of the bytes that
     the ids decode to."""
     ranks, pattern = tokenizer()
-    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), ranks, pattern, keep_text=False)
-    back = bpe.decode(ids.withColumn("n_tokens", F.size("ids").cast("long")), ranks)
-    return back.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
+    out = bpe.encode(docs.select("doc_id", "lang", "source", "text"), ranks, pattern, keep_text=False, bytes_col="decoded")
+    return out.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

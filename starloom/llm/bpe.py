@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from starloom.llm.common import nullable, slices, without
 
-CACHE_PIECES = 600_000
+CACHE_PIECES = 400_000
 CACHE_PIECE_BYTES = 64  # longer matches are encoded anew each time
 _NONE = 1 << 62
 
@@ -45,16 +45,13 @@ def parse_ranks(data: bytes) -> dict[bytes, int]:
 
 
 class Codec:
-    """Encoder and decoder of one vocabulary and split pattern."""
+    """Encoder of one vocabulary and split pattern."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         import regex
 
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
-        self.tokens: dict[int, bytes] = {r: t for t, r in ranks.items()}
-        self._bytes = [ranks[bytes([i])] for i in range(256)]
-        self._pairs: dict[int, int] = {}
         codec = self
 
         class Pieces(dict):
@@ -73,64 +70,44 @@ class Codec:
 
         self._pieces = Pieces()
 
-    def _pair(self, a: int, b: int) -> int:
-        """Rank of the merge of tokens a and b, ``_NONE`` if they don't merge."""
-        key = a << 32 | b
-        got = self._pairs.get(key)
-        if got is None:
-            if len(self._pairs) >= 2 * CACHE_PIECES:
-                self._pairs.clear()
-            got = self._pairs[key] = self.ranks.get(self.tokens[a] + self.tokens[b], _NONE)
-        return got
-
     def encode_piece(self, raw: bytes) -> list[int]:
         """Ids of one match."""
         whole = self.ranks.get(raw)
         if whole is not None:
             return [whole]
         n = len(raw)
-        if n == 0:
-            return []
-        by = self._bytes
-        ids = [by[x] for x in raw]
-        if n == 1:
-            return ids
+        if n < 2:
+            return [self.ranks[raw]] if n else []
+        rank = self.ranks.get
         bits = (n - 2).bit_length()
         size = 1 << bits
         low = size - 1
-        pair, memo = self._pair, self._pairs.get
+        # a leaf holds the rank of merging the token that starts there with the next one, and the place
         tree = [_NONE] * (2 * size)
-        left = ids[0]
         for i in range(n - 1):
-            right = ids[i + 1]
-            r = memo(left << 32 | right)
-            if r is None:
-                r = pair(left, right)
-            if r != _NONE:
+            r = rank(raw[i : i + 2])
+            if r is not None:
                 tree[size + i] = r << bits | i
-            left = right
         for i in range(size - 1, 0, -1):
             x, y = tree[2 * i], tree[2 * i + 1]
             tree[i] = x if x < y else y
-        following = list(range(1, n + 1))
-        before = list(range(-1, n))
+        after = list(range(1, n + 2))  # where the token that starts here ends
+        before = list(range(-1, n + 1))  # where the token in front of it starts
         root = tree[1]
         while root != _NONE:
             i = root & low
-            gone = following[i]
-            after = following[gone]
-            ids[i] = root >> bits
-            ids[gone] = -1
-            following[i] = after
-            before[after] = i
-            r = pair(ids[i], ids[after]) if after < n else _NONE
-            changed = [(i, _NONE if r == _NONE else r << bits | i)]
+            gone = after[i]
+            end = after[gone]
+            after[i] = end
+            before[end] = i
+            r = rank(raw[i : after[end]]) if end < n else None
+            changed = [(i, _NONE if r is None else r << bits | i)]
             if gone < n - 1:
                 changed.append((gone, _NONE))
             p = before[i]
             if p >= 0:
-                r = pair(ids[p], ids[i])
-                changed.append((p, _NONE if r == _NONE else r << bits | p))
+                r = rank(raw[p:end])
+                changed.append((p, _NONE if r is None else r << bits | p))
             for at, value in changed:
                 at += size
                 if tree[at] == value:
@@ -145,15 +122,16 @@ class Codec:
                     tree[at] = value
                     at >>= 1
             root = tree[1]
-        return [x for x in ids if x >= 0]
+        out, i = [], 0
+        while i < n:
+            out.append(self.ranks[raw[i : after[i]]])
+            i = after[i]
+        return out
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian int32 bytes."""
         return b"".join(map(self._pieces.__getitem__, self.split(text)))
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
-
 
 _CODECS: dict[tuple[int, str], Codec] = {}
 _VOCABULARIES: dict[int, dict[int, bytes]] = {}
@@ -177,23 +155,27 @@ def codec(data: bytes, pattern: str) -> Codec:
     return _CODECS[key]
 
 
-def encode(df: DataFrame, ranks: bytes, pattern: str, text_col: str = "text", ids_col: str = "ids", keep_text: bool = True) -> DataFrame:
+def encode(df: DataFrame, ranks: bytes, pattern: str, text_col: str = "text", ids_col: str = "ids", keep_text: bool = True, bytes_col: str | None = None) -> DataFrame:
     """``df`` with ``ids_col array<int>``: the ids of every whole text.
 
     ``ranks``: the rank file's bytes (sent to the executors as a broadcast; a
-    vocabulary is bounded), ``pattern``: the split pattern.
+    vocabulary is bounded), ``pattern``: the split pattern. With ``bytes_col``
+    the ids are decoded again in the same pass, as by :func:`decode`.
     """
     spark = df.sparkSession
     shipped = spark.sparkContext.broadcast(ranks)
-    src = without(df, ids_col)
+    src = without(df, ids_col, *([bytes_col] if bytes_col else []))
     names = [c for c in src.columns if keep_text or c != text_col]
-    out = nullable(T.StructType([src.schema[c] for c in names] + [T.StructField(ids_col, T.ArrayType(T.IntegerType()))]))
+    extra = [T.StructField(bytes_col, T.BinaryType())] if bytes_col else []
+    out = nullable(T.StructType([*(src.schema[c] for c in names), T.StructField(ids_col, T.ArrayType(T.IntegerType())), *extra]))
+    all_names = [f.name for f in out]
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         enc = codec(shipped.value, pattern).encode
+        token = vocabulary(shipped.value).__getitem__ if bytes_col else None
         for whole in batches:
             for b in slices(whole, text_col):
                 got = [enc(t) if t else b"" for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]
@@ -201,7 +183,11 @@ def encode(df: DataFrame, ranks: bytes, pattern: str, text_col: str = "text", id
                 np.cumsum([len(g) // 4 for g in got], out=ends[1:])
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(got), "<i4")))
                 cols = [b.column(b.schema.get_field_index(c)) for c in names]
-                yield pa.RecordBatch.from_arrays([*cols, ids], names=[*names, ids_col])
+                if token:
+                    cols_back = [pa.array([b"".join(map(token, np.frombuffer(g, "<i4").tolist())) for g in got], pa.binary())]
+                else:
+                    cols_back = []
+                yield pa.RecordBatch.from_arrays([*cols, ids, *cols_back], names=all_names)
 
     return src.mapInArrow(run, out)
 
@@ -231,12 +217,10 @@ def decode(df: DataFrame, ranks: bytes, ids_col: str = "ids", bytes_col: str = "
 def digests(df: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     """(doc_id, text) -> doc_id, n_tokens, ids_sha256, decoded_sha256 by
     encoding every text and decoding the ids again."""
-    ids = encode(df.select("doc_id", "text"), ranks, pattern, keep_text=False)
-    hashed = ids.select(
+    out = encode(df.select("doc_id", "text"), ranks, pattern, keep_text=False, bytes_col="decoded")
+    return out.select(
         "doc_id",
-        "ids",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    back = decode(hashed, ranks, keep_ids=False)
-    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
