@@ -17,7 +17,8 @@ so that each block's label is known; sampled pages that mark their main text
 by one article or main element are added with the labels this implies.
 
 Defined results: a null or empty page has an empty text; equal pages have
-equal texts; a page of any length is read whole; an empty table stays empty;
+equal texts; only an unclosed script, style, noscript, iframe or title hides
+what follows it, as in a browser, and formulas are text of their block; a page of any length is read whole; an empty table stays empty;
 without pages to learn from, the composed pages use a few built-in words.
 """
 
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.common import nullable, slices, without
+from starloom.llm.markup import RAW, closed_elements, tokens
 
 SAMPLE_PAGES = 200
 SAMPLE_CHARS = 60_000
@@ -47,16 +49,14 @@ INPUT = 2 * VECTOR + SHARES
 CACHE_WORDS = 200_000
 STEPS = 1 << 14  # padded blocks that one pass of the network holds, a longer page aside
 
-# Elements without text of the page, elements that bound blocks, elements without content.
-_SILENT = "script|style|noscript|template|svg|title|iframe|object|math"
+# Elements that bound blocks, elements without content.
 BOUNDS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html input label legend li main menu nav ol option p pre section select summary table tbody "
     "td textarea tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_ATTRS = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
-TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({_SILENT})\b{_ATTRS}>.*?(?:</\1\s*>|\Z)|<(/?)([a-z][\w:-]*)({_ATTRS})>|<[!?][^>]*>|([^<]+|<)", re.I | re.S)
+TOKEN = tokens(f"{RAW}|title", r"|([^<]+|<)")
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _WORD = re.compile(r"[a-z]+", re.I)
 
@@ -84,7 +84,12 @@ def blocks(page: str) -> list[Block]:
             parts, linked = [], 0
         in_link = False
 
+    unseen, skip = dict(closed_elements(page, TOKEN)), 0
     for m in TOKEN.finditer(page):
+        if unseen:
+            skip = max(skip, unseen.get(m.start(), 0))
+            if m.start() < skip:
+                continue
         text = m[5]
         if text is not None:
             parts.append(text)

@@ -39,20 +39,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.common import nullable, slices, without
+from starloom.llm.markup import ATTRS, CLOSED, RAW, closed_elements, tokens
 
 # Elements whose content isn't text, and elements that end a line.
-_SILENT = "script|style|noscript|template|svg|iframe|object"
+_SILENT = "|".join([RAW, *sorted(CLOSED)])
 _LINES = (
     "address|article|aside|blockquote|body|br|caption|dd|details|dialog|div|dl|dt|fieldset|figcaption|figure|footer|form|"
     "h[1-6]|header|hr|html|legend|li|main|nav|ol|option|p|pre|section|select|summary|table|tbody|td|textarea|tfoot|th|thead|title|tr|ul"
 )
-_ATTRS = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
-DROP = re.compile(rf"<!--.*?(?:-->|\Z)|<({_SILENT})\b{_ATTRS}>.*?(?:</\1\s*>|\Z)", re.I | re.S)
-LINE = re.compile(rf"</?(?:{_LINES})\b{_ATTRS}>", re.I)
-TAG = re.compile(rf"</?[a-z]{_ATTRS}>|<[!?][^>]*>", re.I)
-TITLE = re.compile(rf"<title\b{_ATTRS}>(.*?)(?:</title\s*>|\Z)", re.I | re.S)
-LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
-LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAME_ENDS = r"(?=[\s/>])"  # a hyphen goes on: title-bar is no title
+TOKEN = tokens()
+LINE = re.compile(rf"</?(?:{_LINES}){_NAME_ENDS}{ATTRS}>", re.I)
+TAG = re.compile(rf"</?[a-z]{ATTRS}>|<[!?][^>]*>", re.I)
+TITLE = re.compile(rf"<title{_NAME_ENDS}{ATTRS}>(.*?)(?:</title\s*>|\Z)", re.I | re.S)
+LANG = re.compile(rf"<html{_NAME_ENDS}[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
+LINK = re.compile(rf"<a{_NAME_ENDS}[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 META_CHARSET = re.compile(rb"<meta\b[^>]*?charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 
@@ -112,9 +113,25 @@ def decode_body(body: bytes, content_type: str) -> tuple[str, str]:
         return body.decode("utf-8", "replace"), "utf-8"
 
 
+def shown(page: str) -> str:
+    """A page without comments and elements whose content isn't text."""
+    hidden = [m.span() for m in TOKEN.finditer(page) if m[1] or page.startswith("<!--", m.start())]
+    out, at = [], 0
+    for start, end in sorted(hidden + closed_elements(page, TOKEN)):
+        if end > at:
+            if start >= at:
+                out += [page[at:start], " "]
+            at = end
+    return "".join([*out, page[at:]])
+
+
 def visible_text(page: str) -> str:
     """The text a reader sees: one line per block, white space made single."""
-    body = TAG.sub("", LINE.sub("\n", DROP.sub(" ", page)))
+    return text_of(shown(page))
+
+
+def text_of(markup: str) -> str:
+    body = TAG.sub("", LINE.sub("\n", markup))
     return "\n".join(line for line in (" ".join(x.split()) for x in html.unescape(body).split("\n")) if line)
 
 
@@ -143,12 +160,13 @@ def derive(fields: dict[str, str], block: bytes | None) -> list[dict]:
         is_html = not re.match(r"(?i)text/(?!html|xml)", content_type.strip())
         lines.append(("charset", charset))
         if is_html:
+            markup = shown(page)
             title, lang = TITLE.search(page), LANG.search(page)
             if title:
                 lines.append(("title", _clean(html.unescape(TAG.sub("", title[1])))))
             if lang:
                 lines.append(("language", lang[1]))
-            links = dict.fromkeys(_clean(html.unescape(a or b or c)) for a, b, c in LINK.findall(DROP.sub(" ", page)))
+            links = dict.fromkeys(_clean(html.unescape(a or b or c)) for a, b, c in LINK.findall(markup))
             for link in links:
                 try:
                     lines.append(("outlink", urljoin(uri or "", link)))
@@ -171,7 +189,7 @@ def derive(fields: dict[str, str], block: bytes | None) -> list[dict]:
 
     add("metadata", ids["conversion"] if textual else None, "application/warc-fields", content)
     if textual:
-        text = visible_text(page) if is_html else page
+        text = text_of(markup) if is_html else page
         add("conversion", ids["metadata"], "text/plain; charset=utf-8", text.encode("utf-8", "replace"))
     return out
 

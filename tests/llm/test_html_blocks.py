@@ -124,3 +124,13 @@ def test_odd_rows(spark, net):
     assert [r.text.count("\n") for r in got if r.page_id is None][0] > 29_000
     assert H.digests(df.limit(0).select("page_id", "url", "html")).count() == 0
     assert re.fullmatch(r"\d+", str(H.digests(df.limit(1).select("page_id", "url", "html")).first().n_chars))
+
+
+def test_text_behind_silent_names():
+    texts = lambda page: [b.text for b in H.blocks(page)]
+    for tag in ('<svg-icon name="x"></svg-icon>', "<title-bar></title-bar>", "<template-card>", "<svg class='i'/>", "<svg class=i>", "<math/>", "<object data=x>", "<script-x>", "<template>"):
+        assert texts(f"<p>a</p>{tag}<p>body text</p>") == ["a", "body text"], tag
+    assert texts("<p>a<svg><svg><text>no</text></svg><text>no</text></svg> b<template><svg><p>no</template> c<object><p>no</object></p><p>d</svg>") == ["a b c", "d"]
+    assert texts("<p>area <math><mi>x</mi><mo>+</mo><mn>1</mn></math> holds<p>b") == ["area x+1 holds", "b"]
+    assert texts("<p title='<svg>'>a<img alt='<!-- '> b</p><p>c<script>no</p><p>no") == ["a b", "c"]
+    assert len(texts("<p>a<svg>" * 20_000)) == 20_000

@@ -91,3 +91,13 @@ def test_records_round_trip_and_digests(spark):
     assert bytes(by[5, "conversion"][0].content) == b"no head" and by[5, "conversion"][0].refers_to is None
     assert bytes(by[None, "conversion"][0].content) == b"a <b>"
     assert W.derivatives(df.limit(0)).count() == 0
+
+
+def test_text_behind_silent_names():
+    for tag in ('<svg-icon name="x"></svg-icon>', "<title-bar></title-bar>", "<template-card>", "<svg class='i'/>", "<svg class=i>", "<object data=x>", "<iframe-x>", "<template>"):
+        assert W.visible_text(f"<p>a</p>{tag}<p>body text</p>") == "a\nbody text", tag
+    assert W.visible_text("<p>a<svg><svg>no</svg>no</svg> b<img alt='<!-- '><template><svg>no</template> c<p>d<script>no</p>") == "a b c\nd"
+    block = b"<title-bar>x</title-bar><title>T</title><a-card href=/no></a-card><svg class='i'/><a href=/yes>y</a>"
+    meta = W.derive(SOURCE, block)[0]["content"].decode()
+    assert re.findall("(?:title|outlink): .*", meta) == ["title: T\r", "outlink: http://a.example.org/yes\r"]
+    assert W.visible_text("<p>a<svg>" * 20_000).count("a") == 20_000
