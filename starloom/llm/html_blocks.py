@@ -2,8 +2,8 @@
 
 A page is cut into blocks: runs of text between the boundaries of block
 elements. A bidirectional LSTM in numpy reads the page's blocks in order; a
-block's input is the sum of learned vectors of its tag path (tags of the open
-elements and the words of their class, id and role), the mean of learned
+block's input is the sum of learned vectors of its tag path (each different tag
+of all open elements and word of their class, id and role), the mean of learned
 vectors of its hashed words, and a few shares (length, links, punctuation,
 place). Both directions see the whole page, so every block is classified in
 the context of all others. Blocks labelled as main text are joined.
@@ -14,7 +14,8 @@ driver. Their blocks are the raw material of ``MADE_PAGES`` composed pages
 whose layout is drawn at random - container elements and class names of main
 text, menus, headers, footers, sidebars, notices, adverts, forms, comments -
 so that each block's label is known; sampled pages that mark their main text
-by one article or main element are added with the labels this implies.
+by one article or main element are added with the labels this implies. Pages
+are trained on whole; path names that training never met have zero vectors.
 
 Defined results: a null or empty page has an empty text; equal pages have
 equal texts; only an unclosed script, style, noscript, iframe or title hides
@@ -41,7 +42,7 @@ from starloom.llm.markup import RAW, closed_elements, tokens
 SAMPLE_PAGES = 200
 SAMPLE_CHARS = 60_000
 MADE_PAGES = 700
-TRAIN_BLOCKS = 80
+LONG_BLOCKS = 80  # pages of more blocks are trained on in batches of their own
 EPOCHS = 6
 PATHS, WORDS = 2048, 4096
 VECTOR, HIDDEN, SHARES = 12, 20, 8
@@ -127,6 +128,15 @@ class Features:
 
     def __init__(self) -> None:
         self._words: dict[str, int] = {}
+        self._names: dict[str, int] = {}
+
+    def name(self, n: str) -> int:
+        got = self._names.get(n)
+        if got is None:
+            if len(self._names) >= CACHE_WORDS:
+                self._names.clear()
+            got = self._names[n] = zlib.crc32(n.encode()) % PATHS
+        return got
 
     def word(self, w: str) -> int:
         got = self._words.get(w)
@@ -140,7 +150,7 @@ class Features:
         paths, words = [], []
         shares = np.zeros((len(found), SHARES), np.float32)
         for i, b in enumerate(found):
-            paths.append([zlib.crc32(n.encode()) % PATHS for n in b.path[-24:]] + [zlib.crc32(f"leaf {b.path[-1] if b.path else ''}".encode()) % PATHS])
+            paths.append([self.name(n) for n in dict.fromkeys(b.path)] + [self.name(f"leaf {b.path[-1] if b.path else ''}")])
             words.append([self.word(w) for w in b.text.split()])
             n = len(b.text)
             shares[i, :6] = np.log1p(n) / 8, min(1.0, b.linked / n), min(1.0, 10 * sum(map(b.text.count, ".!?,;")) / n), np.log1p(len(words[-1])) / 6, b.text[-1] in ".!?", b.text.isupper()
@@ -261,14 +271,13 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def train(pages: list[tuple[list[Block], np.ndarray]], seed: int = 3) -> Network:
     """Fit on pages given as blocks and their labels (Adam)."""
     net, rng, features = Network(seed), np.random.default_rng(seed), Features()
-    data = [(*features.page(b[:TRAIN_BLOCKS]), y[:TRAIN_BLOCKS].astype(np.float32)) for b, y in pages if b]
+    data = [(*features.page(b), y.astype(np.float32)) for b, y in pages if b]
     first = {k: np.zeros_like(v) for k, v in net.w.items()}
     second = {k: np.zeros_like(v) for k, v in net.w.items()}
-    step, batch = 0, 16
+    step = 0
     for epoch in range(EPOCHS):
-        order = rng.permutation(len(data))
-        for at in range(0, len(order), batch):
-            some = [data[i] for i in order[at : at + batch]]
+        for batch in _batches([len(d[3]) for d in data], rng.permutation(len(data))):
+            some = [data[i] for i in batch]
             x, live = padded([net.inputs(*d[:3]) for d in some])
             y = np.zeros(live.shape, np.float32)
             for k, d in enumerate(some):
@@ -285,9 +294,24 @@ def train(pages: list[tuple[list[Block], np.ndarray]], seed: int = 3) -> Network
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.99 * second[k] + 0.01 * g * g
                 net.w[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-7)
+    net.w["paths"][~second["paths"].any(axis=1)] = 0  # names never met say nothing, so many of them drown no other
     return net
 
 
+def _batches(sizes: list[int], order: np.ndarray, most: int = 16) -> Iterator[list[int]]:
+    """Whole pages in ``order``, those of more than ``LONG_BLOCKS`` blocks last;
+    a batch holds at most ``STEPS`` padded blocks, a longer page aside."""
+    some: list[int] = []
+    for i in sorted(order, key=lambda i: sizes[i] > LONG_BLOCKS):
+        widest = max(sizes[j] for j in [*some, i])
+        if some and (len(some) == most or widest > LONG_BLOCKS >= sizes[some[0]] or widest * (len(some) + 1) > STEPS):
+            yield some
+            some = []
+        some.append(i)
+    if some:
+        yield some
+
+
 # --- composed pages -------------------------------------------------------------------------------------
 
 _NAMES = {  # words that sites commonly use in class, id and role of a part

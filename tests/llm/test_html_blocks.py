@@ -134,3 +134,29 @@ def test_text_behind_silent_names():
     assert texts("<p>area <math><mi>x</mi><mo>+</mo><mn>1</mn></math> holds<p>b") == ["area x+1 holds", "b"]
     assert texts("<p title='<svg>'>a<img alt='<!-- '> b</p><p>c<script>no</p><p>no") == ["a b", "c"]
     assert len(texts("<p>a<svg>" * 20_000)) == 20_000
+
+
+def test_whole_path(net):
+    utility = "".join(f'<div class="flex px mt text bg rounded shadow u{w} v{w}">' for w in "abcdefgh")
+    page = lambda tag: f"<{tag}>{utility}<p>A sentence that is long enough, with some words.</p><p>Another one of them, as long as it is.</p>{'</div>' * 8}</{tag}>"
+    found = H.blocks("<body>" + page('nav class="menu"') + page("article") + page('footer class="site-footer"'))
+    paths = H.Features().page(found)[0]
+    assert len(found) == 6 and len(found[0].path) > 24 and len({tuple(p) for p in paths}) == 3
+    for names, b in zip(paths, found):
+        assert {H.Features().name(n) for n in b.path} <= set(names)
+    assert net.labels([H.Features().page(found)])[0].tolist() == [False, False, True, True, False, False]
+
+
+def test_long_pages_train_to_their_end():
+    page = H.blocks("<body>" + "<p>Same words here.</p>" * 90 + "<div class=tail><p>Same words here.</p></div>" * 30)
+    y = np.arange(120) < 90
+    other = H.blocks("<body><div class=head><p>Same words here.</p></div><p>Same words here.</p>")
+    net = H.train([(page, y)] * 160 + [(other, np.array([False, True]))] * 160)
+    assert net.labels([H.Features().page(page)])[0].tolist() == y.tolist()
+
+
+def test_batches_hold_every_page():
+    sizes = [5, 100, 80, 3_000, 81, 20_000, 1] * 9
+    got = list(H._batches(sizes, np.random.default_rng(1).permutation(len(sizes))))
+    assert sorted(i for b in got for i in b) == list(range(len(sizes)))
+    assert all(len(b) <= 16 and (len(b) == 1 or len(b) * max(sizes[i] for i in b) <= H.STEPS) for b in got)
