@@ -2,7 +2,9 @@
 
 Detected: e-mail addresses, telephone numbers, IPv4 addresses, payment cards
 (13 to 19 digits that pass the Luhn sum), IBANs, US social security numbers,
-access keys and values of password/token/secret assignments, and names - a
+access keys, values of any length of password/token/secret assignments (the
+keyword may be part of a longer name, names and values may be quoted as in
+JSON; a quoted value goes to its closing quote), and names - a
 capitalised word after a title, or after a known given name, in Latin, Greek
 or Cyrillic script.
 
@@ -77,7 +79,10 @@ NUMBER = re.compile(
 )
 IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)")
 ACCESS_KEY = re.compile(r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)")
-ASSIGNED = re.compile(r"(?i)(?<!\w)(?:password|passwd|pwd|token|secret|api[_-]?key)\s{0,4}[=:]\s{0,4}[\"']?([^\s\"']{6,512})")
+ASSIGNED = re.compile(
+    r"(?i)(?<![\w-])(?=[\w-]*(?:password|passwd|pwd|token|secret|api[_-]?key))[\w-]++(?:\\?[\"'])?\s{0,4}[=:]\s{0,4}"
+    r"(?:\"((?:[^\"\\\r\n]|\\.)+)\"|'((?:[^'\\\r\n]|\\.)+)'|(?:\\?[\"'])?([^\s\"']+))"
+)
 NAME = re.compile(
     rf"(?<!\w)(?:(?P<male>{_title(MALE_TITLES)})|(?P<female>{_title(FEMALE_TITLES)})|(?P<other>{_title(OTHER_TITLES)}))\.?[ ](?P<titled>{_CAP}(?:[ ]{_CAP})?)"
     rf"|(?<!\w)(?P<given>{_title(' '.join(GENDER))})[ ](?P<family>{_CAP})(?!\w)"
@@ -110,7 +115,7 @@ def spans(text: str) -> list[Span]:
         found += [(m.start(), m.end(), "email", m[0].lower()) for m in EMAIL.finditer(text)]
     if _SECRET_WORD.search(text):
         found += [(m.start(), m.end(), "key", m[0]) for m in ACCESS_KEY.finditer(text)]
-        found += [(m.start(1), m.end(1), "secret", m[1]) for m in ASSIGNED.finditer(text)]
+        found += [(*m.span(m.lastindex), "secret", m[m.lastindex]) for m in ASSIGNED.finditer(text) if any(map(str.isalnum, m[m.lastindex]))]
     if _DIGIT.search(text):
         at = 0
         while m := NUMBER.search(text, at):
@@ -195,8 +200,10 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         return f"{value[:2]}{98 - _iban_sum(value[:2] + '00' + body):02d}{body}"
     if kind == "key":
         return value[:4] + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[draw(32)] for _ in value[4:])
-    if kind == "secret":
-        return _same_classes(value, draw) + "x" * longer
+    if kind == "secret":  # escapes of a quoted value stay valid
+        parts = re.split(r"(\\u[0-9a-fA-F]{4}|\\.)", value)
+        new = [_same_classes(x, draw) if i % 2 == 0 else f"\\u{97 + draw(26):04x}" if len(x) > 2 else x for i, x in enumerate(parts)]
+        return "".join(new) + "x" * longer
     part, *rest = kind.split(":")
     alphabet = rest[-1]
     if part == "given":

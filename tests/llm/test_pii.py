@@ -76,3 +76,17 @@ def test_odd_rows(spark):
     assert "555-3733" not in out[None][0][0] and out[None][0][1] == 1 and len(out[None][0][0]) == len("tel +1 (386) 555-3733 ") * 20_000
     assert P.pseudonymise(df.limit(0)).count() == 0
     assert P.pseudonymise(df.where(F.col("doc_id") < 3)).count() == 2
+
+
+def test_whole_secrets():
+    long = "aB3-_." * 134
+    for text in ("token={}", '"password": "{}"', "'pwd' : '{}'", "DB_PASSWORD={}", "export GITHUB_TOKEN='{}'", "aws-secret-key: {}", '{{"user":"u","client_secret_v2":"{}","n":1}}', 'x = "{{\\"api_key\\":{}}}"'.replace("{}}}", "{} }}")):
+        for value in ("abc123xyz", "ab1", "7", long):
+            assert units(text.format(value)) == [("secret", value)], (text, value)
+    assert units('"password": "open the \\"door\\" now", "b": "c"') == [("secret", 'open the \\"door\\" now')]
+    assert units("password=\"two words\nnext line") == [("secret", "two")]
+    assert units('the secret of a password is "abc"') == [] and units('{"token": ""}') == []
+    new = P.surrogate(P.KEY, "secret", r"ab\n\u0041\"c9", 0)
+    assert re.fullmatch(r'[a-z]{2}\\n\\u00[67][0-9a-f]\\"[a-z]\d', new)
+    assert units("password=*** token: --") == []
+    assert units("token" * 40_000 + " pwd=" * 3) == [("secret", "pwd=")]
