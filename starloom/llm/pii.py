@@ -6,7 +6,8 @@ access keys, values of any length of password/token/secret assignments (the
 keyword may be part of a longer name, names and values may be quoted as in
 JSON; a quoted value goes to its closing quote), and names - a
 capitalised word after a title, or after a known given name, in Latin, Greek
-or Cyrillic script.
+or Cyrillic script, and every other mention of such a word in the same text,
+alone, in capitals or inside a hyphenated word.
 
 Every entity is a (kind, value) unit in canonical form (digits of a number,
 lower-case address, single words of a name), so mentions that differ in
@@ -19,7 +20,8 @@ punctuation and case.
 Collision checks run over the whole corpus: a candidate that equals a real
 value found anywhere, or that an earlier unit holds, is drawn again with the
 next attempt, until every unit has a surrogate of its own. So different units
-stay different and one unit is the same everywhere (coreference).
+stay different and one unit is the same everywhere (coreference). A given name
+is one unit per script and value; its gender is settled over the corpus.
 
 Plan: rows are searched inside Arrow batches; distinct units are aggregated
 (a unit in a third of all rows is one row per task), numbered off against each
@@ -87,6 +89,7 @@ NAME = re.compile(
     rf"(?<!\w)(?:(?P<male>{_title(MALE_TITLES)})|(?P<female>{_title(FEMALE_TITLES)})|(?P<other>{_title(OTHER_TITLES)}))\.?[ ](?P<titled>{_CAP}(?:[ ]{_CAP})?)"
     rf"|(?<!\w)(?P<given>{_title(' '.join(GENDER))})[ ](?P<family>{_CAP})(?!\w)"
 )
+_WORDS = re.compile(r"(?<!\w)[^\W\d_]+(?:-[^\W\d_]+)*(?!\w)")
 _AT = re.compile(r"@")
 _DIGIT = re.compile(r"\d")
 _SECRET_WORD = re.compile(r"(?i)passw|pwd|token|secret|api.?key|AKIA|ASIA")
@@ -108,6 +111,38 @@ def script(word: str) -> str:
     return "cyrillic" if re.search("[Ѐ-ӿ]", word) else "greek" if re.search("[Ͱ-Ͽἀ-῿]", word) else "latin"
 
 
+def _names(text: str) -> list[Span]:
+    """Names by title or known given name, then every other mention of their words."""
+    named: list[tuple[int, str, str]] = []  # place, word, gender of a given name
+    genders: dict[tuple[str, str], set[str]] = {}
+    for m in NAME.finditer(text):
+        gender = "m" if m["male"] else "f" if m["female"] else "x"
+        words = [(m.start("given"), m["given"]), (m.start("family"), m["family"])] if m["given"] else [(m.start("titled") + w.start(), w[0]) for w in re.finditer(r"\S+", m["titled"])]
+        for i, (at, w) in enumerate(words):
+            first = len(words) == 2 and i == 0
+            named.append((at, w, "given" if first else "family"))
+            if first:
+                genders.setdefault((script(w), w.lower()), set()).add(GENDER.get(w, gender))
+    found: list[Span] = []
+    forms: dict[str, tuple[str, str]] = {}
+    for at, w, part in named:
+        alphabet, value = script(w), w.lower()
+        if part == "given":
+            told = genders[alphabet, value] - {"x"}
+            part = f"given:{next(iter(told)) if len(told) == 1 else 'x'}"
+        unit = f"{part}:{alphabet}", value
+        found.append((at, at + len(w), *unit))
+        for form in (w, w.upper()):
+            forms.setdefault(form, unit)
+    if forms:
+        for m in _WORDS.finditer(text):
+            if m[0] in forms:
+                found.append((*m.span(), *forms[m[0]]))
+            elif "-" in m[0]:
+                found += [(m.start() + p.start(), m.start() + p.end(), *forms[p[0]]) for p in re.finditer("[^-]+", m[0]) if p[0] in forms]
+    return found
+
+
 def spans(text: str) -> list[Span]:
     """Entities of a whole text, left to right, without overlaps."""
     found: list[Span] = []
@@ -128,13 +163,7 @@ def spans(text: str) -> list[Span]:
             at = m.end()
         found += [(m.start(), m.end(), "iban", v) for m in IBAN.finditer(text) if 15 <= len(v := m[0].replace(" ", "")) <= 34 and _iban_sum(v) == 1]
     if _NAME_HINT.search(text):
-        for m in NAME.finditer(text):
-            gender = "m" if m["male"] else "f" if m["female"] else "x"
-            words = [(m.start("given"), m["given"]), (m.start("family"), m["family"])] if m["given"] else [(m.start("titled") + w.start(), w[0]) for w in re.finditer(r"\S+", m["titled"])]
-            for i, (at, w) in enumerate(words):
-                first = len(words) == 2 and i == 0
-                kind = f"given:{GENDER.get(w, gender)}" if first else "family"
-                found.append((at, at + len(w), f"{kind}:{script(w)}", w.lower()))
+        found += _names(text)
     found.sort(key=lambda s: (s[0], -s[1]))
     out: list[Span] = []
     for s in found:
@@ -220,7 +249,7 @@ def render(mention: str, kind: str, new: str) -> str:
         body = "".join(next(chars, "") if c.isalnum() else c for c in mention)
         return body + "".join(chars)
     if kind.startswith(("given", "family")):
-        return "-".join(p[:1].upper() + p[1:] for p in new.split("-"))
+        return new.upper() if len(mention) > 1 and mention.isupper() else "-".join(p[:1].upper() + p[1:] for p in new.split("-"))
     if kind == "email" and mention.isupper():
         return new.upper()
     return new
@@ -255,9 +284,27 @@ def detect(df: DataFrame, text_col: str = "text", out_col: str = "entities") ->
     return src.mapInArrow(run, out)
 
 
+def settle(heard: DataFrame) -> DataFrame:
+    """(kind, value, rows) -> with ``unit``: the kind the value has in the whole
+    corpus. A given name is one unit per script and value, of the gender that
+    most of its rows tell."""
+    alphabet = F.regexp_extract("kind", r"^given:.:(.*)$", 1)
+    told = lambda g: F.sum(F.when(F.col("kind").startswith(f"given:{g}:"), F.col("rows")).otherwise(0)).alias(g)
+    votes = heard.where(alphabet != "").groupBy(alphabet.alias("_script"), "value").agg(told("m"), told("f"))
+    gender = F.when(F.col("m") > F.col("f"), "m").when(F.col("f") > F.col("m"), "f").otherwise("x")
+    joined = heard.withColumn("_script", alphabet).join(votes, ["_script", "value"], "left")
+    unit = F.when(F.col("_script") != "", F.concat(F.lit("given:"), gender, F.lit(":"), F.col("_script"))).otherwise(F.col("kind"))
+    return joined.select("kind", "value", unit.alias("unit"))
+
+
+def _space(kind: str = "kind"):
+    """Kinds whose values must differ: given names of a script, of any gender."""
+    return F.regexp_replace(kind, "^given:.:", "given:").alias("_space")
+
+
 def assign(units: DataFrame, key: bytes = KEY) -> DataFrame:
-    """Distinct (kind, value) -> with ``surrogate``: unique within a kind and
-    equal to no real value of that kind."""
+    """Distinct (kind, value) -> with ``surrogate``: unique within a kind (given
+    names: within a script) and equal to no real value there."""
 
     def draw(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -266,12 +313,12 @@ def assign(units: DataFrame, key: bytes = KEY) -> DataFrame:
             got = [surrogate(key, k, v, a) for k, v, a in zip(*(b.column(i).to_pylist() for i in range(3)))]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(got, pa.string())], names=["kind", "value", "attempt", "surrogate"])
 
-    real = units.select("kind", F.col("value").alias("surrogate"))
+    real = units.select(_space(), F.col("value").alias("surrogate")).distinct()
     drawn = materialize(units.withColumn("attempt", F.lit(0)).mapInArrow(draw, "kind string, value string, attempt int, surrogate string"), "pii-units")
     for _ in range(MAX_ATTEMPTS):
-        owner = drawn.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "value")).alias("first"))
-        clash = owner.join(real.withColumn("_real", F.lit(True)), ["kind", "surrogate"], "left")
-        judged = drawn.join(clash, ["kind", "surrogate"]).withColumn("_again", F.col("_real").isNotNull() | (F.col("first.value") != F.col("value")))
+        owner = drawn.groupBy(_space(), "surrogate").agg(F.min(F.struct("attempt", "value")).alias("first"))
+        clash = owner.join(real.withColumn("_real", F.lit(True)), ["_space", "surrogate"], "left")
+        judged = drawn.withColumn("_space", _space()).join(clash, ["_space", "surrogate"]).withColumn("_again", F.col("_real").isNotNull() | (F.col("first.value") != F.col("value")))
         if judged.where("_again").isEmpty():
             return drawn.select("kind", "value", "surrogate")
         kept = judged.where("NOT _again").select("kind", "value", "attempt", "surrogate")
@@ -287,8 +334,10 @@ def pseudonymise(df: DataFrame, text_col: str = "text", key: bytes = KEY, entiti
     found = detect(src, text_col, "_units")
     held = materialize(found.where(F.size("_units") > 0).withColumn("_row", F.monotonically_increasing_id()), "pii-rows")
     each = held.select("_row", F.explode("_units").alias("u")).select("_row", "u.kind", "u.value")
-    units = materialize(each.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("rows")).select("kind", "value"), "pii-units")
-    known = each.join(assign(units, key), ["kind", "value"])
+    heard = materialize(each.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("rows")), "pii-units")
+    units = materialize(settle(heard), "pii-units")
+    drawn = assign(units.select(F.col("unit").alias("kind"), "value").distinct(), key).withColumnRenamed("kind", "unit")
+    known = each.join(units.join(drawn, ["unit", "value"]).select("kind", "value", "surrogate"), ["kind", "value"])
     per_row = known.groupBy("_row").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("_map"))
     joined = held.drop("_units").join(per_row, "_row").drop("_row")
     names = src.columns

@@ -90,3 +90,28 @@ def test_whole_secrets():
     assert re.fullmatch(r'[a-z]{2}\\n\\u00[67][0-9a-f]\\"[a-z]\d', new)
     assert units("password=*** token: --") == []
     assert units("token" * 40_000 + " pwd=" * 3) == [("secret", "pwd=")]
+
+
+def test_bare_mentions():
+    jones, mary = ("family:latin", "Jones"), ("given:f:latin", "Mary")
+    assert units("Jones met Mrs Mary Jones. Jones's car, Mary said; Smith-Jones, jones, Jonesy.") == [jones, mary, jones, jones, mary, jones]
+    assert units("Dr Weiß called. WEISS, Anna Κώστας, Κώστας") == [("family:latin", "Weiß"), ("family:latin", "WEISS"), ("given:f:latin", "Anna"), ("family:greek", "Κώστας"), ("family:greek", "Κώστας")]
+    assert units("Mr Alex Jones, Dr Alex Jones, Alex") == [("given:m:latin", "Alex"), jones] * 2 + [("given:m:latin", "Alex")]
+    assert units("Jones and Mary") == []
+
+
+def test_one_person_has_one_surrogate(spark):
+    texts = ["Mr Alex Jones called.", "Mr Alex Stone", "Dr Alex Jones called. JONES and Alex left.", "Ms Alex Jones", "Dr Kim Lee", "Mrs Kim Lee"]
+    got = [r.text for r in P.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).orderBy("doc_id").collect()]
+    _, alex, jones, _ = got[0].split()
+    assert got[2] == f"Dr {alex} {jones} called. {jones.upper()} and {alex} left." and got[3] == f"Ms {alex} {jones}"
+    assert got[1].split()[1] == alex and alex in P.GIVEN["latin", "m"].split()
+    kim = got[4].split()[1]
+    assert got[5].split()[1] == kim and kim in P.GIVEN["latin", "f"].split() and got[4].split()[2] == got[5].split()[2]
+    assert not {"Alex", "Jones", "Kim", "Lee", "Stone"} & set(" ".join(got).split())
+
+
+def test_given_names_differ_across_genders(spark):
+    names = [(f"given:{g}:latin", f"name{i}") for i, g in enumerate("mfx" * 30)]
+    got = P.assign(spark.createDataFrame(names, P.UNIT)).collect()
+    assert len({r.surrogate for r in got}) == len(names)
