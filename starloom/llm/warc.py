@@ -17,6 +17,10 @@ source id and the record type, so reruns give the same ids.
 
 Work is per response inside Arrow batches; nothing is shuffled.
 
+Chunked transfer and gzip and deflate codings are undone first. A body in a
+coding not known here gives a metadata record that names it; of a damaged or
+cut body what can be read is used, and the metadata says so.
+
 Defined results: a null or empty block gives a metadata record only; a block
 without an HTTP head is taken as the body; a source without a record id has no
 WARC-Refers-To and gets ids from its URI, date and block; header names are
@@ -27,10 +31,12 @@ input columns pass through, those named like the outputs are replaced.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
@@ -54,6 +60,7 @@ TAG = re.compile(rf"</?[a-z]{ATTRS}>|<[!?][^>]*>", re.I)
 TITLE = re.compile(rf"<title{_NAME_ENDS}{ATTRS}>(.*?)(?:</title\s*>|\Z)", re.I | re.S)
 LANG = re.compile(rf"<html{_NAME_ENDS}[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
 LINK = re.compile(rf"<a{_NAME_ENDS}[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+CHUNK = re.compile(rb"[ \t]*([0-9a-fA-F]{1,16})[ \t]*(?:;[^\r\n]*)?\r?\n")
 META_CHARSET = re.compile(rb"<meta\b[^>]*?charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 
@@ -102,6 +109,71 @@ def split_http(block: bytes) -> tuple[int | None, list[tuple[str, str]], bytes]:
     return int(status[1]) if status else None, fields, body
 
 
+def unchunked(body: bytes) -> tuple[bytes, bool]:
+    """(content, complete) of a chunked body; a body that doesn't begin with a
+    chunk is one whose writer has undone the chunks."""
+    out, at = [], 0
+    while m := CHUNK.match(body, at):
+        size = int(m[1], 16)
+        if not size:
+            return b"".join(out), True
+        out.append(body[m.end() : m.end() + size])
+        at = m.end() + size
+        at += 2 if body[at : at + 2] == b"\r\n" else body[at : at + 1] == b"\n"
+    return (b"".join(out), False) if out else (body, True)
+
+
+def inflated(body: bytes, coding: str) -> tuple[bytes, bool]:
+    """(content, complete) of a gzip (of any number of members) or deflate body;
+    one without a gzip header is one whose writer has undone the coding."""
+    if coding == "deflate":
+        zlib_head = len(body) > 1 and body[0] & 15 == 8 and int.from_bytes(body[:2], "big") % 31 == 0
+        for bits in (15, -15) if zlib_head else (-15,):
+            got, complete, _ = _member(body, bits)
+            if complete or got and not body.lstrip().startswith(b"<"):
+                return got, complete
+        return body, True
+    out, rest, complete = [], body, True
+    while rest.startswith(b"\x1f\x8b") and complete:
+        got, complete, rest = _member(rest, 31)
+        out.append(got)
+    return (b"".join(out), complete) if out else (body, True)
+
+
+def _member(body: bytes, bits: int) -> tuple[bytes, bool, bytes]:
+    """(content, complete, bytes behind it) of one compressed stream, as far as it can be read."""
+    unpack, out = zlib.decompressobj(bits), []
+    try:
+        for at in range(0, len(body), 1 << 16):
+            out.append(unpack.decompress(body[at : at + (1 << 16)]))
+            if unpack.eof:
+                return b"".join(out), True, unpack.unused_data + body[at + (1 << 16) :]
+        out.append(unpack.flush())
+    except zlib.error:
+        pass
+    return b"".join(out), unpack.eof, b""
+
+
+def undone(http: list[tuple[str, str]], body: bytes) -> tuple[list[bytes], bool, str | None]:
+    """(forms of the body: as stored, without chunks, without codings; complete;
+    the coding that isn't known here, which is left on the last form)."""
+    stated = lambda name: [c.strip().lower() for k, v in http if k.lower() == name for c in v.split(",") if c.strip()]
+    forms, all_read = [body], True
+    for codings in (stated("transfer-encoding"), stated("content-encoding")):
+        for coding in reversed(codings):
+            if coding == "chunked":
+                body, complete = unchunked(body)
+            elif coding in ("gzip", "x-gzip", "deflate"):
+                body, complete = inflated(body, coding)
+            elif coding == "identity":
+                complete = True
+            else:
+                return [*forms, body], all_read, coding
+            all_read &= complete
+        forms.append(body)
+    return forms, all_read, None
+
+
 def decode_body(body: bytes, content_type: str) -> tuple[str, str]:
     """(text, charset) by the content type, the page's own statement, or UTF-8."""
     stated = CHARSET.search(content_type)
@@ -146,15 +218,22 @@ def derive(fields: dict[str, str], block: bytes | None) -> list[dict]:
     block = block or b""
     status, http, body = split_http(block)
     content_type = next((v for k, v in http if k.lower() == "content-type"), "text/html" if status is None and body else "")
-    checks = [digest_holds(given.get("warc-block-digest"), block), digest_holds(given.get("warc-payload-digest"), body)]
+    forms, complete, unknown = undone(http, body)
+    body = forms[-1]
+    payload = [digest_holds(given.get("warc-payload-digest"), f) for f in dict.fromkeys(forms)]  # writers differ in which one they mean
+    checks = [digest_holds(given.get("warc-block-digest"), block), True if True in payload else payload[0]]
     holds = None if checks == [None, None] else all(c is not False for c in checks)
     name = source or "|".join([uri or "", date or "", hashlib.sha1(block).hexdigest()])
     ids = {kind: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{name}#{kind}')}>" for kind in ("metadata", "conversion")}
-    textual = bool(body) and re.match(r"(?i)text/|application/(xhtml|xml)", content_type.strip() or "text/html") is not None
+    textual = bool(body) and unknown is None and re.match(r"(?i)text/|application/(xhtml|xml)", content_type.strip() or "text/html") is not None
 
     out, lines = [], []
     if status is not None:
         lines.append(("http-status", str(status)))
+    if unknown is not None:
+        lines.append(("unknown-encoding", unknown))
+    if not complete:
+        lines.append(("payload-complete", "false"))
     if textual:
         page, charset = decode_body(body, content_type)
         is_html = not re.match(r"(?i)text/(?!html|xml)", content_type.strip())
@@ -233,12 +312,33 @@ def derivatives(responses: DataFrame, fields_col: str = "warc_fields", block_col
     return src.mapInArrow(run, out)
 
 
+def response(page_id: int | None, body: bytes) -> bytes:
+    """A page as an HTTP message: plain, chunked or gzip by its id."""
+    how = zlib.crc32(str(page_id).encode()) % 3
+    head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
+    if how == 1:
+        parts = [body[at : at + 4096] for at in range(0, len(body), 4096)]
+        return head + b"Transfer-Encoding: chunked\r\n\r\n" + b"".join(b"%x\r\n%b\r\n" % (len(p), p) for p in parts) + b"0\r\n\r\n"
+    if how == 2:
+        head, body = head + b"Content-Encoding: gzip\r\n", gzip.compress(body, 6, mtime=0)
+    return head + b"Content-Length: %d\r\n\r\n" % len(body) + body
+
+
 def responses_of(pages: DataFrame) -> DataFrame:
     """Stand-in for a reader of response records: the ``pages`` table in the
     schema :func:`derivatives` expects (page_id, warc_fields, block)."""
-    body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    head = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"))
-    block = F.concat(head.cast("binary"), body)
+    names = [*pages.columns, "_sent"]
+
+    def send(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for whole in batches:
+            for b in slices(whole, "html"):
+                ids, html_ = (b.column(b.schema.get_field_index(c)).to_pylist() for c in ("page_id", "html"))
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([response(i, (p or "").encode("utf-8", "replace")) for i, p in zip(ids, html_)], pa.binary())], names=names)
+
+    pages = pages.mapInArrow(send, nullable(T.StructType([*pages.schema.fields, T.StructField("_sent", T.BinaryType())])))
+    body, block = F.coalesce(F.col("html"), F.lit("")).cast("binary"), F.col("_sent")
     md5 = F.md5(F.concat_ws("|", F.col("page_id").cast("string"), F.col("url")))
     rid = F.concat(F.lit("<urn:uuid:"), F.regexp_replace(md5, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), F.lit(">"))
     fields = {

@@ -1,5 +1,7 @@
+import gzip
 import hashlib
 import re
+import zlib
 from html.parser import HTMLParser
 
 from pyspark.sql import types as T
@@ -101,3 +103,33 @@ def test_text_behind_silent_names():
     meta = W.derive(SOURCE, block)[0]["content"].decode()
     assert re.findall("(?:title|outlink): .*", meta) == ["title: T\r", "outlink: http://a.example.org/yes\r"]
     assert W.visible_text("<p>a<svg>" * 20_000).count("a") == 20_000
+
+
+def test_encoded_bodies_give_equal_texts():
+    page = "<title>Grüße</title><p>body</p><a href=/x>y</a>".encode() * 300
+    chunked = lambda b: b"".join(b"%X;e=1\r\n%b\r\n" % (len(b[i : i + 999]), b[i : i + 999]) for i in range(0, len(b), 999)) + b"0\r\nT: v\r\n\r\n"
+    raw = zlib.compressobj(wbits=-15)
+    half = len(page) // 2
+    plain = W.derive(SOURCE, b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + page)[1]["content"]
+    cases = {
+        "Transfer-Encoding: chunked": chunked(page),
+        "content-encoding: GZIP": gzip.compress(page),
+        "Content-Encoding: x-gzip, identity": gzip.compress(page[:half]) + gzip.compress(page[half:]),
+        "Content-Encoding: deflate": zlib.compress(page),
+        "Content-Encoding:deflate": raw.compress(page) + raw.flush(),
+        "Content-Encoding: deflate, gzip\r\nTransfer-Encoding: gzip, chunked": chunked(gzip.compress(gzip.compress(zlib.compress(page)))),
+        "Content-Encoding: gzip\r\nTransfer-Encoding: chunked": page,  # undone by the writer
+    }
+    for head, body in cases.items():
+        block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n{head}\r\n\r\n".encode() + body
+        for digest in (W.sha1(body), W.sha1(page)):
+            meta, text = W.derive(SOURCE | {"WARC-Payload-Digest": digest}, block)
+            assert text["content"] == plain and meta["digest_ok"], head
+            assert b"title: Gr\xc3\xbc\xc3\x9fe" in meta["content"] and b"outlink: http://a.example.org/x" in meta["content"]
+    head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nContent-Encoding: "
+    (only,) = W.derive(SOURCE, head + b"br\r\n\r\n\x0b\x02")
+    assert only["record_type"] == "metadata" and b"unknown-encoding: br\r\n" in only["content"]
+    meta, text = W.derive(SOURCE, head + b"gzip\r\n\r\n" + gzip.compress(page)[:-12])
+    assert b"payload-complete: false" in meta["content"] and text["content"]
+    sent = [W.response(i, page) for i in range(30)]
+    assert {W.derive({}, b)[1]["content"] for b in sent} == {plain} and len(set(sent)) == 3
