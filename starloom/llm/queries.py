@@ -8,8 +8,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, embed_join, fingerprint, html_blocks, mixing, pii, simhash_dedup, toxicity, url_reputation, warc
+from starloom.llm import bpe, embed_join, fingerprint, html_blocks, mixing, pii, simhash_dedup, token_files, toxicity, url_reputation, warc
 from starloom.llm.common import table
+from starloom.session import scratch_path
 
 
 def tokenizer() -> tuple[bytes, str]:
@@ -71,6 +72,15 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole document written to seekable files, and read back."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        definition = f.read()
+    return token_files.digests(table(spark, sf_dir, "documents"), scratch_path(spark, "token-files"), definition, end_id=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_html_text": op2_html_text,
@@ -82,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_surrogates": op8_surrogates,
     "op9_warc_derivatives": op9_warc_derivatives,
     "op10_simhash_dedup": op10_simhash_dedup,
+    "op12_token_files": op12_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_embedding_near_dedup": embed_join.SQL, "op7_url_reputation": url_reputation.SQL}
