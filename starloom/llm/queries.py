@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, embed_join, fingerprint, html_blocks, mixing, pii, simhash_dedup, token_files, toxicity, url_reputation, warc
+from starloom.llm import bpe, collocations, embed_join, fingerprint, html_blocks, mixing, pii, simhash_dedup, token_files, toxicity, url_reputation, warc
 from starloom.llm.common import table
 from starloom.session import scratch_path
 
@@ -72,6 +72,11 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 2,000 collocations of every language, of two to four words."""
+    return collocations.mine(table(spark, sf_dir, "documents")).collocations
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole document written to seekable files, and read back."""
     import public_tokenizers
@@ -92,7 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_surrogates": op8_surrogates,
     "op9_warc_derivatives": op9_warc_derivatives,
     "op10_simhash_dedup": op10_simhash_dedup,
+    "op11_collocations": op11_collocations,
     "op12_token_files": op12_token_files,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_embedding_near_dedup": embed_join.SQL, "op7_url_reputation": url_reputation.SQL}
+ORACLE_SQL: dict[str, str] = {"op5_embedding_near_dedup": embed_join.SQL, "op7_url_reputation": url_reputation.SQL, "op11_collocations": collocations.SQL}
