@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, collocations, embed_join, fingerprint, html_blocks, mixing, pii, simhash_dedup, token_files, toxicity, url_reputation, warc
+from starloom.llm import bpe, collocations, embed_join, fingerprint, hard_negatives, html_blocks, mixing, pii, simhash_dedup, token_files, toxicity, url_reputation, warc
 from starloom.llm.common import table
 from starloom.session import scratch_path
 
@@ -86,6 +86,11 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(table(spark, sf_dir, "documents"), scratch_path(spark, "token-files"), definition, end_id=2)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor (id divisible by 50) and each of its five positives."""
+    return hard_negatives.mine(hard_negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_html_text": op2_html_text,
@@ -99,6 +104,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash_dedup": op10_simhash_dedup,
     "op11_collocations": op11_collocations,
     "op12_token_files": op12_token_files,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_embedding_near_dedup": embed_join.SQL, "op7_url_reputation": url_reputation.SQL, "op11_collocations": collocations.SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op5_embedding_near_dedup": embed_join.SQL,
+    "op7_url_reputation": url_reputation.SQL,
+    "op11_collocations": collocations.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
+}
