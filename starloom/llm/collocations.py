@@ -13,6 +13,11 @@ So every word occurrence gives one row, pre-counted inside the task, and:
   on down to words. Windows are dealt by node, so edges and flows come out of
   one shuffle; only the flows travel on.
 
+Words are counted first: a phrase that reaches ``min_count`` has only words that
+do, so a window ends at any other word as at a piece's end. If these words are
+few enough for a broadcast (``VOCABULARY``, checked), windows are whole numbers;
+beyond that they carry their text, with equal results.
+
 Among phrases that reach ``min_count``, an edge as heavy as both of its nodes
 is the only way out of the one and into the other. Chains of such edges are
 compacted into paths by pointer doubling (they can't be longer than a piece, nor
@@ -36,6 +41,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import NamedTuple
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,6 +55,8 @@ TOP = 2000
 UNKNOWN = "und"
 SALTS = 16
 CHUNK_WORDS = 1_500_000  # words that a task counts at once
+WORD_BITS = 20
+VOCABULARY = (1 << WORD_BITS) - 1  # most words that are numbered and broadcast
 
 # fixed values: what ends a piece, what parts words
 PIECE_END = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -63,63 +71,183 @@ class Mined(NamedTuple):
     collocations: DataFrame  # lang, rank, phrase, a, l, r, n, score
 
 
-def _windows(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """(lang, gram, c): windows of up to LONGEST words, counted per task."""
-    src = df.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
+def _plain_text() -> bytes:
+    """Translation of bytes: A-Z to a-z, every piece end to the first, every blank to the first."""
     plain = bytearray(range(256))
     plain[65:91] = range(97, 123)
-    for c in PIECE_END:
-        plain[c] = PIECE_END[0]
-    for c in BLANK:
-        plain[c] = BLANK[0]
-    plain, end, between = bytes(plain), PIECE_END[:1], BLANK[:1]
+    for signs in (PIECE_END, BLANK):
+        for c in signs:
+            plain[c] = signs[0]
+    return bytes(plain)
+
+
+def _chunks(batches: Iterator, numbering) -> Iterator:
+    """(numbering, {lang: word numbers}) of CHUNK_WORDS words at a time; a piece
+    ends with the number 0. ``numbering()`` gives the object whose items number
+    a language's words."""
+    import numpy as np
+
+    plain, end, between = _plain_text(), PIECE_END[:1], BLANK[:1]
+    numbers, held, n_held = numbering(), {}, 0
+    for whole in batches:
+        for b in slices(whole, "text"):
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                tokens = text.encode("utf-8", "replace").translate(plain).replace(end, between + end + between).split(between)
+                ids = np.fromiter(map(numbers[lang].__getitem__, filter(None, tokens)), np.int64)
+                held.setdefault(lang, []).append(np.append(ids, 0))
+                n_held += len(ids)
+                if n_held >= CHUNK_WORDS:
+                    yield numbers, {k: np.concatenate(v) for k, v in held.items()}
+                    numbers, held, n_held = numbering(), {}, 0
+    if held:
+        yield numbers, {k: np.concatenate(v) for k, v in held.items()}
+
+
+class _Met(dict):
+    """Numbers words as they come, from 1; the piece end is 0."""
+
+    def __init__(self) -> None:
+        self[PIECE_END[:1]] = 0
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+class _ByLang(dict):
+    def __init__(self, kind) -> None:
+        self.kind = kind
+
+    def __missing__(self, lang: str):
+        self[lang] = made = self.kind()
+        return made
+
+
+class _Known(dict):
+    """Numbers of given words; any other, and the piece end, is 0."""
+
+    def __missing__(self, word: bytes) -> int:
+        return 0
+
+
+def _following(w) -> list:
+    """The words at every place and at the three behind it, 0 from a piece's end on."""
+    import numpy as np
+
+    cols = [w]
+    for i in range(1, LONGEST):
+        cols.append(np.where(cols[-1] != 0, np.append(w[i:], np.zeros(min(i, len(w)), np.int64)), 0))
+    return cols
+
+
+def _texts(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    return df.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
+
+
+def _word_counts(texts: DataFrame) -> DataFrame:
+    """(lang, phrase, f) of all words."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for numbers, held in _chunks(batches, lambda: _ByLang(_Met)):
+            for lang, w in held.items():
+                counts = np.bincount(w, minlength=len(numbers[lang]))[1:]
+                words = pa.array(list(numbers[lang])[1:], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words), pa.string()), words, pa.array(counts, pa.int64())], names=["lang", "phrase", "c"])
+
+    return texts.mapInArrow(run, "lang string, phrase string, c long").groupBy("lang", "phrase").agg(F.sum("c").alias("f"))
+
+
+def _windows(texts: DataFrame) -> DataFrame:
+    """(lang, gram, c): windows of up to LONGEST words, counted per task."""
+    between = BLANK[:1].decode()
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        class Numbers(dict):
-            def __missing__(self, word: bytes) -> int:
-                self[word] = n = len(self)
-                return n
-
-        numbers, held, n_held = Numbers({end: 0}), {}, 0
-
-        def flush() -> Iterator:
-            words = pa.array(list(numbers), pa.binary()).cast(pa.string())
-            for lang, parts in held.items():
-                w = np.concatenate([*parts, np.zeros(LONGEST, np.int64)])
-                cols, live = [w], w != 0
-                for i in range(1, LONGEST):
-                    cols.append(np.where(cols[-1] != 0, np.append(w[i:], np.zeros(i, np.int64)), 0))
-                cols = [c[live] for c in cols]
-                if not len(cols[0]):
-                    continue
+        for numbers, held in _chunks(batches, lambda: _ByLang(_Met)):
+            for lang, w in held.items():
+                n, words = len(numbers[lang]), pa.array(list(numbers[lang]), pa.binary()).cast(pa.string())
+                cols = [c[w != 0] for c in _following(w)]
                 # two words to a number, twice, made dense so that a pair of pairs fits 64 bits
-                (pairs, left), (rests, right) = (np.unique(a * len(numbers) + b, return_inverse=True) for a, b in (cols[:2], cols[2:]))
-                keys, counts = np.unique(left * len(rests) + right, return_counts=True)
-                left, right = pairs[keys // len(rests)], rests[keys % len(rests)]
-                at = [left // len(numbers), left % len(numbers), right // len(numbers), right % len(numbers)]
+                (pairs, left), (rests, right) = (np.unique(a * n + b, return_inverse=True) for a, b in (cols[:2], cols[2:]))
+                keys, counts = np.unique(left * max(1, len(rests)) + right, return_counts=True)
+                left, right = pairs[keys // max(1, len(rests))], rests[keys % max(1, len(rests))]
+                at = [left // n, left % n, right // n, right % n]
                 for lo in range(0, len(keys), 200_000):
                     hi = lo + 200_000
                     parts = [words.take(pa.array(a[lo:hi], mask=a[lo:hi] == 0)) for a in at]
-                    gram = pc.binary_join_element_wise(*parts, between.decode(), null_handling="skip")
+                    gram = pc.binary_join_element_wise(*parts, between, null_handling="skip")
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), gram, pa.array(counts[lo:hi], pa.int64())], names=["lang", "gram", "c"])
 
-        for whole in batches:
-            for b in slices(whole, "text"):
-                for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    tokens = text.encode("utf-8", "replace").translate(plain).replace(end, between + end + between).split(between)
-                    ids = np.fromiter(map(numbers.__getitem__, filter(None, tokens)), np.int64)
-                    held.setdefault(lang, []).append(np.append(ids, 0))
-                    n_held += len(ids)
-                    if n_held >= CHUNK_WORDS:
-                        yield from flush()
-                        numbers, held, n_held = Numbers({end: 0}), {}, 0
-        yield from flush()
+    return texts.mapInArrow(run, "lang string, gram string, c long")
+
+
+def _numbered_windows(texts: DataFrame, table: Broadcast) -> DataFrame:
+    """(node, next, c): windows of two to LONGEST words that reach ``min_count``,
+    by their numbers; a word that doesn't ends a window as a piece end does."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        known = _ByLang(_Known)
+        for lang, words, first in table.value:
+            known[lang] = _Known(zip(words, range(first, first + len(words))))
+        for _, held in _chunks(batches, lambda: known):
+            cols = _following(np.concatenate(list(held.values())))
+            live = (cols[0] != 0) & (cols[1] != 0)
+            a, b, c, d = (x[live] for x in cols)
+            nodes, at = np.unique((a << 2 * WORD_BITS) | (b << WORD_BITS) | c, return_inverse=True)
+            keys, counts = np.unique((at << WORD_BITS) | d, return_counts=True)
+            names = ["node", "next", "c"]
+            last = (keys & ((1 << WORD_BITS) - 1)).astype(np.int32)
+            for lo in range(0, len(keys), 200_000):
+                part = np.s_[lo : lo + 200_000]
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[keys[part] >> WORD_BITS]), pa.array(last[part]), pa.array(counts[part], pa.int64())], names=names)
+
+    return texts.mapInArrow(run, "node long, next int, c long")
+
+
+def _count_by_number(texts: DataFrame, words: DataFrame, min_count: int) -> DataFrame:
+    """lang, phrase, k, f of the phrases of two and more words."""
+    spark = texts.sparkSession
+    by_lang: dict[str, list[tuple[int, bytes]]] = {}
+    for r in words.where(F.col("f") >= min_count).collect():  # VOCABULARY rows at most
+        by_lang.setdefault(r["lang"], []).append((-r["f"], r["phrase"].encode()))
+    table, first = [], 1
+    for lang in sorted(by_lang):
+        table.append((lang, [w for _, w in sorted(by_lang[lang])], first))
+        first += len(by_lang[lang])
+    shipped = spark.sparkContext.broadcast(table)
+    both = F.expr("CASE WHEN next > 0 THEN array(struct(next, c), struct(0 AS next, c)) ELSE array(struct(next, c)) END")
+    at_node = _numbered_windows(texts, shipped).repartition("node").select("node", F.inline(both)).groupBy("node", "next").agg(F.sum("c").alias("f"))
+    # the node of the first two words alone holds the pair's flow
+    word, pair = (1 << WORD_BITS) - 1, f"shiftleft(shiftright(node, {WORD_BITS}), {WORD_BITS})"
+    whole = f"""CASE WHEN next > 0 OR node & {word}L = 0 THEN array(struct(node, next, f))
+                     WHEN f >= {min_count} THEN array(struct(node, next, f), struct({pair} AS node, next, f))
+                     ELSE array(struct({pair} AS node, next, f)) END"""
+    flows = at_node.where(f"next = 0 OR f >= {min_count}").select(F.inline(F.expr(whole))).groupBy("node", "next").agg(F.sum("f").alias("f")).where(f"f >= {min_count}")
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        langs = [lang for lang, some, _ in shipped.value for _ in some]
+        names = pa.array([b"", *(w for _, some, _ in shipped.value for w in some)], pa.binary()).cast(pa.string())
+        for b in batches:
+            node, last = b.column(0).to_numpy(), b.column(1).to_numpy()
+            at = [node >> 2 * WORD_BITS, (node >> WORD_BITS) & word, node & word, last.astype(np.int64)]
+            phrase = pc.binary_join_element_wise(*(names.take(pa.array(a, mask=a == 0)) for a in at), " ", null_handling="skip")
+            k = sum((a != 0).astype(np.int32) for a in at)
+            yield pa.RecordBatch.from_arrays([pa.array([langs[i - 1] for i in at[0].tolist()], pa.string()), phrase, pa.array(k, pa.int32()), b.column(2)], names=["lang", "phrase", "k", "f"])
 
-    return src.mapInArrow(run, "lang string, gram string, c long")
+    return flows.mapInArrow(run, "lang string, phrase string, k int, f long")
 
 
 def _words(gram: str) -> str:
@@ -145,20 +273,36 @@ def _flows(rows: DataFrame, level: int, min_count: int) -> DataFrame:
     return step.groupBy("lang", "gram", "done").agg(F.sum("f").alias("f"))
 
 
-def count_phrases(df: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = MIN_COUNT) -> DataFrame:
-    """lang, phrase, k, f: all words, and phrases of up to LONGEST words with
-    f >= min_count."""
+def _count_by_text(texts: DataFrame, min_count: int) -> DataFrame:
+    """lang, phrase, k, f: all words, and longer phrases of min_count and more."""
     node = f"substring_index(gram, ' ', {LONGEST - 1})"
-    windows = _windows(df, text_col, lang_col).withColumn("bucket", F.expr(f"xxhash64(lang, {node})"))
+    windows = _windows(texts).withColumn("bucket", F.expr(f"pmod(xxhash64(lang, {node}), {1 << 20})").cast("int"))
     # dealt by node: the weights of a node's edges and its flow need no other shuffle
-    at_node = windows.repartition("bucket").select("bucket", "lang", F.explode(F.expr(f"CASE WHEN {_words('gram')} = {LONGEST} THEN array(struct(gram, true AS edge), struct({node} AS gram, false AS edge)) ELSE array(struct(gram, false AS edge)) END")).alias("s"), "c")
-    flows = at_node.groupBy("bucket", "lang", "s.gram", "s.edge").agg(F.sum("c").alias("f"))
+    both = f"CASE WHEN {_words('gram')} = {LONGEST} THEN array(struct(gram, true AS edge), struct({node} AS gram, false AS edge)) ELSE array(struct(gram, false AS edge)) END"
+    at_node = windows.repartition("bucket").select("bucket", "lang", F.inline(F.expr(both)), "c")
+    flows = at_node.groupBy("bucket", "lang", "gram", "edge").agg(F.sum("c").alias("f"))
     rows = flows.where(f"NOT edge OR f >= {min_count}").select("lang", "gram", "f", F.col("edge").alias("done"))
     for level in range(LONGEST - 1, 1, -1):
         rows = _flows(rows, level, min_count)
     return rows.select("lang", F.col("gram").alias("phrase"), F.expr(_words("gram")).cast("int").alias("k"), "f")
 
 
+def count_phrases(df: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = MIN_COUNT, vocabulary: int = VOCABULARY) -> DataFrame:
+    """lang, phrase, k, f: all words, and phrases of up to LONGEST words with
+    f >= min_count.
+
+    Words are counted first. Those that reach ``min_count``, the only ones such
+    a phrase can hold, are numbered and sent to the tasks if they are
+    ``vocabulary`` at most; beyond that windows carry their words."""
+    texts = _texts(df, text_col, lang_col)
+    words = materialize(_word_counts(texts), "words")
+    n_heavy = words.where(F.col("f") >= min_count).count()
+    if n_heavy > vocabulary:
+        return _count_by_text(texts, min_count)
+    longer = _count_by_number(texts, words, min_count)
+    return words.select("lang", "phrase", F.lit(1).alias("k"), "f").unionByName(longer)
+
+
 def compact(counts: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """lang, words, f: the paths of the graph of heavy nodes and edges that
     remain when unary edges are merged; a node on no unary edge is a path alone."""

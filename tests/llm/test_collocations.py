@@ -68,8 +68,10 @@ def test_equals_plain_counting(spark, seed, min_count, top):
 def test_counts_follow_from_windows_and_piece_ends(spark, monkeypatch):
     monkeypatch.setattr(C, "CHUNK_WORDS", 50)  # many partial counts of one phrase
     rows = texts(3, 40)
-    got = {(r["lang"], tuple(r["phrase"].split(" "))): r["f"] for r in mined(spark, rows, min_count=2).counts.collect()}
-    assert got == {g: c for g, c in counted(rows).items() if len(g[1]) == 1 or c >= 2}
+    df = spark.createDataFrame(rows, "lang string, text string")
+    for vocabulary in (C.VOCABULARY, 3):  # numbered words, and windows of text
+        got = {(r["lang"], tuple(r["phrase"].split(" "))): r["f"] for r in C.count_phrases(df, min_count=2, vocabulary=vocabulary).collect()}
+        assert got == {g: c for g, c in counted(rows).items() if len(g[1]) == 1 or c >= 2}
 
 
 def test_paths_are_the_maximal_unary_ones(spark):
