@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -51,3 +51,26 @@ def slices(batch, column: str, limit: int = SLICE_BYTES) -> Iterator:
         stop = max(start + 1, int(np.searchsorted(ends, done + limit, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+
+
+class Remembered(dict):
+    """What ``make`` gives for a key, made once while it is remembered: the
+    last ``limit`` keys asked for and, of those before them, the ones asked for
+    again. Keys longer than ``longest`` are made anew each time."""
+
+    def __init__(self, make: Callable, limit: int, longest: int) -> None:
+        super().__init__()
+        self.make, self.limit, self.longest = make, limit, longest
+        self.older: dict = {}
+
+    def __missing__(self, key):
+        got = self.older.get(key)
+        if got is None:
+            got = self.make(key)
+            if len(key) > self.longest:
+                return got
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        self[key] = got
+        return got

@@ -33,6 +33,7 @@ other columns of the input are not read, whatever they are called.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 from collections.abc import Iterator, Sequence
@@ -41,14 +42,22 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import slices
+from starloom.llm.common import Remembered, slices
 
 FRAME_IDS = 1 << 16
 FILE_IDS = 1 << 25
 LEVEL = 3
-TEXT_SLICE = 1 << 20  # text bytes a call of the tokenizer is given, a longer single text aside
+TEXT_SLICE = 1 << 20  # text bytes encoded at once, a longer single text aside
+MEMORY = 300_000  # parts of text whose ids a worker remembers, and as many older ones
+LONG_PART = 64  # characters; longer parts are encoded anew each time
 READ_IDS = 1 << 20  # ids in one Arrow batch of a reader, a longer single document aside
 
+# fixed values of byte-level pre-tokenization, for letters, numbers and white space whose classes never change
+_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+_NUMBERS = "0-9²³¹¼-¾"
+PLAIN = re.compile("[\t-\r -~¡-¬®-ɏ]*")
+PARTS = re.compile(f"'(?:[sdmt]|ll|ve|re)| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^\\s{_LETTERS}{_NUMBERS}]+|\\s+(?!\\S)|\\s+", re.ASCII)
+
 # fixed values of the zstandard seekable format
 SKIPPABLE_INDEX = 0x184D2A50
 SKIPPABLE_TABLE = 0x184D2A5E
@@ -214,23 +223,76 @@ class FileReader:
         return np.flatnonzero(np.isin(self.doc_ids, np.asarray(wanted, np.int64)) & ~self.null)
 
 
-_TOKENIZERS: dict[int, object] = {}
-
-
-def _tokenizer(data: bytes):
-    """The worker's tokenizer for a definition's bytes (built once a process)."""
-    import os
-
-    from tokenizers import Tokenizer
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    key = hash(data)
-    if key not in _TOKENIZERS:
-        t = Tokenizer.from_buffer(data)
-        t.encode_special_tokens = True  # a text's own "<|...|>" is ordinary text
-        _TOKENIZERS.clear()
-        _TOKENIZERS[key] = t
-    return _TOKENIZERS[key]
+class Encoder:
+    """Ids of whole texts by the tokenizers library, each distinct part of byte-
+    level pre-tokenization being given to the library's model once while it is
+    remembered.
+
+    Text of the signs in ``PLAIN`` is parted by that pre-tokenizer's rule. Other
+    text is first cut in front of blanks that have no white space on either side,
+    where the rule always parts it; stretches with other signs go through the
+    whole tokenizer. So does every text if the definition isn't plainly
+    byte-level."""
+
+    def __init__(self, definition: bytes) -> None:
+        import json
+        import os
+
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.tokenizer = Tokenizer.from_buffer(definition)
+        self.tokenizer.encode_special_tokens = True  # a text's own "<|...|>" is ordinary text
+        told = json.loads(definition)
+        cut = told.get("pre_tokenizer") or {}
+        self.byte_level = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True) and not told.get("normalizer")
+        self.byte_level = self.byte_level and all(t.get("special") for t in told.get("added_tokens", []))
+        self.parts = Remembered(self._part, MEMORY, LONG_PART)
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
+        others = [b for b in range(256) if b not in own]
+        self.signs = {b: 256 + i for i, b in enumerate(others)}
+
+    @staticmethod
+    def stretches(text: str) -> list[str]:
+        parts = text.split(" ")
+        out = parts[:1]
+        for part in parts[1:]:
+            if part and out[-1] and not part[0].isspace() and not out[-1][-1].isspace():
+                out.append(" " + part)
+            else:
+                out[-1] += " " + part
+        return out
+
+    def _part(self, part: str) -> bytes:
+        ids = [t.id for t in self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(self.signs))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, PARTS.findall(text)))
+
+    def _whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __call__(self, text: str) -> bytes:
+        """Little-endian 32-bit ids."""
+        if not self.byte_level:
+            return self._whole(text)
+        if PLAIN.fullmatch(text):
+            return self._plain(text)
+        return b"".join(self._plain(s) if PLAIN.fullmatch(s) else self._whole(s) for s in self.stretches(text))
+
+
+_ENCODERS: dict[int, Encoder] = {}
+
+
+def _encoder(definition: bytes) -> Encoder:
+    """The worker's encoder for a definition (built once a process)."""
+    key = hash(definition)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(definition)
+    return _ENCODERS[key]
 
 
 def write(df: DataFrame, root: str, tokenizer: bytes, end_id: int, id_col: str = "doc_id", text_col: str = "text", width: int = 4, frame_ids: int = FRAME_IDS, file_ids: int = FILE_IDS, level: int = LEVEL) -> None:
@@ -250,10 +312,10 @@ def write(df: DataFrame, root: str, tokenizer: bytes, end_id: int, id_col: str =
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encode = _tokenizer(shipped.value).encode_batch_fast
+        encode = _encoder(shipped.value)
         fs, at = _file_system(root)
         pid, attempt, rows, writer, sink, name = TaskContext.get().partitionId(), uuid.uuid4().hex, [], None, None, None
-        last = np.array([end_id], f"<u{width}")
+        last = np.array([end_id], "<u4").tobytes()
 
         def close() -> None:
             writer.close()
@@ -264,12 +326,12 @@ def write(df: DataFrame, root: str, tokenizer: bytes, end_id: int, id_col: str =
         try:
             for whole in batches:
                 for b in slices(whole, "text", TEXT_SLICE):
-                    for doc_id, got in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist(), add_special_tokens=False)):
+                    for doc_id, got in zip(b.column(0).to_pylist(), map(encode, b.column(1).to_pylist())):
                         if writer is None:
                             name = f"ids-{pid:06d}-{len(rows):05d}-{attempt}.zst"
                             sink = fs.open_output_stream(f"{at}/{name}", compression=None)
                             writer = FileWriter(sink, width, frame_ids, level)
-                        writer.add(doc_id, np.concatenate((np.asarray(got.ids, f"<u{width}"), last)))
+                        writer.add(doc_id, np.frombuffer(got + last, "<u4"))
                         if writer.n_ids >= file_ids:
                             close()
                             writer = None

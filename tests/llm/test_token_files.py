@@ -1,5 +1,6 @@
 import binascii
 import io
+import random
 
 import numpy as np
 import public_tokenizers
@@ -129,6 +130,19 @@ def test_defined_cases(spark, definition):
     assert sorted(len(r["ids"]) for r in T.read(spark, root).collect()) == sorted(r[2] for r in got)
 
 
+def test_stretches_do_not_change_ids(definition, monkeypatch):
+    monkeypatch.setattr(T, "MEMORY", 50)
+    r = random.Random(5)
+    signs = ["a", "it's", "  ", " ", "\n", "\t ", " \n", "\u00a0", "\u2003", "\u3000x", "\x1f", "\x85", "é", "ß9", "1234", "...", "'ll", "日本 語", "\u200b", "\u180e", "🙂", "<|endoftext|>", "x" * 70, "I've", "'", "''s", "a'd.", "(b)", "~", "\x7f", "\x00", "Größe", "x²½", "×÷", "\u00ad", "«à»", "\r\n", "\x0b"]
+    texts = ["".join(r.choice(signs) for _ in range(r.randrange(60))) for _ in range(400)]
+    encode = T.Encoder(definition)
+    assert encode.byte_level
+    assert [np.frombuffer(encode(t), "<u4").tolist() + [2] for t in texts] == plain_ids(definition, texts)
+    words = T.Encoder(open(public_tokenizers.path("word_bpe_49k.json"), "rb").read())
+    assert not words.byte_level
+    assert np.frombuffer(words("A b"), "<u4").tolist() == words.tokenizer.encode("A b", add_special_tokens=False).ids
+
+
 def test_empty_table(spark, definition):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert T.digests(df, scratch_path(spark, "test-token-files"), definition, 2).collect() == []
