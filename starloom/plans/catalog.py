@@ -40,7 +40,7 @@ from starloom.operators.staging import (
     stage_sales_lines,
     stage_shipper,
 )
-from starloom.plans.loads import full_load, incremental_load, star_dimensions
+from starloom.plans.loads import full_load, incremental_load, lines_load, star_dimensions
 from starloom.plans.warehouse import CURRENT, HISTORY, Manifest, Warehouse
 from starloom.schemas import CUSTOMER, DIMENSIONS, EMPLOYEE, FACT_KEY, PRODUCT, SHIPPER, WATERMARK_ENTITY, DimensionSpec
 from starloom.session import scratch_path, session_id
@@ -433,6 +433,23 @@ def q_incremental_fact(spark, sf_dir):
     return _fact(b.wh(spark), b.incremental)
 
 
+def q_landed_lines_fact(spark, sf_dir):
+    """Fact after the new lines of t1 landed in two batches that split orders
+    and come in no order: as one incremental load makes it."""
+    k = _key(spark, sf_dir, "landed")
+    with _LOCK:
+        if k not in _CACHE:
+            sc, root = get_scenario(spark, sf_dir), scratch_path(spark, "landed")
+            eff = _dt.date.fromisoformat(sc.effective_date_iso)
+            full = full_load(spark, sc.t0, root, RUN_TS)
+            new = sc.t1.order_details.where(F.col("OrderID") > full.watermark)
+            for batch, part in enumerate(("ProductID % 3 = 0", "ProductID % 3 > 0")):
+                lines_load(spark, sc.t1, root, new.where(part), batch, eff, RUN_TS, dimension_version="t1")
+            _CACHE[k] = root
+        wh = Warehouse(spark, _CACHE[k])
+    return _fact(wh, wh.require())
+
+
 def q_fact_sales_line(spark, sf_dir):
     """Fact of one full load over every driver row."""
     wh, m = single_pass_warehouse(spark, sf_dir)
@@ -666,6 +683,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_log_incremental": q_run_log_incremental,
     "full_load_fact": q_full_load_fact,
     "incremental_fact": q_incremental_fact,
+    "landed_lines_fact": q_landed_lines_fact,
     "fact_sales_line": q_fact_sales_line,
     "full_load_rerun": q_full_load_rerun,
     "simulate_changes": q_simulate_changes,

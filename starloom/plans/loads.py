@@ -90,18 +90,31 @@ def star_dimensions(wh: Warehouse, m: Manifest) -> StarDimensions:
     )
 
 
+def _ranges_meet(a: dict, b: dict | None) -> bool:
+    return not b or a["min_order_id"] <= b["max_order_id"] and a["max_order_id"] >= b["min_order_id"]
+
+
 def check_keys(wh: Warehouse, m: Manifest, new_fact: str | None) -> None:
     """Raise unless every key of the state ``m`` is unique: surrogate keys,
     the business keys of current members, and the keys of the fact rows that
-    the run wrote (older ones were checked by their run). One aggregation;
-    a duplicated source row shows as a member with two current versions."""
+    the run wrote, among themselves and against the older parts (which were
+    checked by their run). Of those only parts are read that may hold one of the
+    new orders, by range and sketch. One aggregation; a duplicated source row
+    shows as a member with two current versions."""
     frames = {}
     for spec in DIMENSIONS:
         dim = wh.table(spec.table, m, part=CURRENT if spec.kind == "scd2" else None)
         frames[f"{spec.table}.{spec.sk}"] = dim.select(spec.sk)
         frames[f"{spec.table}.{spec.bk}"] = dim.select(spec.bk)
     if new_fact is not None:
-        frames[f"{FACT}({', '.join(FACT_KEY)})"] = wh.spark.read.parquet(new_fact).select(*FACT_KEY)
+        new = wh.fact([new_fact]).select(*FACT_KEY)
+        mine = m.part_stats.get(new_fact)
+        older = [p for p in m.parts.get(FACT, []) if p != new_fact and mine and _ranges_meet(mine, m.part_stats.get(p))]
+        if older:
+            older = wh.fact_paths_holding(new, m, older)
+        if older:
+            new = new.unionByName(wh.fact(older).select(*FACT_KEY).join(new, list(FACT_KEY), "left_semi"))
+        frames[f"{FACT}({', '.join(FACT_KEY)})"] = new
     bad = duplicate_keys(frames).collect()  # a row per broken key column
     if bad:
         raise KeyViolation("; ".join(f"{r.key}: {r.duplicate_keys} duplicated, such as {r.example}" for r in bad))
@@ -154,7 +167,8 @@ def run_log_row(
 
 def _write_fact(wh: Warehouse, run_id: int, fact: DataFrame, tag: str | None = None) -> tuple[str, int, dict]:
     """Write a fact part; its order-id range is observed during the write and
-    kept in the manifest (prunes the de-dup of later runs to nothing)."""
+    kept in the manifest (prunes the de-dup of later runs to nothing), and the
+    sketch of its order ids is kept beside it."""
     path, n, m = wh.write_part_observed(
         run_id,
         FACT,
@@ -163,6 +177,8 @@ def _write_fact(wh: Warehouse, run_id: int, fact: DataFrame, tag: str | None = N
         tag=tag or f"r{run_id}",
         metrics={"min_order_id": F.min("order_id"), "max_order_id": F.max("order_id")},
     )
+    if n:
+        m["sketch_bits"] = wh.write_sketch(path, n)
     return path, n, m
 
 
@@ -290,10 +306,13 @@ def _incremental_load(
 ) -> Manifest:
     m = _next(wh, prev, run_id, effective_date, run_ts)
     wm = m.watermark
-    # fact parts that could hold an order above the watermark (normally none)
-    colliding = wh.fact_parts_above(wm, m) if wm is not None else None
+    # fact parts that could hold an order above the watermark (normally none), then those that may hold a new one
+    colliding = wh.fact_paths_above(wm, m) if wm is not None else []
+    if colliding:
+        new_orders = src.orders.select(F.col("OrderID").cast("long").alias("order_id")).where(F.col("order_id") > wm)
+        colliding = wh.fact_paths_holding(new_orders, m, colliding)
     tasks = _dimension_steps(wh, prev, run_id, src, effective_date)
-    if colliding is not None:  # else keys are unique, so every staged line is one fact row written below
+    if colliding:  # else keys are unique, so every staged line is one fact row written below
         tasks["staged_lines"] = lambda: stage_sales_lines(src.orders, src.order_details, min_order_id_exclusive=wm).count()
     done = run_parallel(tasks)
     customers, products = _add_dimensions(m, done)
@@ -301,7 +320,7 @@ def _incremental_load(
     n_new, path = 0, None
     if wm is not None:  # a NULL watermark ("order id > NULL") selects nothing
         dims = star_dimensions(wh, m)
-        fact = build_fact(src.orders, src.order_details, dims, run_ts, wm, existing_fact=colliding, pins=wh.pins)
+        fact = build_fact(src.orders, src.order_details, dims, run_ts, wm, existing_fact=wh.fact(colliding) if colliding else None, pins=wh.pins)
         path, n_new, stats = _write_fact(wh, run_id, fact)
         _add_fact(m, path, n_new, stats)
     check_keys(wh, m, path if n_new else None)
@@ -374,20 +393,20 @@ def _lines_load(
     if n_waiting:
         add_part(m, PENDING, path, n_waiting, append=False)
 
-    # lines not loaded yet, and the loaded lines of the orders they belong to
-    loaded = wh.table(FACT, m)
+    # lines not loaded yet, and the loaded lines of the orders they belong to, from the parts that may hold these orders
     touched = ids.select(F.col("OrderID").cast("long").alias("order_id"))
-    old = loaded.join(touched, "order_id", "left_semi")
+    holding = wh.fact_paths_holding(touched, m)
+    old = wh.fact(holding).join(touched, "order_id", "left_semi")
     new = build_fact(headers, landed, star_dimensions(wh, m), run_ts, existing_fact=old, pins=wh.pins)
     fresh, n_new, _ = wh.write_part_observed(run_id, FACT, new, tag="landed")
     n_old = 0
     if n_new:
-        new = wh.spark.read.schema(loaded.schema).parquet(fresh)
+        new = wh.fact([fresh])
         again = old.join(new.select("order_id").distinct(), "order_id", "left_semi")
         path, n_all, stats = _write_fact(wh, run_id, renumbered(again.unionByName(new), wh.pins))
         n_old = n_all - n_new
         if n_old:
-            _take_out(wh, m, wh.spark.read.schema(loaded.schema).parquet(path).select("order_id").distinct(), stats)
+            _take_out(wh, m, wh.fact([path]).select("order_id").distinct(), holding)
         _add_fact(m, path, n_all, stats)
         remove_folder(wh.spark, fresh)
     check_keys(wh, m, path if n_new else None)
@@ -399,13 +418,10 @@ def _lines_load(
 STREAM_NOTE = "Landed lines loaded"
 
 
-def _take_out(wh: Warehouse, m: Manifest, orders: DataFrame, stats: dict) -> None:
-    """Rewrite, without these orders, the fact parts whose order range meets theirs."""
-    for i, p in enumerate(list(m.parts.get(FACT, []))):
-        s = m.part_stats.get(p)
-        if s and (s["max_order_id"] < stats["min_order_id"] or s["min_order_id"] > stats["max_order_id"]):
-            continue
-        kept = wh.spark.read.schema(wh.empty(FACT).schema).parquet(p).join(orders, "order_id", "left_anti")
+def _take_out(wh: Warehouse, m: Manifest, orders: DataFrame, holding: list[str]) -> None:
+    """Rewrite, without these orders, the fact parts that may hold one."""
+    for i, p in enumerate(holding):
+        kept = wh.fact([p]).join(orders, "order_id", "left_anti")
         path, n, new_stats = _write_fact(wh, m.run_id, kept, tag=f"without{i}")
         at = m.parts[FACT].index(p)
         m.parts[FACT][at : at + 1] = [path] if n else []

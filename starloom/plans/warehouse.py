@@ -30,6 +30,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.operators.sketch import bits_for, build_sketch, probable_members
 from starloom.schemas import (
     SURROGATE_KEY_SEQ,
     project_to,
@@ -41,9 +42,11 @@ from starloom.schemas import (
 from starloom.session import create_small_file, list_folder, read_small_file, remove_folder
 
 CURRENT, HISTORY = "current", "history"
+FACT_TABLE = "fact_sales_line"
+SKETCH = "word long, field long"
 MAX_PARTS = 8
 MERGED_FILE_ROWS = 4_000_000  # rows per file of a merged part
-SORT = {"fact_sales_line": ["order_date_sk", "order_id", "product_id"]}  # row groups clustered by order date
+SORT = {FACT_TABLE: ["order_date_sk", "order_id", "product_id"]}  # row groups clustered by order date
 
 
 @dataclass
@@ -61,7 +64,7 @@ class Manifest:
     rejected_lines: int = 0  # landed lines without an order or product id, so far
     parts: dict[str, list[str]] = field(default_factory=dict)  # part key -> paths
     rows: dict[str, int] = field(default_factory=dict)  # part key -> rows (sum over paths)
-    part_stats: dict[str, dict] = field(default_factory=dict)  # path -> {"min_order_id", "max_order_id"}
+    part_stats: dict[str, dict] = field(default_factory=dict)  # path -> {"min_order_id", "max_order_id", "sketch_bits"}
     part_rows: dict[str, int] = field(default_factory=dict)  # path -> rows, of the parts that grow by appending
 
     def to_json(self) -> str:
@@ -75,6 +78,10 @@ class Manifest:
         return sum(v for k, v in self.rows.items() if k == table or k.startswith(table + "#"))
 
 
+def sketch_path(part: str) -> str:
+    return f"{part}__orders"
+
+
 def part_key(table: str, part: str | None = None) -> str:
     return f"{table}#{part}" if part else table
 
@@ -132,21 +139,35 @@ class Warehouse:
             return self.empty(table)
         return self.spark.read.schema(WAREHOUSE_TABLES[table]).parquet(*paths)
 
-    def fact_parts_above(self, order_id: int | None, manifest: Manifest | None = None) -> DataFrame | None:
-        """Fact rows that can hold an order id above ``order_id``, read only
-        from the parts whose recorded max order id exceeds it (``None`` when
-        no part can). Parts without recorded stats are always included."""
-        m = manifest or self.require()
-        paths = m.parts.get("fact_sales_line", [])
-        if order_id is not None:
-            paths = [
-                p
-                for p in paths
-                if m.part_stats.get(p, {}).get("max_order_id") is None or m.part_stats[p]["max_order_id"] > order_id
-            ]
+    def fact_paths_above(self, order_id: int | None, m: Manifest) -> list[str]:
+        """Fact parts whose recorded max order id exceeds ``order_id``; parts
+        without recorded stats are always included."""
+        known = {p: m.part_stats.get(p, {}).get("max_order_id") for p in m.parts.get(FACT_TABLE, [])}
+        return [p for p, top in known.items() if order_id is None or top is None or top > order_id]
+
+    def fact_paths_holding(self, orders: DataFrame, m: Manifest, among: list[str] | None = None) -> list[str]:
+        """Fact parts that may hold one of these orders (a frame with
+        ``order_id``): those whose recorded range meets the orders' range and
+        whose sketch finds one of them. Parts without a sketch are included."""
+        paths = m.parts.get(FACT_TABLE, []) if among is None else among
+        plain = [p for p in paths if not m.part_stats.get(p, {}).get("sketch_bits")]
+        asked = [p for p in paths if p not in plain]
+        if asked:
+            ends = orders.agg(F.min("order_id").alias("lo"), F.max("order_id").alias("hi")).first()
+            if ends.lo is None:
+                return []
+            asked = [p for p in asked if m.part_stats[p]["min_order_id"] <= ends.hi and m.part_stats[p]["max_order_id"] >= ends.lo]
+        if asked:
+            sketches = [(self.spark.read.schema(SKETCH).parquet(sketch_path(p)), m.part_stats[p]["sketch_bits"]) for p in asked]
+            hit = {r.part for r in probable_members(orders, "order_id", sketches).select("part").distinct().collect()}
+            asked = [p for i, p in enumerate(asked) if i in hit]
+        return [p for p in paths if p in plain or p in asked]
+
+    def fact(self, paths: list[str]) -> DataFrame:
+        """Fact rows of some parts."""
         if not paths:
-            return None
-        return self.spark.read.schema(WAREHOUSE_TABLES["fact_sales_line"]).parquet(*paths)
+            return self.empty(FACT_TABLE)
+        return self.spark.read.schema(WAREHOUSE_TABLES[FACT_TABLE]).parquet(*paths)
 
     def rows(self, table: str, manifest: Manifest | None = None, part: str | None = None) -> int:
         m = manifest or self.require()
@@ -207,6 +228,12 @@ class Warehouse:
         observed = obs.get
         return path, int(observed["__rows"]), {k: observed.get(k) for k in (metrics or {})}
 
+    def write_sketch(self, path: str, rows: int) -> int:
+        """Keep the sketch of a fact part's order ids beside it; its size in bits."""
+        bits = bits_for(rows)
+        build_sketch(self.fact([path]), "order_id", bits).sortWithinPartitions("word").write.parquet(sketch_path(path))
+        return bits
+
     def write_split_parts(
         self, run_id: int, table: str, df: DataFrame, split: Column, labels: tuple[str, str]
     ) -> dict[str, tuple[str, int]]:
@@ -245,10 +272,11 @@ class Warehouse:
             m.parts[key] = [p for p in paths if p not in small] + [path]
             m.part_rows[path] = rows
             stats = [m.part_stats.pop(p, None) for p in small]
-            if table == "fact_sales_line" and all(stats):
+            if table == FACT_TABLE and all(stats):
                 m.part_stats[path] = {
                     "min_order_id": min(s["min_order_id"] for s in stats),
                     "max_order_id": max(s["max_order_id"] for s in stats),
+                    "sketch_bits": self.write_sketch(path, rows),
                 }
             for p in small:
                 m.part_rows.pop(p, None)

@@ -75,9 +75,9 @@ def test_fact_parts_pruned_by_recorded_order_range(spark, wh_root):
     m1 = full_load(spark, src, wh_root, TS)
     wh = Warehouse(spark, wh_root)
     (path,) = m1.parts["fact_sales_line"]
-    assert m1.part_stats[path] == {"min_order_id": min(OLD_ORDERS), "max_order_id": max(OLD_ORDERS)}
-    assert wh.fact_parts_above(m1.watermark, m1) is None  # nothing can collide: no de-dup scan
-    assert wh.fact_parts_above(min(OLD_ORDERS), m1).count() == m1.table_rows("fact_sales_line")
+    assert m1.part_stats[path] == {"min_order_id": min(OLD_ORDERS), "max_order_id": max(OLD_ORDERS), "sketch_bits": 4096}
+    assert wh.fact_paths_above(m1.watermark, m1) == []  # nothing can collide: no de-dup scan
+    assert wh.fact(wh.fact_paths_above(min(OLD_ORDERS), m1)).count() == m1.table_rows("fact_sales_line")
 
 
 def test_overlapping_runs_one_fails_cleanly(spark, wh_root):
