@@ -16,6 +16,10 @@ every order whatever its number of lines:
 * lines meet their order (header, first index, total) in one join on
   ``order_id``, which AQE splits where an order is large;
 * the product as-of lookup follows.
+
+Where a type-2 dimension is too large for a broadcast, members that a large share
+of the rows refers to are looked up by time bucket and salt
+(:mod:`starloom.operators.joins`).
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.exact import limb_sums, value
-from starloom.operators.joins import key_lookup, validity_lookup
+from starloom.operators.joins import HotMembers, hot_members, key_lookup, may_broadcast, validity_lookup
 from starloom.operators.keys import dense_index
 from starloom.operators.staging import stage_order_header, stage_order_lines
 from starloom.schemas import FACT_KEY, FACT_SALES_LINE, OPEN_START, project_to
@@ -56,11 +60,22 @@ _STEPS = [
 ]
 
 
-def _resolve_one(df: DataFrame, out: str, dims: StarDimensions) -> DataFrame:
+def hot_of(dims: StarDimensions, header: DataFrame, lines: DataFrame) -> dict[str, HotMembers | None]:
+    """Hot customers of the orders and hot products of the lines, looked for
+    where the dimension can't be broadcast (no job otherwise)."""
+    out = {}
+    if not may_broadcast(dims.customer):
+        out["customer_sk"] = hot_members(header, "customer_id", header, "order_date")
+    if not may_broadcast(dims.product):
+        out["product_sk"] = hot_members(lines, "product_id", header, "order_date")
+    return out
+
+
+def _resolve_one(df: DataFrame, out: str, dims: StarDimensions, hot: HotMembers | None = None) -> DataFrame:
     if out == "customer_sk":
-        return validity_lookup(df, dims.customer, "customer_id", "customer_id", "order_date", "customer_sk", out)
+        return validity_lookup(df, dims.customer, "customer_id", "customer_id", "order_date", "customer_sk", out, hot=hot)
     if out == "product_sk":
-        return validity_lookup(df, dims.product, "product_id", "product_id", "order_date", "product_sk", out)
+        return validity_lookup(df, dims.product, "product_id", "product_id", "order_date", "product_sk", out, hot=hot)
     if out == "employee_sk":
         return key_lookup(df, dims.employee, "employee_id", "employee_id", "employee_sk", out)
     if out == "shipper_sk":
@@ -72,18 +87,20 @@ def _resolve_one(df: DataFrame, out: str, dims: StarDimensions) -> DataFrame:
     return key_lookup(df, dims.date, key, "date", "date_sk", out, cast="int")
 
 
-def resolve_available_keys(df: DataFrame, dims: StarDimensions, skip: tuple[str, ...] = ()) -> DataFrame:
+def resolve_available_keys(
+    df: DataFrame, dims: StarDimensions, skip: tuple[str, ...] = (), hot: dict[str, HotMembers | None] | None = None
+) -> DataFrame:
     """Resolve every surrogate key whose inputs are present on ``df``."""
     for out, needs in _STEPS:
         if out in skip or out in df.columns or not all(c in df.columns for c in needs):
             continue
-        df = _resolve_one(df, out, dims)
+        df = _resolve_one(df, out, dims, (hot or {}).get(out))
     return df
 
 
 def resolve_dimension_keys(staged_lines: DataFrame, dims: StarDimensions) -> DataFrame:
     """All seven surrogate keys of a staged sales line; 0 where nothing matches."""
-    return resolve_available_keys(staged_lines, dims)
+    return resolve_available_keys(staged_lines, dims, hot=hot_of(dims, staged_lines, staged_lines))
 
 
 def line_measures(df: DataFrame) -> DataFrame:
@@ -192,7 +209,8 @@ def build_fact(
     header, body = fact_inputs(orders, lines, min_order_id_exclusive, existing_fact)
 
     # header-level lookups (the product as-of lookup needs the line, so it waits)
-    header = resolve_available_keys(header, dims, skip=("product_sk",))
+    hot = hot_of(dims, header, body)
+    header = resolve_available_keys(header, dims, skip=("product_sk",), hot=hot)
 
     numbered, stats = _indexed_with_stats(body, "order_id", "product_id", "net_amount", pins)
     stats = stats.select(F.col("order_id").alias("__order"), "__first", value("__high", "__low").alias("__order_net"))
@@ -206,7 +224,7 @@ def build_fact(
             "etl_loaded_at": F.lit(run_ts).cast("timestamp"),
         }
     )
-    fact = resolve_available_keys(fact, dims)
+    fact = resolve_available_keys(fact, dims, hot=hot)
     return project_to(fact, FACT_SALES_LINE)
 
 
