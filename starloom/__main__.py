@@ -5,6 +5,7 @@
     python -m starloom incremental --warehouse PATH --source PATH --effective-date 2024-03-01
     python -m starloom validate    --warehouse PATH [--source PATH] [--strict]
     python -m starloom runs        --warehouse PATH
+    python -m starloom expire      --warehouse PATH --keep 10
 
 ``--source`` is a folder with one parquet dataset per source table
 (customers, products, categories, suppliers, employees, shippers, orders,
@@ -39,11 +40,12 @@ def _session() -> SparkSession:
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="starloom", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    ap.add_argument("command", choices=["init", "full", "incremental", "validate", "runs"])
+    ap.add_argument("command", choices=["init", "full", "incremental", "validate", "runs", "expire"])
     ap.add_argument("--warehouse", required=True)
     ap.add_argument("--source")
     ap.add_argument("--effective-date", type=dt.date.fromisoformat)
     ap.add_argument("--strict", action="store_true", help="validate: exit 1 on a broken invariant")
+    ap.add_argument("--keep", type=int, default=10, help="expire: newest runs to keep")
     args = ap.parse_args(argv)
 
     spark = _session()
@@ -67,6 +69,9 @@ def main(argv: list[str] | None = None) -> int:
             return 1
         print(json.dumps([r.__dict__ for r in results]))
         return 0
+    elif args.command == "expire":
+        print(json.dumps({"removed": Warehouse(spark, args.warehouse).expire(args.keep)}))
+        return 0
     else:  # runs
         log = Q.recent_runs(Warehouse(spark, args.warehouse).table("etl_run_log"), 10)
         print(json.dumps([{k: str(v) for k, v in r.asDict().items()} for r in log.collect()]))

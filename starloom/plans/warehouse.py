@@ -16,7 +16,8 @@ Part kinds: type-2 dimensions keep ``<dim>#current`` (rewritten when it
 changes) and ``<dim>#history`` (closed versions); facts, history and the run
 log grow by one part per run until a key has more than ``MAX_PARTS``, when the
 smaller ones are merged into one, so neither the manifest nor a scan's list of
-paths grows with the number of runs. The calendar and type-1 dimensions are
+paths grows with the number of runs. :meth:`Warehouse.expire` frees what only old
+runs used. The calendar and type-1 dimensions are
 one part each.
 """
 
@@ -299,6 +300,42 @@ class Warehouse:
             raise ConcurrentRunError(f"run {manifest.run_id} was published by another writer; not publishing")
         return manifest
 
+    def expire(self, keep: int) -> list[str]:
+        """Remove what only runs before the newest ``keep`` (one at least) used:
+        replaced and merged parts with their sketches, parts of attempts that
+        were never published, and the older manifests; returns what went, below
+        ``runs``. Time travel ends at the oldest run kept, and readers of older
+        runs must have finished. Folders of runs that aren't published yet stay.
+
+        Manifests go first, so a removal that breaks off leaves no manifest that
+        names a missing part; the next one goes on. Names only: no Spark job."""
+        names = list_folder(self.spark, self.manifest_dir) or []
+        ids = sorted(int(n[: -len(".json")]) for n in names if n.endswith(".json") and n[: -len(".json")].isdigit())
+        kept = ids[-max(1, keep) :]
+        live = {_below(p) for run_id in kept for paths in self.manifest(run_id).parts.values() for p in paths}
+        live |= {sketch_path(p) for p in live}
+        for run_id in ids[: -len(kept)]:
+            remove_folder(self.spark, f"{self.manifest_dir}/{run_id}.json")
+        gone = []
+        for folder in list_folder(self.spark, f"{self.root}/runs") or []:
+            run_id = folder.split("-")[0]
+            if not run_id.isdigit() or int(run_id) > kept[-1]:
+                continue
+            unused = self._unused(folder, live)
+            for path in unused:
+                remove_folder(self.spark, f"{self.root}/runs/{path}")
+            gone += unused
+        return gone
+
+    def _unused(self, folder: str, live: set[str]) -> list[str]:
+        """Paths below a folder of runs that hold no live part, the highest that do so."""
+        if folder in live:
+            return []
+        if not any(p.startswith(f"{folder}/") for p in live):
+            return [folder]
+        below = [n for n in list_folder(self.spark, f"{self.root}/runs/{folder}") or [] if not n.startswith((".", "_SUCCESS"))]
+        return [p for n in below for p in self._unused(f"{folder}/{n}", live)]
+
     def end_attempt(self, run_id: int, failed: bool) -> None:
         """Remove this attempt's pins and, if it failed, its parts."""
         remove_folder(self.spark, self.pins)
@@ -306,6 +343,11 @@ class Warehouse:
             remove_folder(self.spark, f"{self.root}/runs/{run_id}-{self.attempt}")
 
 
+def _below(path: str) -> str:
+    """A part's path below the folder of all runs."""
+    return path.split("/runs/", 1)[1].rstrip("/")
+
+
 class ConcurrentRunError(RuntimeError):
     pass
 

@@ -25,3 +25,6 @@ def test_cli_workflow(spark, capsys):
     assert main(["runs", "--warehouse", wh]) == 0
     runs = json.loads(capsys.readouterr().out)
     assert [r["run_id"] for r in runs] == ["2", "1"]
+    assert main(["expire", "--warehouse", wh, "--keep", "1"]) == 0
+    assert any("dim_customer" in p for p in json.loads(capsys.readouterr().out)["removed"])
+    assert main(["validate", "--warehouse", wh, "--source", src2_dir, "--strict"]) == 0
