@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.plans.loads import KeyViolation, full_load, incremental_load, init_warehouse
-from starloom.plans.warehouse import MAX_PARTS, ConcurrentRunError, Manifest, Warehouse
+from starloom.plans.warehouse import MAX_PARTS, ConcurrentRunError, Manifest, Warehouse, sketch_path
 from starloom.session import create_small_file, list_folder, temporary_folder
 from starloom.sources.driver_tables import scenario
 from tests.sample_source import DETAILS, EFF, OLD_ORDERS, ORDERS, base_source, changed_source
@@ -140,7 +140,8 @@ def test_a_run_leaves_its_parts_only(spark, wh_root):
     m = full_load(spark, base_source(spark), wh_root, TS)
     (folder,) = list_folder(spark, f"{wh_root}/runs")
     assert folder.startswith("1-")
-    assert sorted(list_folder(spark, f"{wh_root}/runs/{folder}")) == sorted(p.rsplit("/", 1)[1] for v in m.parts.values() for p in v)
+    parts = [p for v in m.parts.values() for p in v] + [sketch_path(p) for p in m.parts["fact_sales_line"]]
+    assert sorted(list_folder(spark, f"{wh_root}/runs/{folder}")) == sorted(p.rsplit("/", 1)[1] for p in parts)
 
 
 def test_state_stays_bounded_over_many_runs(spark, wh_root):
