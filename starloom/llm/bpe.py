@@ -2,14 +2,17 @@
 
 A text is cut by the tokenizer's pattern; every match is encoded on its own:
 the bytes are the leaves of a sequence, a segment tree over the positions
-holds for every range the smallest (rank, position) of two live neighbours,
-and each merge takes the root - the leftmost pair of least rank - and updates
-the three positions it touches, each in logarithmic time. A match of n bytes
-therefore takes O(n log n), also when it is one run of a million letters.
-
-A worker remembers the ids of matches it has seen (bounded, see
-``CACHE_PIECES``), so frequent words are encoded once per worker. Work is per
-row: no shuffle, and a row's whole text is encoded.
+(nodes of ``FAN`` children) holds for every range the smallest (rank, position)
+of two live neighbours, and each merge takes the root - the leftmost pair of
+least rank - and updates the three positions it touches, each in logarithmic
+time. A match of n bytes therefore takes O(n log n), also when it is one run of
+a million letters.
+
+A worker remembers the ids of matches in two generations of at most
+``GENERATION_BYTES`` each: when the younger is full it becomes the older one,
+whose matches come back when they are met again, so frequent words stay known
+however many rare ones pass. Work is per row: no shuffle, and a row's whole
+text is encoded.
 
 Defined results: a null text has the ids of the empty text (none); empty
 ``ids`` and null ``ids`` decode to empty bytes; repeated rows give repeated
@@ -20,6 +23,7 @@ like the output column is replaced, all others pass through.
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -28,8 +32,11 @@ from pyspark.sql import types as T
 
 from starloom.llm.common import nullable, slices, without
 
-CACHE_PIECES = 400_000
+GENERATION_BYTES = 64 << 20
+ENTRY_BYTES = 260  # of a remembered match, besides its letters and ids: objects, table slot
 CACHE_PIECE_BYTES = 64  # longer matches are encoded anew each time
+SHIFT = 4
+FAN = 1 << SHIFT  # children of a node of the tree
 _NONE = 1 << 62
 
 
@@ -44,6 +51,33 @@ def parse_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(t): int(r) for t, r in (line.split() for line in data.splitlines() if line)}
 
 
+class Pieces(dict):
+    """match -> its ids as little-endian int32 bytes, encoded when first seen;
+    the younger generation of what is remembered"""
+
+    def __init__(self, codec: Codec) -> None:
+        super().__init__()
+        self.codec = codec
+        self.older: dict[str, bytes] = {}
+        self.held = 0
+
+    def __missing__(self, piece: str) -> bytes:
+        got = self.older.get(piece)
+        if got is None:
+            raw = piece.encode("utf-8", "replace")
+            ids = self.codec.encode_piece(raw)
+            got = struct.pack(f"<{len(ids)}i", *ids)
+            if len(raw) > CACHE_PIECE_BYTES:
+                return got
+        if self.held >= GENERATION_BYTES:
+            self.older = dict(self)
+            self.clear()
+            self.held = 0
+        self[piece] = got
+        self.held += ENTRY_BYTES + len(piece) + len(got)
+        return got
+
+
 class Codec:
     """Encoder of one vocabulary and split pattern."""
 
@@ -52,79 +86,64 @@ class Codec:
 
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
-        codec = self
-
-        class Pieces(dict):
-            """match -> its ids as little-endian int32 bytes, encoded when first seen"""
-
-            def __missing__(self, piece: str) -> bytes:
-                import numpy as np
-
-                raw = piece.encode("utf-8", "replace")
-                got = np.asarray(codec.encode_piece(raw), dtype="<i4").tobytes()
-                if len(raw) <= CACHE_PIECE_BYTES:
-                    if len(self) >= CACHE_PIECES:
-                        self.clear()
-                    self[piece] = got
-                return got
-
-        self._pieces = Pieces()
+        self.bytes = [ranks.get(bytes([b]), -1) for b in range(256)]
+        self.pairs = [ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
+        self._pieces = Pieces(self)
 
     def encode_piece(self, raw: bytes) -> list[int]:
         """Ids of one match."""
-        whole = self.ranks.get(raw)
+        rank = self.ranks.get
+        whole = rank(raw)
         if whole is not None:
             return [whole]
         n = len(raw)
+        ids = [self.bytes[b] for b in raw]  # of the token that starts here
         if n < 2:
-            return [self.ranks[raw]] if n else []
-        rank = self.ranks.get
-        bits = (n - 2).bit_length()
-        size = 1 << bits
-        low = size - 1
+            return ids
+        bits = n.bit_length()
+        low = (1 << bits) - 1
         # a leaf holds the rank of merging the token that starts there with the next one, and the place
-        tree = [_NONE] * (2 * size)
-        for i in range(n - 1):
-            r = rank(raw[i : i + 2])
-            if r is not None:
-                tree[size + i] = r << bits | i
-        for i in range(size - 1, 0, -1):
-            x, y = tree[2 * i], tree[2 * i + 1]
-            tree[i] = x if x < y else y
+        pairs = self.pairs
+        leaves = [_NONE if (r := pairs[a << 8 | b]) < 0 else r << bits | i for i, (a, b) in enumerate(zip(raw, raw[1:]))]
+        top, levels = leaves, []
+        while len(top) > FAN:
+            above = [min(top[at : at + FAN]) for at in range(0, len(top), FAN)]
+            levels.append((top, above))
+            top = above
         after = list(range(1, n + 2))  # where the token that starts here ends
         before = list(range(-1, n + 1))  # where the token in front of it starts
-        root = tree[1]
-        while root != _NONE:
+        last = n - 2
+        while (root := min(top)) != _NONE:  # the root's children
             i = root & low
+            ids[i] = root >> bits  # a merged token's id is its rank
             gone = after[i]
             end = after[gone]
             after[i] = end
             before[end] = i
-            r = rank(raw[i : after[end]]) if end < n else None
-            changed = [(i, _NONE if r is None else r << bits | i)]
-            if gone < n - 1:
-                changed.append((gone, _NONE))
+            if end < n:
+                r = rank(raw[i : after[end]])
+                leaves[i] = _NONE if r is None else r << bits | i
+            else:
+                leaves[i] = _NONE
+            if gone <= last:
+                leaves[gone] = _NONE
             p = before[i]
             if p >= 0:
                 r = rank(raw[p:end])
-                changed.append((p, _NONE if r is None else r << bits | p))
-            for at, value in changed:
-                at += size
-                if tree[at] == value:
-                    continue
-                tree[at] = value
-                at >>= 1
-                while at:
-                    x, y = tree[2 * at], tree[2 * at + 1]
-                    value = x if x < y else y
-                    if tree[at] == value:
-                        break
-                    tree[at] = value
-                    at >>= 1
-            root = tree[1]
+                leaves[p] = _NONE if r is None else r << bits | p
+            if not levels:
+                continue
+            p, gone = max(p, 0), min(gone, last)
+            for below, above in levels:  # p <= i <= gone
+                p, i, gone = p >> SHIFT, i >> SHIFT, gone >> SHIFT
+                above[i] = min(below[i << SHIFT : (i + 1) << SHIFT])
+                if p != i:
+                    above[p] = min(below[p << SHIFT : (p + 1) << SHIFT])
+                if gone != i:
+                    above[gone] = min(below[gone << SHIFT : (gone + 1) << SHIFT])
         out, i = [], 0
         while i < n:
-            out.append(self.ranks[raw[i : after[i]]])
+            out.append(ids[i])
             i = after[i]
         return out
 
