@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.common import nullable, slices, without
-from starloom.llm.markup import RAW, closed_elements, tokens
+from starloom.llm.markup import RAW, closed_elements, scan, unescape
 
 SAMPLE_PAGES = 200
 SAMPLE_CHARS = 60_000
@@ -57,7 +57,7 @@ BOUNDS = frozenset(
     "td textarea tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-TOKEN = tokens(f"{RAW}|title", r"|([^<]+|<)")
+SILENT = f"{RAW}|title"
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _WORD = re.compile(r"[a-z]+", re.I)
 
@@ -79,19 +79,19 @@ def blocks(page: str) -> list[Block]:
     def end() -> None:
         nonlocal parts, in_link, linked
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
+            text = " ".join(unescape("".join(parts)).split())
             if text:
                 out.append(Block(text, [n for _, names in stack for n in names], linked))
             parts, linked = [], 0
         in_link = False
 
-    unseen, skip = dict(closed_elements(page, TOKEN)), 0
-    for m in TOKEN.finditer(page):
+    unseen, skip = dict(closed_elements(page, SILENT)), 0
+    for m in scan(page, SILENT):
         if unseen:
             skip = max(skip, unseen.get(m.start(), 0))
             if m.start() < skip:
                 continue
-        text = m[5]
+        text = m[6]
         if text is not None:
             parts.append(text)
             if in_link:

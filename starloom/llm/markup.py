@@ -1,24 +1,67 @@
-"""Which parts of a page's markup are never text of the page."""
+"""Reading a page's markup in one forward pass.
+
+Every helper takes time linear in the page, also for pages whose tags or
+quotes never end: see :func:`scan`.
+"""
 
 from __future__ import annotations
 
+import html
 import re
+from collections.abc import Iterator
+from functools import lru_cache
 
-ATTRS = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
+_QUOTED = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+_PLAIN = r"[^>]*+"
 # Elements whose content is no markup and, without an end tag, runs
 # to the end of the page; elements that are left out only if they are closed.
 RAW = "script|style|noscript|iframe"
 CLOSED = frozenset("template svg object".split())
 _SOME = re.compile(rf"<(?:{'|'.join(sorted(CLOSED))})(?=[\s/>])", re.I)
+_REST = re.compile(r"<!--.*|(?!)()()()()()|([^<]++|<)", re.S)
+_LONG = re.compile(r"&#(?:([0-9]{8,}+)|[xX]([0-9a-fA-F]{8,}+));?")
+
 
+@lru_cache
+def _pattern(raw: str, attrs: str) -> re.Pattern:
+    return re.compile(
+        rf"<!--.*?(?:-->|\Z)|<({raw})(?=[\s/>]){attrs}>.*?(?:</\1(?=[\s/>])[^>]*+(?:>|\Z)|\Z)|<(/?)([a-z][\w:-]*+)({attrs})>|<[!?][^>]*+>|(<(?=/?[a-z]|[!?]))|([^<]++|<)",
+        re.I | re.S,
+    )
 
-def tokens(raw: str = RAW, text: str = "") -> re.Pattern:
+
+def scan(page: str, raw: str = RAW) -> Iterator[re.Match]:
     """Comments, raw elements (name in group 1), tags (slash, name and
-    attributes in groups 2 to 4) and declarations; ``text``: one more choice."""
-    return re.compile(rf"<!--.*?(?:-->|\Z)|<({raw})(?=[\s/>]){ATTRS}>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)|<(/?)([a-z][\w:-]*)({ATTRS})>|<[!?][^>]*>{text}", re.I | re.S)
+    attributes in groups 2 to 4), declarations and text (group 6), in page order and without gaps.
+
+    A tag ends at the first ``>`` outside of quotes. Where a tag's quotes leave
+    none up to the end of the page, it and the tags behind it end at their first
+    ``>`` whatever the quotes; behind the last ``>`` all is text but a comment.
+    """
+    at = 0
+    for pattern in (_pattern(raw, _QUOTED), _pattern(raw, _PLAIN), _REST):
+        for m in pattern.finditer(page, at):
+            if m.lastindex == 5:  # a tag without an end
+                at = m.start()
+                break
+            yield m
+        else:
+            return
+
+
+def unescape(text: str) -> str:
+    """Character references decoded; numbers beyond Unicode, however long, are U+FFFD."""
+    if "&" not in text:
+        return text
+
+    def short(m: re.Match) -> str:
+        digits = (m[1] or m[2]).lstrip("0") or "0"
+        return "�" if len(digits) > 7 else f"&#{'' if m[1] else 'x'}{digits};"
+
+    return html.unescape(_LONG.sub(short, text))
 
 
-def closed_elements(page: str, pattern: re.Pattern) -> list[tuple[int, int]]:
+def closed_elements(page: str, raw: str = RAW) -> list[tuple[int, int]]:
     """(start, end) of the outermost ``CLOSED`` elements, in page order. One
     without an end tag of its own, or a self-closed svg, has no content."""
     if not _SOME.search(page):
@@ -26,7 +69,7 @@ def closed_elements(page: str, pattern: re.Pattern) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     opened: list[tuple[str, int]] = []
     waiting = dict.fromkeys(CLOSED, 0)
-    for m in pattern.finditer(page):
+    for m in scan(page, raw):
         name = (m[3] or "").lower()
         if name not in CLOSED:
             continue

@@ -24,16 +24,18 @@ cut body what can be read is used, and the metadata says so.
 Defined results: a null or empty block gives a metadata record only; a block
 without an HTTP head is taken as the body; a source without a record id has no
 WARC-Refers-To and gets ids from its URI, date and block; header names are
-matched in any case; repeated rows give repeated records with equal ids; other
+matched in any case; a page of any length takes time linear in it, also where
+tags or quotes never end; a chunk that claims more bytes than there are is cut at
+the end of the block; repeated rows give repeated records with equal ids; other
 input columns pass through, those named like the outputs are replaced.
 """
 
 from __future__ import annotations
 
 import base64
+import codecs
 import gzip
 import hashlib
-import html
 import re
 import uuid
 import zlib
@@ -45,24 +47,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.common import nullable, slices, without
-from starloom.llm.markup import ATTRS, CLOSED, RAW, closed_elements, tokens
+from starloom.llm.markup import CLOSED, RAW, closed_elements, scan, unescape
 
 # Elements whose content isn't text, and elements that end a line.
 _SILENT = "|".join([RAW, *sorted(CLOSED)])
 _LINES = (
     "address|article|aside|blockquote|body|br|caption|dd|details|dialog|div|dl|dt|fieldset|figcaption|figure|footer|form|"
-    "h[1-6]|header|hr|html|legend|li|main|nav|ol|option|p|pre|section|select|summary|table|tbody|td|textarea|tfoot|th|thead|title|tr|ul"
+    "h1|h2|h3|h4|h5|h6|header|hr|html|legend|li|main|nav|ol|option|p|pre|section|select|summary|table|tbody|td|textarea|tfoot|th|thead|title|tr|ul"
 )
-_NAME_ENDS = r"(?=[\s/>])"  # a hyphen goes on: title-bar is no title
-TOKEN = tokens()
-LINE = re.compile(rf"</?(?:{_LINES}){_NAME_ENDS}{ATTRS}>", re.I)
-TAG = re.compile(rf"</?[a-z]{ATTRS}>|<[!?][^>]*>", re.I)
-TITLE = re.compile(rf"<title{_NAME_ENDS}{ATTRS}>(.*?)(?:</title\s*>|\Z)", re.I | re.S)
-LANG = re.compile(rf"<html{_NAME_ENDS}[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
-LINK = re.compile(rf"<a{_NAME_ENDS}[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+LINES = frozenset(_LINES.split("|"))
+END_OF_TITLE = re.compile(r"</title\s*+>", re.I)
+LANG = re.compile(r"\blang\s*+=\s*+[\"']?([\w-]+)", re.I)
+LINK = re.compile(r"\bhref\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]+))", re.I)
 CHUNK = re.compile(rb"[ \t]*([0-9a-fA-F]{1,16})[ \t]*(?:;[^\r\n]*)?\r?\n")
-META_CHARSET = re.compile(rb"<meta\b[^>]*?charset\s*=\s*[\"']?([\w.:-]+)", re.I)
-CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
+META = re.compile(rb"<meta\b[^>]*+>", re.I)
+BODY = re.compile(rb"</head[\s>]|<body[\s>]", re.I)
+META_CHARSET = re.compile(rb"charset\s*+=\s*+[\"']?([\w.:-]+)", re.I)
+CHARSET = re.compile(r"charset\s*+=\s*+[\"']?([\w.:-]+)", re.I)
+# Byte order marks; the text encodings of the web.
+MARKS = ((b"\xef\xbb\xbf", "utf-8"), (b"\xfe\xff", "utf-16-be"), (b"\xff\xfe", "utf-16-le"))
+ENCODINGS = frozenset(
+    codecs.lookup(name).name
+    for name in (
+        "ascii utf-8 utf-16 utf-16-be utf-16-le latin-1 iso8859-2 iso8859-3 iso8859-4 iso8859-5 iso8859-6 iso8859-7 iso8859-8 iso8859-9 "
+        "iso8859-10 iso8859-13 iso8859-14 iso8859-15 iso8859-16 cp866 koi8-r koi8-u mac-roman mac-cyrillic cp874 tis-620 cp1250 cp1251 "
+        "cp1252 cp1253 cp1254 cp1255 cp1256 cp1257 cp1258 gb2312 gbk gb18030 big5 big5hkscs euc-jp iso2022-jp shift-jis cp932 euc-kr cp949"
+    ).split()
+)
 
 RECORD = T.StructType(
     [
@@ -117,7 +128,9 @@ def unchunked(body: bytes) -> tuple[bytes, bool]:
         size = int(m[1], 16)
         if not size:
             return b"".join(out), True
-        out.append(body[m.end() : m.end() + size])
+        out.append(body[m.end() : m.end() + min(size, len(body))])
+        if size > len(body) - m.end():
+            return b"".join(out), False
         at = m.end() + size
         at += 2 if body[at : at + 2] == b"\r\n" else body[at : at + 1] == b"\n"
     return (b"".join(out), False) if out else (body, True)
@@ -175,36 +188,74 @@ def undone(http: list[tuple[str, str]], body: bytes) -> tuple[list[bytes], bool,
 
 
 def decode_body(body: bytes, content_type: str) -> tuple[str, str]:
-    """(text, charset) by the content type, the page's own statement, or UTF-8."""
-    stated = CHARSET.search(content_type)
-    inside = None if stated else META_CHARSET.search(body[:4096])
-    name = stated[1] if stated else inside[1].decode("ascii", "replace") if inside else "utf-8"
+    """(text, charset) by a byte order mark, the content type, the statement in
+    the page's head, or UTF-8, which also stands in for names that are no text
+    encoding of the web."""
+    for mark, name in MARKS:
+        if body.startswith(mark):
+            return body[len(mark) :].decode(name, "replace"), name
+    name = stated[1] if (stated := CHARSET.search(content_type)) else _inside(body)
     try:
-        return body.decode(name, "replace"), name.lower()
+        if len(name) <= 40 and codecs.lookup(name).name in ENCODINGS:
+            return body.decode(name, "replace"), name.lower()
     except LookupError:
-        return body.decode("utf-8", "replace"), "utf-8"
-
-
-def shown(page: str) -> str:
-    """A page without comments and elements whose content isn't text."""
-    hidden = [m.span() for m in TOKEN.finditer(page) if m[1] or page.startswith("<!--", m.start())]
-    out, at = [], 0
-    for start, end in sorted(hidden + closed_elements(page, TOKEN)):
-        if end > at:
-            if start >= at:
-                out += [page[at:start], " "]
-            at = end
-    return "".join([*out, page[at:]])
+        pass
+    return body.decode("utf-8", "replace"), "utf-8"
+
+
+def _inside(body: bytes) -> str:
+    """The charset that a meta element of the head states, else UTF-8."""
+    end = BODY.search(body)
+    head = body[: body.rfind(b">", 0, end.start() if end else len(body)) + 1]
+    for m in META.finditer(head):
+        if stated := META_CHARSET.search(m[0]):
+            name = stated[1].decode("ascii", "replace").lower()
+            return "utf-8" if name.startswith("utf-16") else name  # a statement that can be read as ASCII isn't UTF-16
+    return "utf-8"
+
+
+def read(page: str) -> tuple[str, str | None, str | None, list[str]]:
+    """(visible text, title, language, links) of a page. The text has one line
+    per block, white space made single; comments and elements whose content
+    isn't text are left out, and nothing inside them counts."""
+    parts: list[str] = []
+    title = lang = None
+    links: dict[str, None] = {}
+    ends, skip = dict(closed_elements(page)), 0
+    for m in scan(page):
+        if ends:
+            if m.start() < skip:
+                continue
+            if m.start() in ends:
+                skip = ends[m.start()]
+                parts.append(" ")
+                continue
+        if m[6] is not None:
+            parts.append(m[6])
+        elif m[3] is not None:
+            name = m[3].lower()
+            if name in LINES:
+                parts.append("\n")
+            if m[2]:
+                continue
+            if name == "a":
+                if link := LINK.search(m[4]):
+                    links[_clean(unescape(link[1] or link[2] or link[3] or ""))] = None
+            elif name == "title" and title is None:
+                end = END_OF_TITLE.search(page, m.end())
+                inner = page[m.end() : end.start() if end else len(page)]
+                title = _clean(unescape("".join(t[6] for t in scan(inner) if t[6] is not None)))
+            elif name == "html" and lang is None and (stated := LANG.search(m[4])):
+                lang = stated[1]
+        elif m[1] or page.startswith("<!--", m.start()):
+            parts.append(" ")
+    lines = (" ".join(x.split()) for x in unescape("".join(parts)).split("\n"))
+    return "\n".join(line for line in lines if line), title, lang, list(links)
 
 
 def visible_text(page: str) -> str:
-    """The text a reader sees: one line per block, white space made single."""
-    return text_of(shown(page))
-
-
-def text_of(markup: str) -> str:
-    body = TAG.sub("", LINE.sub("\n", markup))
-    return "\n".join(line for line in (" ".join(x.split()) for x in html.unescape(body).split("\n")) if line)
+    """The text a reader sees."""
+    return read(page)[0]
 
 
 def _clean(value: str) -> str:
@@ -236,16 +287,14 @@ def derive(fields: dict[str, str], block: bytes | None) -> list[dict]:
         lines.append(("payload-complete", "false"))
     if textual:
         page, charset = decode_body(body, content_type)
-        is_html = not re.match(r"(?i)text/(?!html|xml)", content_type.strip())
+        text, is_html = page, not re.match(r"(?i)text/(?!html|xml)", content_type.strip())
         lines.append(("charset", charset))
         if is_html:
-            markup = shown(page)
-            title, lang = TITLE.search(page), LANG.search(page)
-            if title:
-                lines.append(("title", _clean(html.unescape(TAG.sub("", title[1])))))
+            text, title, lang, links = read(page)
+            if title is not None:
+                lines.append(("title", title))
             if lang:
-                lines.append(("language", lang[1]))
-            links = dict.fromkeys(_clean(html.unescape(a or b or c)) for a, b, c in LINK.findall(markup))
+                lines.append(("language", lang))
             for link in links:
                 try:
                     lines.append(("outlink", urljoin(uri or "", link)))
@@ -268,7 +317,6 @@ def derive(fields: dict[str, str], block: bytes | None) -> list[dict]:
 
     add("metadata", ids["conversion"] if textual else None, "application/warc-fields", content)
     if textual:
-        text = text_of(markup) if is_html else page
         add("conversion", ids["metadata"], "text/plain; charset=utf-8", text.encode("utf-8", "replace"))
     return out
 
