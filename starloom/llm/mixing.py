@@ -79,7 +79,8 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs:
 def plan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """One row per source: source, source_size, target, epochs (times every
     row is taken), and the cut: keys below (cut_key, cut_tie) are taken once
-    more, those at it ``cut_words`` words more."""
+    more, those at it ``cut_words`` words more, ``cut_more`` of them (the cut
+    falls into a group of repeated rows) one word more than that."""
     rows = df.select(F.col(source_col).alias("source"), *_keyed(df, id_col, text_col), _size(text_col).alias("z"))
     groups = rows.groupBy("source", "_key", "_tie", "z").agg(F.count(F.lit(1)).alias("g"))
     order = ["source", "_key", "_tie", "z"]
@@ -107,9 +108,22 @@ def plan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_c
     cut = (
         inside.withColumn("done", done)
         .where("done < rest and rest <= done + z * g")
-        .select(F.col("source").alias("s"), F.col("_key").alias("cut_key"), F.col("_tie").alias("cut_tie"), F.expr("(rest - done) div g").alias("cut_words"))
+        .select(F.col("source").alias("s"), F.col("_key").alias("cut_key"), F.col("_tie").alias("cut_tie"), F.expr("(rest - done) div g").alias("cut_words"), F.expr("(rest - done) % g").alias("cut_more"))
     )
-    return t.join(cut, F.col("source").eqNullSafe(F.col("s")), "left").select("source", "source_size", "target", "epochs", "cut_key", "cut_tie", "cut_words")
+    return t.join(cut, F.col("source").eqNullSafe(F.col("s")), "left").select("source", "source_size", "target", "epochs", "cut_key", "cut_tie", "cut_words", "cut_more")
+
+
+def _one_more(at_cut: DataFrame) -> DataFrame:
+    """Rows of repeated groups at the cut, with ``taken`` one larger for
+    ``_mix.cut_more`` rows of each source. Members stay where they are: they are
+    numbered by their place in a partition and the members in partitions before."""
+    pid = F.shiftright(F.col("_place"), 33)  # monotonically_increasing_id: partition above 33 bits of row number
+    placed = materialize(at_cut.sortWithinPartitions("_mix_source").withColumn("_place", F.monotonically_increasing_id()), "mixing")
+    parts = placed.groupBy(F.col("_mix_source").alias("s"), pid.alias("p")).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("n"))
+    parts = parts.withColumn("_before", F.sum("n").over(W.partitionBy("s").orderBy("p")) - F.col("n"))
+    numbered = placed.join(parts, F.col("_mix_source").eqNullSafe(F.col("s")) & (pid == F.col("p")))
+    more = F.expr("_place - _first + _before < _mix.cut_more").cast("long")
+    return numbered.withColumn("taken", F.col("taken") + more).select(*at_cut.columns)
 
 
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -122,8 +136,11 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     at_cut = "_mix_key = _mix.cut_key AND _mix_tie = _mix.cut_tie"
     below = "_mix_key < _mix.cut_key OR (_mix_key = _mix.cut_key AND _mix_tie < _mix.cut_tie)"
     taken = F.expr(f"_mix.epochs * size + CASE WHEN {at_cut} THEN least(_mix.cut_words, size) WHEN {below} THEN size ELSE 0 END")
-    joined = rows.join(cuts, F.col(source_col).eqNullSafe(F.col("_mix_source")))
-    return joined.select(*[F.col(f"`{c}`") for c in src.columns], "size", F.col("_mix.source_size").alias("source_size"), F.col("_mix.target").alias("target"), taken.alias("taken"))
+    joined = rows.join(cuts, F.col(source_col).eqNullSafe(F.col("_mix_source"))).withColumn("taken", taken)
+    if cuts.where("_mix.cut_more > 0").limit(1).count():
+        uneven = F.coalesce(F.expr(f"{at_cut} AND _mix.cut_more > 0"), F.lit(False))
+        joined = joined.where(~uneven).unionByName(_one_more(joined.where(uneven)))
+    return joined.select(*[F.col(f"`{c}`") for c in src.columns], "size", F.col("_mix.source_size").alias("source_size"), F.col("_mix.target").alias("target"), "taken")
 
 
 def emit(mixed: DataFrame, text_col: str = "text") -> DataFrame:

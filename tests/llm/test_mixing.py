@@ -44,8 +44,8 @@ def brute(spark, rows):
         for (_, _, z), same in sorted(groups.items()):
             take = min(max(rest, 0), z * len(same))
             rest -= z * len(same)
-            for r in same:
-                out[(r.doc_id, r.text, r.source)] = epochs * z + take // len(same)
+            least, more = divmod(take, len(same))
+            out[(same[0].doc_id, same[0].text, s)] = [epochs * z + least + (i < more) for i in range(len(same))]
     return sizes, want, out
 
 
@@ -53,12 +53,9 @@ def check(spark, rows):
     got = M.digests(spark.createDataFrame(rows, SCHEMA)).collect()
     sizes, want, taken = brute(spark, rows)
     assert len(got) == len(rows)
-    by_text = {}
-    for d, t, s, *_ in rows:
-        by_text.setdefault((d, words(t), s), set()).add(taken[(d, t, s)])
     left = {}
     for d, t, s, *_ in rows:
-        left.setdefault(d, []).append((words(t), sizes[s], taken[(d, t, s)]))
+        left.setdefault(d, []).append((words(t), sizes[s], taken[(d, t, s)].pop()))
     have = {}
     for r in got:
         have.setdefault(r.doc_id, []).append((r.size, r.source_size, r.taken))
@@ -98,3 +95,18 @@ def test_emitted_words_are_the_taken_words(spark):
     assert {r.doc_id: r.n for r in out} == {d: n for d, n in taken.items() if n}
     originals = {d: t for d, t, *_ in rows}
     assert all(originals[r.doc_id].startswith(r.text) for r in M.emit(mixed).collect())
+
+
+def test_budget_is_whole_where_the_cut_falls_into_repeated_rows(spark):
+    rows = [(7, "word", "a", "x", 0.1, 1)] * 999 + [(i, "w " * (i % 9 + 1), "b", "x", 0.1, 1) for i in range(100, 300)] + [(9, "v v", None, "x", 0.1, 1)] * 500
+    for parts in (1, 17):
+        got = M.digests(spark.createDataFrame(rows, SCHEMA).repartition(parts)).collect()
+        assert len(got) == len(rows) and all(0 <= r.taken <= 3 * r.size for r in got)
+        by = {}
+        for r in got:
+            by.setdefault((r.source_size, r.target), []).append(r.taken)
+        assert len(by) == 3
+        for (_, target), taken in by.items():
+            assert abs(sum(taken) - target) <= 0.5
+    mixed = M.mix(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    assert M.emit(mixed).agg(F.sum(F.regexp_count("text", F.lit(M.WORD)))).first()[0] == mixed.agg(F.sum("taken")).first()[0]
