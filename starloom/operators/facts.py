@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.exact import limb_sums, value
+from starloom.functions.exact import binned, held, part_sums, totals, value
 from starloom.operators.joins import HotMembers, hot_members, key_lookup, may_broadcast, validity_lookup
 from starloom.operators.keys import dense_index
 from starloom.operators.staging import stage_order_header, stage_order_lines
@@ -121,12 +121,13 @@ def _indexed_with_stats(
     df: DataFrame, group_col: str, order_col: str, total_of: str | None, pins: str | None
 ) -> tuple[DataFrame, DataFrame]:
     """``df`` with a dense index ``__idx`` over (group, order), and per group
-    the first index and, for ``total_of``, the limbs of its exact sum."""
+    the first index and, for ``total_of``, ``__total``: what its exact sum is read from."""
     indexed, _ = dense_index(df, [group_col, order_col], start=0, index_col="__idx", pins=pins)
-    aggs = [F.min("__idx").alias("__first")]
-    if total_of:
-        aggs += limb_sums(F.col(total_of), "__high", "__low")
-    return indexed, indexed.groupBy(group_col).agg(*aggs)
+    first = F.min("__idx").alias("__first")
+    if not total_of:
+        return indexed, indexed.groupBy(group_col).agg(first)
+    parts = binned(indexed, group_col, "__idx", total_of).groupBy(group_col, "__bin").agg(first, *part_sums())
+    return indexed, parts.groupBy(group_col).agg(F.min("__first").alias("__first"), held("__total"))
 
 
 def number_within_groups(
@@ -143,7 +144,7 @@ def number_within_groups(
     whole group: see :func:`_indexed_with_stats`."""
     indexed, stats = _indexed_with_stats(df, group_col, order_col, total[0] if total else None, pins)
     if total:
-        stats = stats.withColumn(total[1], value("__high", "__low")).drop("__high", "__low")
+        stats = stats.withColumn(total[1], value("__total")).drop("__total")
     out = indexed.join(stats, group_col)
     return out.withColumn(out_col, F.col("__idx") - F.col("__first") + 1).drop("__idx", "__first")
 
@@ -156,9 +157,8 @@ def line_number(df: DataFrame) -> DataFrame:
 def allocate_freight(df: DataFrame) -> DataFrame:
     """Add ``freight_allocated`` to lines carrying ``freight`` and
     ``net_amount``; the order total is an exact sum by partial aggregation."""
-    totals = df.groupBy(F.col("order_id").alias("__order")).agg(*limb_sums(F.col("net_amount"), "__high", "__low"))
-    totals = totals.select("__order", value("__high", "__low").alias("__order_net"))
-    out = df.join(totals, F.col("order_id") == F.col("__order"))
+    owed = totals(df, ["order_id"], "net_amount", "__order_net").withColumnRenamed("order_id", "__order")
+    out = df.join(owed, F.col("order_id") == F.col("__order"))
     share = _freight_share(F.col("freight"), F.col("net_amount"), F.col("__order_net"))
     return out.withColumn("freight_allocated", share).drop("__order", "__order_net")
 
@@ -213,7 +213,7 @@ def build_fact(
     header = resolve_available_keys(header, dims, skip=("product_sk",), hot=hot)
 
     numbered, stats = _indexed_with_stats(body, "order_id", "product_id", "net_amount", pins)
-    stats = stats.select(F.col("order_id").alias("__order"), "__first", value("__high", "__low").alias("__order_net"))
+    stats = stats.select(F.col("order_id").alias("__order"), "__first", value("__total").alias("__order_net"))
     per_order = header.join(stats, F.col("order_id") == F.col("__order")).drop("__order")
     fact = numbered.join(per_order, "order_id")
     fact = fact.withColumns(

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.functions.exact import limb_sums, value
+from starloom.functions.exact import binned, held, part_sums, value
 from starloom.schemas import UNKNOWN_SK, DimensionSpec
 
 
@@ -129,21 +129,18 @@ def reconcile_net(fact: DataFrame, order_details: DataFrame) -> DataFrame:
     (lines are not joined to headers, so orphan lines show as a difference).
 
     Both totals are exact sums (:mod:`starloom.functions.exact`) from one
-    global aggregate over the union of the two inputs (each side fills its own
-    column); the difference is taken before either is rounded to a DOUBLE."""
+    aggregate over the union of the two inputs; the difference is taken before
+    either is rounded to a DOUBLE."""
     src_net = (
         F.col("Quantity").cast("double") * F.col("UnitPrice").cast("double") * (F.lit(1) - F.col("Discount").cast("double"))
     )
-    both = fact.select(F.col("net_amount").alias("__dw"), F.lit(None).cast("double").alias("__src")).unionByName(
-        order_details.select(F.lit(None).cast("double").alias("__dw"), src_net.alias("__src"))
-    )
-    sums = both.agg(*limb_sums(F.col("__dw"), "dw_h", "dw_l"), *limb_sums(F.col("__src"), "src_h", "src_l"))
-    sums = sums.withColumns({"d_h": F.expr("dw_h - src_h"), "d_l": F.expr("dw_l - src_l")})
-    return sums.select(
-        value("dw_h", "dw_l").alias("dw_net_sales"),
-        value("src_h", "src_l").alias("oltp_net_sales"),
-        value("d_h", "d_l").alias("diff"),
+    both = fact.select(F.lit(True).alias("__dw"), F.col("net_amount").alias("__net")).unionByName(
+        order_details.select(F.lit(False).alias("__dw"), src_net.alias("__net"))
     )
+    parts = binned(both, "__dw", "__net").groupBy("__dw", "__bin").agg(*part_sums())
+    sums = parts.agg(held("dw", plus="__dw"), held("src", plus="NOT __dw"), held("d", plus="__dw", minus="NOT __dw"))
+    out = sums.select(value("dw").alias("dw_net_sales"), value("src").alias("oltp_net_sales"), value("d").alias("diff"))
+    return out.withColumn("diff", F.expr("CASE WHEN dw_net_sales IS NOT NULL AND oltp_net_sales IS NOT NULL THEN diff END"))
 
 
 def as_of_star_query(
@@ -163,12 +160,13 @@ def as_of_star_query(
     the join then sees one row per version, so neither a hot member nor the
     unknown member can skew it; the final regroup is by attribute value.
     """
-    per_sk = fact.groupBy(sk).agg(F.count(F.lit(1)).alias("lines"), *limb_sums(F.col(measure), "h", "l"))
+    per_sk = binned(fact, sk, measure).groupBy(sk, "__bin").agg(F.sum("__once").alias("lines"), *part_sums())
     d = dim.select(F.col(sk).alias("__sk"), F.col(attribute).alias("__attr"))
     j = per_sk.join(d, per_sk[sk] == d["__sk"], "left")
     named = F.when(F.col(sk) == UNKNOWN_SK, F.lit(unknown_label)).otherwise(F.col("__attr"))
-    out = j.groupBy(named.alias(label)).agg(F.sum("lines").cast("long").alias("lines"), F.sum("h").alias("h"), F.sum("l").alias("l"))
-    return out.select(label, "lines", value("h", "l").alias("net_sales"))
+    parts = j.groupBy(named.alias(label), "__bin").agg(F.sum("lines").alias("lines"), *part_sums())
+    out = parts.groupBy(label).agg(F.sum("lines").cast("long").alias("lines"), held())
+    return out.select(label, "lines", value().alias("net_sales"))
 
 
 @dataclass(frozen=True)
@@ -188,13 +186,15 @@ def star_query(fact: DataFrame, axes: list[Axis], measure: str = "net_amount", u
     ship month). The fact is pre-aggregated on the keys it needs; what is left
     is joined to the dimensions one after another, and regrouped after each,
     so rows shrink before the next join. SK 0 is reported as ``unknown_label``."""
-    out = fact.groupBy(*dict.fromkeys(a.fact_sk for a in axes)).agg(F.count(F.lit(1)).alias("lines"), *limb_sums(F.col(measure), "h", "l"))
+    keys = list(dict.fromkeys(a.fact_sk for a in axes))
+    out = binned(fact, *keys, measure).groupBy(*keys, "__bin").agg(F.sum("__once").alias("lines"), *part_sums())
     done: list[str] = []
     for i, axis in enumerate(axes):
         left = list(dict.fromkeys(a.fact_sk for a in axes[i + 1 :]))
         d = axis.dim.select(F.col(axis.dim_sk).alias("__sk"), *[F.col(c).cast("string").alias(f"__a_{n}") for n, c in axis.attributes.items()])
         j = out.join(d, F.col(axis.fact_sk) == F.col("__sk"), "left")
         named = [F.when(F.col(axis.fact_sk) == UNKNOWN_SK, F.lit(unknown_label)).otherwise(F.col(f"__a_{n}")).alias(n) for n in axis.attributes]
-        out = j.groupBy(*done, *left, *named).agg(F.sum("lines").alias("lines"), F.sum("h").alias("h"), F.sum("l").alias("l"))
+        out = j.groupBy(*done, *left, *named, "__bin").agg(F.sum("lines").alias("lines"), *part_sums())
         done += axis.attributes
-    return out.select(*done, F.col("lines").cast("long").alias("lines"), value("h", "l").alias("net_sales"))
+    out = out.groupBy(*done).agg(F.sum("lines").cast("long").alias("lines"), held())
+    return out.select(*done, "lines", value().alias("net_sales"))

@@ -1,10 +1,13 @@
 import datetime as dt
 import math
+import random
+import sys
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.functions.exact import limb_sums, value
+from starloom.functions.exact import totals, value
 from starloom.operators.facts import allocate_freight, build_fact, fact_dedup, line_measures, line_number, number_within_groups
 from starloom.operators.keys import dense_index
 from starloom.plans.loads import star_dimensions
@@ -75,12 +78,39 @@ def test_freight_shares_sum_to_header_and_zero_net(spark):
 
 
 def test_exact_sums(spark):
-    values = [0.1] * 10_000 + [1e12, -1e12, -0.1, 3e-5, 2.0**-60 + 1.0, -7.25]
-    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(7)
-    got = df.agg(*limb_sums(F.col("v"), "h", "l")).select(value("h", "l").alias("s")).first().s
-    assert got == math.fsum(values)
-    with pytest.raises(Exception, match="amount out of range"):
-        spark.createDataFrame([(1e13,)], "v double").agg(*limb_sums(F.col("v"), "h", "l")).collect()
+    """Any finite values, any partitioning: the nearest DOUBLE to the true total."""
+    r = random.Random(7)
+    edges = [5e-324, 2.0**42, 2.0**-20, 1.7e308, 1e-23, 2.0**60, 2.0**120 - 2.0**67, 1e12, 3e-5, 2.0**-60 + 1.0, 0.0]
+    draws = [lambda: r.uniform(-1e6, 1e6), lambda: math.ldexp(r.uniform(-1, 1), r.randint(-1074, 1000)), lambda: math.ldexp(r.uniform(-1, 1), r.randint(-80, 80)), lambda: r.choice((-1, 1)) * r.choice(edges)]
+    groups = {g: [r.choice(draws)() for _ in range(r.choice((1, 2, 5, 40)))] for g in range(150)}
+    for g in range(0, 150, 3):  # most of it cancels
+        groups[g] += [-v for v in groups[g][1:]] + [None]
+    groups |= {1000: [None], 1001: [1e-23] * 1000, 1002: [0.1] * 10_000 + [1e12, -1e12, -0.1], 1003: [1.7e308] * 3, 1004: [-1.7e308, 1.0] * 3}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g int, v double")
+
+    def nearest(vs):
+        total = sum(map(Fraction, vs))
+        return (math.inf if total > 0 else -math.inf) if abs(total) > Fraction(sys.float_info.max) else float(total)
+
+    want = {g: nearest([v for v in vs if v is not None]) if vs != [None] else None for g, vs in groups.items()}
+    for parts in (3, 29):
+        got = {x.g: x.s for x in totals(df.repartition(parts), ["g"], "v", "s").collect()}
+        assert got == want
+    assert totals(df.where("g = 1002"), [], "v", "s").first().s == want[1002]
+    assert totals(df.limit(0), [], "v", "s").first().s is None
+    for odd in (math.nan, math.inf):
+        with pytest.raises(Exception, match="amount out of range"):
+            totals(spark.createDataFrame([(odd,)], "v double"), [], "v", "s").collect()
+
+
+def test_exact_sums_of_very_many_rows(spark):
+    """Totals as large as 2^40 rows of the largest ordinary amount leave."""
+    high, low = 2**102 + 12345, 2**92 + 1
+    far = [(-3, 7), (1, -(2**61))]
+    held = spark.sql(f"SELECT named_struct('high', {high}BD, 'low', CAST({low}BD AS DECIMAL(38,0)), 'far', f) AS n, named_struct('high', CAST(-{high}BD AS DECIMAL(38,0)), 'low', CAST({low}BD AS DECIMAL(38,0)), 'far', slice(f, 1, 0)) AS m FROM VALUES (array({', '.join(f"named_struct('bin', {b}, 'units', CAST({u} AS DECIMAL(38,0)))" for b, u in far)})) AS t(f)")
+    got = held.select(value("n"), value("m")).first()
+    near = lambda h: Fraction(h, 2**20) + Fraction(low, 2**72)
+    assert got[0] == float(near(high) + sum(u * Fraction(2) ** (60 * b) for b, u in far)) and got[1] == float(near(-high))
 
 
 def test_fact_dedup_prunes_with_watermark(spark):
