@@ -1,20 +1,29 @@
 """Personal data: detection and surrogates.
 
-Detected: e-mail addresses, telephone numbers, IPv4 addresses, payment cards
+Detected: e-mail addresses, telephone numbers, IPv4 and IPv6 addresses (a
+shortened IPv6 address of three groups and more, with a digit), payment cards
 (13 to 19 digits that pass the Luhn sum), IBANs, US social security numbers,
-access keys, values of any length of password/token/secret assignments (the
-keyword may be part of a longer name, names and values may be quoted as in
-JSON; a quoted value goes to its closing quote), and names - a
-capitalised word after a title, or after a known given name, in Latin, Greek
-or Cyrillic script, and every other mention of such a word in the same text,
-alone, in capitals or inside a hyphenated word.
+access keys of common services, web tokens, and values of any length of
+password/token/secret assignments on one line, with any blanks around the sign
+(the keyword may be part of a longer name, names and values may be quoted as in
+JSON; a quoted value goes to its closing quote). After ``=``, a quoted name or
+a name with ``_`` every value counts; after another name and a colon only one
+that looks like a secret (a digit, a sign, mixed case, 32 characters, quoted
+without blanks) or that fills the rest of a line that the name begins: prose
+goes on after "the secret: patience". Names are one or two capitalised words
+after a title, or one after a known given name, in Latin, Greek or Cyrillic
+script (after Mr, Mrs, Herr and Frau in capitals also words in capitals), and
+every other mention of such a word in the same text, alone, in capitals or
+inside a hyphenated word. Words for offices ("Mr President") are no names; up to
+three may stand between a title and a name, up to four given names be joined.
 
 Every entity is a (kind, value) unit in canonical form (digits of a number,
 lower-case address, single words of a name), so mentions that differ in
 format are the same unit. A unit's surrogate is drawn from a keyed hash of
 kind, value and attempt, and matches it in type and format: same length and
 character classes, Luhn and IBAN sums kept, country and issuer digits kept,
-names of the same gender and script. Mentions take the surrogate in their own
+names of the same gender and script (given names are drawn from a list of
+their own, single or joined by hyphens). Mentions take the surrogate in their own
 punctuation and case.
 
 Collision checks run over the whole corpus: a candidate that equals a real
@@ -38,6 +47,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Callable, Iterator
 
@@ -50,11 +60,17 @@ from starloom.llm.common import materialize, nullable, slices, without
 KEY = b"starloom surrogates"  # callers with real data pass a secret of their own
 MAX_ATTEMPTS = 64
 
-# Titles that tell a gender, titles that tell none.
-MALE_TITLES = "Mr Herr Monsieur Señor Sr Don Господин Κύριος"
-FEMALE_TITLES = "Mrs Ms Miss Frau Madame Mme Mlle Señora Sra Doña Госпожа Κυρία"
+# Titles that tell a gender, titles that tell none, words for offices.
+MALE_TITLES = "Mr Herr Monsieur Señor Sr Don Господин Κύριος MR HERR"
+FEMALE_TITLES = "Mrs Ms Miss Madam Frau Madame Mme Mlle Señora Sra Doña Госпожа Κυρία MRS FRAU"
 OTHER_TITLES = "Dr Prof Professor Doktor Docteur Доктор"
-# Common given names by script and gender.
+OFFICES = (
+    "President Chairman Chairwoman Chairperson Chair Speaker Secretary Minister Prime Justice Judge Ambassador Mayor Governor Senator Chancellor Director Commissioner "
+    "Präsident Präsidentin Bundeskanzler Bundeskanzlerin Kanzler Kanzlerin Ministerin Bürgermeister Bürgermeisterin Professorin Direktor Direktorin Richter Richterin "
+    "Président Présidente Ministre Maire Directeur Directrice Juge Ambassadeur Presidente Presidenta Ministro Ministra Alcalde Alcaldesa Directora Juez Embajador "
+    "Президент Министр Председатель Директор Судья Посол Πρόεδρος Πρόεδρε Υπουργός Υπουργέ Πρωθυπουργός Δήμαρχος"
+)
+# Common given names by script and gender, which a name may begin with.
 GIVEN = {
     ("latin", "m"): "James John Robert Michael William David Thomas Peter Paul Hans Klaus Stefan Pierre Jean Michel Carlos Juan Luis Pedro Miguel",
     ("latin", "f"): "Mary Linda Barbara Elizabeth Susan Sarah Anna Laura Emma Julia Petra Sabine Claire Sophie Camille Marie Carmen Isabel Lucia Elena",
@@ -63,14 +79,33 @@ GIVEN = {
     ("greek", "m"): "Γιώργος Νίκος Κώστας Δημήτρης Γιάννης Παύλος",
     ("greek", "f"): "Μαρία Ελένη Κατερίνα Άννα Σοφία Δέσποινα",
 }
+# Given names to draw from (a real one may also begin with them).
+POOL = {
+    ("latin", "m"): "Adam Albert Anton Arthur Benjamin Bernard Bruno Cesar Christian Conrad Daniel Diego Edgar Edward Emil Felix Frank Gabriel George Gustav Henry Hugo Jacob Joseph Julian Leo Lorenzo Marco Martin Matthew Maurice Oscar Patrick Raul Richard Roland Samuel Simon Theodore Victor",
+    ("latin", "f"): "Adele Agnes Alice Amelia Andrea Angela Astrid Beatrice Bianca Caroline Cecilia Christine Clara Diana Dorothy Eleanor Emily Eva Gabriela Helen Irene Jane Johanna Katherine Leonie Lydia Margaret Martha Monica Nadine Nora Olivia Paula Rebecca Ruth Sylvia Teresa Ursula Veronica Yvonne",
+    ("cyrillic", "m"): "Александр Борис Виктор Владимир Георгий Денис Евгений Игорь Константин Леонид Максим Никита Роман Степан Фёдор Юрий",
+    ("cyrillic", "f"): "Александра Алина Валентина Варвара Галина Дарья Екатерина Зоя Ксения Лариса Людмила Маргарита Надежда Полина София Тамара",
+    ("greek", "m"): "Αλέξανδρος Αντώνης Βασίλης Γρηγόρης Ηλίας Θανάσης Λευτέρης Μιχάλης Πέτρος Σπύρος Στέλιος Χρήστος",
+    ("greek", "f"): "Αικατερίνη Αλεξάνδρα Βασιλική Γεωργία Δήμητρα Ειρήνη Ευαγγελία Ζωή Ιωάννα Κωνσταντίνα Παναγιώτα Χριστίνα",
+}
 SYLLABLES = {
     "latin": "bar ben bor cal dan del fen gar hal kel lan lor mar mel nor per ran ros sel tan tor val ver wen".split(),
     "cyrillic": "бар бел вор гал дан кор лан лев мар мел нор пет ран ров сел тар тов хол чер шел".split(),
     "greek": "βαρ γαλ δαν θεο καλ λαμ μαν νικ παπ ρου σαρ στα τζα φιλ χαρ".split(),
 }
-GENDER = {name: g for (_, g), names in GIVEN.items() for name in names.split()}
+GENDER = {name: g for known in (GIVEN, POOL) for (_, g), names in known.items() for name in names.split()}
+
 
-_title = lambda names: "|".join(sorted(names.split(), key=len, reverse=True))
+def _either(names: str) -> str:
+    """Pattern for one of the words, longer ones first, grouped by their first letter."""
+    by_letter: dict[str, list[str]] = {}
+    for n in sorted(set(names.split()), key=lambda n: (-len(n), n)):
+        by_letter.setdefault(n[0], []).append(n[1:])
+    return "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by_letter.items())
+
+
+_TITLES = " ".join([MALE_TITLES, FEMALE_TITLES, OTHER_TITLES])
+_NO_NAMES = {*_TITLES.split(), *OFFICES.split()}
 _CAP = r"[A-ZÀ-ÖØ-ÞΑ-ΫА-ЯЁ][a-zß-öø-ÿά-ώа-яё]+(?:-[A-ZÀ-ÖØ-ÞΑ-ΫА-ЯЁ][a-zß-öø-ÿά-ώа-яё]+)?"
 EMAIL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}")
 NUMBER = re.compile(
@@ -80,20 +115,34 @@ NUMBER = re.compile(
     r"|(?P<card>(?<!\w)(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{4}(?:(?P=gap)\d{3})?|\d{4}[ -]\d{6}[ -]\d{5})(?!\w))"
 )
 IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)")
-ACCESS_KEY = re.compile(r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)")
+IPV6 = re.compile(r"(?<![\w:.])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}|::[0-9A-Fa-f]{1,4}){2,7}(?![\w:])")
+# How access keys of common services begin.
+ACCESS_KEY = re.compile(
+    r"(?<!\w)(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"
+    r"|eyJ[\w-]{8,}\.eyJ[\w-]{8,}\.[\w-]{8,})(?!\w)"
+)
+_KEY_START = re.compile(r"AKIA|ASIA|gh._|xox.-|AIza|[rs]k_(?:live|test)_|eyJ|")
+_BLANKS = r"[^\S\r\n]"
 ASSIGNED = re.compile(
-    r"(?i)(?<![\w-])(?=[\w-]*(?:password|passwd|pwd|token|secret|api[_-]?key))[\w-]++(?:\\?[\"'])?\s{0,4}[=:]\s{0,4}"
-    r"(?:\"((?:[^\"\\\r\n]|\\.)+)\"|'((?:[^'\\\r\n]|\\.)+)'|(?:\\?[\"'])?([^\s\"']+))"
+    rf"(?i)(?<![\w-])(?=[\w-]*(?:password|passwd|pwd|token|secret|api[_-]?key))(?P<name>[\w-]++)(?P<shut>\\?[\"'])?{_BLANKS}*+(?P<sign>[=:]){_BLANKS}*+"
+    r"(?:\"(?P<double>(?:[^\"\\\r\n]|\\.)+)\"|'(?P<single>(?:[^'\\\r\n]|\\.)+)'|(?:\\?[\"'])?(?P<bare>[^\s\"']+))"
 )
+_LIKE_SECRET = re.compile(r"[0-9_@#$%^&*+=~|\\<>]|[^\W\d_A-Z][A-Z]|.{32}")
+_OFFICE = rf"(?:{_either(' '.join([_TITLES, OFFICES]))})(?!\w)"
+_GIVEN = _either(" ".join(GENDER))
 NAME = re.compile(
-    rf"(?<!\w)(?:(?P<male>{_title(MALE_TITLES)})|(?P<female>{_title(FEMALE_TITLES)})|(?P<other>{_title(OTHER_TITLES)}))\.?[ ](?P<titled>{_CAP}(?:[ ]{_CAP})?)"
-    rf"|(?<!\w)(?P<given>{_title(' '.join(GENDER))})[ ](?P<family>{_CAP})(?!\w)"
+    rf"(?<!\w)(?:(?P<male>{_either(MALE_TITLES)})|(?P<female>{_either(FEMALE_TITLES)})|(?P<other>{_either(OTHER_TITLES)}))\.?{_BLANKS}+(?:{_OFFICE}\.?{_BLANKS}+){{0,3}}"
+    rf"(?:(?P<titled>(?!{_OFFICE}){_CAP}(?:{_BLANKS}+(?!{_OFFICE}){_CAP})?)|(?P<upper>(?<=[A-Z]{_BLANKS})[A-ZÀ-ÖØ-Þ]{{2,}}(?!\w)(?:{_BLANKS}+[A-ZÀ-ÖØ-Þ]{{2,}}(?!\w))?))"
+    rf"|(?<!\w)(?P<given>(?:{_GIVEN})(?:-(?:{_GIVEN})){{0,3}}){_BLANKS}+(?P<family>(?!{_OFFICE}){_CAP})(?!\w)"
 )
 _WORDS = re.compile(r"(?<!\w)[^\W\d_]+(?:-[^\W\d_]+)*(?!\w)")
 _AT = re.compile(r"@")
 _DIGIT = re.compile(r"\d")
-_SECRET_WORD = re.compile(r"(?i)passw|pwd|token|secret|api.?key|AKIA|ASIA")
-_NAME_HINT = re.compile(_title(" ".join([MALE_TITLES, FEMALE_TITLES, OTHER_TITLES, *GENDER])))
+_COLONS = re.compile(r"[0-9A-Fa-f]::?[0-9A-Fa-f]{1,4}:")
+_SECRET_WORDS = ("passw", "pwd", "token", "secret", "api")
+_KEY_MARKS = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "AIza", "k_live_", "k_test_", "eyJ")
+_CAPITALISED = re.compile(r"[A-ZÀ-ÖØ-ÞΑ-ΫА-ЯЁ]\w+")
+_NAME_WORDS = {*_TITLES.split(), *GENDER}
 
 Span = tuple[int, int, str, str]  # start, end, kind, value
 
@@ -117,12 +166,18 @@ def _names(text: str) -> list[Span]:
     genders: dict[tuple[str, str], set[str]] = {}
     for m in NAME.finditer(text):
         gender = "m" if m["male"] else "f" if m["female"] else "x"
-        words = [(m.start("given"), m["given"]), (m.start("family"), m["family"])] if m["given"] else [(m.start("titled") + w.start(), w[0]) for w in re.finditer(r"\S+", m["titled"])]
+        if m["given"]:
+            words = [(m.start("given"), m["given"]), (m.start("family"), m["family"])]
+        else:
+            group = "titled" if m["titled"] else "upper"
+            words = [(m.start(group) + w.start(), w[0]) for w in re.finditer(r"\S+", m[group])]
+            if group == "upper":  # in capitals only a known given name tells that a second word belongs to it
+                words = [w for w in words[: 2 if words[0][1].capitalize() in GENDER else 1] if w[1].capitalize() not in _NO_NAMES]
         for i, (at, w) in enumerate(words):
             first = len(words) == 2 and i == 0
             named.append((at, w, "given" if first else "family"))
             if first:
-                genders.setdefault((script(w), w.lower()), set()).add(GENDER.get(w, gender))
+                genders.setdefault((script(w), w.lower()), set()).add(GENDER.get(w.split("-")[0].capitalize(), gender))
     found: list[Span] = []
     forms: dict[str, tuple[str, str]] = {}
     for at, w, part in named:
@@ -132,7 +187,7 @@ def _names(text: str) -> list[Span]:
             part = f"given:{next(iter(told)) if len(told) == 1 else 'x'}"
         unit = f"{part}:{alphabet}", value
         found.append((at, at + len(w), *unit))
-        for form in (w, w.upper()):
+        for form in (w, w.upper(), w.capitalize() if w.isupper() else w):
             forms.setdefault(form, unit)
     if forms:
         for m in _WORDS.finditer(text):
@@ -143,14 +198,41 @@ def _names(text: str) -> list[Span]:
     return found
 
 
+def _secrets(text: str) -> Iterator[Span]:
+    """Values of assignments that hold a secret."""
+    for m in ASSIGNED.finditer(text):
+        group = m.lastgroup
+        v = m[group]
+        if not any(map(str.isalnum, v)):
+            continue
+        told = m["sign"] == "=" or m["shut"] or "_" in m["name"] or _LIKE_SECRET.search(v) or group != "bare" and not re.search(r"\s", v)
+        if not told:  # a line that holds nothing else
+            before = text[text.rfind("\n", 0, m.start()) + 1 : m.start()] if m.start() < 64 or "\n" in text[m.start() - 64 : m.start()] else "prose"
+            told = not before.strip(" \t-*#>") and re.compile(r"[\"']?[^\S\r\n]*+(?:[\r\n]|\Z)").match(text, m.end(group))
+        if told:
+            yield *m.span(group), "secret", v
+
+
+def _addresses(text: str) -> Iterator[Span]:
+    """IPv6 addresses, whole or shortened once."""
+    for m in IPV6.finditer(text):
+        if any(map(str.isdigit, m[0])) and (m[0].count(":") == 7 or m[0].count("::") == 1):
+            try:
+                yield *m.span(), "ip6", ipaddress.IPv6Address(m[0]).compressed
+            except ValueError:
+                pass
+
+
 def spans(text: str) -> list[Span]:
     """Entities of a whole text, left to right, without overlaps."""
     found: list[Span] = []
     if _AT.search(text):
         found += [(m.start(), m.end(), "email", m[0].lower()) for m in EMAIL.finditer(text)]
-    if _SECRET_WORD.search(text):
+    if any(k in text for k in _KEY_MARKS):
         found += [(m.start(), m.end(), "key", m[0]) for m in ACCESS_KEY.finditer(text)]
-        found += [(*m.span(m.lastindex), "secret", m[m.lastindex]) for m in ASSIGNED.finditer(text) if any(map(str.isalnum, m[m.lastindex]))]
+    low = text.lower()
+    if any(w in low for w in _SECRET_WORDS):
+        found += _secrets(text)
     if _DIGIT.search(text):
         at = 0
         while m := NUMBER.search(text, at):
@@ -161,8 +243,10 @@ def spans(text: str) -> list[Span]:
                 continue
             found.append((m.start(), m.end(), kind, m[0] if kind == "ip" else digits))
             at = m.end()
+        if _COLONS.search(text):
+            found += _addresses(text)
         found += [(m.start(), m.end(), "iban", v) for m in IBAN.finditer(text) if 15 <= len(v := m[0].replace(" ", "")) <= 34 and _iban_sum(v) == 1]
-    if _NAME_HINT.search(text):
+    if not _NAME_WORDS.isdisjoint(_CAPITALISED.findall(text)):
         found += _names(text)
     found.sort(key=lambda s: (s[0], -s[1]))
     out: list[Span] = []
@@ -209,7 +293,7 @@ def _same_classes(text: str, draw: Callable[[int], int]) -> str:
 
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     """Canonical surrogate of a unit; every eighth attempt makes open-ended
-    kinds one character longer, so a full domain can't block."""
+    kinds one character, syllable or name longer, so a full domain can't block."""
     draw = _stream(key, kind, value, attempt)
     longer = attempt // 8
     if kind == "email":
@@ -218,6 +302,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         return f"{_same_classes(local + 'x' * longer, draw)}@{'.'.join([*(_same_classes(x, draw) for x in labels[:-1]), labels[-1]])}"
     if kind == "ip":
         return ".".join(str(1 + draw(254)) for _ in range(4))
+    if kind == "ip6":  # no group begins with a zero
+        return re.sub(r"[0-9]|[a-f]", lambda m: "abcdef"[draw(6)] if m[0].isalpha() else str(draw(10)) if m.start() and value[m.start() - 1] != ":" else str(1 + draw(9)), value)
     if kind in ("phone", "ssn"):
         keep = 1 if len(value) <= 11 else 2
         return value[:keep] + _same_classes(value[keep:] + "0" * longer, draw)
@@ -228,7 +314,10 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         body = _same_classes(value[4:], draw)
         return f"{value[:2]}{98 - _iban_sum(value[:2] + '00' + body):02d}{body}"
     if kind == "key":
-        return value[:4] + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[draw(32)] for _ in value[4:])
+        if value[:4] in ("AKIA", "ASIA"):
+            return value[:4] + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[draw(32)] for _ in value[4:])
+        starts = [(p, _KEY_START.match(p).end()) for p in value.split(".")]
+        return ".".join(p[:n] + _same_classes(p[n:], draw) for p, n in starts)
     if kind == "secret":  # escapes of a quoted value stay valid
         parts = re.split(r"(\\u[0-9a-fA-F]{4}|\\.)", value)
         new = [_same_classes(x, draw) if i % 2 == 0 else f"\\u{97 + draw(26):04x}" if len(x) > 2 else x for i, x in enumerate(parts)]
@@ -236,9 +325,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     part, *rest = kind.split(":")
     alphabet = rest[-1]
     if part == "given":
-        pool = [n for (s, g), names in GIVEN.items() if s == alphabet and (g == rest[0] or rest[0] == "x") for n in names.split()]
-        name = pool[draw(len(pool))].lower()
-        return name + "".join(SYLLABLES[alphabet][draw(len(SYLLABLES[alphabet]))] for _ in range(longer))
+        pool = [n for (s, g), names in POOL.items() if s == alphabet and (g == rest[0] or rest[0] == "x") for n in names.split()]
+        return "-".join(pool[draw(len(pool))].lower() for _ in range(1 + longer))
     return "".join(SYLLABLES[alphabet][draw(len(SYLLABLES[alphabet]))] for _ in range(2 + longer))
 
 
@@ -250,7 +338,7 @@ def render(mention: str, kind: str, new: str) -> str:
         return body + "".join(chars)
     if kind.startswith(("given", "family")):
         return new.upper() if len(mention) > 1 and mention.isupper() else "-".join(p[:1].upper() + p[1:] for p in new.split("-"))
-    if kind == "email" and mention.isupper():
+    if kind in ("email", "ip6") and mention.isupper():
         return new.upper()
     return new
 

@@ -1,4 +1,5 @@
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -28,12 +29,12 @@ def test_surrogates_match_format():
         assert P.luhn(P.surrogate(P.KEY, "card", "4111111111111111", a)) and P.surrogate(P.KEY, "card", "4111111111111111", a)[0] == "4"
         assert P._iban_sum(P.surrogate(P.KEY, "iban", "DE89370400440532013000", a)) == 1
     assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", P.render("+1 (386) 555-3733", "phone", P.surrogate(P.KEY, "phone", "13865553733", 0)))
-    assert P.surrogate(P.KEY, "given:f:cyrillic", "анна", 0).capitalize() in P.GIVEN["cyrillic", "f"].split()
+    assert P.surrogate(P.KEY, "given:f:cyrillic", "анна", 0).capitalize() in P.POOL["cyrillic", "f"].split()
     assert P.script(P.surrogate(P.KEY, "family:greek", "παπ", 0)) == "greek"
 
 
 def test_collisions_are_drawn_again(spark):
-    names = P.GIVEN["latin", "m"].split()  # the whole pool is in use, so every first draw is a real value
+    names = P.POOL["latin", "m"].split()  # the whole pool is in use, so every first draw is a real value
     rows = [("given:m:latin", n.lower()) for n in names] + [("family:latin", "smith"), ("ip", "1.2.3.4")]
     got = P.assign(spark.createDataFrame(rows, P.UNIT)).collect()
     assert sorted((r.kind, r.value) for r in got) == sorted(rows)
@@ -105,9 +106,9 @@ def test_one_person_has_one_surrogate(spark):
     got = [r.text for r in P.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).orderBy("doc_id").collect()]
     _, alex, jones, _ = got[0].split()
     assert got[2] == f"Dr {alex} {jones} called. {jones.upper()} and {alex} left." and got[3] == f"Ms {alex} {jones}"
-    assert got[1].split()[1] == alex and alex in P.GIVEN["latin", "m"].split()
+    assert got[1].split()[1] == alex and alex in P.POOL["latin", "m"].split()
     kim = got[4].split()[1]
-    assert got[5].split()[1] == kim and kim in P.GIVEN["latin", "f"].split() and got[4].split()[2] == got[5].split()[2]
+    assert got[5].split()[1] == kim and kim in P.POOL["latin", "f"].split() and got[4].split()[2] == got[5].split()[2]
     assert not {"Alex", "Jones", "Kim", "Lee", "Stone"} & set(" ".join(got).split())
 
 
@@ -115,3 +116,65 @@ def test_given_names_differ_across_genders(spark):
     names = [(f"given:{g}:latin", f"name{i}") for i, g in enumerate("mfx" * 30)]
     got = P.assign(spark.createDataFrame(names, P.UNIT)).collect()
     assert len({r.surrogate for r in got}) == len(names)
+
+
+def test_surrogate_names_are_names(spark):
+    """Every known given name of a corpus gets another real one of its gender."""
+    for known in (P.GIVEN, P.POOL):
+        rows = [(f"given:{g}:{a}", n.lower()) for (a, g), names in known.items() for n in names.split()]
+        got = P.assign(spark.createDataFrame(rows, P.UNIT)).collect()
+        assert len({r.surrogate for r in got}) == len(rows) and not {r.surrogate for r in got} & {v for _, v in rows}
+        for r in got:
+            _, g, a = r.kind.split(":")
+            assert {n.capitalize() for n in r.surrogate.split("-")} <= set(P.POOL[a, g].split())
+            assert known is P.POOL or a != "latin" or "-" not in r.surrogate
+
+
+# (text, what must be found in it)
+LABELLED = [
+    ("Mr President spoke; the President left. The secret: patience wins.", []),
+    ("Madam Speaker, Mr Chairman and Herr Bundeskanzler agreed.", []),
+    ("Frau Dr. Klein met Herr Professor Weiß.", ["Klein", "Weiß"]),
+    ("Mr President Lincoln, Mr  Smith, Mrs\u00a0Stone", ["Lincoln", "Smith", "Stone"]),
+    ("MR SMITH MUST LEAVE. Smith left, MRS ALICE STONE stayed.", ["SMITH", "Smith", "ALICE", "STONE"]),
+    ("MR PRESIDENT MUST LEAVE", []),
+    ("Alice Johnson and Felix-Hugo Berg", ["Alice", "Johnson", "Felix-Hugo", "Berg"]),
+    ("Господин Президент Громов и Анна Белова", ["Громов", "Анна", "Белова"]),
+    ("password      = hunter2xyz", ["hunter2xyz"]),
+    ("token\t:\t\t\t\t\t\tabc9", ["abc9"]),
+    ("secret" + " " * 5000 + "=" + " " * 5000 + "open", ["open"]),
+    ("My token: a smile. The password: none of these, the secret: \"patience wins\".", []),
+    ("top-secret: nothing here", []),
+    ("user: me\npwd: Home", ["Home"]),
+    ("The pwd: Home of the brave", []),
+    ("login: me\n  password: opensesame\nport: 1", ["opensesame"]),
+    ("client_secret: opensesame and more", ["opensesame"]),
+    ("he gave the password: hunterTwo to them", ["hunterTwo"]),
+    ("password:\nnext line", []),
+    ("from 2001:db8::8a2e:370:7334 and FE80:0:0:0:202:B3FF:FE1E:8329, at 12:30:45, std::a1::b2, a::b, 1:2:3", ["2001:db8::8a2e:370:7334", "FE80:0:0:0:202:B3FF:FE1E:8329"]),
+    ("use ghp_" + "a1B2" * 9 + " or sk_live_" + "Zz09" * 5, ["ghp_" + "a1B2" * 9, "sk_live_" + "Zz09" * 5]),
+    ("jwt eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSM_x end", ["eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSM_x"]),
+    ("The Madame of the house, a Miss, dr no, Mr. and Mrs.", []),
+    ("Token economies reward tokens: stickers, points, praise.", []),
+    ("Die Frau Ministerin und der Herr Direktor sprachen.", []),
+]
+
+
+def test_labelled_texts():
+    found = [(t, [t[a:b] for a, b, _, _ in P.spans(t)], want) for t, want in LABELLED]
+    assert [(t, got) for t, got, want in found if got != want] == []
+
+
+def test_new_kinds_keep_their_form():
+    for at in (0, 5, 11):
+        new = P.surrogate(P.KEY, "ip6", "2001:db8::8a2e:370:7334", at)
+        assert re.fullmatch(r"[1-9]\d{3}:[a-f]{2}[1-9\d]::[1-9][a-f]\d[a-f]:[1-9]\d\d:[1-9]\d{3}", new) and [k for _, _, k, _ in P.spans(new)] == ["ip6"]
+        new = P.surrogate(P.KEY, "key", "eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSM_x", at)
+        assert new.startswith("eyJ") and ".eyJ" in new and len(new) == 38 and [k for _, _, k, _ in P.spans(new)] == ["key"]
+
+
+def test_long_texts_take_linear_time():
+    start = time.perf_counter()
+    for one in ("secret : ", "token ", "secret" + " " * 30, "a:b:", "1::", "Mr ", "Mr President ", "Anna-", "Anna Mr ", "eyJ", "ABC ", "MR ABC "):
+        P.spans(one * (500_000 // len(one)))
+    assert time.perf_counter() - start < 60
