@@ -9,12 +9,17 @@ over the whole text is kept (max pooling, which makes the score depend on
 what is in a text, not on how long it is), and a linear layer with a sigmoid
 gives the score. Nothing but the text enters a score.
 
-Training: a bounded, deterministic sample of labelled rows (``MAX_POSITIVES``
-and ``MAX_NEGATIVES`` rows of documents that exist, those of at most
-``MAX_TRAIN_CHARS`` characters in hash order, then the shortest longer ones) goes to the driver; scoring runs over every whole text inside
-Arrow batches. On a fifth of the sample, held back from the
-updates, each language's threshold is set to the score that separates its
-classes best; a language with fewer than ``MIN_PER_LANGUAGE`` held-back
+Training reads every labelled row that is not held out. A fifth of them (by
+the hash of the id) is kept from the updates and calibrates. The rest is dealt
+over shards of about ``SHARD_TEXTS`` texts by the hash of their id. One pass counts,
+over all of them, in how many texts of each class an embedding row occurs (the
+start of the weights); then, in ``passes`` passes (one where there are
+``TEXTS_SEEN`` texts, up to ``EPOCHS`` where there are fewer), every shard goes on
+from the same weights with AdaGrad steps over all its texts, and the shards' changes are
+averaged, each weight by how many steps changed it. Sums are of whole numbers, so the model
+depends neither on partitions nor on order. Scoring runs over every whole text inside
+Arrow batches. On the calibrating rows each language's threshold is set to the score that separates its
+classes best; a language with fewer than ``MIN_PER_LANGUAGE`` calibrating
 positives uses 0.5. Thresholds decide ``rejected``; they never enter scores.
 
 Defined results: null and empty texts get the score of the empty text; equal
@@ -25,7 +30,7 @@ score is the share of positives (0 without labels).
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,31 +38,49 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import nullable, slices, without
+from starloom.llm.common import Remembered, nullable, slices, without
 
 BUCKETS = 1 << 16
 DIM = 16
 FILTERS = 8
 WIDTHS = (1, 2, 3)
 PAD = sum(WIDTHS) * FILTERS
-MAX_POSITIVES = 1500
-MAX_NEGATIVES = 3000
 MAX_TRAIN_CHARS = 16_000
+SHARD_TEXTS = 8192  # labelled texts of a shard, about
+TEXTS_SEEN = 16_384  # texts that the passes together see, at least, if EPOCHS passes hold them
 MIN_PER_LANGUAGE = 5
 EPOCHS = 5
 RATE = 0.1
 WORD_DROPOUT = 0.2
-CACHE_WORDS = 100_000
+BATCH = 16  # texts of a step
+BATCH_WORDS = 65_536  # a step takes no further text beyond these
+BLOCK_WORDS = 16_384
+SETTLED = 0.01  # errors below this change nothing
+SCALE = 2.0**24  # changes of weights are summed as whole parts of this
+SCORE_BINS = 1 << 16  # calibrating scores are counted in this many bins
+CACHE_WORDS = 200_000
 WORD = re.compile(r"\w{1,32}")
 
 
+def _gram(gram: str) -> int:
+    import xxhash
+
+    return xxhash.xxh32_intdigest(gram, 1) % BUCKETS
+
+
+_GRAMS = Remembered(_gram, CACHE_WORDS, 4)  # of this process
+
+
 def parts(word: str) -> list[int]:
     """Embedding rows of a word: itself and its 4-grams with word ends."""
     import xxhash
 
-    h = xxhash.xxh32_intdigest
-    whole = f"<{word}>"
-    return [h(word) % BUCKETS] + [h(whole[i : i + 4], 1) % BUCKETS for i in range(max(1, len(whole) - 3))]
+    whole, grams = f"<{word}>", _GRAMS
+    return [xxhash.xxh32_intdigest(word) % BUCKETS] + [grams[whole[i : i + 4]] for i in range(max(1, len(whole) - 3))]
+
+
+def _rows(word: str) -> np.ndarray:
+    return np.array(parts(word), np.int32)
 
 
 @dataclass
@@ -73,20 +96,16 @@ class Model:
 
     def word_vectors(self, words: list[list[int]]) -> np.ndarray:
         """Mean embedding of each word given by its rows."""
-        ends = np.cumsum([len(p) for p in words])
-        rows = self.embedding[np.concatenate([np.asarray(p) for p in words])] if words else np.zeros((0, DIM), np.float32)
-        sums = np.add.reduceat(rows, np.r_[0, ends[:-1]], axis=0) if words else rows
-        return sums / np.diff(np.r_[0, ends]).reshape(-1, 1)
+        return means(self.embedding, words)
 
     def projections(self, vectors: np.ndarray) -> np.ndarray:
         """What each word adds to each filter at each of its places."""
-        return np.concatenate([vectors @ f[j * DIM : (j + 1) * DIM] for w, f in zip(WIDTHS, self.filters) for j in range(w)], axis=1).astype(np.float32)
+        places = np.concatenate([f[j * DIM : (j + 1) * DIM] for w, f in zip(WIDTHS, self.filters) for j in range(w)], axis=1)
+        return (vectors @ places).astype(np.float32, copy=False)
 
-    def pooled(self, proj: np.ndarray, first: bool = True, last: bool = True) -> tuple[np.ndarray, np.ndarray]:
-        """(largest response, its place) of each filter; proj: (words, PAD).
-        A window may hang over the text's ends, not over a block's."""
-        best, place, at = [], [], 0
-        n = len(proj)
+    def _responses(self, proj: np.ndarray, first: bool, last: bool) -> Iterator[tuple[int, np.ndarray]]:
+        """Of each width: (place of the first window, responses of all windows)."""
+        at, n = 0, len(proj)
         for w in WIDTHS:
             rows = max(1, n + w - 1)
             conv = np.zeros((rows, FILTERS), np.float32)
@@ -94,33 +113,61 @@ class Model:
                 conv[w - 1 - j : w - 1 - j + n] += proj[:, at : at + FILTERS]
                 at += FILTERS
             skip = 0 if first else w - 1
-            conv = conv[skip : rows if last else rows - (w - 1)]
-            place.append(conv.argmax(axis=0) + skip - (w - 1))
+            yield skip - (w - 1), conv[skip : rows if last else rows - (w - 1)]
+
+    def largest(self, proj: np.ndarray, first: bool = True, last: bool = True) -> np.ndarray:
+        """Largest response of each filter; proj: (words, PAD). A window may
+        hang over the text's ends, not over a block's."""
+        return np.concatenate([conv.max(axis=0) for _, conv in self._responses(proj, first, last)])
+
+    def pooled(self, proj: np.ndarray, first: bool = True, last: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """(largest response, its place) of each filter."""
+        best, place = [], []
+        for start, conv in self._responses(proj, first, last):
+            place.append(conv.argmax(axis=0) + start)
             best.append(conv.max(axis=0))
         return np.concatenate(best), np.concatenate(place)
 
+    def hidden(self, best: np.ndarray) -> tuple[np.ndarray, float]:
+        """(responses above their bias, likelihood) of a text's largest responses."""
+        hidden = np.maximum(best + self.filter_bias, 0)
+        return hidden, float(1 / (1 + np.exp(-np.clip(hidden @ self.out + self.out_bias, -30, 30))))
+
+
+def means(table: np.ndarray, words: list[list[int]]) -> np.ndarray:
+    """Mean of each word's rows of ``table``."""
+    if not words:
+        return np.zeros((0, table.shape[1]), np.float32)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    rows = table[np.concatenate(words)]
+    return np.add.reduceat(rows, np.r_[0, np.cumsum(sizes)[:-1]], axis=0) / sizes.astype(np.float32).reshape(-1, 1)
+
+
+def blocks(n: int) -> Iterator[tuple[slice, bool, bool]]:
+    """(places, whether first, whether last) of a text's blocks of words; each
+    begins with the words that a window may reach back to."""
+    overlap = max(WIDTHS) - 1
+    for at in range(0, max(1, n), BLOCK_WORDS):
+        yield slice(max(0, at - overlap), at + BLOCK_WORDS), at == 0, at + BLOCK_WORDS >= n
+
 
 class Scorer:
     """Scores texts with a bounded memory of words' projections."""
 
     def __init__(self, model: Model) -> None:
         self.model = model
+        self.table = model.projections(model.embedding)  # of each embedding row
         self.places: dict[str, int] = {}
         self.rows = np.zeros((1024, PAD), np.float32)
 
     def score(self, text: str) -> float:
-        words = WORD.findall(text.lower())
-        out = self._pooled(words)
-        hidden = np.maximum(out + self.model.filter_bias, 0)
-        return float(1 / (1 + np.exp(-np.clip(hidden @ self.model.out + self.model.out_bias, -30, 30))))
+        return self.model.hidden(self._pooled(WORD.findall(text.lower())))[1]
 
     def _pooled(self, words: list[str]) -> np.ndarray:
         """Largest responses over a text, a block of words at a time."""
         most = None
-        step, overlap = 16_384, max(WIDTHS) - 1
-        for at in range(0, max(1, len(words)), step):
-            block = words[max(0, at - overlap) : at + step]
-            got = self.model.pooled(self._lookup(block), at == 0, at + step >= len(words))[0]
+        for at, first, last in blocks(len(words)):
+            got = self.model.largest(self._lookup(words[at]), first, last)
             most = got if most is None else np.maximum(most, got)
         return most
 
@@ -135,121 +182,163 @@ class Scorer:
             known.update(zip(new, range(start, start + len(new))))
             while len(self.rows) < start + len(new):
                 self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            self.rows[start : start + len(new)] = self.model.projections(self.model.word_vectors([parts(w) for w in new]))
+            self.rows[start : start + len(new)] = means(self.table, [_rows(w) for w in new])
         return self.rows[np.fromiter(map(known.__getitem__, words), np.int64, len(words))]
 
 
 class Vocabulary:
     """Words of the training texts and their embedding rows."""
 
-    def __init__(self) -> None:
+    def __init__(self, rows_of: Callable[[str], list[int]] = parts) -> None:
+        self.rows_of = rows_of
         self.places: dict[str, int] = {}
         self.rows: list[list[int]] = []
 
     def ids(self, text: str) -> np.ndarray:
-        out = []
-        for w in WORD.findall(text.lower()):
-            if w not in self.places:
-                self.places[w] = len(self.rows)
-                self.rows.append(parts(w))
-            out.append(self.places[w])
-        return np.asarray(out, np.int32)
-
-
-def _log_odds(texts: list[np.ndarray], rows: list[list[int]], labels: np.ndarray) -> np.ndarray:
-    """How much likelier each embedding row occurs in a positive text: log
+        words, places = WORD.findall(text.lower()), self.places
+        for w in dict.fromkeys(words):
+            if w not in places:
+                places[w] = len(self.rows)
+                self.rows.append(self.rows_of(w))
+        return np.fromiter(map(places.__getitem__, words), np.int32, len(words))
+
+
+def _distinct(rows: list) -> np.ndarray:
+    """Embedding rows that occur among those of some words, in any order."""
+    every = np.concatenate(rows).astype(np.int64, copy=False) if rows else np.zeros(0, np.int64)
+    last = np.empty(BUCKETS, np.int64)
+    place = np.arange(len(every))
+    last[every] = place
+    return every[last[every] == place]
+
+
+def _log_odds(seen: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """How much likelier each embedding row occurs in a positive text, from the
+    numbers of texts of each class with the row (2, BUCKETS) and of texts: log
     odds of document frequencies, drawn to zero where there are few texts."""
-    seen = np.zeros((2, BUCKETS))
-    for words, y in zip(texts, labels):
-        if len(words):
-            seen[y, np.unique(np.concatenate([rows[u] for u in np.unique(words)]))] += 1
-    n = np.maximum(np.bincount(labels, minlength=2), 1).reshape(2, 1)
-    share = (seen + 0.5) / (n + 1)
+    share = (seen + 0.5) / (np.maximum(texts, 1).reshape(2, 1) + 1)
     total = seen.sum(axis=0)
     return np.clip(np.log(share[1] / share[0]), -1, 4) * total / (total + 5)
 
 
-def train(texts: list[np.ndarray], rows: list[list[int]], labels: np.ndarray, seed: int = 7) -> Model:
-    """Fit on texts given as ids of words, ``rows`` being each word's rows."""
+def start_model(seen: np.ndarray, texts: np.ndarray, seed: int = 7) -> Model:
+    """Weights before the first step, from the counts of :func:`_log_odds`; with
+    texts of one class only, or none, every score is the share of positives."""
     rng = np.random.default_rng(seed)
-    positives = int(labels.sum())
     axis = rng.normal(0, 1, DIM)
     axis /= np.linalg.norm(axis)
-    model = Model(  # start: one direction says how much likelier a row's word parts are in positive texts
-        embedding=(rng.normal(0, 0.01, (BUCKETS, DIM)) + np.outer(_log_odds(texts, rows, labels), axis)).astype(np.float32),
+    model = Model(  # one direction says how much likelier a row's word parts are in positive texts
+        embedding=(rng.normal(0, 0.01, (BUCKETS, DIM)) + np.outer(_log_odds(seen, texts), axis)).astype(np.float32),
         filters=[(rng.normal(0, 0.3 / np.sqrt(w * DIM), (w * DIM, FILTERS)) + np.tile(axis, w).reshape(-1, 1) / w).astype(np.float32) for w in WIDTHS],
         filter_bias=np.full(len(WIDTHS) * FILTERS, -0.5, np.float32),
         out=np.full(len(WIDTHS) * FILTERS, 0.3, np.float32),
         out_bias=-2.0,
     )
-    if positives in (0, len(labels)):
-        share = positives / len(labels) if len(labels) else 0.0
+    if not texts.all():
+        share = texts[1] / texts.sum() if texts.any() else 0.0
         model.out[:] = 0
         model.out_bias = float(np.clip(np.log(max(share, 1e-12) / max(1 - share, 1e-12)), -30, 30))
-        return model
-    weight = np.where(labels == 1, len(labels) / (2 * positives), len(labels) / (2 * (len(labels) - positives)))
-    grown = {k: np.full_like(v, 1e-3) for k, v in [("e", model.embedding), *((f"f{i}", f) for i, f in enumerate(model.filters)), ("b", model.filter_bias), ("o", model.out)]}
-    grown_bias = 1e-3
+    return model
 
-    def adagrad(key: str, at, value: np.ndarray, grad: np.ndarray, rate: float) -> None:
-        grown[key][at] += grad * grad
-        value[at] -= rate * grad / np.sqrt(grown[key][at])
 
-    batch, settled = 16, 0.01
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
-        order = rng.permutation(len(texts))
-        for at in range(0, len(order), batch):
-            some = order[at : at + batch]
-            seen = {t: texts[t][rng.random(len(texts[t])) >= WORD_DROPOUT] for t in some}
-            used, back = np.unique(np.concatenate([seen[t] for t in some]), return_inverse=True)
-            vectors = model.word_vectors([rows[u] for u in used]) if len(used) else np.zeros((0, DIM), np.float32)
-            proj = model.projections(vectors) if len(used) else np.zeros((0, PAD), np.float32)
-            g_f = [np.zeros_like(f) for f in model.filters]
-            g_b, g_o, g_bias = np.zeros_like(model.filter_bias), np.zeros_like(model.out), 0.0
-            g_words = np.zeros_like(vectors)
-            start, moved = 0, False
-            for t in some:
-                words = back[start : start + len(seen[t])]
-                start += len(words)
-                best, place = model.pooled(proj[words])
-                z = best + model.filter_bias
-                hidden = np.maximum(z, 0)
-                p = 1 / (1 + np.exp(-np.clip(hidden @ model.out + model.out_bias, -30, 30)))
-                if abs(p - labels[t]) < settled:
-                    continue
-                moved = True
-                err = float((p - labels[t]) * weight[t] / batch)
-                g_o += err * hidden
-                g_bias += err
-                d = (err * model.out * (z > 0)).astype(np.float32)
-                g_b += d
-                for i, w in enumerate(WIDTHS):
-                    own = slice(i * FILTERS, (i + 1) * FILTERS)
-                    for j in range(w):
-                        at_word = place[own] + j
-                        inside = np.flatnonzero((at_word >= 0) & (at_word < len(words)))
-                        if len(inside):
-                            hit = words[at_word[inside]]
-                            part = slice(j * DIM, (j + 1) * DIM)
-                            g_f[i][part, inside] += vectors[hit].T * d[own][inside]
-                            np.add.at(g_words, hit, (model.filters[i][part, inside] * d[own][inside]).T)
-            if not moved:
+class Trainer:
+    """AdaGrad steps on a model's weights, which it changes in place."""
+
+    def __init__(self, model: Model, texts: np.ndarray, seed: int) -> None:
+        self.model, self.weight = model, texts.sum() / (2 * texts)  # classes weigh alike
+        self.rng = np.random.default_rng(seed)
+        like = {"e": model.embedding, **{f"f{i}": f for i, f in enumerate(model.filters)}, "b": model.filter_bias, "o": model.out}
+        self.grown = {k: np.full_like(v, 1e-3) for k, v in like.items()}
+        self.grown_bias = 1e-3
+        self.steps = 0  # that changed something
+        self.touched = np.zeros(BUCKETS, np.int64)  # steps that changed an embedding row
+
+    def _adagrad(self, key: str, at, value: np.ndarray, grad: np.ndarray, rate: float) -> None:
+        self.grown[key][at] += grad * grad
+        value[at] -= rate * grad / np.sqrt(self.grown[key][at])
+
+    def step(self, texts: list[np.ndarray], rows: list[list[int]], labels: list[int], rate: float) -> None:
+        """One step on texts given as ids of words, ``rows`` being each word's rows."""
+        model = self.model
+        seen = [t[self.rng.random(len(t)) >= WORD_DROPOUT] for t in texts]
+        every = np.concatenate(seen)
+        kept = np.zeros(len(rows), bool)
+        kept[every] = True
+        used, back = np.flatnonzero(kept), (np.cumsum(kept) - 1)[every]
+        vectors = model.word_vectors([rows[u] for u in used])
+        proj = model.projections(vectors)
+        g_f = [np.zeros_like(f) for f in model.filters]
+        g_b, g_o, g_bias = np.zeros_like(model.filter_bias), np.zeros_like(model.out), 0.0
+        g_words = np.zeros_like(vectors)
+        start, moved = 0, False
+        for t, y in zip(seen, labels):
+            words = back[start : start + len(t)]
+            start += len(t)
+            found = [(at, model.largest(proj[words[at]], first, last)) for at, first, last in blocks(len(words))]
+            best = np.max([b for _, b in found], axis=0)
+            hidden, p = model.hidden(best)
+            if abs(p - y) < SETTLED:
                 continue
-            for i in range(len(WIDTHS)):
-                adagrad(f"f{i}", slice(None), model.filters[i], g_f[i], rate)
-            adagrad("b", slice(None), model.filter_bias, g_b, rate)
-            adagrad("o", slice(None), model.out, g_o, rate)
-            np.maximum(model.out, 0, out=model.out)  # a filter finds evidence for the class, never against it
-            grown_bias += g_bias * g_bias
-            model.out_bias -= rate * g_bias / np.sqrt(grown_bias)
-            touched = np.flatnonzero(g_words.any(axis=1))
-            if len(touched):
-                sizes = np.array([len(rows[used[u]]) for u in touched])
-                at_rows, where = np.unique(np.concatenate([rows[used[u]] for u in touched]), return_inverse=True)
-                total = np.zeros((len(at_rows), DIM), np.float32)
-                np.add.at(total, where, np.repeat(g_words[touched] / sizes.reshape(-1, 1), sizes, axis=0))
-                adagrad("e", at_rows, model.embedding, total, rate)
+            moved = True
+            place = self._places(proj, words, np.argmax([b for _, b in found], axis=0))
+            err = float((p - y) * self.weight[y] / BATCH)
+            g_o += err * hidden
+            g_bias += err
+            d = (err * model.out * (hidden > 0)).astype(np.float32)
+            g_b += d
+            for i, w in enumerate(WIDTHS):
+                own = slice(i * FILTERS, (i + 1) * FILTERS)
+                for j in range(w):
+                    at_word = place[own] + j
+                    inside = np.flatnonzero((at_word >= 0) & (at_word < len(words)))
+                    if len(inside):
+                        hit = words[at_word[inside]]
+                        part = slice(j * DIM, (j + 1) * DIM)
+                        g_f[i][part, inside] += vectors[hit].T * d[own][inside]
+                        np.add.at(g_words, hit, (model.filters[i][part, inside] * d[own][inside]).T)
+        if not moved:
+            return
+        self.steps += 1
+        for i in range(len(WIDTHS)):
+            self._adagrad(f"f{i}", slice(None), model.filters[i], g_f[i], rate)
+        self._adagrad("b", slice(None), model.filter_bias, g_b, rate)
+        self._adagrad("o", slice(None), model.out, g_o, rate)
+        np.maximum(model.out, 0, out=model.out)  # a filter finds evidence for the class, never against it
+        self.grown_bias += g_bias * g_bias
+        model.out_bias -= rate * g_bias / np.sqrt(self.grown_bias)
+        touched = np.flatnonzero(g_words.any(axis=1))
+        if len(touched):
+            sizes = np.array([len(rows[used[u]]) for u in touched])
+            at_rows, where = np.unique(np.concatenate([rows[used[u]] for u in touched]), return_inverse=True)
+            total = np.zeros((len(at_rows), DIM), np.float32)
+            np.add.at(total, where, np.repeat(g_words[touched] / sizes.reshape(-1, 1), sizes, axis=0))
+            self._adagrad("e", at_rows, model.embedding, total, rate)
+            self.touched[at_rows] += 1
+
+    def _places(self, proj: np.ndarray, words: np.ndarray, block: np.ndarray) -> np.ndarray:
+        """Place of each filter's largest response, which lies in the block of this number."""
+        place = np.zeros(len(block), np.int64)
+        for i, (at, first, last) in enumerate(blocks(len(words))):
+            if (block == i).any():
+                place = np.where(block == i, at.start + self.model.pooled(proj[words[at]], first, last)[1], place)
+        return place
+
+
+def train(texts: list[np.ndarray], rows: list[list[int]], labels: np.ndarray, seed: int = 7) -> Model:
+    """Fit in one process on texts given as ids of words, ``rows`` being each word's rows."""
+    seen = np.zeros((2, BUCKETS))
+    for words, y in zip(texts, labels):
+        seen[y, _distinct([rows[u] for u in np.unique(words)])] += 1
+    n = np.bincount(labels, minlength=2)
+    model = start_model(seen, n, seed)
+    if not n.all():
+        return model
+    trainer = Trainer(model, n, seed)
+    for epoch in range(EPOCHS):
+        order = trainer.rng.permutation(len(texts))
+        for at in range(0, len(order), BATCH):
+            some = order[at : at + BATCH]
+            trainer.step([texts[t] for t in some], rows, [labels[t] for t in some], RATE * (1 - epoch / EPOCHS))
     return model
 
 
@@ -268,7 +357,7 @@ def _drawn(known: DataFrame, most: int) -> DataFrame:
     """At most ``most`` rows (doc_id, toxic, n): those of at most
     ``MAX_TRAIN_CHARS`` characters in hash order, then the shortest of the longer
     ones while all drawn hold no more than ``most * MAX_TRAIN_CHARS`` (the first
-    row is drawn in any case)."""
+    row is drawn in any case). :func:`fit` draws nothing; it learns from every row."""
     long = F.when(F.col("n") > MAX_TRAIN_CHARS, F.col("n")).otherwise(0)
     order = [long, F.xxhash64(F.col("doc_id"), F.lit(11)), F.col("doc_id")]
     first = known.orderBy(*order).limit(most)
@@ -276,37 +365,134 @@ def _drawn(known: DataFrame, most: int) -> DataFrame:
     return first.withColumn("_held", so_far).where((F.col("_held") <= most * MAX_TRAIN_CHARS) | (F.col("_held") == F.col("n"))).drop("_held")
 
 
+def _labelled(documents: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(texts to learn from, texts to calibrate on): doc_id, toxic, text, lang of
+    every id of ``labels`` (doc_id, toxic 0/1) that is not held out and has a text."""
+    known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out("doc_id"))
+    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    whole = documents.where("doc_id is not null").where(~held_out("doc_id"))
+    text = F.coalesce("text", F.lit(""))
+    whole = whole.select("doc_id", F.struct(F.length(text).alias("n"), text.alias("text"), F.coalesce("lang", F.lit("")).alias("lang")).alias("t"))
+    texts = whole.join(known, "doc_id").groupBy("doc_id", "toxic").agg(F.min("t").alias("t")).select("doc_id", "toxic", "t.text", "t.lang")
+    back = F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(5)) == 0
+    return texts.where(~back), texts.where(back)
+
+
+def _texts(batches: Iterator) -> Iterator[tuple[str, int]]:
+    for whole in batches:
+        for b in slices(whole, "text"):
+            yield from zip(b.column("text").to_pylist(), b.column("toxic").to_pylist())
+
+
+def _counts(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """In how many texts of each class every embedding row occurs, (2, BUCKETS),
+    and how many texts of each class there are."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        seen = np.zeros((2, BUCKETS + 1), np.int64)  # the last place counts the texts
+        words = Remembered(_rows, CACHE_WORDS, 32)
+        for text, y in _texts(batches):
+            seen[y, _distinct([words[w] for w in set(WORD.findall(text.lower()))])] += 1
+            seen[y, BUCKETS] += 1
+        at = np.flatnonzero(seen.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[0, at]), pa.array(seen[1, at])], names=["at", "n0", "n1"])
+
+    sums = texts.select("text", "toxic").mapInArrow(run, "at long, n0 long, n1 long").groupBy("at").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    got = sums.toArrow()  # a row per embedding row at most
+    seen = np.zeros((2, BUCKETS + 1), np.int64)
+    for cls in (0, 1):
+        seen[cls, got["at"].to_numpy()] = got[f"n{cls}"].to_numpy()
+    return seen[:, :BUCKETS].astype(float), seen[:, BUCKETS]
+
+
+def _flat(model: Model) -> np.ndarray:
+    """All weights in rows of DIM: the embedding's, then the others'."""
+    rest = np.concatenate([*[f.ravel() for f in model.filters], model.filter_bias, model.out, [model.out_bias]]).astype(np.float64)
+    return np.concatenate([model.embedding, np.pad(rest, (0, -len(rest) % DIM)).reshape(-1, DIM)])
+
+
+def _unflat(rows: np.ndarray) -> Model:
+    sizes = [w * DIM * FILTERS for w in WIDTHS] + [len(WIDTHS) * FILTERS] * 2 + [1]
+    *filters, bias, out, out_bias, _ = np.split(rows[BUCKETS:].ravel(), np.cumsum(sizes))
+    filters = [f.reshape(-1, FILTERS).astype(np.float32) for f in filters]
+    return Model(rows[:BUCKETS].astype(np.float32), filters, bias.astype(np.float32), out.astype(np.float32), float(out_bias[0]))
+
+
+def _pass(texts: DataFrame, model: Model, n: np.ndarray, rate: float, seed: int) -> Model:
+    """Every shard (a partition, its texts in the order of a hash) goes on from
+    ``model`` with steps over all its texts; their changes averaged, each row of
+    weights by the steps that changed it."""
+    order = F.xxhash64("doc_id", F.lit(11))
+    texts = texts.repartition(max(1, -(-int(n.sum()) // SHARD_TEXTS)), order).sortWithinPartitions(order, "doc_id")
+    shipped = texts.sparkSession.sparkContext.broadcast(_flat(model))
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        before = shipped.value
+        own = _unflat(before.copy())
+        trainer = Trainer(own, n, seed)
+        words = Remembered(_rows, CACHE_WORDS, 32)
+        vocabulary, ids, labels = Vocabulary(words.__getitem__), [], []
+        for text, y in _texts(batches):
+            ids.append(vocabulary.ids(text))
+            labels.append(y)
+            if len(ids) == BATCH or sum(map(len, ids)) >= BATCH_WORDS:
+                trainer.step(ids, vocabulary.rows, labels, rate)
+                vocabulary, ids, labels = Vocabulary(words.__getitem__), [], []
+        if ids:
+            trainer.step(ids, vocabulary.rows, labels, rate)
+        after = _flat(own)
+        steps = np.concatenate([trainer.touched, np.full(len(after) - BUCKETS, trainer.steps)])
+        at = np.flatnonzero(steps)
+        change = np.rint((after[at] - before[at]) * SCALE).astype(np.int64) * steps[at].reshape(-1, 1)
+        columns = [pa.array(at), pa.array(steps[at]), *[pa.array(np.ascontiguousarray(change[:, i])) for i in range(DIM)]]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    names = ["at", "steps", *[f"v{i}" for i in range(DIM)]]
+    changes = texts.select("text", "toxic").mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    got = changes.groupBy("at").agg(*[F.sum(c).alias(c) for c in names[1:]]).toArrow()  # a row per row of weights
+    out = _flat(model).astype(np.float64)
+    at = got["at"].to_numpy()
+    out[at] += np.stack([got[c].to_numpy() for c in names[2:]], axis=1) / SCALE / got["steps"].to_numpy().reshape(-1, 1)
+    return _unflat(out)
+
+
+def _thresholds(scored: DataFrame) -> dict[str, float]:
+    """:func:`best_threshold` by language of (lang, score, toxic), scores of one
+    bin staying on one side; languages with few positives, or no negative, have none."""
+    bins = scored.groupBy("lang", F.floor(F.col("score") * SCORE_BINS).alias("bin")).agg(
+        F.sum("toxic").alias("y"), F.count(F.lit(1)).alias("n"), F.min("score").alias("lo"), F.max("score").alias("hi")
+    )
+    every, down = Window.partitionBy("lang"), Window.partitionBy("lang").orderBy(F.desc("bin"))  # at most SCORE_BINS + 1 rows each
+    at = bins.select(
+        "lang",
+        "bin",
+        F.sum("y").over(every).alias("positives"),
+        F.sum("n").over(every).alias("rows"),
+        (2 * F.sum("y").over(down) / (F.sum("n").over(down) + F.sum("y").over(every))).alias("f1"),
+        ((F.col("lo") + F.coalesce(F.lead("hi").over(down), F.lit(0.0))) / 2).alias("at"),
+    )
+    best = at.where((F.col("positives") >= MIN_PER_LANGUAGE) & (F.col("rows") > F.col("positives"))).groupBy("lang").agg(F.max_by("at", F.struct("f1", "bin")).alias("at"))
+    return {r["lang"]: r["at"] for r in best.collect()}  # a row per language
+
+
 def fit(documents: DataFrame, labels: DataFrame) -> Model:
-    """Train on the rows of ``labels`` (doc_id, toxic 0/1) that are not held
+    """Train on every row of ``labels`` (doc_id, toxic 0/1) that is not held
     out (:func:`held_out`); a document with several labels counts as toxic if
     one says so, an id with several texts counts with the shortest of them, the
     least of these."""
-    known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out("doc_id")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    whole = documents.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
-    # only labels of documents that are there are drawn from
-    known = whole.groupBy("doc_id").agg(F.min(F.length("text")).alias("n")).join(known, "doc_id")
-    sample = _drawn(known.where("toxic = 1"), MAX_POSITIVES).unionByName(_drawn(known.where("toxic = 0"), MAX_NEGATIVES))
-    texts = (
-        whole.join(F.broadcast(sample), "doc_id")  # at most MAX_POSITIVES + MAX_NEGATIVES rows
-        .where(F.length("text") == F.col("n"))
-        .groupBy("doc_id", "toxic")
-        .agg(F.min(F.struct("text", "lang")).alias("t"))
-        .select("doc_id", "toxic", "t.text", "t.lang")
-    )
-    rows = sorted(texts.collect(), key=lambda r: r.doc_id)
-    vocabulary = Vocabulary()
-    ids = [vocabulary.ids(r.text) for r in rows]
-    y = np.array([r.toxic for r in rows], np.int64)
-    back = np.zeros(len(rows), bool)
-    for cls in (0, 1):  # every fifth of each class calibrates
-        back[np.flatnonzero(y == cls)[4::5]] = True
-    model = train([i for i, b in zip(ids, back) if not b], vocabulary.rows, y[~back])
-    scorer = Scorer(model)
-    scores = np.array([scorer.score(r.text) if b else 0.0 for r, b in zip(rows, back)])
-    for lang in {r.lang for r in rows}:
-        own = back & np.array([r.lang == lang for r in rows])
-        if y[own].sum() >= MIN_PER_LANGUAGE and (y[own] == 0).any():
-            model.thresholds[lang] = best_threshold(scores[own], y[own])
+    texts, back = _labelled(documents, labels)
+    seen, n = _counts(texts)
+    model = start_model(seen, n)
+    if not n.all():
+        return model
+    passes = int(min(EPOCHS, -(-TEXTS_SEEN // n.sum())))
+    for i in range(passes):
+        model = _pass(texts, model, n, RATE * (1 - i / passes), seed=7 + i)
+    model.thresholds = _thresholds(score(back, model).select("lang", "score", "toxic"))
     return model
 
 

@@ -103,3 +103,35 @@ def test_long_documents_are_learnt_from(spark, monkeypatch):
     bad = [got[i] for i, y in labels if y]
     fine = [got[i] for i, y in labels if not y]
     assert sum(b > f for b in bad for f in fine) >= 0.95 * len(bad) * len(fine) and sum(plain.values()) > 0
+
+
+def test_every_labelled_row_is_learnt_from(spark, monkeypatch):
+    """Bounds on rows, as a sample had, change nothing; shards and input partitions don't either."""
+    rows, labels = corpus(400, seed=3)
+    docs, known = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, toxic int")
+    monkeypatch.setattr(X, "SHARD_TEXTS", 60)
+    plain = {r.doc_id: (r.score, r.rejected) for r in X.digests(docs, known).collect()}
+    for bound in ("MAX_POSITIVES", "MAX_NEGATIVES"):
+        monkeypatch.setattr(X, bound, 10, raising=False)
+    twice = docs.union(docs).repartition(7, "text")
+    assert {r.doc_id: (r.score, r.rejected) for r in X.digests(twice, known.repartition(3)).collect()} == plain
+    out = [i for i, _ in labels if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum((plain[i][0] >= 0.5) == dict(labels)[i] for i in out) >= 0.95 * len(out)
+    texts, back = X._labelled(docs, known)
+    learnt, kept = [r.doc_id for r in texts.collect()], [r.doc_id for r in back.collect()]
+    assert sorted(learnt + kept) == sorted(i for i, _ in labels if i not in out) and kept
+    seen, n = X._counts(texts)
+    at = X.parts("vilezor")[0]
+    held = [y for i, y in labels if i in set(learnt) and "vilezor" in rows[i][1].split()]
+    assert n.sum() == len(learnt) and seen[1, at] == sum(held) and seen[0, at] == len(held) - sum(held)
+
+
+def test_thresholds_come_from_all_calibrating_rows(spark):
+    rng = random.Random(2)
+    rows = [(lang, rng.random() ** (1 + y), 1 - y) for lang in ("xx", "yy") for y in (0, 1, 1) for _ in range(200)]
+    rows += [("few", 0.9, 1)] * 4 + [("few", 0.1, 0), *[("one", 0.5, 1)] * 9]
+    got = X._thresholds(spark.createDataFrame(rows, "lang string, score double, toxic int"))
+    assert got.keys() == {"xx", "yy"}
+    for lang, at in got.items():
+        own = [(s, y) for g, s, y in rows if g == lang]
+        assert at == pytest.approx(X.best_threshold(np.array([s for s, _ in own]), np.array([y for _, y in own])), abs=1e-4)
