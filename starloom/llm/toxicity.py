@@ -30,8 +30,9 @@ score is the share of positives (0 without labels).
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -39,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.common import Remembered, nullable, slices, without
+from starloom.session import remove_folder, scratch_path
 
 BUCKETS = 1 << 16
 DIM = 16
@@ -79,8 +81,71 @@ def parts(word: str) -> list[int]:
     return [xxhash.xxh32_intdigest(word) % BUCKETS] + [grams[whole[i : i + 4]] for i in range(max(1, len(whole) - 3))]
 
 
-def _rows(word: str) -> np.ndarray:
-    return np.array(parts(word), np.int32)
+def _hashes(text: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """XXH32 (seed 1) of the ``size`` (below 16) bytes of ``text`` at each ``start``."""
+    p1, p2, p3, p4, p5 = (np.uint32(p) for p in (2654435761, 2246822519, 3266489917, 668265263, 374761393))
+
+    def mixed(h: np.ndarray, bits: int, by: np.uint32) -> np.ndarray:
+        return (h << np.uint32(bits) | h >> np.uint32(32 - bits)) * by
+
+    out = np.empty(len(start), np.uint32)
+    for n in np.unique(size):
+        own = np.flatnonzero(size == n)
+        at = start[own]
+        h = np.full(len(own), (1 + int(p5) + int(n)) & 0xFFFFFFFF, np.uint32)
+        for i in range(0, n - 3, 4):
+            lane = text[at + i] | text[at + i + 1] << np.uint32(8) | text[at + i + 2] << np.uint32(16) | text[at + i + 3] << np.uint32(24)
+            h = mixed(h + lane * p3, 17, p4)
+        for i in range(n - n % 4, n):
+            h = mixed(h + text[at + i] * p5, 11, p1)
+        h = (h ^ h >> np.uint32(15)) * p2
+        h = (h ^ h >> np.uint32(13)) * p3
+        out[own] = h ^ h >> np.uint32(16)
+    return out
+
+
+def parts_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(rows of each word's :func:`parts`, one word's after the other's, how many each has)."""
+    import xxhash
+
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    chars = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    text = np.frombuffer(f"<{'><'.join(words)}>".encode(), np.uint8).astype(np.uint32)
+    at = np.append(np.flatnonzero(text & 0xC0 != 0x80), len(text))  # where each character starts
+    grams = np.maximum(chars - 3, 1)
+    sizes = grams + 1
+    ends = np.cumsum(sizes)
+    first = np.repeat(np.cumsum(chars) - chars, grams) + np.arange(grams.sum()) - np.repeat(np.cumsum(grams) - grams, grams)
+    start = at[first]
+    size = at[first + np.repeat(np.minimum(chars, 4), grams)] - start
+    short = size < 16
+    hashed = np.empty(len(start), np.uint32)
+    hashed[short] = _hashes(text, start[short], size[short])
+    for i in np.flatnonzero(~short):  # four characters of four bytes
+        hashed[i] = xxhash.xxh32_intdigest(text[start[i] : start[i] + size[i]].astype(np.uint8).tobytes(), 1)
+    rows = np.empty(ends[-1], np.int64)
+    whole = np.zeros(len(rows), bool)
+    whole[ends - sizes] = True
+    rows[whole] = np.fromiter(map(xxhash.xxh32_intdigest, words), np.int64, len(words)) % BUCKETS
+    rows[~whole] = hashed % BUCKETS
+    return rows, sizes
+
+
+class KnownRows(dict):
+    """Embedding rows of words, remembered within a bound; those of new words are found together."""
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Remember the rows of all words of some texts, at least."""
+        words = set().union(*texts)
+        new = [w for w in words if w not in self]
+        if len(self) + len(new) > CACHE_WORDS:
+            self.clear()
+            new = list(words)
+        rows, sizes = parts_of(new)
+        ends = np.cumsum(sizes).tolist()
+        for w, a, b in zip(new, [0, *ends], ends):
+            self[w] = rows[a:b]
 
 
 @dataclass
@@ -138,9 +203,11 @@ def means(table: np.ndarray, words: list[list[int]]) -> np.ndarray:
     """Mean of each word's rows of ``table``."""
     if not words:
         return np.zeros((0, table.shape[1]), np.float32)
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    rows = table[np.concatenate(words)]
-    return np.add.reduceat(rows, np.r_[0, np.cumsum(sizes)[:-1]], axis=0) / sizes.astype(np.float32).reshape(-1, 1)
+    return _means(table, np.concatenate(words), np.fromiter(map(len, words), np.int64, len(words)))
+
+
+def _means(table: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(table[rows], np.r_[0, np.cumsum(sizes)[:-1]], axis=0) / sizes.astype(np.float32).reshape(-1, 1)
 
 
 def blocks(n: int) -> Iterator[tuple[slice, bool, bool]]:
@@ -158,32 +225,75 @@ class Scorer:
         self.model = model
         self.table = model.projections(model.embedding)  # of each embedding row
         self.places: dict[str, int] = {}
-        self.rows = np.zeros((1024, PAD), np.float32)
+        self.rows = np.zeros((1024, PAD), np.float32)  # the first stays zero: it stands between texts
 
     def score(self, text: str) -> float:
         return self.model.hidden(self._pooled(WORD.findall(text.lower())))[1]
 
+    def scores(self, texts: list[str]) -> list[float]:
+        """:meth:`score` of each text; short ones are pooled together."""
+        out, some, held = [], [], 0
+        for text in texts:
+            words = WORD.findall(text.lower())
+            if some and held + len(words) > BLOCK_WORDS:
+                out += self._together(some)
+                some, held = [], 0
+            some.append(words)
+            held += len(words)
+        return out + self._together(some) if some else out
+
+    def _together(self, texts: list[list[str]]) -> list[float]:
+        if len(texts) == 1:
+            best = [self._pooled(texts[0])]
+        else:
+            best = self._pooled_each(texts)
+        return [self.model.hidden(b)[1] for b in best]
+
     def _pooled(self, words: list[str]) -> np.ndarray:
         """Largest responses over a text, a block of words at a time."""
         most = None
         for at, first, last in blocks(len(words)):
-            got = self.model.largest(self._lookup(words[at]), first, last)
+            places = self._lookup(words[at])
+            got = self.model.largest(self.rows[places], first, last)
             most = got if most is None else np.maximum(most, got)
         return most
 
+    def _pooled_each(self, texts: list[list[str]]) -> np.ndarray:
+        """Largest responses over each of some texts, laid out one after the
+        other with as many zero rows between them as a window may hang over."""
+        gap = max(WIDTHS) - 1
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        end = np.cumsum(sizes + gap)
+        start = end - sizes
+        line = np.zeros(end[-1] + gap + 1, np.int64)
+        line[np.repeat(start - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())] = self._lookup([w for t in texts for w in t])
+        proj, best, at = self.rows[line], [], 0
+        for w in WIDTHS:
+            conv = np.zeros((len(line) - w + 1, FILTERS), np.float32)
+            for j in range(w):
+                conv += proj[j : j + len(conv), at : at + FILTERS]
+                at += FILTERS
+            # windows that begin from w - 1 places before a text to its last word
+            best.append(np.maximum.reduceat(conv, np.stack([start - (w - 1), end], axis=1).ravel(), axis=0)[::2])
+        return np.concatenate(best, axis=1)
+
     def _lookup(self, words: list[str]) -> np.ndarray:
+        """Places of the words' projections in ``rows``."""
         known = self.places
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
+        got = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(got < 0)
+        if len(missing):
+            new = list(dict.fromkeys(words[i] for i in missing))
             if len(known) + len(new) > CACHE_WORDS:
                 known.clear()
-                new = list(dict.fromkeys(words))
-            start = len(known)
+                new, missing = list(dict.fromkeys(words)), np.arange(len(words))
+            start = len(known) + 1
             known.update(zip(new, range(start, start + len(new))))
             while len(self.rows) < start + len(new):
                 self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            self.rows[start : start + len(new)] = means(self.table, [_rows(w) for w in new])
-        return self.rows[np.fromiter(map(known.__getitem__, words), np.int64, len(words))]
+            self.rows[start : start + len(new)] = _means(self.table, *parts_of(new))
+            got[missing] = [known[words[i]] for i in missing]
+        return got
 
 
 class Vocabulary:
@@ -195,7 +305,10 @@ class Vocabulary:
         self.rows: list[list[int]] = []
 
     def ids(self, text: str) -> np.ndarray:
-        words, places = WORD.findall(text.lower()), self.places
+        return self.ids_of(WORD.findall(text.lower()))
+
+    def ids_of(self, words: list[str]) -> np.ndarray:
+        places = self.places
         for w in dict.fromkeys(words):
             if w not in places:
                 places[w] = len(self.rows)
@@ -203,10 +316,10 @@ class Vocabulary:
         return np.fromiter(map(places.__getitem__, words), np.int32, len(words))
 
 
-def _distinct(rows: list) -> np.ndarray:
-    """Embedding rows that occur among those of some words, in any order."""
+def _distinct(rows: list, last: np.ndarray) -> np.ndarray:
+    """Embedding rows that occur among those of some words, in any order;
+    ``last``: room for BUCKETS numbers, whatever they are."""
     every = np.concatenate(rows).astype(np.int64, copy=False) if rows else np.zeros(0, np.int64)
-    last = np.empty(BUCKETS, np.int64)
     place = np.arange(len(every))
     last[every] = place
     return every[last[every] == place]
@@ -326,9 +439,9 @@ class Trainer:
 
 def train(texts: list[np.ndarray], rows: list[list[int]], labels: np.ndarray, seed: int = 7) -> Model:
     """Fit in one process on texts given as ids of words, ``rows`` being each word's rows."""
-    seen = np.zeros((2, BUCKETS))
+    seen, last = np.zeros((2, BUCKETS)), np.empty(BUCKETS, np.int64)
     for words, y in zip(texts, labels):
-        seen[y, _distinct([rows[u] for u in np.unique(words)])] += 1
+        seen[y, _distinct([rows[u] for u in np.unique(words)], last)] += 1
     n = np.bincount(labels, minlength=2)
     model = start_model(seen, n, seed)
     if not n.all():
@@ -365,15 +478,19 @@ def _drawn(known: DataFrame, most: int) -> DataFrame:
     return first.withColumn("_held", so_far).where((F.col("_held") <= most * MAX_TRAIN_CHARS) | (F.col("_held") == F.col("n"))).drop("_held")
 
 
-def _labelled(documents: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _labelled(documents: DataFrame, labels: DataFrame, pin: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(texts to learn from, texts to calibrate on): doc_id, toxic, text, lang of
-    every id of ``labels`` (doc_id, toxic 0/1) that is not held out and has a text."""
+    every id of ``labels`` (doc_id, toxic 0/1) that is not held out and has a text.
+    Both are read from the folder ``pin``, if given, written once for all passes."""
     known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out("doc_id"))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     whole = documents.where("doc_id is not null").where(~held_out("doc_id"))
     text = F.coalesce("text", F.lit(""))
     whole = whole.select("doc_id", F.struct(F.length(text).alias("n"), text.alias("text"), F.coalesce("lang", F.lit("")).alias("lang")).alias("t"))
     texts = whole.join(known, "doc_id").groupBy("doc_id", "toxic").agg(F.min("t").alias("t")).select("doc_id", "toxic", "t.text", "t.lang")
+    if pin:
+        texts.write.parquet(pin, compression="zstd")
+        texts = documents.sparkSession.read.schema(texts.schema).parquet(pin)
     back = F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(5)) == 0
     return texts.where(~back), texts.where(back)
 
@@ -384,6 +501,19 @@ def _texts(batches: Iterator) -> Iterator[tuple[str, int]]:
             yield from zip(b.column("text").to_pylist(), b.column("toxic").to_pylist())
 
 
+def _steps(batches: Iterator) -> Iterator[tuple[list[list[str]], list[int]]]:
+    """(words of each text, labels) of the texts of one step after the other's."""
+    texts, labels = [], []
+    for text, y in _texts(batches):
+        texts.append(WORD.findall(text.lower()))
+        labels.append(y)
+        if len(texts) == BATCH or sum(map(len, texts)) >= BATCH_WORDS:
+            yield texts, labels
+            texts, labels = [], []
+    if texts:
+        yield texts, labels
+
+
 def _counts(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """In how many texts of each class every embedding row occurs, (2, BUCKETS),
     and how many texts of each class there are."""
@@ -392,10 +522,12 @@ def _counts(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         import pyarrow as pa
 
         seen = np.zeros((2, BUCKETS + 1), np.int64)  # the last place counts the texts
-        words = Remembered(_rows, CACHE_WORDS, 32)
-        for text, y in _texts(batches):
-            seen[y, _distinct([words[w] for w in set(WORD.findall(text.lower()))])] += 1
-            seen[y, BUCKETS] += 1
+        known, last = KnownRows(), np.empty(BUCKETS, np.int64)
+        for texts, labels in _steps(batches):
+            known.learn(texts)
+            for words, y in zip(texts, labels):
+                seen[y, _distinct([known[w] for w in set(words)], last)] += 1
+                seen[y, BUCKETS] += 1
         at = np.flatnonzero(seen.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[0, at]), pa.array(seen[1, at])], names=["at", "n0", "n1"])
 
@@ -434,16 +566,11 @@ def _pass(texts: DataFrame, model: Model, n: np.ndarray, rate: float, seed: int)
         before = shipped.value
         own = _unflat(before.copy())
         trainer = Trainer(own, n, seed)
-        words = Remembered(_rows, CACHE_WORDS, 32)
-        vocabulary, ids, labels = Vocabulary(words.__getitem__), [], []
-        for text, y in _texts(batches):
-            ids.append(vocabulary.ids(text))
-            labels.append(y)
-            if len(ids) == BATCH or sum(map(len, ids)) >= BATCH_WORDS:
-                trainer.step(ids, vocabulary.rows, labels, rate)
-                vocabulary, ids, labels = Vocabulary(words.__getitem__), [], []
-        if ids:
-            trainer.step(ids, vocabulary.rows, labels, rate)
+        known = KnownRows()
+        for words, labels in _steps(batches):
+            known.learn(words)
+            vocabulary = Vocabulary(known.__getitem__)
+            trainer.step([vocabulary.ids_of(w) for w in words], vocabulary.rows, labels, rate)
         after = _flat(own)
         steps = np.concatenate([trainer.touched, np.full(len(after) - BUCKETS, trainer.steps)])
         at = np.flatnonzero(steps)
@@ -484,7 +611,14 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     out (:func:`held_out`); a document with several labels counts as toxic if
     one says so, an id with several texts counts with the shortest of them, the
     least of these."""
-    texts, back = _labelled(documents, labels)
+    pin = scratch_path(documents.sparkSession, "labelled")
+    try:
+        return _fit(*_labelled(documents, labels, pin))
+    finally:
+        remove_folder(documents.sparkSession, pin)
+
+
+def _fit(texts: DataFrame, back: DataFrame) -> Model:
     seen, n = _counts(texts)
     model = start_model(seen, n)
     if not n.all():
@@ -513,7 +647,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", out_col: str = "s
         scorer = Scorer(shipped.value)
         for whole in batches:
             for b in slices(whole, text_col):
-                got = [scorer.score(t or "") for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]
+                got = scorer.scores([t or "" for t in b.column(b.schema.get_field_index(text_col)).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.float64())], names=[*names, out_col])
 
     return src.mapInArrow(run, out)

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.llm import toxicity as X
 
@@ -78,6 +79,44 @@ def test_blocks_of_a_long_text_pool_like_the_whole():
     assert np.allclose(X.Scorer(model)._pooled(words), whole, atol=1e-5)
 
 
+def test_texts_scored_together_score_like_one(monkeypatch):
+    rows, labels = corpus(120)
+    v = X.Vocabulary()
+    model = X.train([v.ids(r[1]) for r in rows], v.rows, np.array([y for _, y in labels]))
+    odd = ["", " .,", "a", "grumblik", "", "\U0001d49c\U0001d49c\U0001d49c\U0001d49c\U0001d7d8 b\xe9t\xe9 \u65e5\u672c\u8a9e\u306e", "x" * 70]
+    texts = odd + [r[1] for r in rows] + [" ".join(random.Random(5).choices(WORDS, k=20_000))] + odd
+    one = X.Scorer(model)
+    want = [one.score(t) for t in texts]
+    assert X.Scorer(model).scores(texts) == want and X.Scorer(model).scores([]) == []
+    monkeypatch.setattr(X, "BLOCK_WORDS", 200)  # other groups, and blocks of the long text
+    assert X.Scorer(model).scores(texts) == pytest.approx(want, abs=1e-6)
+    monkeypatch.setattr(X, "CACHE_WORDS", 20)
+    assert X.Scorer(model).scores(texts[:-8]) == want[:-8]
+
+
+def test_rows_of_many_words_are_those_of_each():
+    words = [w for t in ("a b\xe9 \u65e5\u672c\u8a9e\u306e\u30c6 \U0001d49c\U0001d49c\U0001d49c\U0001d49c\U0001d7d8 \U0001d49cx\u65e5\xe9y _1", " ".join(WORDS), "y" * 32) for w in X.WORD.findall(t)]
+    rows, sizes = X.parts_of(words)
+    assert [r.tolist() for r in np.split(rows, np.cumsum(sizes)[:-1])] == [X.parts(w) for w in words]
+    assert [len(a) for a in X.parts_of([])] == [0, 0]
+    known = X.KnownRows()
+    known.learn([words[:3], words])
+    assert [known[w].tolist() for w in words] == [X.parts(w) for w in words]
+
+
+def test_documents_are_read_once_to_learn(spark):
+    rows, labels = corpus(200)
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    docs = spark.createDataFrame(rows, DOCS).withColumn("text", F.udf(seen, "string")("text"))
+    model = X.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert 0 < read.value <= len(rows) and X.Scorer(model).score("grumblik vilezor") > 0.5
+
+
 def test_thresholds():
     assert X.best_threshold(np.array([0.9, 0.8, 0.3, 0.1]), np.array([1, 1, 0, 0])) == pytest.approx(0.55)
     assert X.best_threshold(np.array([0.4, 0.4, 0.2]), np.array([1, 0, 0])) == pytest.approx(0.3)
