@@ -3,6 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.operators import facts
+from starloom.plans import loads
 from starloom.plans.loads import full_load, incremental_load
 from starloom.plans.warehouse import Warehouse
 from starloom.session import scratch_path
@@ -76,3 +78,22 @@ def test_a_later_load_goes_on_from_landed_lines(spark):
     m = incremental_load(spark, changed.with_tables(order_details=changed.order_details), root, EFF + dt.timedelta(days=1), TS)
     fact = Warehouse(spark, root).table("fact_sales_line", m)
     assert fact.groupBy("order_id", "product_id").count().where(F.col("count") > 1).count() == 0
+
+
+def test_landed_lines_are_read_once_and_new_orders_numbered_once(spark, batch_load, monkeypatch):
+    root, changed, new = start(spark, "read-once")
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(n):
+        read.add(1)
+        return n
+
+    lines = new.withColumn("Quantity", F.udf(seen, new.schema["Quantity"].dataType)("Quantity"))
+    n, renumbered = lines.count(), []
+    monkeypatch.setattr(loads, "renumbered", lambda *a: renumbered.append(a) or facts.renumbered(*a))
+    read.value = 0
+    m = apply_batch(spark, root, changed, lines, 0, EFF, TS)
+    assert 0 < read.value <= n and not renumbered
+    assert rows(Warehouse(spark, root), m) == batch_load
+    again = apply_batch(spark, root, changed, lines, 1, EFF, TS)
+    assert rows(Warehouse(spark, root), again) == batch_load and again.rows["fact_sales_line"] == m.rows["fact_sales_line"]
